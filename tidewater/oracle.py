@@ -194,3 +194,22 @@ SELECT service_date_key, payer_id, provider_id, count(claim_id) AS claim_count,
        {half_up_rate("claim_status = 'ADJUSTED'", 'count(claim_id)')} AS adjustment_rate
 FROM fact GROUP BY service_date_key, payer_id, provider_id""",
 }
+
+DETAIL_COMPARED = ", ".join(c for c in ["claim_detail_id"] + DETAIL_COLS[:11])
+
+ORACLE.update({
+    "bronze_ingest": _with(DETAIL_LOG)
+    + f"""
+SELECT {DETAIL_COMPARED}, header__change_oper, header__change_seq,
+       CASE WHEN run = 0 THEN 'seed' ELSE 'incr0001' END AS label
+FROM detail_log""",
+    "cdc_stream_lines": _with(DETAIL_LOG) + f"\nSELECT {DETAIL_COMPARED} FROM detail_cur",
+    "cdc_replay_lines": _with(DETAIL_LOG) + f"\nSELECT {DETAIL_COMPARED} FROM detail_cur",
+    "fact_line_incremental": _with(CLAIM_LOG, DETAIL_LOG)
+    + """
+SELECT d.claim_detail_id, d.claim_id, h.member_id, d.provider_id, h.payer_id, h.service_from_date AS service_date_key,
+       d.procedure_code, h.claim_status, d.units, d.charge_amount, d.allowed_amount, d.paid_amount, d.adjustment_amount
+FROM detail_cur d LEFT JOIN claim_log h ON d.claim_id = h.claim_id AND h.run = d.run""",
+    "cdc_stream_events": ORACLE["cdc_scd1_events"],
+})
+

@@ -98,3 +98,71 @@ def agg_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_kpis(fact)
 
 
+
+
+# ---------------------------------------------------------------------------
+# streaming: landing -> bronze -> silver -> twin, run to completion
+# ---------------------------------------------------------------------------
+def _claims_runner(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], with_twin: bool, name: str):
+    """Land the seed, run every layer; land one increment, run again (a restart)."""
+    from .session import work_dir
+    from .streaming.runner import Runner
+
+    runner = Runner(spark, work_dir(spark, name))
+    for run in (roles.SEED, roles.INCREMENT):
+        runner.land_roles(sf_dir, run, tables=tables)
+        runner.step(tables, with_twin=with_twin)
+    return runner
+
+
+_COMPARED_DETAIL = [c for c in CLAIMS["claim_detail"].business_columns if c != "last_updated"]
+
+
+@register
+def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files -> append-only change log with provenance (label from the file path)."""
+    from .specs import OPER_COL, SEQ_COL, SOURCE_FILE_COL
+
+    runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "bronze")
+    b = runner.bronze("claim_detail")
+    label = F.regexp_extract(F.col(SOURCE_FILE_COL), r"/landing/claim_detail/([^/]+)/", 1)
+    return b.select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, label.alias("label"))
+
+
+@register
+def cdc_stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streaming SCD1 of the line table across two runs of the flow."""
+    runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "silver")
+    return runner.current("claim_detail").select(*_COMPARED_DETAIL)
+
+
+@register
+def cdc_replay_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuild the line table from its whole bronze log in one batch (replay/audit)."""
+    runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "replay")
+    rebuilt = layers.silver(runner.bronze("claim_detail"), CLAIMS["claim_detail"])
+    return rebuilt.select(*_COMPARED_DETAIL)
+
+
+@register
+def fact_line_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental twin of the line fact (stream-static join + change apply)."""
+    runner = _claims_runner(spark, sf_dir, ("claim", "claim_detail"), True, "twin")
+    return runner.twin_table()
+
+
+@register
+def cdc_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events land in three slices, out of sequence order; the flow restarts per slice."""
+    from .session import work_dir
+    from .streaming import apply as ap
+    from .streaming.ingest import land, landing_path
+
+    root = work_dir(spark, "events")
+    events = roles.events_log(spark, sf_dir)
+    slice_of = F.pmod(F.xxhash64(F.col("event_id")), F.lit(3))
+    for i, s in enumerate((2, 0, 1)):
+        land(events.where(slice_of == s), root, "events", f"slice{i}")
+        src = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(landing_path(root, "events"))
+        ap.start_apply(src, root, "events", roles.EVENTS_APPLY).awaitTermination()
+    return ap.current_state(spark, root, "events", roles.EVENTS_APPLY)
