@@ -7,6 +7,8 @@ over as many partitions as its size needs. The ``lead`` is then taken inside
 each (range partition, key) slice, and the last row of a slice looks up the
 first row of the next non-empty range partition. That lookup table has one row
 per range partition, so its size is bounded by the partition count, not the data.
+The range-partitioned rows are checkpointed once so both uses agree on the
+layout (and a lost executor re-reads them instead of re-sampling bounds).
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of
+from ..session import checkpoint_dir
 
 _K = "__ord_key"
 _O = "__ord_order"
@@ -43,7 +46,12 @@ def next_in_key(
     staged = df.withColumn(_K, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])).withColumn(
         _O, F.struct(*[col_of(c).alias(f"o{i}") for i, c in enumerate(order)])
     )
-    ranged = staged.repartitionByRange(n, _K, _O).withColumn(_PID, F.spark_partition_id())
+    # Range bounds come from a sample of the input, whose order after a shuffle
+    # is not fixed: two evaluations could disagree on which partition holds a
+    # row. Materialise the partitioned rows once (reliable checkpoint in the
+    # shared folder) so the window and the boundary table see one layout.
+    checkpoint_dir(spark)
+    ranged = staged.repartitionByRange(n, _K, _O).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
     w = Window.partitionBy(_PID, _K).orderBy(_O)
     with_lead = ranged.withColumn(out_col, F.lead(F.col(value_col)).over(w)).withColumn(

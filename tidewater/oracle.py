@@ -213,3 +213,35 @@ FROM detail_cur d LEFT JOIN claim_log h ON d.claim_id = h.claim_id AND h.run = d
     "cdc_stream_events": ORACLE["cdc_scd1_events"],
 })
 
+
+LINE_ASC = "l_shipdate, l_partkey, l_suppkey, l_extendedprice, " + ", ".join(LINE_PAYLOAD)
+
+ORACLE.update({
+    "quality_warn_counts": """
+SELECT 'value_at_least_10' AS rule, 'warn' AS action,
+       count(*) FILTER (WHERE NOT coalesce(value >= 10, false) AND NOT coalesce(event_type = 'error', false)) AS failed_rows
+FROM events
+UNION ALL
+SELECT 'user_not_every_50th', 'drop', count(*) FILTER (WHERE NOT coalesce(nullif(user_id % 50, 0) IS NOT NULL, false))
+FROM events""",
+    "quality_drop": """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events
+  WHERE coalesce(nullif(user_id % 50, 0) IS NOT NULL, false))
+WHERE rn = 1 AND NOT coalesce(event_type = 'error', false)""",
+    "quality_rejects": """
+SELECT event_id, user_id, event_type, 'user_not_every_50th' AS failed_rules FROM events
+WHERE NOT coalesce(nullif(user_id % 50, 0) IS NOT NULL, false)""",
+    "cdc_scd2_events": """
+SELECT * EXCLUDE (nxt), nxt AS __end_at FROM (
+  SELECT event_id, ts, user_id, event_type, value, props, event_id AS __start_at,
+         lead(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS nxt
+  FROM events)
+WHERE NOT coalesce(event_type = 'error', false)""",
+    "cdc_scd2_lines": f"""
+SELECT * EXCLUDE (nxt), nxt AS __end_at FROM (
+  SELECT *, l_shipdate AS __start_at,
+         lead(l_shipdate) OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_ASC}) AS nxt
+  FROM (SELECT DISTINCT * FROM lineitem))
+WHERE NOT coalesce({LINE_DELETE}, false)""",
+})

@@ -166,3 +166,54 @@ def cdc_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         src = spark.readStream.schema(events.schema).option("recursiveFileLookup", "true").parquet(landing_path(root, "events"))
         ap.start_apply(src, root, "events", roles.EVENTS_APPLY).awaitTermination()
     return ap.current_state(spark, root, "events", roles.EVENTS_APPLY)
+
+
+# ---------------------------------------------------------------------------
+# row-quality rules
+# ---------------------------------------------------------------------------
+def event_rules():
+    """Rules that fail on some driver rows: a warn on low values, a drop on every 50th user."""
+    from .specs import Rule
+
+    return (
+        Rule("value_at_least_10", "value >= 10", "warn"),
+        Rule("user_not_every_50th", "nullif(user_id % 50, 0) IS NOT NULL", "drop", applies_to_deletes=True),
+    )
+
+
+@register
+def quality_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators import quality
+
+    return quality.rule_metrics(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when)
+
+
+@register
+def quality_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state after the drop rule removed its rows from the change log."""
+    from .operators import quality
+
+    kept = quality.check(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when).kept
+    return cdc.apply_changes(kept, roles.EVENTS_APPLY)
+
+
+@register
+def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .operators import quality
+
+    r = quality.check(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when).rejects
+    return r.select("event_id", "user_id", "event_type", F.concat_ws(",", quality.REJECT_RULES_COL).alias("failed_rules"))
+
+
+# ---------------------------------------------------------------------------
+# history (SCD2)
+# ---------------------------------------------------------------------------
+@register
+def cdc_scd2_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cdc.scd2_history(roles.events_log(spark, sf_dir), roles.EVENTS_APPLY)
+
+
+@register
+def cdc_scd2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History with a composite key and tied sequences, skew-safe ordering."""
+    return cdc.scd2_history(roles.line_log(spark, sf_dir), roles.LINE_APPLY)
