@@ -14,10 +14,11 @@ SEQ_STEP = 1_000_000_000_000
 #   0-3 new, 4-9 header only, 10-16 adjustment, 17-19 reversal
 
 
-def ctype(k: str) -> str:
+def ctype(k: str, nb: int = 20) -> str:
+    """Change type of a key; with ``nb`` > 20 buckets 20.. are untouched (NULL)."""
     return (
-        f"CASE WHEN {k} % 20 < 4 THEN 'new' WHEN {k} % 20 < 10 THEN 'header_only' "
-        f"WHEN {k} % 20 < 17 THEN 'adjustment' ELSE 'reversal' END"
+        f"CASE WHEN {k} % {nb} < 4 THEN 'new' WHEN {k} % {nb} < 10 THEN 'header_only' "
+        f"WHEN {k} % {nb} < 17 THEN 'adjustment' WHEN {k} % {nb} < 20 THEN 'reversal' END"
     )
 
 
@@ -48,19 +49,21 @@ DIAG_COLS = [
     "header__change_oper", "header__change_seq", "header__change_ts",
 ]
 
-CLAIM_LOG = f"""
+def claim_log_sql(nb: int = 20, hot: int = 0) -> str:
+    prov = f"CASE WHEN run = 1 AND o_orderkey % 100 < {hot} THEN 1 ELSE o_orderkey % 100 + 1 END"
+    return f"""
 claim_src AS (
-  SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, {ctype('o_orderkey')} AS ctype FROM orders),
+  SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, {ctype('o_orderkey', nb)} AS ctype FROM orders),
 claim_runs AS (
-  SELECT 0 AS run, 'I' AS oper, 'PAID' AS status, * FROM claim_src WHERE ctype <> 'new'
+  SELECT 0 AS run, 'I' AS oper, 'PAID' AS status, * FROM claim_src WHERE ctype IS DISTINCT FROM 'new'
   UNION ALL
   SELECT 1, CASE WHEN ctype = 'new' THEN 'I' ELSE 'U' END,
          CASE ctype WHEN 'new' THEN 'SUBMITTED' WHEN 'header_only' THEN 'DENIED'
                     WHEN 'adjustment' THEN 'ADJUSTED' ELSE 'REVERSED' END, *
-  FROM claim_src),
+  FROM claim_src WHERE ctype IS NOT NULL),
 claim_log AS (
   SELECT printf('CLM%012d', o_orderkey) AS claim_id, printf('MBR%09d', o_custkey) AS member_id,
-         printf('PRV%06d', o_orderkey % 100 + 1) AS provider_id, printf('PAY%05d', o_custkey % 25 + 1) AS payer_id,
+         printf('PRV%06d', {prov}) AS provider_id, printf('PAY%05d', o_custkey % 25 + 1) AS payer_id,
          status AS claim_status, o_orderpriority AS claim_type,
          CAST(o_totalprice AS DECIMAL(12,2)) AS total_charge_amount, CAST(o_totalprice AS DECIMAL(12,2)) AS total_paid_amount,
          CAST(o_orderdate AS DATE) AS service_from_date, CAST(o_orderdate AS DATE) AS service_to_date,
@@ -70,10 +73,15 @@ claim_log AS (
   FROM claim_runs),
 claim_cur AS ({latest('claim_log', 'claim_id', CLAIM_COLS)} AND header__change_oper <> 'D')"""
 
-DETAIL_LOG = f"""
+
+CLAIM_LOG = claim_log_sql()
+
+def detail_log_sql(nb: int = 20, hot: int = 0) -> str:
+    prov = f"CASE WHEN run = 1 AND l_orderkey % 100 < {hot} THEN 1 ELSE l_suppkey END"
+    return f"""
 line_src AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus, l_shipdate,
-         {ctype('l_orderkey')} AS ctype,
+         {ctype('l_orderkey', nb)} AS ctype,
          CAST(l_extendedprice AS DECIMAL(12,2)) AS ep, CAST(l_discount AS DECIMAL(4,2)) AS disc,
          CAST(l_tax AS DECIMAL(4,2)) AS tax
   FROM lineitem),
@@ -83,7 +91,7 @@ line_amt AS (
          CAST(-round(ep * disc, 2) AS DECIMAL(12,2)) AS adj0
   FROM line_src),
 line_runs AS (
-  SELECT 0 AS run, 'I' AS oper, paid0 AS paid, adj0 AS adj, * FROM line_amt WHERE ctype <> 'new'
+  SELECT 0 AS run, 'I' AS oper, paid0 AS paid, adj0 AS adj, * FROM line_amt WHERE ctype IS DISTINCT FROM 'new'
   UNION ALL SELECT 1, 'I', paid0, adj0, * FROM line_amt WHERE ctype = 'new'
   UNION ALL SELECT 1, 'U', allowed, CAST(allowed - paid0 AS DECIMAL(12,2)), * FROM line_amt WHERE ctype = 'adjustment'
   UNION ALL SELECT 1, 'D', NULL, NULL, * FROM line_amt WHERE ctype = 'reversal'),
@@ -94,7 +102,7 @@ detail_log AS (
          CASE WHEN oper = 'D' THEN NULL ELSE printf('PX%06d', l_partkey) END AS procedure_code,
          CASE WHEN oper = 'D' THEN NULL ELSE l_returnflag END AS revenue_code,
          CASE WHEN oper = 'D' THEN NULL ELSE l_linestatus END AS place_of_service,
-         CASE WHEN oper = 'D' THEN NULL ELSE printf('PRV%06d', l_suppkey) END AS provider_id,
+         CASE WHEN oper = 'D' THEN NULL ELSE printf('PRV%06d', {prov}) END AS provider_id,
          CASE WHEN oper = 'D' THEN NULL ELSE CAST(trunc(l_quantity) AS INTEGER) END AS units,
          CASE WHEN oper = 'D' THEN NULL ELSE ep END AS charge_amount,
          CASE WHEN oper = 'D' THEN NULL ELSE allowed END AS allowed_amount,
@@ -105,6 +113,9 @@ detail_log AS (
   FROM line_runs),
 detail_cur AS ({latest('detail_log', 'claim_detail_id', DETAIL_COLS)} AND header__change_oper <> 'D')"""
 
+
+DETAIL_LOG = detail_log_sql()
+
 HEADER_FACT = """
 line_tot AS (
   SELECT claim_id, sum(paid_amount) AS p, sum(adjustment_amount) AS a, count(claim_detail_id) AS n
@@ -245,3 +256,82 @@ SELECT * EXCLUDE (nxt), nxt AS __end_at FROM (
   FROM (SELECT DISTINCT * FROM lineitem))
 WHERE NOT coalesce({LINE_DELETE}, false)""",
 })
+
+
+def _skew_rows(scenario: str, hot: int) -> str:
+    prov = f"CASE WHEN l_orderkey % 100 < {hot} THEN 1 ELSE l_suppkey END"
+    return f"""
+  SELECT '{scenario}' AS scenario, printf('CLM%012d-%02d', l_orderkey, l_linenumber) AS claim_detail_id,
+         CASE WHEN ct = 'reversal' THEN NULL ELSE printf('PRV%06d', {prov}) END AS provider_id
+  FROM (SELECT *, {ctype('l_orderkey')} AS ct FROM lineitem) WHERE ct IN ('new', 'adjustment', 'reversal')"""
+
+
+_DIFF_COLS = [c for c in ["claim_detail_id"] + DETAIL_COLS[:12] if c != "claim_detail_id"]
+PARTIAL_NB = 100
+
+ORACLE.update({
+    "change_batch_mix": f"""
+WITH o AS (SELECT {ctype('o_orderkey')} AS ctype FROM orders),
+     l AS (SELECT {ctype('l_orderkey')} AS ctype FROM lineitem)
+SELECT 'claim' AS table_name, CASE WHEN ctype = 'new' THEN 'I' ELSE 'U' END AS oper, count(*) AS changes
+FROM o WHERE ctype IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'claim_detail', CASE ctype WHEN 'new' THEN 'I' WHEN 'adjustment' THEN 'U' ELSE 'D' END, count(*)
+FROM l WHERE ctype IN ('new', 'adjustment', 'reversal') GROUP BY 1, 2
+UNION ALL SELECT 'claim_attribute', 'I', 3 * count(*) FROM o WHERE ctype = 'new' GROUP BY 1, 2
+UNION ALL SELECT 'claim_audit', 'I', count(*) FROM o WHERE ctype IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'claim_payment', 'U', count(*) FROM o WHERE ctype IN ('adjustment', 'reversal') GROUP BY 1, 2
+UNION ALL SELECT 'claim_diagnosis', 'I', count(*) FROM l WHERE ctype = 'new' GROUP BY 1, 2
+UNION ALL SELECT 'provider', 'U', count(*) FROM supplier WHERE s_suppkey % 20 = 0 GROUP BY 1, 2""",
+    "change_batch_lines": _with(DETAIL_LOG)
+    + f"\nSELECT {DETAIL_COMPARED}, header__change_oper, header__change_seq FROM detail_log WHERE run = 1 AND header__change_oper <> 'D'",
+    "change_batch_deletes": _with(DETAIL_LOG)
+    + f"\nSELECT {DETAIL_COMPARED}, header__change_oper, header__change_seq FROM detail_log WHERE header__change_oper = 'D'",
+    "union_changes": _with(CLAIM_LOG)
+    + """
+SELECT claim_id, member_id, provider_id, payer_id, claim_status, claim_type, total_charge_amount, service_from_date,
+       header__change_oper, header__change_seq FROM claim_log""",
+    "skew_profile": f"""
+WITH inc AS ({_skew_rows('even', 0)} UNION ALL {_skew_rows('hot', 80)}),
+per_key AS (
+  SELECT scenario, 'claim_detail_id' AS merge_key, claim_detail_id AS k, count(*) AS n FROM inc GROUP BY 1, 2, 3
+  UNION ALL
+  SELECT scenario, 'provider_id', provider_id, count(*) FROM inc GROUP BY 1, 2, 3)
+SELECT scenario, merge_key, CAST(sum(n) AS BIGINT) AS rows, count(*) AS distinct_keys, max(n) AS top_key_rows,
+       (max(n) * 10000) // CAST(sum(n) AS BIGINT) AS top_key_share_bp
+FROM per_key GROUP BY 1, 2""",
+    "snapshot_diff": _with(DETAIL_LOG)
+    + f""",
+detail_log0 AS (SELECT * FROM detail_log WHERE run = 0),
+old_cur AS ({latest('detail_log0', 'claim_detail_id', DETAIL_COLS)} AND header__change_oper <> 'D')
+SELECT coalesce(n.claim_detail_id, o.claim_detail_id) AS claim_detail_id,
+       CASE WHEN o.claim_detail_id IS NULL THEN 'I' WHEN n.claim_detail_id IS NULL THEN 'D' ELSE 'U' END AS oper,
+       CASE WHEN o.claim_detail_id IS NULL OR n.claim_detail_id IS NULL THEN '' ELSE concat_ws(',', {", ".join(f"CASE WHEN o.{c} IS DISTINCT FROM n.{c} THEN '{c}' END" for c in _DIFF_COLS)}) END AS changed_columns
+FROM old_cur o FULL OUTER JOIN detail_cur n ON o.claim_detail_id = n.claim_detail_id
+WHERE o.claim_detail_id IS NULL OR n.claim_detail_id IS NULL OR {" OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _DIFF_COLS)}""",
+    "twin_reconcile": _with(CLAIM_LOG, DETAIL_LOG)
+    + """
+SELECT d.claim_detail_id, 'header_drift' AS kind,
+       concat_ws(',', CASE WHEN h0.member_id IS DISTINCT FROM h1.member_id THEN 'member_id' END,
+                      CASE WHEN h0.payer_id IS DISTINCT FROM h1.payer_id THEN 'payer_id' END,
+                      CASE WHEN h0.service_from_date IS DISTINCT FROM h1.service_from_date THEN 'service_date_key' END,
+                      CASE WHEN h0.claim_status IS DISTINCT FROM h1.claim_status THEN 'claim_status' END) AS drift_columns
+FROM detail_cur d
+LEFT JOIN claim_log h0 ON h0.claim_id = d.claim_id AND h0.run = d.run
+LEFT JOIN claim_cur h1 ON h1.claim_id = d.claim_id
+WHERE h0.member_id IS DISTINCT FROM h1.member_id OR h0.payer_id IS DISTINCT FROM h1.payer_id
+   OR h0.service_from_date IS DISTINCT FROM h1.service_from_date OR h0.claim_status IS DISTINCT FROM h1.claim_status""",
+    "agg_daily_touched": ORACLE["agg_daily"]
+    .replace(CLAIM_LOG.strip(), claim_log_sql(PARTIAL_NB).strip())
+    .replace(DETAIL_LOG.strip(), detail_log_sql(PARTIAL_NB).strip()),
+    "refresh_choice": _with(claim_log_sql(PARTIAL_NB), detail_log_sql(PARTIAL_NB))
+    + """,
+counts AS (
+  SELECT 'claim' AS table_name, count(*) FILTER (WHERE run = 1) AS changed_rows,
+         count(DISTINCT claim_id) FILTER (WHERE run = 0) AS base_rows FROM claim_log
+  UNION ALL
+  SELECT 'claim_detail', count(*) FILTER (WHERE run = 1), count(DISTINCT claim_detail_id) FILTER (WHERE run = 0) FROM detail_log)
+SELECT table_name, changed_rows, base_rows,
+       CASE WHEN base_rows > 0 THEN (changed_rows * 10000) // base_rows END AS change_ratio_bp,
+       CASE WHEN base_rows = 0 OR (changed_rows * 10000) // base_rows >= 2000 THEN 'full' ELSE 'incremental' END AS strategy
+FROM counts""",
+})

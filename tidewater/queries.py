@@ -217,3 +217,155 @@ def cdc_scd2_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_scd2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History with a composite key and tied sequences, skew-safe ordering."""
     return cdc.scd2_history(roles.line_log(spark, sf_dir), roles.LINE_APPLY)
+
+
+# ---------------------------------------------------------------------------
+# change-batch synthesis
+# ---------------------------------------------------------------------------
+def _change_cols() -> list[str]:
+    from .specs import OPER_COL, SEQ_COL
+
+    return _COMPARED_DETAIL + [OPER_COL, SEQ_COL]
+
+
+@register
+def change_batch_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per (table, operation) in one increment of all nine tables."""
+    from .specs import OPER_COL
+
+    out = None
+    for t in CLAIMS:
+        c = roles.changes(spark, sf_dir, t, roles.INCREMENT)
+        per = c.groupBy(F.col(OPER_COL).alias("oper")).agg(F.count(F.lit(1)).alias("changes"))
+        per = per.select(F.lit(t).alias("table_name"), "oper", "changes")
+        out = per if out is None else out.unionByName(per)
+    return out
+
+
+@register
+def change_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserted and updated line rows of the increment (line multiplication, new amounts)."""
+    from .specs import OPER_COL
+
+    c = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
+    return c.where(F.col(OPER_COL) != "D").select(*_change_cols())
+
+
+@register
+def change_batch_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key-only delete rows of reversed claims (every payload column a typed NULL)."""
+    from .specs import OPER_COL
+
+    c = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
+    return c.where(F.col(OPER_COL) == "D").select(*_change_cols())
+
+
+@register
+def union_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seed and increment header frames unioned by name into one change log."""
+    from .specs import OPER_COL, SEQ_COL
+
+    log = roles.change_log(spark, sf_dir, "claim")
+    return log.select(
+        "claim_id", "member_id", "provider_id", "payer_id", "claim_status", "claim_type",
+        "total_charge_amount", "service_from_date", OPER_COL, SEQ_COL,
+    )
+
+
+# ---------------------------------------------------------------------------
+# skew: even against 80%-hot increments
+# ---------------------------------------------------------------------------
+SKEW_SCENARIOS = (("even", 0.0), ("hot", 0.8))
+SKEW_KEYS = ("claim_detail_id", "provider_id")
+
+
+@register
+def skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-key share of an increment by merge key and by the hot attribute."""
+    from .plans import skew
+
+    out = None
+    for scenario, hot in SKEW_SCENARIOS:
+        inc = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, roles.RoleMap(hot_share=hot))
+        for k in SKEW_KEYS:
+            p = skew.key_profile(inc, [k]).select(F.lit(scenario).alias("scenario"), F.lit(k).alias("merge_key"), "*")
+            out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register
+def skew_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Max/median rows per shuffle partition when merging on each key (Spark's hash)."""
+    from .plans import skew
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = None
+    for scenario, hot in SKEW_SCENARIOS:
+        inc = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, roles.RoleMap(hot_share=hot))
+        for k in SKEW_KEYS:
+            p = skew.partition_profile(inc, [k], n).select(F.lit(scenario).alias("scenario"), F.lit(k).alias("merge_key"), "*")
+            out = p if out is None else out.unionByName(p)
+    return out
+
+
+# ---------------------------------------------------------------------------
+# reconciliation and snapshot difference
+# ---------------------------------------------------------------------------
+@register
+def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line table after the seed against after the increment, as an I/U/D log."""
+    from .plans import reconcile
+
+    before = layers.silver_from_roles(spark, sf_dir, "claim_detail", runs=(roles.SEED,))
+    after = layers.silver_from_roles(spark, sf_dir, "claim_detail")
+    return reconcile.snapshot_diff(before, after, ["claim_detail_id"])
+
+
+@register
+def twin_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full line fact against its incremental twin: only header drift is expected."""
+    from .plans import reconcile
+
+    runner = _claims_runner(spark, sf_dir, ("claim", "claim_detail"), True, "reconcile")
+    full = gold.fact_claim_line(runner.current("claim_detail"), runner.current("claim"))
+    return reconcile.twin_reconcile(full, runner.twin_table(), "claim_detail_id", gold.HEADER_ORIGIN)
+
+
+# ---------------------------------------------------------------------------
+# incremental refresh and strategy choice (20% of claims change)
+# ---------------------------------------------------------------------------
+PARTIAL = roles.RoleMap(n_buckets=100, touched=0.2)
+
+
+@register
+def agg_daily_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily KPIs after the increment, recomputing only the groups it touched."""
+    from .plans import refresh
+    from .specs import CLAIMS as C
+
+    header_before = layers.silver_from_roles(spark, sf_dir, "claim", PARTIAL, runs=(roles.SEED,))
+    detail_before = layers.silver_from_roles(spark, sf_dir, "claim_detail", PARTIAL, runs=(roles.SEED,))
+    previous = gold.daily_kpis(gold.fact_claim(header_before, detail_before))
+    header_after = layers.silver_from_roles(spark, sf_dir, "claim", PARTIAL)
+    detail_after = layers.silver_from_roles(spark, sf_dir, "claim_detail", PARTIAL)
+    changed = (
+        roles.changes(spark, sf_dir, "claim", roles.INCREMENT, PARTIAL).select("claim_id")
+        .unionByName(roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, PARTIAL).select("claim_id"))
+        .distinct()
+    )
+    assert C["claim"].keys == ("claim_id",)
+    return refresh.refresh_daily(previous, header_before, header_after, detail_after, changed)
+
+
+@register
+def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change ratio per table and the refresh strategy it selects (full at >= 20%)."""
+    from .plans import refresh
+
+    out = None
+    for t in ("claim", "claim_detail"):
+        changes = roles.changes(spark, sf_dir, t, roles.INCREMENT, PARTIAL)
+        base = layers.silver_from_roles(spark, sf_dir, t, PARTIAL, runs=(roles.SEED,))
+        r = refresh.choose_refresh(refresh.change_ratio(changes, base)).select(F.lit(t).alias("table_name"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
