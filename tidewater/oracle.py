@@ -335,3 +335,29 @@ SELECT table_name, changed_rows, base_rows,
        CASE WHEN base_rows = 0 OR (changed_rows * 10000) // base_rows >= 2000 THEN 'full' ELSE 'incremental' END AS strategy
 FROM counts""",
 })
+
+
+ORACLE.update({
+    "bronze_rescue": _with(DETAIL_LOG)
+    + f"""
+SELECT {DETAIL_COMPARED.replace("units", "CASE WHEN run = 1 AND line_number = 1 THEN NULL ELSE units END AS units")},
+       header__change_oper, header__change_seq,
+       CASE WHEN run = 0 THEN NULL
+            WHEN line_number = 1 THEN '{{"units":"' || units || ' units","source_system":"legacy"}}'
+            ELSE '{{"source_system":"legacy"}}' END AS _rescued_data
+FROM detail_log""",
+    "bronze_json": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
+    "flows_live_rows": f"""
+WITH o AS (SELECT o_orderkey, {ctype('o_orderkey')} AS ct FROM orders),
+     l AS (SELECT l_orderkey, l_linenumber, {ctype('l_orderkey')} AS ct FROM lineitem)
+SELECT 'claim' AS table_name, count(*) AS live_rows FROM o
+UNION ALL SELECT 'claim_detail', count(DISTINCT (l_orderkey, l_linenumber)) FROM l WHERE ct IS DISTINCT FROM 'reversal'
+UNION ALL SELECT 'claim_attribute', 3 * count(*) FROM o
+UNION ALL SELECT 'claim_audit', count(*) FILTER (WHERE ct IS DISTINCT FROM 'new') + count(*) FILTER (WHERE ct IS NOT NULL) FROM o
+UNION ALL SELECT 'claim_payment', count(*) FILTER (WHERE ct IS DISTINCT FROM 'new') + count(*) FILTER (WHERE ct IN ('adjustment', 'reversal')) FROM o
+UNION ALL SELECT 'claim_diagnosis', count(DISTINCT (l_orderkey, l_linenumber)) FROM l
+UNION ALL SELECT 'provider', count(*) FROM supplier
+UNION ALL SELECT 'member', count(*) FROM customer
+UNION ALL SELECT 'payer', count(*) FROM nation""",
+    "cdc_compact_lines": _with(DETAIL_LOG) + f"\nSELECT {DETAIL_COMPARED} FROM detail_cur",
+})

@@ -369,3 +369,81 @@ def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
         r = refresh.choose_refresh(refresh.change_ratio(changes, base)).select(F.lit(t).alias("table_name"), "*")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+# ---------------------------------------------------------------------------
+# drift rescue, JSON landing, all flows, compaction
+# ---------------------------------------------------------------------------
+@register
+def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The increment lands with a text ``units`` column and an unknown column: rows kept, misfits rescued."""
+    from .session import work_dir
+    from .specs import OPER_COL, RESCUE_COL, SEQ_COL
+    from .streaming.runner import Runner
+
+    runner = Runner(spark, work_dir(spark, "rescue"))
+    runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
+    runner.ingest(("claim_detail",), rescue=True)
+    inc = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
+    drifted = inc.withColumn(
+        "units",
+        F.when(F.col("line_number") == 1, F.concat(F.col("units").cast("string"), F.lit(" units"))).otherwise(
+            F.col("units").cast("string")
+        ),
+    ).withColumn("source_system", F.lit("legacy"))
+    runner.land("claim_detail", drifted, "incr0001")
+    runner.ingest(("claim_detail",), rescue=True)
+    return runner.bronze("claim_detail").select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, RESCUE_COL)
+
+
+MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON text keeps microseconds (default is millis)
+
+
+@register
+def bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON landing: the same reader with a format argument and the declared schema."""
+    from .session import work_dir
+    from .streaming import ingest as ig
+    from .streaming.apply import checkpoint_path
+
+    root = work_dir(spark, "json")
+    events = roles.events_log(spark, sf_dir)
+    half = F.pmod(F.xxhash64(F.col("event_id")), F.lit(2))
+    for i in (0, 1):
+        events.where(half == i).write.mode("append").option("timestampNTZFormat", MICROS).json(
+            ig.landing_path(root, "events", f"part{i}")
+        )
+    src = (
+        spark.readStream.format("json").schema(events.schema).option("recursiveFileLookup", "true")
+        .option("timestampNTZFormat", MICROS)
+        .load(ig.landing_path(root, "events"))
+    )
+    out = f"{root}/bronze/events"
+    (
+        src.writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", checkpoint_path(root, "bronze_events_json"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    return spark.read.schema(events.schema).parquet(out)
+
+
+@register
+def flows_live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nine tables: bronze flows run together, then silver flows together; live rows per table."""
+    runner = _claims_runner(spark, sf_dir, tuple(CLAIMS), False, "flows")
+    out = None
+    for t in CLAIMS:
+        c = runner.current(t).agg(F.count(F.lit(1)).alias("live_rows")).select(F.lit(t).alias("table_name"), "live_rows")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register
+def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold the per-batch state folders into one clustered snapshot; read it as the table."""
+    from .streaming import apply as ap
+
+    runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "compact")
+    apply = cdc.ApplySpec.for_table(CLAIMS["claim_detail"])
+    snap = ap.compact(spark, runner.root, "claim_detail", apply, f"{runner.root}/snapshots/claim_detail/v1")
+    return cdc.live_rows(spark.read.parquet(snap), apply).select(*_COMPARED_DETAIL)

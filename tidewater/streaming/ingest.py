@@ -94,8 +94,12 @@ def bronze_schema(spec: TableSpec):
 
 
 def read_bronze(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """Batch read of a bronze log (only files committed by the stream sink)."""
-    return spark.read.schema(bronze_schema(spec)).parquet(bronze_path(root, spec.name))
+    """Batch read of a bronze log (only files committed by the stream sink).
+
+    A log written by the rescue flow is laid out as ``batch_id=N`` folders; the
+    folder column is not part of the log.
+    """
+    return spark.read.schema(bronze_schema(spec)).parquet(bronze_path(root, spec.name)).drop("batch_id")
 
 
 def read_bronze_stream(spark: SparkSession, root: str, spec: TableSpec, max_files_per_trigger: int | None = None) -> DataFrame:
