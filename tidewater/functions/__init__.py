@@ -6,6 +6,8 @@ from .columns import (  # noqa: F401
     hot_assign,
     key_bucket,
     oper_rank,
+    pad,
+    padded_id,
     rate,
     round_half_up,
     safe_divide,

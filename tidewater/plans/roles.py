@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import padded_id
 from ..operators.cdc import ApplySpec
 from ..sources.tables import read_table
 from ..specs import CLAIMS
@@ -55,11 +56,11 @@ SEED, INCREMENT = 0, 1
 
 
 def claim_key(n: Column) -> Column:
-    return F.format_string("CLM%012d", n)
+    return padded_id("CLM", n, 12)
 
 
 def detail_key(n: Column, line: Column) -> Column:
-    return F.format_string("CLM%012d-%02d", n, line)
+    return padded_id("CLM", n, 12, (line, 2))
 
 
 def _provider(natural: Column, orderkey: Column, rm: RoleMap, run: int) -> Column:
@@ -67,7 +68,7 @@ def _provider(natural: Column, orderkey: Column, rm: RoleMap, run: int) -> Colum
     pid = natural
     if run != SEED and rm.hot_share > 0:
         pid = F.when(F.pmod(orderkey, F.lit(100)) < F.lit(int(round(rm.hot_share * 100))), F.lit(rm.hot_provider)).otherwise(natural)
-    return F.format_string("PRV%06d", pid)
+    return padded_id("PRV", pid, 6)
 
 
 def _ctype(orderkey: Column, rm: RoleMap) -> Column:
@@ -108,9 +109,9 @@ def _claim_rows(o: DataFrame, status: Column, rm: RoleMap, run: int) -> DataFram
     charge = F.col("o_totalprice").cast("decimal(12,2)")
     return o.select(
         claim_key(n).alias("claim_id"),
-        F.format_string("MBR%09d", F.col("o_custkey")).alias("member_id"),
+        padded_id("MBR", F.col("o_custkey"), 9).alias("member_id"),
         _provider(F.pmod(n, F.lit(rm.n_providers)) + 1, n, rm, run).alias("provider_id"),
-        F.format_string("PAY%05d", F.pmod(F.col("o_custkey"), F.lit(rm.n_payers)) + 1).alias("payer_id"),
+        padded_id("PAY", F.pmod(F.col("o_custkey"), F.lit(rm.n_payers)) + 1, 5).alias("payer_id"),
         status.alias("claim_status"),
         F.col("o_orderpriority").alias("claim_type"),
         charge.alias("total_charge_amount"),
@@ -172,7 +173,7 @@ def _detail_rows(li: DataFrame, rm: RoleMap, run: int, adjusted: bool) -> DataFr
         detail_key(n, line).alias("claim_detail_id"),
         claim_key(n).alias("claim_id"),
         line.alias("line_number"),
-        F.format_string("PX%06d", F.col("l_partkey")).alias("procedure_code"),
+        padded_id("PX", F.col("l_partkey"), 6).alias("procedure_code"),
         F.col("l_returnflag").alias("revenue_code"),
         F.col("l_linestatus").alias("place_of_service"),
         _provider(F.col("l_suppkey"), n, rm, run).alias("provider_id"),
@@ -228,7 +229,7 @@ def audit_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> Da
     n = F.col("o_orderkey")
     rows = o.select(
         # Derived from claim key + run: audit rows of different runs never collide.
-        F.format_string("AUD%012d-%02d", n, F.lit(run)).alias("claim_audit_id"),
+        padded_id("AUD", n, 12, (F.lit(run), 2)).alias("claim_audit_id"),
         claim_key(n).alias("claim_id"),
         F.col("__event").alias("event_type"),
         ch.pick(ch.EVENT_STATUS, n + run).alias("event_status"),
@@ -250,13 +251,13 @@ def payment_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) ->
         oper = F.lit("U")  # a new payment key: an update of an unknown key inserts
     n = F.col("o_orderkey")
     rows = o.select(
-        F.format_string("PMT%012d-%02d", n, F.lit(run)).alias("payment_id"),
+        padded_id("PMT", n, 12, (F.lit(run), 2)).alias("payment_id"),
         claim_key(n).alias("claim_id"),
-        F.format_string("PAY%05d", F.pmod(F.col("o_custkey"), F.lit(rm.n_payers)) + 1).alias("payer_id"),
+        padded_id("PAY", F.pmod(F.col("o_custkey"), F.lit(rm.n_payers)) + 1, 5).alias("payer_id"),
         ch.pick(ch.PAYMENT_METHODS, n).alias("payment_method"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("payment_amount"),
         F.to_date("o_orderdate").alias("payment_date"),
-        F.format_string("CHK%09d", n).alias("check_number"),
+        padded_id("CHK", n, 9).alias("check_number"),
         F.col("o_orderdate").cast("timestamp").alias("last_updated"),
         n.alias("__n"),
         F.col("o_orderdate").alias("__ts"),
@@ -273,7 +274,7 @@ def attribute_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -
     i = F.col("__i")
     n = F.col("__n")
     out = rows.select(
-        F.format_string("ATR%012d-%d", n, i).alias("claim_attribute_id"),
+        padded_id("ATR", n, 12, (i, 0)).alias("claim_attribute_id"),
         claim_key(n).alias("claim_id"),
         ch.pick(ch.ATTRIBUTE_GROUPS, n + i).alias("attribute_group"),
         ch.pick(ch.ATTRIBUTE_NAMES, n + i).alias("attribute_name"),
@@ -292,7 +293,7 @@ def diagnosis_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -
     j = li.join(part, "l_partkey", "left")
     n, line = F.col("l_orderkey"), F.col("l_linenumber")
     rows = j.select(
-        F.format_string("DX%012d-%d", n, line).alias("claim_diagnosis_id"),
+        padded_id("DX", n, 12, (line, 0)).alias("claim_diagnosis_id"),
         claim_key(n).alias("claim_id"),
         line.alias("diagnosis_seq"),
         F.col("p_brand").alias("diagnosis_code"),
@@ -317,12 +318,12 @@ def provider_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) ->
         s = s.where(F.pmod(k, F.lit(20)) == 0)
         status, oper = F.lit("OUT_OF_NETWORK"), F.lit("U")
     rows = s.select(
-        F.format_string("PRV%06d", k).alias("provider_id"),
-        F.format_string("%010d", k).alias("npi"),
+        padded_id("PRV", k, 6).alias("provider_id"),
+        padded_id("", k, 10).alias("npi"),
         F.col("s_name").alias("provider_name"),
         F.lit(None).cast("string").alias("specialty"),
         status.alias("network_status"),
-        F.format_string("ST%02d", F.col("s_nationkey")).alias("state"),
+        padded_id("ST", F.col("s_nationkey"), 2).alias("state"),
         k.alias("__n"),
     )
     return ch.conform(ch.stamp(rows, oper, _seq(run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["provider"])
@@ -334,13 +335,13 @@ def member_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> D
         c = c.where(F.lit(False))
     k = F.col("c_custkey")
     rows = c.select(
-        F.format_string("MBR%09d", k).alias("member_id"),
+        padded_id("MBR", k, 9).alias("member_id"),
         F.col("c_name").alias("member_name"),
         F.lit(None).cast("date").alias("date_of_birth"),
         F.lit(None).cast("string").alias("gender"),
         F.col("c_mktsegment").alias("plan_id"),
         F.when(F.col("c_acctbal") >= 0, "ACTIVE").otherwise("TERMED").alias("enrollment_status"),
-        F.format_string("ST%02d", F.col("c_nationkey")).alias("state"),
+        padded_id("ST", F.col("c_nationkey"), 2).alias("state"),
         k.alias("__n"),
     )
     return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["member"])
@@ -354,7 +355,7 @@ def payer_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> Da
         j = j.where(F.lit(False))
     k = F.col("n_nationkey")
     rows = j.select(
-        F.format_string("PAY%05d", k + 1).alias("payer_id"),
+        padded_id("PAY", k + 1, 5).alias("payer_id"),
         F.col("n_name").alias("payer_name"),
         F.col("r_name").alias("payer_type"),
         F.lit(None).cast("string").alias("state"),
