@@ -190,28 +190,57 @@ def _detail_rows(li: DataFrame, rm: RoleMap, run: int, adjusted: bool) -> DataFr
 
 
 def detail_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
+    """One run's line changes from a single scan of the lines.
+
+    Seed: every existing line, ``I``. Increment: lines of new claims ``I``,
+    of adjusted claims ``U`` (paid becomes the allowed amount), of reversed
+    claims ``D`` with every payload column a typed NULL.
+    """
     li = _lines(spark, sf_dir, rm)
     spec = CLAIMS["claim_detail"]
     if run == SEED:
         rows = _detail_rows(li.where(_existing(F.col("__ctype"))), rm, run, adjusted=False)
         return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__ord")), F.col("__ts")), spec)
-    inserted = _detail_rows(li.where(F.col("__ctype") == "new"), rm, run, adjusted=False)
-    updated = _detail_rows(li.where(F.col("__ctype") == "adjustment"), rm, run, adjusted=True)
-    rev = li.where(F.col("__ctype") == "reversal")
-    n, line = F.col("l_orderkey"), F.col("l_linenumber")
-    # Key-only delete rows: every other column a typed NULL.
-    deleted = rev.select(
-        detail_key(n, line).alias("claim_detail_id"),
-        claim_key(n).alias("claim_id"),
-        (n * 100 + line).alias("__ord"),
+    ct = F.col("__ctype")
+    touched = li.where(ct.isin("new", "adjustment", "reversal"))
+    rows = touched.select(
+        detail_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("claim_detail_id"),
+        claim_key(F.col("l_orderkey")).alias("claim_id"),
+        *[_line_column(c, rm, run) for c in LINE_PAYLOAD],
+        ct.alias("__ctype"),
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("__ord"),
         F.col("l_shipdate").alias("__ts"),
     )
-    frames = [
-        ch.stamp(inserted, "I", _seq(run, F.col("__ord")), F.col("__ts")),
-        ch.stamp(updated, "U", _seq(run, F.col("__ord")), F.col("__ts")),
-        ch.stamp(deleted, "D", _seq(run, F.col("__ord")), F.col("__ts")),
-    ]
-    return ch.union_changes(frames, spec)
+    oper = F.when(ct == "reversal", F.lit("D")).when(ct == "adjustment", F.lit("U")).otherwise(F.lit("I"))
+    return ch.conform(ch.stamp(rows, oper, _seq(run, F.col("__ord")), F.col("__ts")), spec)
+
+
+LINE_PAYLOAD = [
+    "line_number", "procedure_code", "revenue_code", "place_of_service", "provider_id", "units",
+    "charge_amount", "allowed_amount", "paid_amount", "adjustment_amount", "last_updated",
+]
+
+
+def _line_column(c: str, rm: RoleMap, run: int) -> Column:
+    """Increment value of line column ``c``: NULL on reversal, adjusted amounts on adjustment."""
+    a = _line_amounts()
+    ct = F.col("__ctype")
+    is_del, is_adj = ct == "reversal", ct == "adjustment"
+    n, line = F.col("l_orderkey"), F.col("l_linenumber")
+    base = {
+        "line_number": line,
+        "procedure_code": padded_id("PX", F.col("l_partkey"), 6),
+        "revenue_code": F.col("l_returnflag"),
+        "place_of_service": F.col("l_linestatus"),
+        "provider_id": _provider(F.col("l_suppkey"), n, rm, run),
+        "units": F.col("l_quantity").cast("int"),
+        "charge_amount": a["charge"],
+        "allowed_amount": a["allowed"],
+        "paid_amount": F.when(is_adj, a["allowed"]).otherwise(a["paid"]),
+        "adjustment_amount": F.when(is_adj, (a["allowed"] - a["paid"]).cast("decimal(12,2)")).otherwise(a["adjustment"]),
+        "last_updated": F.col("l_shipdate").cast("timestamp"),
+    }[c]
+    return F.when(is_del, F.lit(None)).otherwise(base).alias(c)
 
 
 # ---------------------------------------------------------------------------

@@ -440,10 +440,14 @@ def flows_live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fold the per-batch state folders into one clustered snapshot; read it as the table."""
-    from .streaming import apply as ap
+    """Seed state compacted into a snapshot; the increment is merged on read (changed keys only)."""
+    from .session import work_dir
+    from .streaming.runner import Runner
 
-    runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "compact")
-    apply = cdc.ApplySpec.for_table(CLAIMS["claim_detail"])
-    snap = ap.compact(spark, runner.root, "claim_detail", apply, f"{runner.root}/snapshots/claim_detail/v1")
-    return cdc.live_rows(spark.read.parquet(snap), apply).select(*_COMPARED_DETAIL)
+    runner = Runner(spark, work_dir(spark, "compact"))
+    runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
+    runner.step(("claim_detail",), with_twin=False)
+    runner.compact(("claim_detail",))
+    runner.land_roles(sf_dir, roles.INCREMENT, tables=("claim_detail",))
+    runner.step(("claim_detail",), with_twin=False)
+    return runner.current("claim_detail").select(*_COMPARED_DETAIL)

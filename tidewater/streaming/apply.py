@@ -7,7 +7,9 @@ state is held in memory between batches, and write cost follows the batch.
 
 Readers resolve the state with the same reduction (``current_state``), which
 never relies on batch order: late, duplicate and out-of-order changes give the
-same table. ``compact`` folds the folders into one clustered snapshot.
+same table. ``compact`` folds the folders into one clustered snapshot; reads
+then merge only the batches after it (``merge_on_read``), so a read shuffles the
+changed keys, not the table.
 """
 
 from __future__ import annotations
@@ -115,18 +117,87 @@ def start_apply(
     )
 
 
-def read_state(spark: SparkSession, root: str, name: str) -> DataFrame:
+def snapshots_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/snapshots/{table}"
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names below ``path`` on the cluster's file system (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[int]:
+    out = []
+    for name in _children(spark, path):
+        if name.startswith(prefix):
+            try:
+                n = int(name[len(prefix):])
+            except ValueError:
+                continue
+            if not committed or "_SUCCESS" in _children(spark, f"{path}/{name}"):
+                out.append(n)
+    return sorted(out)
+
+
+def batch_ids(spark: SparkSession, root: str, name: str) -> list[int]:
+    return _numbered(spark, state_path(root, name), "batch_id=")
+
+
+def latest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
+    """Highest batch id folded into a committed snapshot, if any."""
+    done = _numbered(spark, snapshots_path(root, name), "upto=", committed=True)
+    return done[-1] if done else None
+
+
+def read_state(spark: SparkSession, root: str, name: str, after: int | None = None) -> DataFrame:
+    """Per-batch reduced rows; with ``after``, only batches newer than a snapshot (partition pruning)."""
     df = spark.read.parquet(state_path(root, name))
+    if after is not None:
+        df = df.where(F.col("batch_id") > after)
     return df.drop("batch_id")
 
 
+BROADCAST_KEY_LIMIT = 1_000_000
+
+
+def merge_on_read(base: DataFrame, delta: DataFrame, apply: cdc.ApplySpec, broadcast_key_limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
+    """``reduce(base union delta)`` where ``base`` already holds one row per key.
+
+    Only keys present in the delta are re-reduced; the rest of the snapshot
+    passes through an anti join. The delta's key set is counted first and
+    broadcast only under ``broadcast_key_limit`` rows, so the snapshot is never
+    shuffled for a small delta; a large delta falls back to a shuffled join.
+    """
+    keys = list(apply.keys)
+    d = cdc.reduce_changes(delta, apply)
+    touched = d.select(*keys)
+    n = touched.count()
+    k = F.broadcast(touched) if n <= broadcast_key_limit else touched
+    untouched = base.join(k, keys, "left_anti")
+    old = base.join(k, keys, "left_semi")
+    merged = cdc.reduce_changes(old.unionByName(d, allowMissingColumns=True), apply)
+    return untouched.unionByName(merged.select(*base.columns))
+
+
 def reduced_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec) -> DataFrame:
-    """Per-key winners across all batch folders, tombstones included."""
-    return cdc.reduce_changes(read_state(spark, root, name), apply)
+    """Per-key winners (tombstones included): latest snapshot merged with later batches."""
+    snap = latest_snapshot(spark, root, name)
+    if snap is None:
+        return cdc.reduce_changes(read_state(spark, root, name), apply)
+    base = spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}")
+    newer = [b for b in batch_ids(spark, root, name) if b > snap]
+    if not newer:
+        return base
+    return merge_on_read(base, read_state(spark, root, name, after=snap), apply)
 
 
 def current_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec) -> DataFrame:
-    """The live SCD1 table: reduce every batch folder again, drop tombstones."""
+    """The live SCD1 table: snapshot + newer batches, reduced per key, tombstones dropped."""
     return cdc.live_rows(reduced_state(spark, root, name, apply), apply)
 
 
@@ -134,14 +205,22 @@ def current_state_of(spark: SparkSession, root: str, spec: TableSpec) -> DataFra
     return current_state(spark, root, spec.name, cdc.ApplySpec.for_table(spec))
 
 
-def compact(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, out: str, cluster_by=()) -> str:
-    """Fold all batch folders into one snapshot at ``out`` (tombstones kept).
+def compact(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, cluster_by=()) -> str | None:
+    """Fold the state into a new snapshot ``snapshots/<t>/upto=N`` (tombstones kept).
 
-    The snapshot is written to a new folder; readers switch to it (and to the
-    batches after it) once the write has committed. Clustering on the key
-    keeps later keyed reads to few row groups.
+    Written to a new folder and committed by its ``_SUCCESS`` marker; readers
+    switch to it only then, and ignore the batch folders it covers. Clustering
+    on the key keeps keyed reads and later merges to few row groups.
     """
+    ids = batch_ids(spark, root, name)
+    if not ids:
+        return None
+    upto = ids[-1]
+    snap = latest_snapshot(spark, root, name)
+    if snap is not None and snap >= upto:
+        return f"{snapshots_path(root, name)}/upto={snap}"
     reduced = reduced_state(spark, root, name, apply)
+    out = f"{snapshots_path(root, name)}/upto={upto}"
     return write_table(reduced, out, cluster_by=list(cluster_by or apply.keys))
 
 

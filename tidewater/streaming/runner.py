@@ -68,6 +68,15 @@ class Runner:
         if with_twin and "claim_detail" in tables:
             self.twin()
 
+    def compact(self, tables: Iterable[str] | None = None) -> dict[str, str | None]:
+        """Fold each table's state folders into a new snapshot (tombstones kept)."""
+        from ..operators import cdc
+
+        return {
+            t: ap.compact(self.spark, self.root, t, cdc.ApplySpec.for_table(self.registry[t]), self.registry[t].layout_columns)
+            for t in (tables or self.registry)
+        }
+
     # reads -----------------------------------------------------------------
     def current(self, table: str) -> DataFrame:
         return ap.current_state_of(self.spark, self.root, self.registry[table])
