@@ -361,3 +361,8 @@ UNION ALL SELECT 'member', count(*) FROM customer
 UNION ALL SELECT 'payer', count(*) FROM nation""",
     "cdc_compact_lines": _with(DETAIL_LOG) + f"\nSELECT {DETAIL_COMPARED} FROM detail_cur",
 })
+
+ORACLE["control_runs"] = f"""
+SELECT max(o_orderkey) AS max_claim_n, CAST({2 * SEQ_STEP} AS BIGINT) AS seq_base, CAST(1 AS BIGINT) AS run_index,
+       count(*) AS live_claims
+FROM orders"""

@@ -50,6 +50,9 @@ class RoleMap:
     n_providers: int = 100
     hot_share: float = 0.0  # share of the increment's claims on one provider
     hot_provider: int = 1
+    # Bucket by xxhash64 of the key instead of the key itself: uniform for any
+    # key range and bucket count (the plain modulo is what SQL oracles repeat).
+    hashed_buckets: bool = False
 
 
 SEED, INCREMENT = 0, 1
@@ -72,7 +75,8 @@ def _provider(natural: Column, orderkey: Column, rm: RoleMap, run: int) -> Colum
 
 
 def _ctype(orderkey: Column, rm: RoleMap) -> Column:
-    return ch.change_type(F.pmod(orderkey, F.lit(rm.n_buckets)), rm.mix, rm.n_buckets, rm.touched)
+    b = F.pmod(F.xxhash64(orderkey) if rm.hashed_buckets else orderkey, F.lit(rm.n_buckets))
+    return ch.change_type(b, rm.mix, rm.n_buckets, rm.touched)
 
 
 def _status(ctype: Column) -> Column:

@@ -451,3 +451,19 @@ def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.land_roles(sf_dir, roles.INCREMENT, tables=("claim_detail",))
     runner.step(("claim_detail",), with_twin=False)
     return runner.current("claim_detail").select(*_COMPARED_DETAIL)
+
+
+@register
+def control_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs landed through the control row: high-water mark, next sequence base, run index."""
+    from .session import work_dir
+    from .sources.control import CONTROL_SCHEMA, control_path
+    from .streaming.runner import Runner
+
+    runner = Runner(spark, work_dir(spark, "control"))
+    for _ in (roles.SEED, roles.INCREMENT):
+        runner.land_next_run(sf_dir, tables=("claim", "claim_detail"))
+    runner.step(("claim", "claim_detail"), with_twin=False)
+    latest = spark.read.schema(CONTROL_SCHEMA).parquet(f"{control_path(runner.root)}/v=1")
+    live = runner.current("claim").count()  # a scalar, not rows
+    return latest.select("max_claim_n", "seq_base", "run_index", F.lit(live).cast("bigint").alias("live_claims"))

@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Independent table flows run side by side; FAIR keeps one from starving the rest.
+        .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g"))
     )
     for k, v in DEFAULT_CONF.items():

@@ -7,6 +7,7 @@ see a half-written table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,37 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema: StructType | str | None = None) -> DataFrame:
+# Inputs estimated below this size are spread over all cores after the scan.
+FAN_OUT_BYTES = int(os.environ.get("TIDEWATER_FAN_OUT_BYTES", str(256 * 1024 * 1024)))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes for a scan); no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES) -> DataFrame:
+    """Round-robin a *small* input over the default parallelism.
+
+    A small file with one row group is a single scan task, and every narrow
+    step after it (id formatting, casts, partial aggregation) would run in
+    that one task. Below ``max_bytes`` a round-robin shuffle costs little and
+    lets all cores work; above it the input already has many splits and is
+    left alone, so a large table is never reshuffled for this.
+    """
+    if estimated_bytes(df) >= max_bytes:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def read_table(
+    spark: SparkSession, root: str, name: str, schema: StructType | str | None = None, spread_small: bool = True
+) -> DataFrame:
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(table_path(root, name))
+    df = reader.parquet(table_path(root, name))
+    return fan_out(df) if spread_small else df
 
 
 def write_table(

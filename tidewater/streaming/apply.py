@@ -16,8 +16,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,25 +53,43 @@ def apply_batch(
     rules=(),
     delete_when: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Process one micro-batch of changes into ``state/<name>/batch_id=N``."""
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if rules:
-            q = quality.check(batch, rules, delete_when)
-            q.metrics.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-                _batch_dir(metrics_path(root, name), batch_id)
+) -> dict[str, int]:
+    """Process one micro-batch of changes into ``state/<name>/batch_id=N``.
+
+    Rule counts are observed while the state is written (``observe``: no extra
+    pass over the batch); rejects are written only when a drop rule removed
+    rows. Returns the failure count per rule.
+    """
+    spark = batch.sparkSession
+    rules = list(rules)
+    drops = [r for r in rules if r.action == "drop"]
+    obs = None
+    source = batch
+    if rules:
+        obs = Observation(f"rules_{name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+        source = batch.observe(obs, *[F.count_if(quality.failed(r, delete_when)).alias(f"r{i}") for i, r in enumerate(rules)])
+    kept = source
+    if drops:
+        any_drop = F.lit(False)
+        for r in drops:
+            any_drop = any_drop | quality.failed(r, delete_when)
+        kept = source.where(~any_drop)
+    if transform is not None:
+        kept = transform(kept)
+    cdc.reduce_changes(kept, apply).write.mode("overwrite").parquet(_batch_dir(state_path(root, name), batch_id))
+    counts: dict[str, int] = {}
+    if rules:
+        got = obs.get
+        counts = {r.name: int(got.get(f"r{i}") or 0) for i, r in enumerate(rules)}
+        rows = [(r.name, r.action, counts[r.name], int(batch_id)) for r in rules]
+        spark.createDataFrame(rows, "rule string, action string, failed_rows bigint, batch_id bigint").coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(_batch_dir(metrics_path(root, name), batch_id))
+        if any(counts[r.name] for r in drops):
+            quality.check(batch, rules, delete_when).rejects.write.mode("overwrite").parquet(
+                _batch_dir(rejects_path(root, name), batch_id)
             )
-            q.rejects.write.mode("overwrite").parquet(_batch_dir(rejects_path(root, name), batch_id))
-            kept = q.kept
-        else:
-            kept = batch
-        if transform is not None:
-            kept = transform(kept)
-        reduced = cdc.reduce_changes(kept, apply)
-        reduced.write.mode("overwrite").parquet(_batch_dir(state_path(root, name), batch_id))
-    finally:
-        batch.unpersist()
+    return counts
 
 
 def start_silver(
@@ -205,6 +224,34 @@ def current_state_of(spark: SparkSession, root: str, spec: TableSpec) -> DataFra
     return current_state(spark, root, spec.name, cdc.ApplySpec.for_table(spec))
 
 
+def _size_checked(keys: DataFrame, limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
+    keys = keys.distinct()
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
+def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame) -> DataFrame:
+    """Current rows of the given keys only: the key filter runs *before* the reduction.
+
+    Because the reduction is per key, filtering the snapshot and the batch
+    folders to ``keys`` first gives the same rows as filtering the full table
+    afterwards, while shuffling only the requested keys' changes.
+    """
+    kcols = list(apply.keys)
+    k = _size_checked(keys.select(*kcols))
+    snap = latest_snapshot(spark, root, name)
+    parts = []
+    if snap is not None:
+        parts.append(spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}").join(k, kcols, "left_semi"))
+    if any(snap is None or b > snap for b in batch_ids(spark, root, name)):
+        parts.append(read_state(spark, root, name, after=snap).join(k, kcols, "left_semi"))
+    if not parts:
+        return None
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return cdc.live_rows(cdc.reduce_changes(rows, apply), apply)
+
+
 def compact(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, cluster_by=()) -> str | None:
     """Fold the state into a new snapshot ``snapshots/<t>/upto=N`` (tombstones kept).
 
@@ -230,5 +277,8 @@ def rule_counts(spark: SparkSession, root: str, name: str) -> DataFrame:
     return m.groupBy("rule", "action").agg(F.sum("failed_rows").cast("bigint").alias("failed_rows"))
 
 
-def read_rejects(spark: SparkSession, root: str, name: str) -> DataFrame:
+def read_rejects(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """Rows removed by drop rules, with the failed rule names (None if no batch dropped any)."""
+    if not _children(spark, rejects_path(root, name)):
+        return None
     return spark.read.parquet(rejects_path(root, name)).drop("batch_id")

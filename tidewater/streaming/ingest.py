@@ -32,8 +32,14 @@ def checkpoint_path(root: str, flow: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/{flow}"
 
 
-def land(df: DataFrame, root: str, table: str, label: str) -> str:
-    """Append one run's change rows as parquet below its label folder."""
+def land(df: DataFrame, root: str, table: str, label: str, num_files: int | None = None) -> str:
+    """Append one run's change rows as parquet below its label folder.
+
+    ``num_files`` sizes the output (round-robin ``repartition``) so a large run
+    lands as evenly sized files for the stream to pick up.
+    """
+    if num_files:
+        df = df.repartition(num_files)
     return append_table(df, landing_path(root, table, label))
 
 

@@ -50,6 +50,30 @@ class Runner:
             self.land(t, roles.changes(self.spark, sf_dir, t, run, rm), label)
         return label
 
+    def land_next_run(self, sf_dir: str, rm: roles.RoleMap | None = None, tables: Iterable[str] | None = None) -> int:
+        """Land the run after the one in the control row, then advance the control row.
+
+        Each table's files go to a label folder written by overwrite, so a rerun
+        after a crash (control not yet advanced) replaces its own partial landing;
+        the control row moves only once every table has landed.
+        """
+        from pyspark.sql import functions as F
+
+        from ..plans.changes import SEQ_STEP
+        from ..sources.control import advance_control, read_control
+
+        c = read_control(self.spark, self.root)
+        run = 0 if c is None else int(c["run_index"]) + 1
+        label = "seed" if run == roles.SEED else f"incr{run:04d}"
+        high = 0 if c is None else int(c["max_claim_n"])
+        for t in tables or self.registry:
+            df = roles.changes(self.spark, sf_dir, t, run, rm)
+            df.write.mode("overwrite").parquet(ingest.landing_path(self.root, t, label))
+        claims = roles.changes(self.spark, sf_dir, "claim", run, rm)
+        n = claims.agg(F.max(F.regexp_extract("claim_id", r"(\d+)$", 1).cast("bigint"))).head()[0]
+        advance_control(self.spark, self.root, max(high, int(n or 0)), (run + 1) * SEQ_STEP, run)
+        return run
+
     # layers ----------------------------------------------------------------
     def ingest(self, tables: Iterable[str] | None = None, rescue: bool = False) -> None:
         await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], rescue=rescue) for t in (tables or self.registry))
