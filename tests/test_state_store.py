@@ -71,3 +71,20 @@ def test_fan_out_only_small_inputs(spark):
     assert fan_out(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     big = spark.range(100).withColumn("x", F.lit(1))
     assert fan_out(big, max_bytes=0).rdd.getNumPartitions() == big.rdd.getNumPartitions()
+
+
+def test_runner_compacts_by_change_ratio(spark):
+    from tidewater.streaming.runner import Runner
+
+    r = Runner(spark, work_dir(spark, "test-strategy"))
+    r.land("claim", headers(spark, [(f"C{i}", "PAID", Decimal("1.00"), "I", 1, TS) for i in range(100)]), "seed")
+    r.step(("claim",), with_twin=False)
+    assert r.maybe_compact(("claim",)) == {"claim": "full"}  # first snapshot
+    r.land("claim", headers(spark, [("C1", "DENIED", Decimal("1.00"), "U", 2, TS)]), "incr0001")
+    r.step(("claim",), with_twin=False)
+    assert r.refresh_strategy("claim") == "incremental"  # 1% changed: keep merging on read
+    r.land("claim", headers(spark, [(f"C{i}", "DENIED", Decimal("1.00"), "U", 3, TS) for i in range(40)]), "incr0002")
+    r.step(("claim",), with_twin=False)
+    assert r.maybe_compact(("claim",)) == {"claim": "full"}
+    assert ap.latest_snapshot(spark, r.root, "claim") == 2
+    assert sum(1 for x in r.current("claim").collect() if x["claim_status"] == "DENIED") == 40

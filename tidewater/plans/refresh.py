@@ -25,13 +25,6 @@ from . import gold
 DEFAULT_FULL_REFRESH_RATIO = 0.20
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def touched_groups(changed_keys: DataFrame, key: str, before: DataFrame, after: DataFrame, group_keys: Sequence[str]) -> DataFrame:
     """Distinct group keys of changed entities, before and after the change."""
     gk = list(group_keys)
@@ -40,28 +33,30 @@ def touched_groups(changed_keys: DataFrame, key: str, before: DataFrame, after:
     return old.unionByName(new).distinct()
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & left[k].eqNullSafe(right[f"{prefix}{k}"])
+    return cond
+
+
 def refresh_touched_groups(
     previous: DataFrame,
     touched: DataFrame,
-    source_after: DataFrame,
+    rows_after: DataFrame,
     group_keys: Sequence[str],
     aggregate: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """Previous rollup with the touched groups recomputed from ``source_after``."""
+    """``previous`` rollup with the ``touched`` groups recomputed from ``rows_after``.
+
+    ``rows_after`` are the rollup's input rows as of now (any superset of the
+    touched groups' rows); group keys match null-safely.
+    """
     gk = list(group_keys)
     t = touched.select(*[F.col(k).alias(f"__t_{k}") for k in gk])
-    t_cols = {k: f"__t_{k}" for k in gk}
-
-    def _on(df: DataFrame) -> Column:
-        cond = F.lit(True)
-        for k in gk:
-            cond = cond & df[k].eqNullSafe(t[t_cols[k]])
-        return cond
-
-    keep = previous.join(t, _on(previous), "left_anti")
-    rows = source_after.join(t, _on(source_after), "left_semi")
-    recomputed = aggregate(rows)
-    return keep.unionByName(recomputed.select(*previous.columns))
+    keep = previous.join(t, _null_safe(previous, t, gk, "__t_"), "left_anti")
+    rows = rows_after.join(t, _null_safe(rows_after, t, gk, "__t_"), "left_semi")
+    return keep.unionByName(aggregate(rows).select(*previous.columns))
 
 
 def refresh_daily(
@@ -71,29 +66,24 @@ def refresh_daily(
     detail_after: DataFrame,
     changed_claims: DataFrame,
 ) -> DataFrame:
-    """Daily KPIs refreshed for the groups touched by ``changed_claims`` only."""
+    """Daily KPIs refreshed for the groups touched by ``changed_claims`` only.
+
+    The header fact is rebuilt only for claims in touched groups (lines are cut
+    to those claims before the aggregate), then rolled up.
+    """
     keys = gold.DAILY_KEYS
-    before = header_before.select("claim_id", F.col("service_from_date").alias("service_date_key"), "payer_id", "provider_id")
-    after = header_after.select("claim_id", F.col("service_from_date").alias("service_date_key"), "payer_id", "provider_id")
-    touched = touched_groups(changed_claims, "claim_id", before, after, keys)
-    # Facts only for claims in touched groups: lines are cut to those claims first.
-    t = touched.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & after[k].eqNullSafe(t[f"__t_{k}"])
-    claims_in_touched = after.join(t, cond, "left_semi").select("claim_id")
-    header_t = header_after.join(claims_in_touched, "claim_id", "left_semi")
-    detail_t = detail_after.join(claims_in_touched, "claim_id", "left_semi")
-    recomputed = gold.daily_kpis(gold.fact_claim(header_t, detail_t))
-    keep = previous.join(t, _null_safe_prev(previous, t, keys), "left_anti")
-    return keep.unionByName(recomputed.select(*previous.columns))
 
+    def group_cols(h: DataFrame) -> DataFrame:
+        return h.select("claim_id", F.col("service_from_date").alias("service_date_key"), "payer_id", "provider_id")
 
-def _null_safe_prev(previous: DataFrame, t: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & previous[k].eqNullSafe(t[f"__t_{k}"])
-    return cond
+    touched = touched_groups(changed_claims, "claim_id", group_cols(header_before), group_cols(header_after), keys)
+    t = touched.select(*[F.col(k).alias(f"__t_{k}") for k in keys])
+    after = group_cols(header_after)
+    claims = after.join(t, _null_safe(after, t, keys, "__t_"), "left_semi").select("claim_id")
+    fact = gold.fact_claim(
+        header_after.join(claims, "claim_id", "left_semi"), detail_after.join(claims, "claim_id", "left_semi")
+    )
+    return refresh_touched_groups(previous, touched, fact, keys, gold.daily_kpis)
 
 
 def change_ratio(changes: DataFrame, base: DataFrame) -> DataFrame:

@@ -101,6 +101,32 @@ class Runner:
             for t in (tables or self.registry)
         }
 
+    def refresh_strategy(self, table: str, threshold: float | None = None) -> str:
+        """``full`` (compact now) or ``incremental`` (keep merging on read), by change ratio.
+
+        Changes are the reduced rows written since the last snapshot; the base
+        is the snapshot (or, before the first one, the whole state).
+        """
+        from ..plans.refresh import DEFAULT_FULL_REFRESH_RATIO, decide
+
+        snap = ap.latest_snapshot(self.spark, self.root, table)
+        if snap is None:
+            return "full"
+        base = self.spark.read.parquet(f"{ap.snapshots_path(self.root, table)}/upto={snap}").count()
+        newer = [b for b in ap.batch_ids(self.spark, self.root, table) if b > snap]
+        changed = ap.read_state(self.spark, self.root, table, after=snap).count() if newer else 0
+        return decide(changed, base, DEFAULT_FULL_REFRESH_RATIO if threshold is None else threshold)
+
+    def maybe_compact(self, tables: Iterable[str] | None = None, threshold: float | None = None) -> dict[str, str]:
+        """Compact the tables whose change ratio since the last snapshot calls for it."""
+        out = {}
+        for t in tables or self.registry:
+            strategy = self.refresh_strategy(t, threshold)
+            if strategy == "full":
+                self.compact([t])
+            out[t] = strategy
+        return out
+
     # reads -----------------------------------------------------------------
     def current(self, table: str) -> DataFrame:
         return ap.current_state_of(self.spark, self.root, self.registry[table])
