@@ -92,3 +92,18 @@ def test_rescue_keeps_mistyped_and_extra_columns(spark):
     assert got["C1"] == (Decimal("1.00"), None)
     assert got["C2"] == (None, '{"total_charge_amount":"lots","channel":"fax"}')
     assert got["C3"] == (Decimal("3.00"), '{"channel":"fax"}')
+
+
+def test_publish_gold_versions(spark):
+    r = Runner(spark, work_dir(spark, "test-gold"))
+    d = date(2024, 1, 5)
+    r.land("claim", header_rows(spark, [("C1", "PAID", Decimal("10.00"), d, "I", 1, TS)]), "seed")
+    r.land("claim_detail", line_rows(spark, [("C1-1", "C1", Decimal("5.00"), "I", 1, TS)]), "seed")
+    r.step(("claim", "claim_detail"), with_twin=False)
+    v0 = r.publish_gold(names=["fact_claim", "agg_claims_daily"])
+    r.land("claim", header_rows(spark, [("C1", "REVERSED", Decimal("10.00"), d, "U", 2, TS)]), "incr0001")
+    r.step(("claim", "claim_detail"), with_twin=False)
+    v1 = r.publish_gold(names=["fact_claim", "agg_claims_daily"])
+    assert (v0, v1) == (0, 1)
+    assert [x["claim_status"] for x in r.read_gold("fact_claim").collect()] == ["REVERSED"]
+    assert r.read_gold("agg_claims_daily").first()["reversal_rate"] == 1.0

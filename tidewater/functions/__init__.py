@@ -2,15 +2,12 @@
 
 from .columns import (  # noqa: F401
     col_of,
-    domain_pick,
     hot_assign,
     key_bucket,
     oper_rank,
     pad,
     padded_id,
     rate,
-    round_half_up,
     safe_divide,
     typed_nulls,
-    zero_padded,
 )

@@ -1,9 +1,9 @@
 """Column-expression helpers. Every helper returns a Catalyst ``Column``: no UDFs.
 
 These are the scalar building blocks the layers share: guarded division,
-typed NULL columns, deterministic domain draws from a key (in place of seeded
-``rand``), hot-key assignment, zero-padded ids and the change-operation rank
-used in tie-breaks.
+typed NULL columns, deterministic key buckets (in place of seeded ``rand``),
+hot-key assignment, zero-padded ids and the change-operation rank used in
+tie-breaks.
 """
 
 from __future__ import annotations
@@ -31,18 +31,6 @@ def typed_nulls(columns: Sequence[tuple[str, str]]) -> list[Column]:
     return [F.lit(None).cast(t).alias(c) for c, t in columns]
 
 
-def zero_padded(prefix: str, width: int, *nums: str | Column, sep: str = "-", widths: Sequence[int] = ()) -> Column:
-    """``prefix`` + first number zero-padded to ``width`` (+ further numbers).
-
-    ``zero_padded('CLM', 12, 'n')`` -> CLM000000000042;
-    ``zero_padded('CLM', 12, 'n', 'line', widths=[2])`` -> CLM000000000042-03.
-    """
-    fmt = f"{prefix}%0{width}d"
-    for w in list(widths) + [0] * (len(nums) - 1 - len(widths)):
-        fmt += sep + (f"%0{w}d" if w else "%d")
-    return F.format_string(fmt, *[col_of(n) for n in nums])
-
-
 def pad(num: str | Column, width: int) -> Column:
     """Decimal text of a non-negative integer, zero-padded to ``width`` (never cut).
 
@@ -70,20 +58,15 @@ def key_bucket(key: str | Column, n: int, salt: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), col_of(key)), F.lit(n))
 
 
-def domain_pick(key: str | Column, options: Sequence[str], salt: int = 0) -> Column:
-    """One value of ``options`` chosen uniformly by a single hash draw of the key."""
-    arr = F.array(*[F.lit(o) for o in options])
-    return F.element_at(arr, (key_bucket(key, len(options), salt) + 1).cast("int"))
+def hot_assign(bucket: Column, hot_buckets: int, hot_value: Column, other: Column) -> Column:
+    """Send rows whose deterministic ``bucket`` is below ``hot_buckets`` to one value.
 
-
-def hot_assign(bucket_01: Column, hot_share: float, hot_value: Column, other: Column) -> Column:
-    """Send a ``hot_share`` fraction of rows to one value, the rest to ``other``.
-
-    ``bucket_01`` is a deterministic number in [0, 1) derived from the row key.
+    With buckets ``0..99`` and ``hot_buckets=80``, 80% of keys land on the hot
+    value, every run and every executor alike.
     """
-    if hot_share <= 0:
+    if hot_buckets <= 0:
         return other
-    return F.when(bucket_01 < F.lit(hot_share), hot_value).otherwise(other)
+    return F.when(bucket < F.lit(hot_buckets), hot_value).otherwise(other)
 
 
 def oper_rank(oper: str | Column = OPER_COL) -> Column:
@@ -92,10 +75,6 @@ def oper_rank(oper: str | Column = OPER_COL) -> Column:
     return F.when(o == "D", 3).when(o == "U", 2).when(o == "I", 1).otherwise(0)
 
 
-def round_half_up(c: str | Column, scale: int) -> Column:
-    return F.round(col_of(c), scale)
-
-
 def rate(flag: Column, denominator: Column, scale: int = 4) -> Column:
     """Rounded share of rows where ``flag`` holds: sum(flag)/denominator."""
     return F.round(F.sum(F.when(flag, 1).otherwise(0)) / denominator, scale)

@@ -127,15 +127,6 @@ def tombstones(changes: DataFrame, spec: ApplySpec, order_alias: Sequence[str] =
     return reduced.where(F.col(DELETED_COL)).select(*cols)
 
 
-def merge_into(current_reduced: DataFrame, batch: DataFrame, spec: ApplySpec) -> DataFrame:
-    """Fold a batch of changes into an already reduced log (tombstones kept).
-
-    Equal to ``reduce_changes(union)``; written as a union so Catalyst plans a
-    single aggregate whose partial phase runs before the shuffle.
-    """
-    return reduce_changes(current_reduced.unionByName(batch, allowMissingColumns=True), spec)
-
-
 # ---------------------------------------------------------------------------
 # SCD2 history
 # ---------------------------------------------------------------------------

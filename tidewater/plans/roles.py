@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import padded_id
+from ..functions.columns import hot_assign, key_bucket, padded_id
 from ..operators.cdc import ApplySpec
 from ..sources.tables import read_table
 from ..specs import CLAIMS
@@ -69,13 +69,13 @@ def detail_key(n: Column, line: Column) -> Column:
 def _provider(natural: Column, orderkey: Column, rm: RoleMap, run: int) -> Column:
     """Provider id; in an increment a ``hot_share`` of claims go to one provider."""
     pid = natural
-    if run != SEED and rm.hot_share > 0:
-        pid = F.when(F.pmod(orderkey, F.lit(100)) < F.lit(int(round(rm.hot_share * 100))), F.lit(rm.hot_provider)).otherwise(natural)
+    if run != SEED:
+        pid = hot_assign(F.pmod(orderkey, F.lit(100)), int(round(rm.hot_share * 100)), F.lit(rm.hot_provider), natural)
     return padded_id("PRV", pid, 6)
 
 
 def _ctype(orderkey: Column, rm: RoleMap) -> Column:
-    b = F.pmod(F.xxhash64(orderkey) if rm.hashed_buckets else orderkey, F.lit(rm.n_buckets))
+    b = key_bucket(orderkey, rm.n_buckets) if rm.hashed_buckets else F.pmod(orderkey, F.lit(rm.n_buckets))
     return ch.change_type(b, rm.mix, rm.n_buckets, rm.touched)
 
 

@@ -75,11 +75,17 @@ class Runner:
         return run
 
     # layers ----------------------------------------------------------------
+    def _with_files(self, tables: Iterable[str] | None, folder) -> list[str]:
+        """Tables that have something in ``folder(root, table)`` (others are skipped)."""
+        return [t for t in (tables or self.registry) if ap._children(self.spark, folder(self.root, t))]
+
     def ingest(self, tables: Iterable[str] | None = None, rescue: bool = False) -> None:
-        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], rescue=rescue) for t in (tables or self.registry))
+        todo = self._with_files(tables, ingest.landing_path)
+        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], rescue=rescue) for t in todo)
 
     def apply(self, tables: Iterable[str] | None = None) -> None:
-        await_all(ap.start_silver(self.spark, self.root, self.registry[t]) for t in (tables or self.registry))
+        todo = self._with_files(tables, ingest.bronze_path)
+        await_all(ap.start_silver(self.spark, self.root, self.registry[t]) for t in todo)
 
     def twin(self) -> None:
         await_all([twin.start_twin(self.spark, self.root)])
@@ -138,5 +144,44 @@ class Runner:
         return twin.read_twin(self.spark, self.root)
 
     def gold(self, calendar=("1995-01-01", "2001-12-31")) -> dict[str, DataFrame]:
-        current = {t: self.current(t) for t in ("claim", "claim_detail", "claim_diagnosis", "provider", "member", "payer")}
+        """Gold datasets over current state; a table with no state yet is empty."""
+        current = {}
+        for t in ("claim", "claim_detail", "claim_diagnosis", "provider", "member", "payer"):
+            if ap.batch_ids(self.spark, self.root, t):
+                current[t] = self.current(t)
+            else:
+                current[t] = self.spark.createDataFrame([], self.registry[t].business_schema())
         return layers.gold_datasets(self.spark, current, calendar)
+
+    # gold sink -------------------------------------------------------------
+    GOLD_LAYOUT = {
+        "dim_provider": ("provider_id",),
+        "dim_member": ("member_id",),
+        "fact_claim_line": ("claim_id",),
+        "fact_claim": ("claim_id",),
+    }
+
+    def gold_path(self, name: str) -> str:
+        return f"{self.root}/gold/{name}"
+
+    def publish_gold(self, calendar=("1995-01-01", "2001-12-31"), names: Iterable[str] | None = None) -> int:
+        """Full refresh: write every gold dataset as a new version ``gold/<name>/v=N``.
+
+        Readers switch to a version once its ``_SUCCESS`` marker exists, so a
+        failed refresh leaves the previous version in place. Returns N.
+        """
+        from ..sources.tables import write_table
+
+        datasets = self.gold(calendar)
+        todo = list(names or datasets)
+        done = [ap._numbered(self.spark, self.gold_path(n), "v=", committed=True) for n in todo]
+        version = max([v[-1] for v in done if v], default=-1) + 1
+        for n in todo:
+            write_table(datasets[n], f"{self.gold_path(n)}/v={version}", cluster_by=self.GOLD_LAYOUT.get(n, ()))
+        return version
+
+    def read_gold(self, name: str) -> DataFrame:
+        versions = ap._numbered(self.spark, self.gold_path(name), "v=", committed=True)
+        if not versions:
+            raise FileNotFoundError(f"no committed version of gold dataset {name!r}")
+        return self.spark.read.parquet(f"{self.gold_path(name)}/v={versions[-1]}")
