@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import typed_nulls
 from ..specs import CLAIMS, OPER_COL, SEQ_COL, TS_COL, TableSpec
 
 CHANGE_TYPES = ("new", "header_only", "adjustment", "reversal")
@@ -110,10 +111,10 @@ def stamp(df: DataFrame, oper: str | Column, seq: Column, ts: Column) -> DataFra
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Select and cast to the registry's declared columns (missing ones typed NULL)."""
-    cols = []
-    for c, t in list(spec.columns) + [(OPER_COL, "STRING"), (SEQ_COL, "BIGINT"), (TS_COL, "TIMESTAMP")]:
-        cols.append((F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c))
-    return df.select(*cols)
+    declared = list(spec.columns) + [(OPER_COL, "STRING"), (SEQ_COL, "BIGINT"), (TS_COL, "TIMESTAMP")]
+    missing = [(c, t) for c, t in declared if c not in df.columns]
+    nulls = {c: null for (c, _), null in zip(missing, typed_nulls(missing))}
+    return df.select(*[nulls[c] if c in nulls else F.col(c).cast(t).alias(c) for c, t in declared])
 
 
 def union_changes(frames: list[DataFrame], spec: TableSpec | None = None) -> DataFrame:
