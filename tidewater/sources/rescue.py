@@ -18,6 +18,7 @@ only: file contents are not read), then reads them in ``foreachBatch``.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,13 +30,43 @@ from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
 
 
 def group_by_schema(spark: SparkSession, paths: Iterable[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by their footer schema (footers only; no data read)."""
-    groups: dict[str, tuple[StructType, list[str]]] = {}
-    for p in paths:
-        schema = spark.read.parquet(p).schema
-        key = schema.json()
-        groups.setdefault(key, (schema, []))[1].append(p)
-    return list(groups.values())
+    """Files grouped by their footer schema (footers only; no data read).
+
+    Footers are read in parallel on executors; only (path, footer text) pairs
+    come back, one per file of the trigger. Each distinct footer is then
+    resolved to a Spark schema once, from one of its files.
+    """
+    paths = list(paths)
+
+    def footer_schemas(batches):
+        # Runs on executors; defined here so it ships by value (no package import there).
+        import pandas as pd
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            out = []
+            for path in pdf["path"]:
+                fs, p = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                with fs.open_input_file(p) as f:
+                    out.append(pq.read_schema(f).to_string(show_field_metadata=False, show_schema_metadata=False))
+            yield pd.DataFrame({"path": pdf["path"], "footer": out})
+
+    try:
+        listing = spark.createDataFrame([(p,) for p in paths], "path string")
+        n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
+        pairs = listing.repartition(n).mapInPandas(footer_schemas, "path string, footer string").collect()
+        by_footer: dict[str, list[str]] = {}
+        for r in pairs:
+            by_footer.setdefault(r["footer"], []).append(r["path"])
+        return [(spark.read.parquet(files[0]).schema, files) for files in by_footer.values()]
+    except Exception as e:  # noqa: BLE001 - a file system pyarrow cannot open: read footers here
+        warnings.warn(f"footers read on the driver ({type(e).__name__}: {str(e)[:200]})", stacklevel=2)
+        groups: dict[str, tuple[StructType, list[str]]] = {}
+        for p in paths:
+            schema = spark.read.parquet(p).schema
+            groups.setdefault(schema.json(), (schema, []))[1].append(p)
+        return list(groups.values())
 
 
 def conform(df: DataFrame, declared: StructType) -> DataFrame:

@@ -48,6 +48,17 @@ def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES) -> DataFrame:
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+def files_for(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    """Output file count for ``df``: its estimated size over ``target_bytes``,
+    at least the shuffle-partition count (so small tables still write in parallel)."""
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    est = estimated_bytes(df)
+    return max(floor, min(est // target_bytes + 1, 1_000_000))
+
+
 def read_table(
     spark: SparkSession, root: str, name: str, schema: StructType | str | None = None, spread_small: bool = True
 ) -> DataFrame:
@@ -73,7 +84,7 @@ def write_table(
     """
     out = df
     if cluster_by:
-        n = num_files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = num_files or files_for(df)
         out = out.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
     writer = out.write.mode(mode)
     if partition_by:
