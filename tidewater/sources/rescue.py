@@ -47,7 +47,12 @@ def group_by_schema(spark: SparkSession, paths: Iterable[str]) -> list[tuple[Str
         for pdf in batches:
             out = []
             for path in pdf["path"]:
-                fs, p = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                uri = path
+                if uri.startswith("file:") and not uri.startswith("file://"):
+                    uri = "file://" + uri[len("file:"):]  # Hadoop's file:/x form
+                elif "://" not in uri:
+                    uri = "file://" + uri
+                fs, p = pafs.FileSystem.from_uri(uri)
                 with fs.open_input_file(p) as f:
                     out.append(pq.read_schema(f).to_string(show_field_metadata=False, show_schema_metadata=False))
             yield pd.DataFrame({"path": pdf["path"], "footer": out})
