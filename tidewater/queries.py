@@ -13,9 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import cdc
-from .plans import gold, layers, roles
-from .specs import CLAIMS
+from .operators import cdc, quality
+from .plans import gold, layers, reconcile, refresh, roles, skew
+from .session import work_dir
+from .sources.control import CONTROL_SCHEMA, control_path
+from .specs import CLAIMS, OPER_COL, RESCUE_COL, SEQ_COL, SOURCE_FILE_COL, Rule
+from .streaming import apply as ap
+from .streaming.ingest import checkpoint_path, land, landing_path
+from .streaming.runner import Runner
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -105,8 +110,6 @@ def agg_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _claims_runner(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], with_twin: bool, name: str):
     """Land the seed, run every layer; land one increment, run again (a restart)."""
-    from .session import work_dir
-    from .streaming.runner import Runner
 
     runner = Runner(spark, work_dir(spark, name))
     for run in (roles.SEED, roles.INCREMENT):
@@ -121,7 +124,6 @@ _COMPARED_DETAIL = [c for c in CLAIMS["claim_detail"].business_columns if c != "
 @register
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files -> append-only change log with provenance (label from the file path)."""
-    from .specs import OPER_COL, SEQ_COL, SOURCE_FILE_COL
 
     runner = _claims_runner(spark, sf_dir, ("claim_detail",), False, "bronze")
     b = runner.bronze("claim_detail")
@@ -154,9 +156,6 @@ def fact_line_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def cdc_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events land in three slices, out of sequence order; the flow restarts per slice."""
-    from .session import work_dir
-    from .streaming import apply as ap
-    from .streaming.ingest import land, landing_path
 
     root = work_dir(spark, "events")
     events = roles.events_log(spark, sf_dir)
@@ -173,7 +172,6 @@ def cdc_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def event_rules():
     """Rules that fail on some driver rows: a warn on low values, a drop on every 50th user."""
-    from .specs import Rule
 
     return (
         Rule("value_at_least_10", "value >= 10", "warn"),
@@ -183,7 +181,6 @@ def event_rules():
 
 @register
 def quality_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .operators import quality
 
     return quality.rule_metrics(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when)
 
@@ -191,7 +188,6 @@ def quality_warn_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def quality_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current state after the drop rule removed its rows from the change log."""
-    from .operators import quality
 
     kept = quality.check(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when).kept
     return cdc.apply_changes(kept, roles.EVENTS_APPLY)
@@ -199,7 +195,6 @@ def quality_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .operators import quality
 
     r = quality.check(roles.events_log(spark, sf_dir), event_rules(), roles.EVENTS_APPLY.delete_when).rejects
     return r.select("event_id", "user_id", "event_type", F.concat_ws(",", quality.REJECT_RULES_COL).alias("failed_rules"))
@@ -223,7 +218,6 @@ def cdc_scd2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # change-batch synthesis
 # ---------------------------------------------------------------------------
 def _change_cols() -> list[str]:
-    from .specs import OPER_COL, SEQ_COL
 
     return _COMPARED_DETAIL + [OPER_COL, SEQ_COL]
 
@@ -231,7 +225,6 @@ def _change_cols() -> list[str]:
 @register
 def change_batch_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per (table, operation) in one increment of all nine tables."""
-    from .specs import OPER_COL
 
     out = None
     for t in CLAIMS:
@@ -245,7 +238,6 @@ def change_batch_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def change_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inserted and updated line rows of the increment (line multiplication, new amounts)."""
-    from .specs import OPER_COL
 
     c = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
     return c.where(F.col(OPER_COL) != "D").select(*_change_cols())
@@ -254,7 +246,6 @@ def change_batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def change_batch_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key-only delete rows of reversed claims (every payload column a typed NULL)."""
-    from .specs import OPER_COL
 
     c = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
     return c.where(F.col(OPER_COL) == "D").select(*_change_cols())
@@ -263,7 +254,6 @@ def change_batch_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def union_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed and increment header frames unioned by name into one change log."""
-    from .specs import OPER_COL, SEQ_COL
 
     log = roles.change_log(spark, sf_dir, "claim")
     return log.select(
@@ -282,7 +272,6 @@ SKEW_KEYS = ("claim_detail_id", "provider_id")
 @register
 def skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-key share of an increment by merge key and by the hot attribute."""
-    from .plans import skew
 
     out = None
     for scenario, hot in SKEW_SCENARIOS:
@@ -296,7 +285,6 @@ def skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def skew_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Max/median rows per shuffle partition when merging on each key (Spark's hash)."""
-    from .plans import skew
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     out = None
@@ -314,7 +302,6 @@ def skew_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line table after the seed against after the increment, as an I/U/D log."""
-    from .plans import reconcile
 
     before = layers.silver_from_roles(spark, sf_dir, "claim_detail", runs=(roles.SEED,))
     after = layers.silver_from_roles(spark, sf_dir, "claim_detail")
@@ -324,7 +311,6 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def twin_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full line fact against its incremental twin: only header drift is expected."""
-    from .plans import reconcile
 
     runner = _claims_runner(spark, sf_dir, ("claim", "claim_detail"), True, "reconcile")
     full = gold.fact_claim_line(runner.current("claim_detail"), runner.current("claim"))
@@ -340,8 +326,6 @@ PARTIAL = roles.RoleMap(n_buckets=100, touched=0.2)
 @register
 def agg_daily_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily KPIs after the increment, recomputing only the groups it touched."""
-    from .plans import refresh
-    from .specs import CLAIMS as C
 
     header_before = layers.silver_from_roles(spark, sf_dir, "claim", PARTIAL, runs=(roles.SEED,))
     detail_before = layers.silver_from_roles(spark, sf_dir, "claim_detail", PARTIAL, runs=(roles.SEED,))
@@ -353,14 +337,12 @@ def agg_daily_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, PARTIAL).select("claim_id"))
         .distinct()
     )
-    assert C["claim"].keys == ("claim_id",)
     return refresh.refresh_daily(previous, header_before, header_after, detail_after, changed)
 
 
 @register
 def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change ratio per table and the refresh strategy it selects (full at >= 20%)."""
-    from .plans import refresh
 
     out = None
     for t in ("claim", "claim_detail"):
@@ -377,9 +359,6 @@ def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The increment lands with a text ``units`` column and an unknown column: rows kept, misfits rescued."""
-    from .session import work_dir
-    from .specs import OPER_COL, RESCUE_COL, SEQ_COL
-    from .streaming.runner import Runner
 
     runner = Runner(spark, work_dir(spark, "rescue"))
     runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
@@ -402,21 +381,18 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON text keeps microseconds (default
 @register
 def bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON landing: the same reader with a format argument and the declared schema."""
-    from .session import work_dir
-    from .streaming import ingest as ig
-    from .streaming.apply import checkpoint_path
 
     root = work_dir(spark, "json")
     events = roles.events_log(spark, sf_dir)
     half = F.pmod(F.xxhash64(F.col("event_id")), F.lit(2))
     for i in (0, 1):
         events.where(half == i).write.mode("append").option("timestampNTZFormat", MICROS).json(
-            ig.landing_path(root, "events", f"part{i}")
+            landing_path(root, "events", f"part{i}")
         )
     src = (
         spark.readStream.format("json").schema(events.schema).option("recursiveFileLookup", "true")
         .option("timestampNTZFormat", MICROS)
-        .load(ig.landing_path(root, "events"))
+        .load(landing_path(root, "events"))
     )
     out = f"{root}/bronze/events"
     (
@@ -441,8 +417,6 @@ def flows_live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed state compacted into a snapshot; the increment is merged on read (changed keys only)."""
-    from .session import work_dir
-    from .streaming.runner import Runner
 
     runner = Runner(spark, work_dir(spark, "compact"))
     runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
@@ -456,9 +430,6 @@ def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def control_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs landed through the control row: high-water mark, next sequence base, run index."""
-    from .session import work_dir
-    from .sources.control import CONTROL_SCHEMA, control_path
-    from .streaming.runner import Runner
 
     runner = Runner(spark, work_dir(spark, "control"))
     for _ in (roles.SEED, roles.INCREMENT):
