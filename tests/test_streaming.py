@@ -52,6 +52,9 @@ def test_header_change_after_line_written_drifts_in_twin_only(spark):
     # the drop rule counted the NULL key in the silver flow
     counts = {x["rule"]: x["failed_rows"] for x in ap.rule_counts(spark, r.root, "claim_detail").collect()}
     assert counts["valid_claim_detail_id"] == 1
+    rejects = ap.read_rejects(spark, r.root, "claim_detail").collect()
+    assert len(rejects) == 1 and list(rejects[0]["_failed_rules"]) == ["valid_claim_detail_id"]
+    assert ap.read_rejects(spark, r.root, "claim") is None  # nothing dropped, nothing written
 
 
 def test_restart_same_batch_twice_is_identical(spark):

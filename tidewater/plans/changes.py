@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import typed_nulls
-from ..specs import CLAIMS, OPER_COL, SEQ_COL, TS_COL, TableSpec
+from ..specs import OPER_COL, SEQ_COL, TS_COL, TableSpec
 
 CHANGE_TYPES = ("new", "header_only", "adjustment", "reversal")
 
@@ -130,7 +130,3 @@ def pick(options: list[str], n: Column) -> Column:
     """Deterministic domain value from an integer: options[n mod len]."""
     arr = F.array(*[F.lit(o) for o in options])
     return F.element_at(arr, (F.pmod(n, F.lit(len(options))) + 1).cast("int"))
-
-
-def registry_tables() -> list[str]:
-    return list(CLAIMS)
