@@ -88,3 +88,12 @@ def test_runner_compacts_by_change_ratio(spark):
     assert r.maybe_compact(("claim",)) == {"claim": "full"}
     assert ap.latest_snapshot(spark, r.root, "claim") == 2
     assert sum(1 for x in r.current("claim").collect() if x["claim_status"] == "DENIED") == 40
+
+
+def test_recommended_conf_scales_with_input():
+    from tidewater.session import recommended_conf
+
+    big = int(recommended_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"])
+    small = int(recommended_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"])
+    assert big == 100 * 2**40 // (256 * 2**20) + 1  # ~410k partitions of 256 MB for 100 TB
+    assert small == 16  # two waves on 8 cores

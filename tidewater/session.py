@@ -64,3 +64,33 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidewater/{name or 'run'}-{uuid.uuid4().hex[:12]}"
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """SQL settings sized for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions: enough for ~``target_partition_bytes`` per partition of
+    shuffled data (change logs shuffle about their input size), and at least
+    two waves of tasks. Scan splits: large enough to keep the task count sane
+    at 100 TB, small enough that a split decodes well inside executor memory.
+    AQE then coalesces small partitions and splits skewed join partitions.
+    """
+    by_size = input_bytes // target_partition_bytes + 1
+    partitions = max(2 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str], override: bool = False) -> dict[str, str]:
+    """Set runtime SQL settings, by default only those the cluster left unset."""
+    applied = {}
+    for k, v in conf.items():
+        if override or spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
