@@ -95,5 +95,5 @@ def test_recommended_conf_scales_with_input():
 
     big = int(recommended_conf(100 * 2**40, 8000)["spark.sql.shuffle.partitions"])
     small = int(recommended_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"])
-    assert big == 100 * 2**40 // (256 * 2**20) + 1  # ~410k partitions of 256 MB for 100 TB
+    assert big == 100 * 2**40 // 2**30 + 1  # ~100k partitions of 1 GiB for 100 TB
     assert small == 16  # two waves on 8 cores

@@ -66,22 +66,29 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     return f"{base}/tidewater/{name or 'run'}-{uuid.uuid4().hex[:12]}"
 
 
-def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+def recommended_conf(
+    input_bytes: int,
+    total_cores: int,
+    shuffle_partition_bytes: int = 1024**3,
+    split_bytes: int = 512 * 1024**2,
+    max_partitions: int = 200_000,
+) -> dict[str, str]:
     """SQL settings sized for a job reading ``input_bytes`` on ``total_cores`` cores.
 
-    Shuffle partitions: enough for ~``target_partition_bytes`` per partition of
-    shuffled data (change logs shuffle about their input size), and at least
-    two waves of tasks. Scan splits: large enough to keep the task count sane
-    at 100 TB, small enough that a split decodes well inside executor memory.
-    AQE then coalesces small partitions and splits skewed join partitions.
+    Shuffle partitions: about ``shuffle_partition_bytes`` of shuffled data each
+    (change logs shuffle roughly their input size), at least two waves of tasks,
+    at most ``max_partitions`` so map x reduce shuffle blocks stay manageable at
+    100 TB. Scan splits of ``split_bytes`` keep the map-task count sane while a
+    split still decodes well inside executor memory. AQE then coalesces small
+    partitions and splits skewed join partitions at run time.
     """
-    by_size = input_bytes // target_partition_bytes + 1
-    partitions = max(2 * total_cores, by_size)
+    by_size = input_bytes // shuffle_partition_bytes + 1
+    partitions = min(max(2 * total_cores, by_size), max(max_partitions, 2 * total_cores))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024**2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
 
