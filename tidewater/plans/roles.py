@@ -168,31 +168,6 @@ def _line_amounts() -> dict[str, Column]:
     return {"charge": ep, "allowed": allowed, "paid": paid, "adjustment": adjustment}
 
 
-def _detail_rows(li: DataFrame, rm: RoleMap, run: int, adjusted: bool) -> DataFrame:
-    a = _line_amounts()
-    paid = a["allowed"] if adjusted else a["paid"]
-    adjustment = (a["allowed"] - a["paid"]).cast("decimal(12,2)") if adjusted else a["adjustment"]
-    n, line = F.col("l_orderkey"), F.col("l_linenumber")
-    return li.select(
-        detail_key(n, line).alias("claim_detail_id"),
-        claim_key(n).alias("claim_id"),
-        line.alias("line_number"),
-        padded_id("PX", F.col("l_partkey"), 6).alias("procedure_code"),
-        F.col("l_returnflag").alias("revenue_code"),
-        F.col("l_linestatus").alias("place_of_service"),
-        _provider(F.col("l_suppkey"), n, rm, run).alias("provider_id"),
-        F.col("l_quantity").cast("int").alias("units"),
-        a["charge"].alias("charge_amount"),
-        a["allowed"].alias("allowed_amount"),
-        paid.cast("decimal(12,2)").alias("paid_amount"),
-        adjustment.alias("adjustment_amount"),
-        F.col("l_shipdate").cast("timestamp").alias("last_updated"),
-        F.col("__ctype"),
-        (n * 100 + line).alias("__ord"),
-        F.col("l_shipdate").alias("__ts"),
-    )
-
-
 def detail_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
     """One run's line changes from a single scan of the lines.
 
@@ -201,22 +176,22 @@ def detail_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> D
     claims ``D`` with every payload column a typed NULL.
     """
     li = _lines(spark, sf_dir, rm)
-    spec = CLAIMS["claim_detail"]
-    if run == SEED:
-        rows = _detail_rows(li.where(_existing(F.col("__ctype"))), rm, run, adjusted=False)
-        return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__ord")), F.col("__ts")), spec)
     ct = F.col("__ctype")
-    touched = li.where(ct.isin("new", "adjustment", "reversal"))
-    rows = touched.select(
-        detail_key(F.col("l_orderkey"), F.col("l_linenumber")).alias("claim_detail_id"),
-        claim_key(F.col("l_orderkey")).alias("claim_id"),
+    if run == SEED:
+        rows, oper = li.where(_existing(ct)), F.lit("I")
+    else:
+        rows = li.where(ct.isin("new", "adjustment", "reversal"))
+        oper = F.when(ct == "reversal", F.lit("D")).when(ct == "adjustment", F.lit("U")).otherwise(F.lit("I"))
+    n, line = F.col("l_orderkey"), F.col("l_linenumber")
+    out = rows.select(
+        detail_key(n, line).alias("claim_detail_id"),
+        claim_key(n).alias("claim_id"),
         *[_line_column(c, rm, run) for c in LINE_PAYLOAD],
         ct.alias("__ctype"),
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("__ord"),
+        (n * 100 + line).alias("__ord"),
         F.col("l_shipdate").alias("__ts"),
     )
-    oper = F.when(ct == "reversal", F.lit("D")).when(ct == "adjustment", F.lit("U")).otherwise(F.lit("I"))
-    return ch.conform(ch.stamp(rows, oper, _seq(run, F.col("__ord")), F.col("__ts")), spec)
+    return ch.conform(ch.stamp(out, oper, _seq(run, F.col("__ord")), F.col("__ts")), CLAIMS["claim_detail"])
 
 
 LINE_PAYLOAD = [
@@ -226,10 +201,14 @@ LINE_PAYLOAD = [
 
 
 def _line_column(c: str, rm: RoleMap, run: int) -> Column:
-    """Increment value of line column ``c``: NULL on reversal, adjusted amounts on adjustment."""
+    """Value of line column ``c`` in a run: in an increment NULL on reversal and
+    adjusted amounts on adjustment; in the seed the line as it was."""
     a = _line_amounts()
     ct = F.col("__ctype")
-    is_del, is_adj = ct == "reversal", ct == "adjustment"
+    if run == SEED:
+        is_del = is_adj = F.lit(False)
+    else:
+        is_del, is_adj = ct == "reversal", ct == "adjustment"
     n, line = F.col("l_orderkey"), F.col("l_linenumber")
     base = {
         "line_number": line,
