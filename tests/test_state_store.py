@@ -97,3 +97,17 @@ def test_recommended_conf_scales_with_input():
     small = int(recommended_conf(10 * 2**20, 8)["spark.sql.shuffle.partitions"])
     assert big == 100 * 2**40 // 2**30 + 1  # ~100k partitions of 1 GiB for 100 TB
     assert small == 16  # two waves on 8 cores
+
+
+def test_command_line_workflow(spark, sf):
+    from tidewater.__main__ import main
+
+    root = work_dir(spark, "test-cli")
+    assert main(["land", "--root", root, "--source", sf, "--tables", "claim,claim_detail"], spark)["run"] == 0
+    main(["step", "--root", root, "--tables", "claim,claim_detail"], spark)
+    assert main(["land", "--root", root, "--source", sf, "--tables", "claim,claim_detail"], spark)["run"] == 1
+    main(["step", "--root", root, "--tables", "claim,claim_detail"], spark)
+    status = main(["status", "--root", root], spark)
+    orders = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert status["live_rows"]["claim"] == orders and status["control"]["run_index"] == "1"
+    assert main(["compact", "--root", root, "--force", "--tables", "claim"], spark)["snapshots"]["claim"]
