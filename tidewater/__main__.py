@@ -4,7 +4,7 @@
                                [--touched 1.0 --buckets 20 --hot 0.8]
     python -m tidewater step   --root R [--tables claim,claim_detail] [--no-twin]
     python -m tidewater compact --root R [--threshold 0.2] [--force]
-    python -m tidewater gold   --root R [--calendar 1995-01-01:2001-12-31]
+    python -m tidewater gold   --root R [--calendar 2023-01-01:2027-12-31]
     python -m tidewater skew   --root R --source S [--hot 0.8]
     python -m tidewater status --root R
 
@@ -59,7 +59,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     p.add_argument("--no-twin", action="store_true")
     p.add_argument("--threshold", type=float, default=None)
     p.add_argument("--force", action="store_true")
-    p.add_argument("--calendar", default="1995-01-01:2001-12-31")
+    p.add_argument("--calendar", default="", help="start:end of dim_date (default: years of the service dates)")
     p.add_argument("--local", default="", help="run on local[N] instead of the cluster session")
     args = p.parse_args(argv)
 
@@ -79,7 +79,7 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         else:
             out["strategy"] = runner.maybe_compact(tables, args.threshold)
     elif args.command == "gold":
-        out["version"] = runner.publish_gold(tuple(args.calendar.split(":")))
+        out["version"] = runner.publish_gold(tuple(args.calendar.split(":")) if args.calendar else None)
     elif args.command == "skew":
         if not args.source:
             p.error("skew needs --source")

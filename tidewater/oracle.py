@@ -187,7 +187,9 @@ SELECT DISTINCT diagnosis_code, diagnosis_type FROM dx_cur WHERE diagnosis_code
     "dim_date": """
 SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
        CAST(day(d) AS INTEGER) AS day, strftime(d, '%a') AS day_of_week, CAST(weekofyear(d) AS INTEGER) AS week_of_year
-FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) AS t(d)""",
+FROM (SELECT make_date(CAST(year(min(o_orderdate)) AS INTEGER), 1, 1) AS lo,
+             make_date(CAST(year(max(o_orderdate)) AS INTEGER), 12, 31) AS hi FROM orders) b,
+     generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS t(d)""",
     "fact_line": _with(CLAIM_LOG, DETAIL_LOG)
     + """
 SELECT d.claim_detail_id, d.claim_id, h.member_id, d.provider_id, h.payer_id, h.service_from_date AS service_date_key,
@@ -233,16 +235,16 @@ SELECT 'value_at_least_10' AS rule, 'warn' AS action,
        count(*) FILTER (WHERE NOT coalesce(value >= 10, false) AND NOT coalesce(event_type = 'error', false)) AS failed_rows
 FROM events
 UNION ALL
-SELECT 'user_not_every_50th', 'drop', count(*) FILTER (WHERE NOT coalesce(nullif(user_id % 50, 0) IS NOT NULL, false))
+SELECT 'value_at_least_1', 'drop', count(*) FILTER (WHERE NOT coalesce(value >= 1, false))
 FROM events""",
     "quality_drop": """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events
-  WHERE coalesce(nullif(user_id % 50, 0) IS NOT NULL, false))
+  WHERE coalesce(value >= 1, false))
 WHERE rn = 1 AND NOT coalesce(event_type = 'error', false)""",
     "quality_rejects": """
-SELECT event_id, user_id, event_type, 'user_not_every_50th' AS failed_rules FROM events
-WHERE NOT coalesce(nullif(user_id % 50, 0) IS NOT NULL, false)""",
+SELECT event_id, user_id, event_type, 'value_at_least_1' AS failed_rules FROM events
+WHERE NOT coalesce(value >= 1, false)""",
     "cdc_scd2_events": """
 SELECT * EXCLUDE (nxt), nxt AS __end_at FROM (
   SELECT event_id, ts, user_id, event_type, value, props, event_id AS __start_at,

@@ -24,9 +24,15 @@ def silver_from_roles(spark: SparkSession, sf_dir: str, table: str, rm: roles.Ro
     return silver(roles.change_log(spark, sf_dir, table, runs, rm), CLAIMS[table])
 
 
-def gold_datasets(spark: SparkSession, current: dict[str, DataFrame], calendar=("1995-01-01", "2001-12-31")) -> dict[str, DataFrame]:
-    """All full-refresh gold datasets from current-state tables (lazy plans)."""
+def gold_datasets(spark: SparkSession, current: dict[str, DataFrame], calendar=None) -> dict[str, DataFrame]:
+    """All full-refresh gold datasets from current-state tables (lazy plans).
+
+    ``calendar`` is ``(start, end)``; by default whole years of the claims'
+    service dates.
+    """
     header, detail = current["claim"], current["claim_detail"]
+    if calendar is None:
+        calendar = gold.calendar_bounds(header)
     fact = gold.fact_claim(header, detail)
     return {
         "dim_provider": gold.dim_provider(current["provider"]),

@@ -83,8 +83,9 @@ def dim_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Calendar covering the driver's order dates (bounds are parameters)."""
-    return gold.dim_date(spark, "1995-01-01", "2001-12-31")
+    """Calendar covering whole years of the claims' service dates (bounds from the data)."""
+    start, end = gold.calendar_bounds(_silver(spark, sf_dir, "claim"))
+    return gold.dim_date(spark, start, end)
 
 
 @register
@@ -171,11 +172,11 @@ def cdc_stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # row-quality rules
 # ---------------------------------------------------------------------------
 def event_rules():
-    """Rules that fail on some driver rows: a warn on low values, a drop on every 50th user."""
+    """Rules that fail on some driver rows: warn below 10, drop below 1 (noise)."""
 
     return (
         Rule("value_at_least_10", "value >= 10", "warn"),
-        Rule("user_not_every_50th", "nullif(user_id % 50, 0) IS NOT NULL", "drop", applies_to_deletes=True),
+        Rule("value_at_least_1", "value >= 1", "drop", applies_to_deletes=True),
     )
 
 

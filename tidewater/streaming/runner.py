@@ -143,7 +143,7 @@ class Runner:
     def twin_table(self) -> DataFrame:
         return twin.read_twin(self.spark, self.root)
 
-    def gold(self, calendar=("1995-01-01", "2001-12-31")) -> dict[str, DataFrame]:
+    def gold(self, calendar=None) -> dict[str, DataFrame]:
         """Gold datasets over current state; a table with no state yet is empty."""
         current = {}
         for t in ("claim", "claim_detail", "claim_diagnosis", "provider", "member", "payer"):
@@ -164,7 +164,7 @@ class Runner:
     def gold_path(self, name: str) -> str:
         return f"{self.root}/gold/{name}"
 
-    def publish_gold(self, calendar=("1995-01-01", "2001-12-31"), names: Iterable[str] | None = None) -> int:
+    def publish_gold(self, calendar=None, names: Iterable[str] | None = None) -> int:
         """Full refresh: write every gold dataset as a new version ``gold/<name>/v=N``.
 
         Readers switch to a version once its ``_SUCCESS`` marker exists, so a
