@@ -42,3 +42,23 @@ def test_reduction_matches_model(spark, rows):
     )
     got = {r["k"]: (r["v"], r["header__change_seq"]) for r in cdc.apply_changes(spark.createDataFrame(rows, SCHEMA), spec).collect()}
     assert got == model(rows)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from(["h", "h", "h", "x", "y"]), st.integers(0, 30)), min_size=1, max_size=60),
+    st.integers(2, 9),
+)
+def test_next_in_key_matches_window(spark, rows, parts):
+    """Range-partition boundaries (hot key spread over many partitions) give the plain lead."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidewater.operators import ordered
+
+    df = spark.createDataFrame(sorted(set(rows)), "k STRING, s INT")  # total order: (k, s) unique
+    got = ordered.next_in_key(df, ["k"], ["s"], "s", "nxt", num_partitions=parts)
+    want = df.withColumn("nxt", F.lead("s").over(Window.partitionBy("k").orderBy("s")))
+    assert sorted(map(tuple, got.select("k", "s", "nxt").collect()), key=str) == sorted(
+        map(tuple, want.select("k", "s", "nxt").collect()), key=str
+    )
