@@ -111,3 +111,15 @@ def test_command_line_workflow(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet").count()
     assert status["live_rows"]["claim"] == orders and status["control"]["run_index"] == "1"
     assert main(["compact", "--root", root, "--force", "--tables", "claim"], spark)["snapshots"]["claim"]
+
+
+def test_tombstone_expiry_is_explicit(spark):
+    spec = cdc.ApplySpec.for_table(CLAIMS["claim"])
+    root = work_dir(spark, "test-expiry")
+    ap.apply_batch(headers(spark, [("C1", "PAID", Decimal("1.00"), "I", 1, TS), ("C2", "PAID", Decimal("1.00"), "I", 1, TS)]), 0, root, "claim", spec)
+    ap.apply_batch(headers(spark, [("C1", None, None, "D", 5, TS)]), 1, root, "claim", spec)
+    kept = spark.read.parquet(ap.compact(spark, root, "claim", spec))
+    assert kept.count() == 2  # default: the tombstone stays
+    ap.apply_batch(headers(spark, [("C3", "PAID", Decimal("1.00"), "I", 6, TS)]), 2, root, "claim", spec)
+    snap = spark.read.parquet(ap.compact(spark, root, "claim", spec, expire_tombstones_below=10))
+    assert sorted(r["claim_id"] for r in snap.collect()) == ["C2", "C3"]

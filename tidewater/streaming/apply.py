@@ -252,12 +252,24 @@ def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.Appl
     return cdc.live_rows(cdc.reduce_changes(rows, apply), apply)
 
 
-def compact(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, cluster_by=()) -> str | None:
+def compact(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    apply: cdc.ApplySpec,
+    cluster_by=(),
+    expire_tombstones_below: int | None = None,
+) -> str | None:
     """Fold the state into a new snapshot ``snapshots/<t>/upto=N`` (tombstones kept).
 
     Written to a new folder and committed by its ``_SUCCESS`` marker; readers
     switch to it only then, and ignore the batch folders it covers. Clustering
     on the key keeps keyed reads and later merges to few row groups.
+
+    ``expire_tombstones_below`` (off by default) drops delete markers whose
+    first sequence column is below the given value. This is an explicit trade:
+    it bounds state growth from deletes, but a change that arrives later with a
+    lower sequence than the expired delete would bring the key back.
     """
     ids = batch_ids(spark, root, name)
     if not ids:
@@ -267,6 +279,10 @@ def compact(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, clu
     if snap is not None and snap >= upto:
         return f"{snapshots_path(root, name)}/upto={snap}"
     reduced = reduced_state(spark, root, name, apply)
+    if expire_tombstones_below is not None:
+        seq = cdc.col_of(apply.sequence_by[0])
+        expired = cdc.mark_deletes(reduced, apply)
+        reduced = expired.where(~(F.col(cdc.DELETED_COL) & (seq < F.lit(expire_tombstones_below)))).drop(cdc.DELETED_COL)
     out = f"{snapshots_path(root, name)}/upto={upto}"
     return write_table(reduced, out, cluster_by=list(cluster_by or apply.keys))
 
