@@ -368,3 +368,8 @@ ORACLE["control_runs"] = f"""
 SELECT max(o_orderkey) AS max_claim_n, CAST({2 * SEQ_STEP} AS BIGINT) AS seq_base, CAST(1 AS BIGINT) AS run_index,
        count(*) AS live_claims
 FROM orders"""
+
+ORACLE["cdc_scd2_claims"] = _with(CLAIM_LOG) + """
+SELECT claim_id, claim_status, payer_id, header__change_seq AS __start_at,
+       lead(header__change_seq) OVER (PARTITION BY claim_id ORDER BY header__change_seq) AS __end_at
+FROM claim_log"""

@@ -439,3 +439,12 @@ def control_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = spark.read.schema(CONTROL_SCHEMA).parquet(f"{control_path(runner.root)}/v=1")
     live = runner.current("claim").count()  # a scalar, not rows
     return latest.select("max_claim_n", "seq_base", "run_index", F.lit(live).cast("bigint").alias("live_claims"))
+
+
+@register
+def cdc_scd2_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 history of claim headers, rebuilt from their bronze change log."""
+    runner = _claims_runner(spark, sf_dir, ("claim",), False, "scd2")
+    spec = cdc.ApplySpec.for_table(CLAIMS["claim"])
+    hist = cdc.scd2_history(runner.bronze("claim"), spec)
+    return hist.select("claim_id", "claim_status", "payer_id", cdc.START_COL, cdc.END_COL)
