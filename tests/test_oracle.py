@@ -40,3 +40,16 @@ def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "claim_count" in df.columns
+
+
+@pytest.mark.parametrize("name", ["cdc_scd1_events", "cdc_scd2_lines", "fact_header"])
+def test_results_do_not_depend_on_session_time_zone(spark, sf, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, sf)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    res = con.execute(E.oracle_sql()[name])
+    assert digest(df.columns, srows)[:2] == digest([d[0] for d in res.description], res.fetchall())[:2]
