@@ -34,7 +34,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES) -> DataFrame:
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (file-system metadata, no data read)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES, size: int | None = None) -> DataFrame:
     """Round-robin a *small* input over the default parallelism.
 
     A small file with one row group is a single scan task, and every narrow
@@ -43,7 +50,7 @@ def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES) -> DataFrame:
     lets all cores work; above it the input already has many splits and is
     left alone, so a large table is never reshuffled for this.
     """
-    if estimated_bytes(df) >= max_bytes:
+    if (estimated_bytes(df) if size is None else size) >= max_bytes:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
@@ -65,8 +72,9 @@ def read_table(
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(table_path(root, name))
-    return fan_out(df) if spread_small else df
+    path = table_path(root, name)
+    df = reader.parquet(path)
+    return fan_out(df, size=path_bytes(spark, path)) if spread_small else df
 
 
 def write_table(
