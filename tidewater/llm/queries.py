@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate
-from .common import table
+from . import decontaminate, linededup, nearup, packing
+from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -30,3 +30,30 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@register
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each distinct line of the corpus: its copies, its links and its class."""
+    lines = linededup.line_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    lines = stored(lines.withColumn("line_md5", F.lower(F.hex("line_key"))), "line-classes")
+    names = lines.where("n_links > 0").groupBy("comp").agg(F.min("line_md5").alias("class_md5"))
+    return lines.join(names, "comp", "left").select(
+        "line_md5", "doc_id", F.col("copies").alias("n_copies"), "n_links", F.coalesce("class_md5", "line_md5").alias("class_md5")
+    )
+
+
+@register
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and its offset there."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.packed(packing.tokenised_pieces(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the smallest document of its class of near copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nearup.with_classes(docs).select("doc_id", "class_id", (~F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("duplicate"))
