@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -165,14 +166,16 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return banded_distance(a.tolist(), b.tolist(), limit) <= limit
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for key, doc_id, text in zip(pdf["key"], pdf["doc_id"], pdf["text"]):
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["key", "doc_id", "n", "sketch"]
+    for batch in batches:
+        sizes, sketches = [], []
+        for text in batch.column("text").to_pylist():
             sh = shingles(text)
-            if len(sh):
-                rows.append((key, None if pd.isna(doc_id) else int(doc_id), len(sh), order_minhash(sh).view(np.int64)))
-        yield pd.DataFrame(rows, columns=["key", "doc_id", "n", "sketch"]).astype({"doc_id": "Int64"})
+            sizes.append(len(sh))
+            sketches.append(order_minhash(sh).view(np.int64) if len(sh) else [])
+        made = [pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *made], names)
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,7 +187,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def sketched(docs: DataFrame) -> DataFrame:
     """(node, key, doc_id, n, sketch): every distinct text with a word, numbered, with its smallest document."""
     rows = docs.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = rows.mapInPandas(_sketch, "key binary, doc_id long, n long, sketch array<long>")
+    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>").where("n > 0")
     folded = made.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     return stored(folded.withColumn("node", F.monotonically_increasing_id()), "sketches")
 

@@ -26,7 +26,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,27 +100,30 @@ _ENCODERS: dict[str, Encoder] = {}
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and its end token, cut to ``capacity``."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer_path)
         if encoder is None:
             encoder = _ENCODERS[tokenizer_path] = Encoder(tokenizer_path)
         end = np.asarray([END], "<u4").tobytes()
-        for pdf in batches:
-            rows = []
-            for doc_id, text in zip(pdf["doc_id"], pdf["text"]):
+        for batch in batches:
+            rows: list[list] = [[] for _ in fields]
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 ids = encoder.encode(text or "") + end
                 n = len(ids) // 4
                 start, piece = 0, 0
                 while start < n:
                     size = (n - start - 1) % capacity + 1
                     own = ids[4 * start : 4 * (start + size)]
-                    rows.append((None if pd.isna(doc_id) else int(doc_id), piece, start, size, zlib.crc32(own), own))
+                    for column, value in zip(rows, (doc_id, piece, start, size, zlib.crc32(own), own)):
+                        column.append(value)
                     start, piece = start + size, piece + 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"]).astype({"doc_id": "Int64"})
-            yield out if with_ids else out.drop(columns="ids")
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, fields)], schema=fields)
 
+    fields = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    if with_ids:
+        fields = fields.append(pa.field("ids", pa.binary()))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
 # ---------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, linededup, nearup, packing
+from . import decontaminate, langid, linededup, nearup, packing
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest document of its class of near copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return nearup.with_classes(docs).select("doc_id", "class_id", (~F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("duplicate"))
+
+
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language; learned from the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.select("doc_id", "text", "lang"))
+    return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
