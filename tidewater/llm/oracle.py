@@ -39,3 +39,15 @@ degree AS (SELECT a AS h, count(*) AS n_links FROM links GROUP BY a)
 SELECT h AS line_md5, doc_id, n_copies, coalesce(n_links, 0) AS n_links, coalesce(class_md5, h) AS class_md5
 FROM d LEFT JOIN degree USING (h) LEFT JOIN classes USING (h)
 """
+
+ORACLE["op3_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_sum(list_transform(list_zip(q.vec, c.vec), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec) WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""

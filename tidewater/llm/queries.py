@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, nearup, packing
+from . import decontaminate, langid, linededup, nearup, packing, ppm, topk
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,15 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows by inner product for every row whose id is divisible by 50."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@register
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by the byte model and by the word counts of the training fold."""
+    return ppm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
