@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, nearup, packing, ppm, topk
+from . import chat, decontaminate, langid, linededup, nearup, packing, ppm, topk
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,12 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's score by the byte model and by the word counts of the training fold."""
     return ppm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = r"\### Assistant: </turn> ok"
+    rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema))
+    return chat.read_back(chat.formatted(chat.turns_of_table(rows, "conv_id")))
