@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, linededup, nearup, packing, ppm, topk
+from . import chat, decontaminate, extract, langid, linededup, nearup, packing, ppm, topk
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,10 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = r"\### Assistant: </turn> ok"
     rows = rows.unionByName(spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], rows.schema))
     return chat.read_back(chat.formatted(chat.turns_of_table(rows, "conv_id")))
+
+
+@register
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    found = extract.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
