@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def spark():
     from tidewater.session import local_session
 
-    s = local_session("*", 8, app="tidewater-tests")
+    s = local_session(os.environ.get("TEST_CORES", "*"), 8, app="tidewater-tests")
     yield s
     s.stop()
 

@@ -9,7 +9,6 @@ from tidewater.operators import cdc
 from tidewater.plans import changes as ch
 from tidewater.session import work_dir
 from tidewater.sources.control import advance_control, read_control
-from tidewater.sources.tables import fan_out
 from tidewater.specs import CLAIMS, OPER_COL, SEQ_COL, TS_COL
 from tidewater.streaming import apply as ap
 
@@ -66,11 +65,40 @@ def test_control_row_versions(spark):
     assert (c["max_claim_n"], c["seq_base"], c["run_index"]) == (25, 2 * 10**12, 1)
 
 
-def test_fan_out_only_small_inputs(spark):
-    small = spark.range(100)
-    assert fan_out(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    big = spark.range(100).withColumn("x", F.lit(1))
-    assert fan_out(big, max_bytes=0).rdd.getNumPartitions() == big.rdd.getNumPartitions()
+def test_reads_and_compaction_stop_before_a_failed_batch(spark):
+    spec = cdc.ApplySpec.for_table(CLAIMS["claim"])
+    root = work_dir(spark, "test-failed")
+    ap.apply_batch(headers(spark, [("C1", "PAID", Decimal("1.00"), "I", 1, TS)]), 0, root, "claim", spec)
+    retried = headers(spark, [("C2", "PAID", Decimal("1.00"), "I", 2, TS)])
+    retried.write.parquet(f"{ap.state_path(root, 'claim')}/batch_id=1/_temporary/0")
+    assert ap.batch_ids(spark, root, "claim") == [0]
+    assert ap.compact(spark, root, "claim", spec).endswith("upto=0")
+    ap.apply_batch(retried, 1, root, "claim", spec)
+    ap.apply_batch(headers(spark, [("C1", "DENIED", Decimal("1.00"), "U", 3, TS)]), 2, root, "claim", spec)
+    assert sorted((r["claim_id"], r["claim_status"]) for r in ap.current_state(spark, root, "claim", spec).collect()) == [("C1", "DENIED"), ("C2", "PAID")]
+    asked = ap.current_state_for(spark, root, "claim", spec, spark.createDataFrame([("C2",), (None,), ("C9",)], "claim_id string"))
+    assert [r["claim_id"] for r in asked.collect()] == ["C2"]
+
+
+def test_merge_reduced_equals_a_full_reduction(spark):
+    spec = cdc.ApplySpec(keys=("a", "b"), sequence_by=("s",), delete_when=None)
+    schema = "a int, b string, s int, v string"
+    base = spark.createDataFrame([(1, "x", 5, "old"), (None, "x", 5, "old"), (None, None, 5, "old"), (2, None, 5, "tie")], schema)
+    delta = spark.createDataFrame([(1, "x", 4, "late"), (None, "x", 6, "new"), (None, None, 7, "new"), (2, None, 5, "tiz"), (3, "y", 1, "first")], schema)
+    got = sorted(map(tuple, cdc.merge_reduced(base, delta, spec).collect()), key=str)
+    assert got == sorted(map(tuple, cdc.reduce_changes(base.unionByName(delta), spec).collect()), key=str)
+
+
+def test_no_shared_folder_is_an_error_off_local_masters():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tidewater.session import checkpoint_dir
+
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, getConf=lambda: {})
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc))
 
 
 def test_runner_compacts_by_change_ratio(spark):

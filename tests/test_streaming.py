@@ -1,5 +1,6 @@
 """Streaming flows on hand-written landings: twin drift, restart, NULL keys, drift rescue."""
 
+import os
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -90,7 +91,7 @@ def test_rescue_keeps_mistyped_and_extra_columns(spark):
         .withColumn("channel", F.lit("fax"))
     )
     r.land("claim", bad, "drift")
-    r.ingest(("claim",), rescue=True)
+    r.ingest(("claim",))
     got = {x["claim_id"]: (x["total_charge_amount"], x[RESCUE_COL]) for x in r.bronze("claim").collect()}
     assert got["C1"] == (Decimal("1.00"), None)
     assert got["C2"] == (None, '{"total_charge_amount":"lots","channel":"fax"}')
@@ -110,3 +111,37 @@ def test_publish_gold_versions(spark):
     assert (v0, v1) == (0, 1)
     assert [x["claim_status"] for x in r.read_gold("fact_claim").collect()] == ["REVERSED"]
     assert r.read_gold("agg_claims_daily").first()["reversal_rate"] == 1.0
+
+
+def test_files_per_trigger_and_a_batch_done_twice(spark):
+    from tidewater.streaming import ingest
+
+    r = Runner(spark, work_dir(spark, "test-limit"), max_files_per_trigger=1)
+    rows = header_rows(spark, [(f"C{i}", "PAID", Decimal("1.00"), None, "I", 1, TS) for i in range(40)])
+    rows.repartition(4).write.parquet(ingest.landing_path(r.root, "claim", "seed"))
+    r.ingest(("claim",))
+    folders = [n for n in os.listdir(ingest.bronze_path(r.root, "claim").removeprefix("file:")) if n.startswith("batch_id=")]
+    assert len(folders) == 4 and r.bronze("claim").count() == 40
+    ingest.append_batch(r.bronze("claim"), r.root, "claim", 3)  # a retry of a batch that is in place
+    assert r.bronze("claim").count() == 40
+
+
+def test_control_row_drives_later_runs(spark, sf):
+    r = Runner(spark, work_dir(spark, "test-runs"))
+    seen = set()
+    for _ in range(3):
+        run = r.land_next_run(sf, tables=("claim",))
+        landed = spark.read.parquet(f"{r.root}/landing/claim/{'seed' if not run else f'incr{run:04d}'}")
+        new = {x["claim_id"] for x in landed.where("header__change_oper = 'I'").collect()}
+        assert new and not new & seen
+        seen |= new
+
+
+def test_twin_is_compacted_with_its_lines(spark):
+    r = Runner(spark, work_dir(spark, "test-twin-compact"))
+    r.land("claim", header_rows(spark, [("C1", "PAID", Decimal("10.00"), date(2024, 1, 5), "I", 1, TS)]), "seed")
+    r.land("claim_detail", line_rows(spark, [("C1-1", "C1", Decimal("5.00"), "I", 1, TS)]), "seed")
+    r.step(("claim", "claim_detail"))
+    before = r.twin_table().collect()
+    assert any("fact_claim_line_streaming" in (p or "") for p in r.compact(("claim", "claim_detail")).values())
+    assert r.twin_table().collect() == before

@@ -70,6 +70,14 @@ def _order_fields(cols: Sequence[str | Column]) -> list[Column]:
     return out
 
 
+def _ranked(columns: Sequence[str], order: Sequence[str | Column]) -> Column:
+    """A struct that compares as changes do: the order columns, then all of the payload."""
+    return F.struct(
+        F.struct(*_order_fields(order)).alias(_ORDER),
+        F.struct(*[F.col(c) for c in columns]).alias(_PAYLOAD),
+    )
+
+
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The greatest change per key by ``order``, ties broken by the remaining columns.
 
@@ -79,16 +87,42 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     payload = [c for c in df.columns if c not in keys]
     if not payload:
         return df.select(*keys).distinct()
-    win = F.max(
-        F.struct(
-            F.struct(*_order_fields(order)).alias(_ORDER),
-            F.struct(*[F.col(c) for c in payload]).alias(_PAYLOAD),
-        )
-    ).alias(_WIN)
-    reduced = df.groupBy(*keys).agg(win)
+    reduced = df.groupBy(*keys).agg(F.max(_ranked(payload, order)).alias(_WIN))
     return reduced.select(*keys, *[F.col(f"{_WIN}.{_PAYLOAD}.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
+def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Join condition on key columns in which a NULL part equals a NULL part, as it does in a grouping."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def merge_reduced(base: DataFrame, delta: DataFrame, spec: "ApplySpec") -> DataFrame:
+    """``reduce_changes(base union delta)`` where each side already has one row per key.
+
+    One left outer join picks the greater row of each stored key; keys that only
+    the delta has follow by an anti join on the key columns alone. No row is
+    grouped again, and the join's strategy is Spark's to choose at run time.
+    """
+    keys = list(spec.keys)
+    payload = [c for c in base.columns if c not in keys]
+    missing = [c for c in payload if c not in delta.columns]
+    delta = delta.withColumns({c: F.lit(None).cast(base.schema[c].dataType) for c in missing}) if missing else delta
+    if not payload:
+        return base.unionByName(delta.select(*keys)).distinct()
+    other = [f"__d{i}" for i in range(len(keys))]
+    order = _with_order(spec)
+    stored = base.select(*keys, _ranked(payload, order).alias(_WIN))
+    changed = delta.select(*[F.col(k).alias(o) for k, o in zip(keys, other)], _ranked(payload, order).alias("__change"))
+    # a missing change is null and never the greater one
+    won = stored.join(changed, null_safe(keys, other), "left").select(*keys, F.greatest(_WIN, "__change").alias(_WIN))
+    kept = won.select(*keys, *[F.col(f"{_WIN}.{_PAYLOAD}.{c}").alias(c) for c in payload]).select(*base.columns)
+    known = base.select(*[F.col(k).alias(o) for k, o in zip(keys, other)])
+    return kept.unionByName(delta.join(known, null_safe(keys, other), "left_anti").select(*base.columns))
+
+
 def _with_order(spec: ApplySpec) -> list[str | Column]:
     return list(spec.sequence_by) + list(spec.tie_break)
 
@@ -140,7 +174,8 @@ def scd2_history(changes: DataFrame, spec: ApplySpec, start_value: str | Column
     A version opens at its change's sequence value (``start_value``, default
     the first ``sequence_by`` column) and ends where the next change of the key
     starts (NULL while current). A delete closes the open version and opens
-    none. Exact duplicate changes collapse to one. Late changes simply land in
+    none. A change delivered twice counts once: when and from which file it was
+    ingested is not part of it. Late changes simply land in
     order, since intervals are recomputed from the whole ordered log of the key.
 
     "Next change of the key" is computed skew-safely by ``ordered.next_in_key``:
@@ -150,8 +185,9 @@ def scd2_history(changes: DataFrame, spec: ApplySpec, start_value: str | Column
 
     start = col_of(start_value if start_value is not None else spec.sequence_by[0])
     ordered_cols = _with_order(spec)
-    base = changes.dropDuplicates().withColumn(START_COL, start)
-    with_next = next_in_key(base, spec.keys, ordered_cols + [F.struct(*[F.col(c) for c in base.columns if c not in spec.keys])], START_COL, "__next_start")
+    base = changes.drop(*[c for c in INGEST_COLUMNS if c in changes.columns]).withColumn(START_COL, start)
+    total = ordered_cols + [F.struct(*[F.col(c) for c in base.columns if c not in spec.keys])]
+    with_next = next_in_key(base, spec.keys, total, START_COL, "__next_start", distinct=True)
     versions = mark_deletes(with_next, spec).where(~F.col(DELETED_COL))
     out = versions.withColumn(END_COL, F.col("__next_start")).drop("__next_start", DELETED_COL)
     return out.drop(*[c for c in spec.except_columns if c in out.columns])

@@ -34,12 +34,15 @@ def next_in_key(
     value_col: str,
     out_col: str,
     num_partitions: int | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` = ``value_col`` of the next row of the same key by ``order``.
 
     NULL for the last row of each key. Rows are compared by the whole
     ``order`` tuple; give a total order (append a payload struct) for
-    deterministic results.
+    deterministic results. With ``distinct``, rows equal in key and order are one
+    row: a range partition holds all of them side by side, so dropping them
+    needs no shuffle of its own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -54,7 +57,11 @@ def next_in_key(
     ranged = staged.repartitionByRange(n, _K, _O).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
 
     w = Window.partitionBy(_PID, _K).orderBy(_O)
-    with_lead = ranged.withColumn(out_col, F.lead(F.col(value_col)).over(w)).withColumn(
+    rows = ranged
+    if distinct:
+        before = F.lag(_O).over(w)
+        rows = rows.withColumn("__before", before).where(F.col("__before").isNull() | (F.col("__before") != F.col(_O))).drop("__before")
+    with_lead = rows.withColumn(out_col, F.lead(F.col(value_col)).over(w)).withColumn(
         _LAST, F.lead(F.lit(1)).over(w).isNull()
     )
 

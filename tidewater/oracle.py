@@ -8,7 +8,7 @@ driver's parquet tables.
 
 from __future__ import annotations
 
-SEQ_STEP = 1_000_000_000_000
+SEQ_STEP = 10**15
 
 # --- fixed values: the default change mix as buckets of o_orderkey mod 20 ----
 #   0-3 new, 4-9 header only, 10-16 adjustment, 17-19 reversal
@@ -128,7 +128,7 @@ fact AS (
          coalesce(t.n, 0) AS line_count,
          CASE WHEN h.total_charge_amount = 0 THEN NULL ELSE
            CAST(CAST((CAST(coalesce(t.p, 0) * 100 AS BIGINT) * 20000 + CAST(h.total_charge_amount * 100 AS BIGINT))
-                     // (2 * CAST(h.total_charge_amount * 100 AS BIGINT)) AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(18,4))
+                     // (2 * CAST(h.total_charge_amount * 100 AS BIGINT)) AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(27,4))
          END AS paid_ratio
   FROM claim_cur h LEFT JOIN line_tot t ON h.claim_id = t.claim_id)"""
 
@@ -202,7 +202,7 @@ SELECT service_date_key, payer_id, provider_id, count(claim_id) AS claim_count,
        CAST(sum(total_paid_amount) AS DECIMAL(24,2)) AS total_paid,
        CAST(sum(total_adjustment_amount) AS DECIMAL(24,2)) AS total_adjustment,
        CAST(CAST((2 * sum(CAST(paid_ratio * 10000 AS BIGINT)) + count(paid_ratio)) // nullif(2 * count(paid_ratio), 0)
-            AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(18,4)) AS avg_paid_ratio,
+            AS DECIMAL(18,0)) * 0.0001 AS DECIMAL(28,4)) AS avg_paid_ratio,
        {half_up_rate("claim_status = 'REVERSED'", 'count(claim_id)')} AS reversal_rate,
        {half_up_rate("claim_status = 'ADJUSTED'", 'count(claim_id)')} AS adjustment_rate
 FROM fact GROUP BY service_date_key, payer_id, provider_id""",
@@ -365,11 +365,55 @@ UNION ALL SELECT 'payer', count(*) FROM nation""",
 })
 
 ORACLE["control_runs"] = f"""
-SELECT max(o_orderkey) AS max_claim_n, CAST({2 * SEQ_STEP} AS BIGINT) AS seq_base, CAST(1 AS BIGINT) AS run_index,
-       count(*) AS live_claims
-FROM orders"""
+WITH o AS (SELECT o_orderkey AS n, {ctype('o_orderkey')} = 'new' AS fresh FROM orders)
+SELECT max(n) FILTER (NOT fresh) + 2 * (max(n) FILTER (fresh) + 1) AS max_claim_n, CAST({3 * SEQ_STEP} AS BIGINT) AS seq_base,
+       CAST(2 AS BIGINT) AS run_index, count(*) FILTER (NOT fresh) + 2 * count(*) FILTER (fresh) AS live_claims
+FROM o"""
 
 ORACLE["cdc_scd2_claims"] = _with(CLAIM_LOG) + """
 SELECT claim_id, claim_status, payer_id, header__change_seq AS __start_at,
        lead(header__change_seq) OVER (PARTITION BY claim_id ORDER BY header__change_seq) AS __end_at
 FROM claim_log"""
+
+ORACLE["cdc_compact_retry"] = ORACLE["cdc_compact_lines"]
+ORACLE["cdc_compact_null_keys"] = """
+WITH logged AS (
+  SELECT CASE WHEN user_id % 3 = 0 THEN NULL ELSE user_id END AS u, CASE WHEN user_id % 5 = 0 THEN NULL ELSE event_type END AS kind, event_id, value
+  FROM events)
+SELECT u, kind, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY u, kind ORDER BY event_id DESC) AS r FROM logged) WHERE r = 1"""
+
+_GOLD = {
+    "fact_claim": "fact_header", "fact_claim_line": "fact_line", "agg_claims_daily": "agg_daily",
+    **{d: d for d in ("dim_provider", "dim_member", "dim_payer", "dim_procedure", "dim_diagnosis", "dim_date")},
+}
+ORACLE["gold_published"] = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS dataset, count(*) AS n_rows FROM ({ORACLE[own].strip()})" for name, own in sorted(_GOLD.items())
+)
+ORACLE["gold_published_kpis"] = ORACLE["agg_daily"]
+
+_ORDERS = f"WITH o AS (SELECT *, {ctype('o_orderkey')} AS ctype FROM orders)"
+ORACLE["change_batch_audit"] = _ORDERS + f"""
+SELECT printf('AUD%012d-01', o_orderkey) AS claim_audit_id, printf('CLM%012d', o_orderkey) AS claim_id, e AS event_type,
+       o_orderstatus AS event_status, printf('USR%09d', o_custkey) AS event_user, o_orderdate AS event_timestamp, e || ' event' AS note,
+       'I' AS header__change_oper, {SEQ_STEP} + o_orderkey * 100 + 1 AS header__change_seq
+FROM (SELECT *, CASE ctype WHEN 'new' THEN 'SUBMIT' WHEN 'header_only' THEN 'DENY' WHEN 'adjustment' THEN 'ADJUST' ELSE 'REVERSE' END AS e
+      FROM o WHERE ctype IS NOT NULL)"""
+ORACLE["change_batch_payments"] = _ORDERS + f"""
+SELECT printf('PMT%012d-01', o_orderkey) AS payment_id, printf('CLM%012d', o_orderkey) AS claim_id,
+       printf('PAY%05d', o_custkey % 25 + 1) AS payer_id, o_orderpriority AS payment_method,
+       CAST(o_totalprice AS DECIMAL(12,2)) AS payment_amount, CAST(o_orderdate AS DATE) AS payment_date,
+       printf('CHK%09d', o_orderkey) AS check_number, o_orderdate AS last_updated,
+       'U' AS header__change_oper, {SEQ_STEP} + o_orderkey * 100 + 2 AS header__change_seq
+FROM o WHERE ctype IN ('adjustment', 'reversal')"""
+ORACLE["change_batch_attributes"] = _ORDERS + f"""
+SELECT printf('ATR%012d-%d', o_orderkey, i) AS claim_attribute_id, printf('CLM%012d', o_orderkey) AS claim_id,
+       CASE WHEN i < 3 THEN 'order' ELSE 'customer' END AS attribute_group,
+       CASE i WHEN 1 THEN 'priority' WHEN 2 THEN 'status' ELSE 'number' END AS attribute_name,
+       CASE i WHEN 1 THEN o_orderpriority WHEN 2 THEN o_orderstatus ELSE CAST(o_custkey AS VARCHAR) END AS attribute_value,
+       o_orderdate AS last_updated, 'I' AS header__change_oper, {SEQ_STEP} + o_orderkey * 100 + 10 + i AS header__change_seq
+FROM o, generate_series(1, 3) AS t(i) WHERE ctype = 'new'"""
+ORACLE["change_batch_diagnoses"] = f"""
+SELECT printf('DX%012d-%d', l_orderkey, l_linenumber) AS claim_diagnosis_id, printf('CLM%012d', l_orderkey) AS claim_id,
+       l_linenumber AS diagnosis_seq, p_brand AS diagnosis_code, CASE WHEN l_linenumber = 1 THEN 'PRINCIPAL' ELSE 'SECONDARY' END AS diagnosis_type,
+       l_shipdate AS last_updated, 'I' AS header__change_oper, {SEQ_STEP} + l_orderkey * 100 + l_linenumber AS header__change_seq
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE {ctype('l_orderkey')} = 'new'"""

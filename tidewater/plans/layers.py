@@ -31,8 +31,6 @@ def gold_datasets(spark: SparkSession, current: dict[str, DataFrame], calendar=N
     service dates.
     """
     header, detail = current["claim"], current["claim_detail"]
-    if calendar is None:
-        calendar = gold.calendar_bounds(header)
     fact = gold.fact_claim(header, detail)
     return {
         "dim_provider": gold.dim_provider(current["provider"]),
@@ -40,7 +38,7 @@ def gold_datasets(spark: SparkSession, current: dict[str, DataFrame], calendar=N
         "dim_payer": gold.dim_payer(current["payer"]),
         "dim_procedure": gold.dim_procedure(detail),
         "dim_diagnosis": gold.dim_diagnosis(current["claim_diagnosis"]),
-        "dim_date": gold.dim_date(spark, *calendar),
+        "dim_date": gold.dim_date(spark, *calendar) if calendar else gold.dim_date_of(header),
         "fact_claim_line": gold.fact_claim_line(detail, header),
         "fact_claim": fact,
         "agg_claims_daily": gold.daily_kpis(fact),

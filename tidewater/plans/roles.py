@@ -53,6 +53,10 @@ class RoleMap:
     # Bucket by xxhash64 of the key instead of the key itself: uniform for any
     # key range and bucket count (the plain modulo is what SQL oracles repeat).
     hashed_buckets: bool = False
+    # Later runs of a landing job: new claims get keys from this number on, and the
+    # run's sequence numbers start here (default: the run's own block).
+    new_key_base: int = 0
+    seq_base: int | None = None
 
 
 SEED, INCREMENT = 0, 1
@@ -99,8 +103,14 @@ def _oper(ctype: Column, table: str) -> Column:
 # claim headers
 # ---------------------------------------------------------------------------
 def _orders(spark: SparkSession, sf_dir: str, rm: RoleMap) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    return o.withColumn("__ctype", _ctype(F.col("o_orderkey"), rm))
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    return _above_mark(o.withColumn("__ctype", _ctype(F.col("o_orderkey"), rm)), "o_orderkey", rm)
+
+
+def _above_mark(rows: DataFrame, key: str, rm: RoleMap) -> DataFrame:
+    if not rm.new_key_base:
+        return rows
+    return rows.withColumn(key, F.when(F.col("__ctype") == "new", F.col(key) + rm.new_key_base).otherwise(F.col(key)))
 
 
 def _existing(ctype: Column) -> Column:
@@ -130,8 +140,8 @@ def _claim_rows(o: DataFrame, status: Column, rm: RoleMap, run: int) -> DataFram
     )
 
 
-def _seq(run: int, ordinal: Column) -> Column:
-    return F.lit(run * ch.SEQ_STEP) + ordinal
+def _seq(rm: RoleMap, run: int, ordinal: Column) -> Column:
+    return F.lit(run * ch.SEQ_STEP if rm.seq_base is None else rm.seq_base) + ordinal
 
 
 def claim_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -143,7 +153,7 @@ def claim_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> Da
     else:
         rows = _claim_rows(o.where(F.col("__ctype").isNotNull()), _status(F.col("__ctype")), rm, run)
         oper = _oper(F.col("__ctype"), "claim")
-    stamped = ch.stamp(rows, oper, _seq(run, F.col("__n") * 100), F.col("__ts"))
+    stamped = ch.stamp(rows, oper, _seq(rm, run, F.col("__n") * 100), F.col("__ts"))
     return ch.conform(stamped, spec)
 
 
@@ -155,7 +165,7 @@ def _lines(spark: SparkSession, sf_dir: str, rm: RoleMap) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    return li.withColumn("__ctype", _ctype(F.col("l_orderkey"), rm))
+    return _above_mark(li.withColumn("__ctype", _ctype(F.col("l_orderkey"), rm)), "l_orderkey", rm)
 
 
 def _line_amounts() -> dict[str, Column]:
@@ -191,13 +201,10 @@ def detail_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> D
         (n * 100 + line).alias("__ord"),
         F.col("l_shipdate").alias("__ts"),
     )
-    return ch.conform(ch.stamp(out, oper, _seq(run, F.col("__ord")), F.col("__ts")), CLAIMS["claim_detail"])
+    return ch.conform(ch.stamp(out, oper, _seq(rm, run, F.col("__ord")), F.col("__ts")), CLAIMS["claim_detail"])
 
 
-LINE_PAYLOAD = [
-    "line_number", "procedure_code", "revenue_code", "place_of_service", "provider_id", "units",
-    "charge_amount", "allowed_amount", "paid_amount", "adjustment_amount", "last_updated",
-]
+LINE_PAYLOAD = [c for c in CLAIMS["claim_detail"].business_columns if c not in ("claim_detail_id", "claim_id")]
 
 
 def _line_column(c: str, rm: RoleMap, run: int) -> Column:
@@ -244,14 +251,14 @@ def audit_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> Da
         padded_id("AUD", n, 12, (F.lit(run), 2)).alias("claim_audit_id"),
         claim_key(n).alias("claim_id"),
         F.col("__event").alias("event_type"),
-        ch.pick(ch.EVENT_STATUS, n + run).alias("event_status"),
-        ch.pick(ch.EVENT_USERS, n + run).alias("event_user"),
+        F.col("o_orderstatus").alias("event_status"),
+        padded_id("USR", F.col("o_custkey"), 9).alias("event_user"),
         F.col("o_orderdate").cast("timestamp").alias("event_timestamp"),
         F.concat(F.col("__event"), F.lit(" event")).alias("note"),
         n.alias("__n"),
         F.col("o_orderdate").alias("__ts"),
     )
-    return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__n") * 100 + 1), F.col("__ts")), CLAIMS["claim_audit"])
+    return ch.conform(ch.stamp(rows, "I", _seq(rm, run, F.col("__n") * 100 + 1), F.col("__ts")), CLAIMS["claim_audit"])
 
 
 def payment_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -266,7 +273,7 @@ def payment_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) ->
         padded_id("PMT", n, 12, (F.lit(run), 2)).alias("payment_id"),
         claim_key(n).alias("claim_id"),
         padded_id("PAY", F.pmod(F.col("o_custkey"), F.lit(rm.n_payers)) + 1, 5).alias("payer_id"),
-        ch.pick(ch.PAYMENT_METHODS, n).alias("payment_method"),
+        F.col("o_orderpriority").alias("payment_method"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("payment_amount"),
         F.to_date("o_orderdate").alias("payment_date"),
         padded_id("CHK", n, 9).alias("check_number"),
@@ -274,7 +281,7 @@ def payment_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) ->
         n.alias("__n"),
         F.col("o_orderdate").alias("__ts"),
     )
-    return ch.conform(ch.stamp(rows, oper, _seq(run, F.col("__n") * 100 + 2), F.col("__ts")), CLAIMS["claim_payment"])
+    return ch.conform(ch.stamp(rows, oper, _seq(rm, run, F.col("__n") * 100 + 2), F.col("__ts")), CLAIMS["claim_payment"])
 
 
 def attribute_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -282,19 +289,19 @@ def attribute_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -
     o = _orders(spark, sf_dir, rm)
     o = o.where(_existing(F.col("__ctype"))) if run == SEED else o.where(F.col("__ctype") == "new")
     n = F.col("o_orderkey")
-    rows = o.select(n.alias("__n"), F.col("o_orderdate").alias("__ts"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("__i"))
+    rows = o.select(n.alias("__n"), F.col("o_orderdate").alias("__ts"), "o_orderpriority", "o_orderstatus", "o_custkey", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("__i"))
     i = F.col("__i")
     n = F.col("__n")
     out = rows.select(
         padded_id("ATR", n, 12, (i, 0)).alias("claim_attribute_id"),
         claim_key(n).alias("claim_id"),
-        ch.pick(ch.ATTRIBUTE_GROUPS, n + i).alias("attribute_group"),
-        ch.pick(ch.ATTRIBUTE_NAMES, n + i).alias("attribute_name"),
-        ch.pick(ch.ATTRIBUTE_VALUES, n + i).alias("attribute_value"),
+        F.when(i < 3, "order").otherwise("customer").alias("attribute_group"),
+        F.when(i == 1, "priority").when(i == 2, "status").otherwise("number").alias("attribute_name"),
+        F.when(i == 1, F.col("o_orderpriority")).when(i == 2, F.col("o_orderstatus")).otherwise(F.col("o_custkey").cast("string")).alias("attribute_value"),
         F.col("__ts").cast("timestamp").alias("last_updated"),
         n, i, F.col("__ts"),
     )
-    return ch.conform(ch.stamp(out, "I", _seq(run, n * 100 + 10 + i), F.col("__ts")), CLAIMS["claim_attribute"])
+    return ch.conform(ch.stamp(out, "I", _seq(rm, run, n * 100 + 10 + i), F.col("__ts")), CLAIMS["claim_attribute"])
 
 
 def diagnosis_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -314,7 +321,7 @@ def diagnosis_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -
         (n * 100 + line).alias("__ord"),
         F.col("l_shipdate").alias("__ts"),
     )
-    return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__ord")), F.col("__ts")), CLAIMS["claim_diagnosis"])
+    return ch.conform(ch.stamp(rows, "I", _seq(rm, run, F.col("__ord")), F.col("__ts")), CLAIMS["claim_diagnosis"])
 
 
 # ---------------------------------------------------------------------------
@@ -338,7 +345,7 @@ def provider_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) ->
         padded_id("ST", F.col("s_nationkey"), 2).alias("state"),
         k.alias("__n"),
     )
-    return ch.conform(ch.stamp(rows, oper, _seq(run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["provider"])
+    return ch.conform(ch.stamp(rows, oper, _seq(rm, run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["provider"])
 
 
 def member_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -356,7 +363,7 @@ def member_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> D
         padded_id("ST", F.col("c_nationkey"), 2).alias("state"),
         k.alias("__n"),
     )
-    return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["member"])
+    return ch.conform(ch.stamp(rows, "I", _seq(rm, run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["member"])
 
 
 def payer_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> DataFrame:
@@ -373,7 +380,7 @@ def payer_changes(spark: SparkSession, sf_dir: str, rm: RoleMap, run: int) -> Da
         F.lit(None).cast("string").alias("state"),
         k.alias("__n"),
     )
-    return ch.conform(ch.stamp(rows, "I", _seq(run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["payer"])
+    return ch.conform(ch.stamp(rows, "I", _seq(rm, run, F.col("__n")), F.lit("2000-01-01 00:00:00").cast("timestamp")), CLAIMS["payer"])
 
 
 BUILDERS = {

@@ -9,6 +9,7 @@ return a batch read of the result.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,9 @@ from .operators import cdc, quality
 from .plans import gold, layers, reconcile, refresh, roles, skew
 from .session import work_dir
 from .sources.control import CONTROL_SCHEMA, control_path
-from .specs import CLAIMS, OPER_COL, RESCUE_COL, SEQ_COL, SOURCE_FILE_COL, Rule
+from .specs import CLAIMS, OPER_COL, RESCUE_COL, SEQ_COL, SOURCE_FILE_COL, Rule, TableSpec
 from .streaming import apply as ap
-from .streaming.ingest import checkpoint_path, land, landing_path
+from .streaming.ingest import land, landing_path
 from .streaming.runner import Runner
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,8 +85,7 @@ def dim_diagnosis(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar covering whole years of the claims' service dates (bounds from the data)."""
-    start, end = gold.calendar_bounds(_silver(spark, sf_dir, "claim"))
-    return gold.dim_date(spark, start, end)
+    return gold.dim_date_of(_silver(spark, sf_dir, "claim"))
 
 
 @register
@@ -283,20 +283,6 @@ def skew_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@register
-def skew_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Max/median rows per shuffle partition when merging on each key (Spark's hash)."""
-
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = None
-    for scenario, hot in SKEW_SCENARIOS:
-        inc = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, roles.RoleMap(hot_share=hot))
-        for k in SKEW_KEYS:
-            p = skew.partition_profile(inc, [k], n).select(F.lit(scenario).alias("scenario"), F.lit(k).alias("merge_key"), "*")
-            out = p if out is None else out.unionByName(p)
-    return out
-
-
 # ---------------------------------------------------------------------------
 # reconciliation and snapshot difference
 # ---------------------------------------------------------------------------
@@ -359,21 +345,25 @@ def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @register
 def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The increment lands with a text ``units`` column and an unknown column: rows kept, misfits rescued."""
-
-    runner = Runner(spark, work_dir(spark, "rescue"))
-    runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
-    runner.ingest(("claim_detail",), rescue=True)
-    inc = roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT)
+    """Plain files, then an increment with a text ``units`` column and an unknown column, then plain files again, through the same flow."""
+
+    table, runner = "claim_detail", Runner(spark, work_dir(spark, "rescue"))
+    seed = roles.changes(spark, sf_dir, table, roles.SEED)
+    first = F.pmod(F.xxhash64("claim_detail_id"), F.lit(2)) == 0
+    runner.land(table, seed.where(first), "seed")
+    runner.step((table,), with_twin=False)
+    inc = roles.changes(spark, sf_dir, table, roles.INCREMENT)
     drifted = inc.withColumn(
         "units",
         F.when(F.col("line_number") == 1, F.concat(F.col("units").cast("string"), F.lit(" units"))).otherwise(
             F.col("units").cast("string")
         ),
     ).withColumn("source_system", F.lit("legacy"))
-    runner.land("claim_detail", drifted, "incr0001")
-    runner.ingest(("claim_detail",), rescue=True)
-    return runner.bronze("claim_detail").select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, RESCUE_COL)
+    runner.land(table, drifted, "incr0001")
+    runner.step((table,), with_twin=False)
+    runner.land(table, seed.where(~first), "late")
+    runner.step((table,), with_twin=False)
+    return runner.bronze(table).select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, RESCUE_COL)
 
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON text keeps microseconds (default is millis)
@@ -381,27 +371,18 @@ MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON text keeps microseconds (default
 
 @register
 def bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON landing: the same reader with a format argument and the declared schema."""
+    """JSON landing through the bronze flow: the same reader with a format argument and the declared schema."""
 
-    root = work_dir(spark, "json")
     events = roles.events_log(spark, sf_dir)
+    spec = TableSpec("events", ("user_id",), tuple((f.name, f.dataType.simpleString()) for f in events.schema.fields))
+    runner = Runner(spark, work_dir(spark, "json"), {"events": spec})
     half = F.pmod(F.xxhash64(F.col("event_id")), F.lit(2))
     for i in (0, 1):
-        events.where(half == i).write.mode("append").option("timestampNTZFormat", MICROS).json(
-            landing_path(root, "events", f"part{i}")
+        events.where(half == i).write.mode("append").option("timestampNTZFormat", MICROS).option("timestampFormat", MICROS).json(
+            landing_path(runner.root, "events", f"part{i}")
         )
-    src = (
-        spark.readStream.format("json").schema(events.schema).option("recursiveFileLookup", "true")
-        .option("timestampNTZFormat", MICROS)
-        .load(landing_path(root, "events"))
-    )
-    out = f"{root}/bronze/events"
-    (
-        src.writeStream.format("parquet").option("path", out)
-        .option("checkpointLocation", checkpoint_path(root, "bronze_events_json"))
-        .trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.read.schema(events.schema).parquet(out)
+    runner.ingest(fmt="json")
+    return runner.bronze("events").select(*events.columns)
 
 
 @register
@@ -428,23 +409,107 @@ def cdc_compact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.current("claim_detail").select(*_COMPARED_DETAIL)
 
 
+@register
+def cdc_compact_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch fails half-way, the state is compacted, the batch is retried: nothing is lost."""
+
+    table, spec = "claim_detail", CLAIMS["claim_detail"]
+    root, rule = work_dir(spark, "retry"), cdc.ApplySpec.for_table(CLAIMS["claim_detail"])
+    ap.apply_batch(roles.changes(spark, sf_dir, table, roles.SEED), 0, root, table, rule, spec.rules, spec.delete_predicate)
+    failed = roles.changes(spark, sf_dir, table, roles.INCREMENT)
+    failed.write.parquet(f"{ap.state_path(root, table)}/batch_id=1/_temporary/0")  # what a failed write leaves
+    ap.compact(spark, root, table, rule)
+    ap.apply_batch(failed, 1, root, table, rule, spec.rules, spec.delete_predicate)
+    return ap.current_state(spark, root, table, rule).select(*_COMPARED_DETAIL)
+
+
+@register
+def cdc_compact_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys with NULL parts through a snapshot and a later batch: they are keys like any other."""
+
+    kind = F.when(F.col("user_id") % 5 != 0, F.col("event_type"))
+    user = F.when(F.col("user_id") % 3 != 0, F.col("user_id"))
+    log = roles.events_log(spark, sf_dir).select(user.alias("u"), kind.alias("kind"), "event_id", "value")
+    rule = cdc.ApplySpec(keys=("u", "kind"), sequence_by=("event_id",), delete_when=None)
+    root, half = work_dir(spark, "null-keys"), F.pmod(F.xxhash64("event_id"), F.lit(2))
+    ap.apply_batch(log.where(half == 0), 0, root, "log", rule)
+    ap.compact(spark, root, "log", rule)
+    ap.apply_batch(log.where(half == 1), 1, root, "log", rule)
+    return ap.current_state(spark, root, "log", rule)
+
+
 @register
 def control_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs landed through the control row: high-water mark, next sequence base, run index."""
+    """Three runs landed through the control row: high-water mark, next sequence base, run index."""
 
     runner = Runner(spark, work_dir(spark, "control"))
-    for _ in (roles.SEED, roles.INCREMENT):
-        runner.land_next_run(sf_dir, tables=("claim", "claim_detail"))
+    for _ in range(3):
+        run = runner.land_next_run(sf_dir, tables=("claim", "claim_detail"))
     runner.step(("claim", "claim_detail"), with_twin=False)
-    latest = spark.read.schema(CONTROL_SCHEMA).parquet(f"{control_path(runner.root)}/v=1")
-    live = runner.current("claim").count()  # a scalar, not rows
-    return latest.select("max_claim_n", "seq_base", "run_index", F.lit(live).cast("bigint").alias("live_claims"))
+    latest = spark.read.schema(CONTROL_SCHEMA).parquet(f"{control_path(runner.root)}/v={run}")
+    live = runner.current("claim").agg(F.count(F.lit(1)).alias("live_claims"), F.lit(run).cast("bigint").alias("run_index"))
+    return latest.join(live, "run_index").select("max_claim_n", "seq_base", "run_index", "live_claims")
+
+
+def _published(spark: SparkSession, sf_dir: str) -> Runner:
+    runner = _claims_runner(spark, sf_dir, tuple(CLAIMS), False, "gold")
+    runner.publish_gold()
+    return runner
+
+
+@register
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each gold dataset as published from stored silver."""
+
+    runner, out = _published(spark, sf_dir), None
+    for name in sorted(runner.gold()):
+        n = runner.read_gold(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("dataset"), "n_rows")
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
+@register
+def gold_published_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily KPIs as published, built from the published header fact."""
+
+    return _published(spark, sf_dir).read_gold("agg_claims_daily")
 
 
 @register
 def cdc_scd2_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Type-2 history of claim headers, rebuilt from their bronze change log."""
-    runner = _claims_runner(spark, sf_dir, ("claim",), False, "scd2")
-    spec = cdc.ApplySpec.for_table(CLAIMS["claim"])
-    hist = cdc.scd2_history(runner.bronze("claim"), spec)
-    return hist.select("claim_id", "claim_status", "payer_id", cdc.START_COL, cdc.END_COL)
+    """Type-2 history of claim headers from their bronze log, the seed delivered twice."""
+
+    registry = {**CLAIMS, "claim": replace(CLAIMS["claim"], scd_type=2)}
+    runner = Runner(spark, work_dir(spark, "scd2"), registry)
+    for run, label in ((roles.SEED, "seed"), (roles.SEED, "again"), (roles.INCREMENT, "incr0001")):
+        runner.land("claim", roles.changes(spark, sf_dir, "claim", run), label)
+        runner.ingest(("claim",))
+    return runner.table("claim").select("claim_id", "claim_status", "payer_id", cdc.START_COL, cdc.END_COL)
+
+
+def _increment(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return roles.changes(spark, sf_dir, table, roles.INCREMENT).select(*CLAIMS[table].business_columns, OPER_COL, SEQ_COL)
+
+
+@register
+def change_batch_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit rows of the increment."""
+    return _increment(spark, sf_dir, "claim_audit")
+
+
+@register
+def change_batch_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment rows of the increment."""
+    return _increment(spark, sf_dir, "claim_payment")
+
+
+@register
+def change_batch_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribute rows of the increment's new claims."""
+    return _increment(spark, sf_dir, "claim_attribute")
+
+
+@register
+def change_batch_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Diagnosis rows of the increment's new claims."""
+    return _increment(spark, sf_dir, "claim_diagnosis")

@@ -54,7 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: no cluster named a shared folder.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

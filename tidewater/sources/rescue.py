@@ -1,9 +1,8 @@
-"""Schema-drift rescue for landed parquet files.
+"""Schema-drift rescue for landed files.
 
-A declared-schema parquet read fails outright when a file stores a column with
-another type, and silently ignores columns the registry does not know. Here the
-files of a batch are grouped by their own footer schema; each group is read
-with that schema and conformed to the registry:
+A declared-schema read fails outright when a file stores a column with another
+type, and silently ignores columns the registry does not know. Here the files of
+a batch are read with the schema they have and conformed to the registry:
 
 * a declared column stored with another type is ``try_cast``; a value that
   does not fit becomes NULL in the column and is kept, as text, in the rescue
@@ -12,66 +11,46 @@ with that schema and conformed to the registry:
 * a declared column missing from the file is NULL.
 
 The rescue column is ``to_json`` of the misfits, NULL when nothing was rescued.
-The streaming form lists new file paths with the ``binaryFile`` source (path
-only: file contents are not read), then reads them in ``foreachBatch``.
 """
 
 from __future__ import annotations
 
-import warnings
-from collections.abc import Iterable
+from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
 
 
-def group_by_schema(spark: SparkSession, paths: Iterable[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by their footer schema (footers only; no data read).
+def _folder(path: str) -> str:
+    return path.rsplit("/", 1)[0]
 
-    Footers are read in parallel on executors; only (path, footer text) pairs
-    come back, one per file of the trigger. Each distinct footer is then
-    resolved to a Spark schema once, from one of its files.
-    """
-    paths = list(paths)
-
-    def footer_schemas(batches):
-        # Runs on executors; defined here so it ships by value (no package import there).
-        import pandas as pd
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for pdf in batches:
-            out = []
-            for path in pdf["path"]:
-                uri = path
-                if uri.startswith("file:") and not uri.startswith("file://"):
-                    uri = "file://" + uri[len("file:"):]  # Hadoop's file:/x form
-                elif "://" not in uri:
-                    uri = "file://" + uri
-                fs, p = pafs.FileSystem.from_uri(uri)
-                with fs.open_input_file(p) as f:
-                    out.append(pq.read_schema(f).to_string(show_field_metadata=False, show_schema_metadata=False))
-            yield pd.DataFrame({"path": pdf["path"], "footer": out})
 
+def group_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
+    """Files in groups that one schema can read, each with that schema.
+
+    Spark merges the footers of a group in a job of its own, on whatever file
+    system the files are. Files that disagree on a type make the merge fail; the
+    group is then split, by landing folder first (a run's files share a writer),
+    else in halves. Without drift it is one job.
+    """
+    paths = sorted(paths)
     try:
-        listing = spark.createDataFrame([(p,) for p in paths], "path string")
-        n = max(1, min(len(paths), spark.sparkContext.defaultParallelism))
-        pairs = listing.repartition(n).mapInPandas(footer_schemas, "path string, footer string").collect()
-        by_footer: dict[str, list[str]] = {}
-        for r in pairs:
-            by_footer.setdefault(r["footer"], []).append(r["path"])
-        return [(spark.read.parquet(files[0]).schema, files) for files in by_footer.values()]
-    except Exception as e:  # noqa: BLE001 - a file system pyarrow cannot open: read footers here
-        warnings.warn(f"footers read on the driver ({type(e).__name__}: {str(e)[:200]})", stacklevel=2)
-        groups: dict[str, tuple[StructType, list[str]]] = {}
-        for p in paths:
-            schema = spark.read.parquet(p).schema
-            groups.setdefault(schema.json(), (schema, []))[1].append(p)
-        return list(groups.values())
+        return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, paths)]
+    except (PySparkException, Py4JJavaError) as e:  # the job's own failure comes as the latter
+        if len(paths) == 1 or "merge" not in str(e).lower():
+            raise
+    folders = sorted({_folder(p) for p in paths})
+    if len(folders) > 1:
+        half = set(folders[: len(folders) // 2])
+        parts = [p for p in paths if _folder(p) in half], [p for p in paths if _folder(p) not in half]
+    else:
+        parts = paths[: len(paths) // 2], paths[len(paths) // 2 :]
+    return [g for part in parts for g in group_by_schema(spark, part)]
 
 
 def conform(df: DataFrame, declared: StructType) -> DataFrame:
@@ -102,48 +81,24 @@ def conform(df: DataFrame, declared: StructType) -> DataFrame:
     return df.select(*cols, rescue.alias(RESCUE_COL), F.col("_metadata.file_path").alias(SOURCE_FILE_COL))
 
 
-def read_rescued(spark: SparkSession, paths: list[str], spec: TableSpec) -> DataFrame | None:
-    """Bronze rows (declared columns + provenance + rescue) from a list of files."""
+def read_rescued(spark: SparkSession, paths: Sequence[str], spec: TableSpec, fmt: str = "parquet") -> DataFrame | None:
+    """Bronze rows (declared columns + provenance + rescue) from a list of files.
+
+    JSON has no footers: its values are read as text and cast to the declared types.
+    """
     declared = spec.change_schema()
+    if fmt == "parquet":
+        parts = [spark.read.schema(schema).parquet(*files) for schema, files in group_by_schema(spark, paths)]
+    elif fmt == "json":
+        parts = [spark.read.option("primitivesAsString", "true").json(list(paths))] if paths else []
+    else:
+        raise ValueError(f"no rescue reader for {fmt!r}")
     out = None
-    for schema, files in group_by_schema(spark, paths):
-        part = conform(spark.read.schema(schema).parquet(*files), declared)
+    for part in parts:
+        part = conform(part, declared)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return None
     return out.withColumn(INGESTED_AT_COL, F.current_timestamp()).select(
         *[f.name for f in declared.fields], INGESTED_AT_COL, SOURCE_FILE_COL, RESCUE_COL
     )
-
-
-def start_rescued_bronze(
-    spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet", max_files_per_trigger: int = 1000
-) -> StreamingQuery:
-    """Bronze flow that tolerates drift: new file paths -> rescued read -> ``bronze/<t>/batch_id=N``."""
-    from ..streaming.ingest import bronze_path, checkpoint_path, landing_path
-
-    if fmt != "parquet":
-        raise ValueError("rescue reads parquet footers; other formats use the declared-schema reader")
-    files = (
-        spark.readStream.format("binaryFile")
-        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .option("maxFilesPerTrigger", str(max_files_per_trigger))
-        .load(landing_path(root, spec.name))
-        .select("path")
-    )
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        # File paths of one trigger: metadata, at most max_files_per_trigger of them.
-        paths = [r.path for r in batch.collect()]
-        rows = read_rescued(spark, paths, spec) if paths else None
-        if rows is not None:
-            rows.write.mode("overwrite").parquet(f"{bronze_path(root, spec.name)}/batch_id={batch_id}")
-
-    return (
-        files.writeStream.foreachBatch(run)
-        .option("checkpointLocation", checkpoint_path(root, f"bronze_rescue_{spec.name}"))
-        .trigger(availableNow=True)
-        .start()
-    )

@@ -7,7 +7,6 @@ see a half-written table.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,15 +24,6 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{name}"
 
 
-# Inputs estimated below this size are spread over all cores after the scan.
-FAN_OUT_BYTES = int(os.environ.get("TIDEWATER_FAN_OUT_BYTES", str(256 * 1024 * 1024)))
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes for a scan); no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the files under ``path`` (file-system metadata, no data read)."""
     jvm = spark.sparkContext._jvm
@@ -41,40 +31,15 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
 
 
-def fan_out(df: DataFrame, max_bytes: int = FAN_OUT_BYTES, size: int | None = None) -> DataFrame:
-    """Round-robin a *small* input over the default parallelism.
-
-    A small file with one row group is a single scan task, and every narrow
-    step after it (id formatting, casts, partial aggregation) would run in
-    that one task. Below ``max_bytes`` a round-robin shuffle costs little and
-    lets all cores work; above it the input already has many splits and is
-    left alone, so a large table is never reshuffled for this.
-    """
-    if (estimated_bytes(df) if size is None else size) >= max_bytes:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
-def files_for(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Output file count for ``df``: its estimated size over ``target_bytes``,
-    at least the shuffle-partition count (so small tables still write in parallel)."""
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    est = estimated_bytes(df)
-    return max(floor, min(est // target_bytes + 1, 1_000_000))
-
-
-def read_table(
-    spark: SparkSession, root: str, name: str, schema: StructType | str | None = None, spread_small: bool = True
-) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str, schema: StructType | str | None = None) -> DataFrame:
+    """A named table; how a scan is split is the session's setting (``recommended_conf``)."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    path = table_path(root, name)
-    df = reader.parquet(path)
-    return fan_out(df, size=path_bytes(spark, path)) if spread_small else df
+    return reader.parquet(table_path(root, name))
 
 
 def write_table(
@@ -88,12 +53,14 @@ def write_table(
     """Write ``df`` as parquet; optionally clustered on ``cluster_by``.
 
     Clustering range-partitions on the columns and sorts each file, so parquet
-    row-group min/max statistics let a keyed read skip most of the table.
+    row-group min/max statistics let a keyed read skip most of the table. The
+    number of files is ``num_files``, or the session's shuffle partitions less
+    what adaptive execution merges by their measured size.
     """
     out = df
     if cluster_by:
-        n = num_files or files_for(df)
-        out = out.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+        out = out.repartitionByRange(num_files, *cluster_by) if num_files else out.repartitionByRange(*cluster_by)
+        out = out.sortWithinPartitions(*cluster_by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -164,7 +164,19 @@ def _numbered(spark: SparkSession, path: str, prefix: str, committed: bool = Fal
 
 
 def batch_ids(spark: SparkSession, root: str, name: str) -> list[int]:
-    return _numbered(spark, state_path(root, name), "batch_id=")
+    """Batches that readers see: the committed ones, up to the first that is not.
+
+    Batches run in order, so a folder without its ``_SUCCESS`` marker is a batch
+    that failed and will be retried; nothing after it exists yet.
+    """
+    found = _numbered(spark, state_path(root, name), "batch_id=")
+    done = set(_numbered(spark, state_path(root, name), "batch_id=", committed=True))
+    out = []
+    for n in found:
+        if n not in done or (out and n != out[-1] + 1):
+            break
+        out.append(n)
+    return out
 
 
 def latest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
@@ -174,33 +186,17 @@ def latest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
 
 
 def read_state(spark: SparkSession, root: str, name: str, after: int | None = None) -> DataFrame:
-    """Per-batch reduced rows; with ``after``, only batches newer than a snapshot (partition pruning)."""
-    df = spark.read.parquet(state_path(root, name))
-    if after is not None:
-        df = df.where(F.col("batch_id") > after)
-    return df.drop("batch_id")
-
-
-BROADCAST_KEY_LIMIT = 1_000_000
-
+    """Per-batch reduced rows of committed batches; with ``after``, only those newer than a snapshot."""
+    base = state_path(root, name)
+    ids = [b for b in batch_ids(spark, root, name) if after is None or b > after]
+    if not ids:
+        raise FileNotFoundError(f"no committed batch of {name!r} after {after}")
+    return spark.read.parquet(*[_batch_dir(base, b) for b in ids])
 
-def merge_on_read(base: DataFrame, delta: DataFrame, apply: cdc.ApplySpec, broadcast_key_limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
-    """``reduce(base union delta)`` where ``base`` already holds one row per key.
 
-    Only keys present in the delta are re-reduced; the rest of the snapshot
-    passes through an anti join. The delta's key set is counted first and
-    broadcast only under ``broadcast_key_limit`` rows, so the snapshot is never
-    shuffled for a small delta; a large delta falls back to a shuffled join.
-    """
-    keys = list(apply.keys)
-    d = cdc.reduce_changes(delta, apply)
-    touched = d.select(*keys)
-    n = touched.count()
-    k = F.broadcast(touched) if n <= broadcast_key_limit else touched
-    untouched = base.join(k, keys, "left_anti")
-    old = base.join(k, keys, "left_semi")
-    merged = cdc.reduce_changes(old.unionByName(d, allowMissingColumns=True), apply)
-    return untouched.unionByName(merged.select(*base.columns))
+def merge_on_read(base: DataFrame, delta: DataFrame, apply: cdc.ApplySpec) -> DataFrame:
+    """``reduce(base union delta)`` where ``base`` already holds one row per key: reduce the delta, then join once."""
+    return cdc.merge_reduced(base, cdc.reduce_changes(delta, apply), apply)
 
 
 def reduced_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec) -> DataFrame:
@@ -209,8 +205,7 @@ def reduced_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpe
     if snap is None:
         return cdc.reduce_changes(read_state(spark, root, name), apply)
     base = spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}")
-    newer = [b for b in batch_ids(spark, root, name) if b > snap]
-    if not newer:
+    if not any(b > snap for b in batch_ids(spark, root, name)):
         return base
     return merge_on_read(base, read_state(spark, root, name, after=snap), apply)
 
@@ -224,31 +219,34 @@ def current_state_of(spark: SparkSession, root: str, spec: TableSpec) -> DataFra
     return current_state(spark, root, spec.name, cdc.ApplySpec.for_table(spec))
 
 
-def _size_checked(keys: DataFrame, limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
-    keys = keys.distinct()
-    return F.broadcast(keys) if keys.count() <= limit else keys
-
-
-def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame) -> DataFrame:
+def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame) -> DataFrame | None:
     """Current rows of the given keys only: the key filter runs *before* the reduction.
 
     Because the reduction is per key, filtering the snapshot and the batch
     folders to ``keys`` first gives the same rows as filtering the full table
-    afterwards, while shuffling only the requested keys' changes.
+    afterwards, while shuffling only the requested keys' changes. The range of
+    the first key column goes to the scans as a filter, so a snapshot clustered
+    on it is read only where the keys lie.
     """
     kcols = list(apply.keys)
-    k = _size_checked(keys.select(*kcols))
+    asked = [f"__k{i}" for i in range(len(kcols))]
+    k = keys.select(*[F.col(c).alias(a) for c, a in zip(kcols, asked)]).distinct()
+    low, high, empty = k.agg(F.min(asked[0]), F.max(asked[0]), F.count_if(F.col(asked[0]).isNull())).first()
+    lead = F.col(kcols[0])
+    near = lead.between(low, high) if low is not None else F.lit(False)
+    near = near | lead.isNull() if empty else near
     snap = latest_snapshot(spark, root, name)
     parts = []
     if snap is not None:
-        parts.append(spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}").join(k, kcols, "left_semi"))
+        parts.append(spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}"))
     if any(snap is None or b > snap for b in batch_ids(spark, root, name)):
-        parts.append(read_state(spark, root, name, after=snap).join(k, kcols, "left_semi"))
+        parts.append(read_state(spark, root, name, after=snap))
     if not parts:
         return None
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p, allowMissingColumns=True)
+    rows = None
+    for p in parts:
+        p = p.where(near).join(k, cdc.null_safe(kcols, asked), "left_semi")
+        rows = p if rows is None else rows.unionByName(p, allowMissingColumns=True)
     return cdc.live_rows(cdc.reduce_changes(rows, apply), apply)
 
 
@@ -274,7 +272,7 @@ def compact(
     ids = batch_ids(spark, root, name)
     if not ids:
         return None
-    upto = ids[-1]
+    upto = ids[-1]  # the last of the committed prefix: a batch still to be retried comes after it
     snap = latest_snapshot(spark, root, name)
     if snap is not None and snap >= upto:
         return f"{snapshots_path(root, name)}/upto={snap}"

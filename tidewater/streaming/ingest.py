@@ -1,22 +1,26 @@
 """Landing and bronze: change files -> append-only, provenance-stamped change logs.
 
 ``land`` writes one run's change rows below ``landing/<table>/<label>/``.
-``bronze_stream`` reads *new* files under ``landing/<table>`` (nested label
-folders included) with the registry's declared schema, stamps the ingest time
-and source file, and ``start_bronze`` appends them to ``bronze/<table>`` with a
-checkpoint: a file is ingested exactly once however often the job restarts.
-Files whose columns drift from the registry go through
-``sources.rescue.read_rescued`` instead (``start_bronze(..., rescue=True)``).
+``start_bronze`` takes the *new* files under ``landing/<table>`` (nested label
+folders included), conforms them to the registry with everything that does not
+fit kept in the rescue column, stamps ingest time and source file, and adds them
+to ``bronze/<table>`` as one folder per batch. A batch is written aside and moved
+into place whole, and a batch already in place is not written again, so a file's
+rows are in the log exactly once however often the job restarts, and readers of
+the log never see a file that a retry replaces.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
+from ..sources.rescue import read_rescued
 from ..sources.tables import append_table
+from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
+
+# Files of one micro-batch: bounds the paths the driver holds and what a retry repeats.
+MAX_FILES_PER_TRIGGER = 1000
 
 
 def landing_path(root: str, table: str, label: str | None = None) -> str:
@@ -43,49 +47,59 @@ def land(df: DataFrame, root: str, table: str, label: str, num_files: int | None
     return append_table(df, landing_path(root, table, label))
 
 
-def bronze_stream(spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet", schema=None) -> DataFrame:
-    """New landed files of one table as a stream, with provenance columns.
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def landed_files(spark: SparkSession, root: str, table: str, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Paths of one table's new landed files as a stream (contents are not read).
 
     ``recursiveFileLookup`` is required: files sit in nested label folders, and
     without it they are silently skipped.
     """
-    reader = (
-        spark.readStream.format(fmt)
-        .schema(schema if schema is not None else spec.change_schema())
-        .option("recursiveFileLookup", "true")
-    )
-    src = reader.load(landing_path(root, spec.name))
     return (
-        src.withColumn(INGESTED_AT_COL, F.current_timestamp())
-        .withColumn(SOURCE_FILE_COL, F.col("_metadata.file_path"))
-        .withColumn(RESCUE_COL, F.lit(None).cast("string"))
+        spark.readStream.format("binaryFile")
+        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", f"*.{fmt}")
+        .option("maxFilesPerTrigger", str(max_files_per_trigger))
+        .load(landing_path(root, table))
+        .select("path")
     )
 
 
+def append_batch(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
+    """Add a batch to the log: written aside, then moved into place in one step; nothing if it is there already."""
+    spark = rows.sparkSession
+    fs, final = _hadoop(spark, f"{bronze_path(root, table)}/batch_id={batch_id}")
+    if fs.exists(final):
+        return
+    aside = f"{bronze_path(root, table)}/_aside/batch_id={batch_id}"
+    rows.write.mode("overwrite").parquet(aside)
+    if not fs.rename(_hadoop(spark, aside)[1], final):
+        raise OSError(f"could not move {aside} into place")
+
+
 def start_bronze(
-    spark: SparkSession,
-    root: str,
-    spec: TableSpec,
-    fmt: str = "parquet",
-    rescue: bool = False,
-    max_files_per_trigger: int | None = None,
+    spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
 ) -> StreamingQuery:
     """Append new landed files of ``spec`` to its bronze log; runs what is there, then stops."""
-    if rescue:
-        from ..sources.rescue import start_rescued_bronze
-
-        return start_rescued_bronze(spark, root, spec, fmt)
-    stream = bronze_stream(spark, root, spec, fmt)
-    writer = (
-        stream.writeStream.format("parquet")
-        .option("path", bronze_path(root, spec.name))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        paths = [r.path for r in batch.collect()]  # at most max_files_per_trigger
+        rows = read_rescued(batch.sparkSession, paths, spec, fmt) if paths else None
+        if rows is not None:
+            append_batch(rows, root, spec.name, batch_id)
+
+    return (
+        landed_files(spark, root, spec.name, fmt, max_files_per_trigger)
+        .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint_path(root, f"bronze_{spec.name}"))
-        .outputMode("append")
         .queryName(f"bronze_{spec.name}_{abs(hash(root)) % 10**8}")
+        .trigger(availableNow=True)
+        .start()
     )
-    if max_files_per_trigger:
-        writer = writer.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return writer.trigger(availableNow=True).start()
 
 
 def bronze_schema(spec: TableSpec):
@@ -100,17 +114,13 @@ def bronze_schema(spec: TableSpec):
 
 
 def read_bronze(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
-    """Batch read of a bronze log (only files committed by the stream sink).
-
-    A log written by the rescue flow is laid out as ``batch_id=N`` folders; the
-    folder column is not part of the log.
-    """
-    return spark.read.schema(bronze_schema(spec)).parquet(bronze_path(root, spec.name)).drop("batch_id")
+    """Batch read of a bronze log; the folder column is not part of the log."""
+    return spark.read.schema(bronze_schema(spec)).option("recursiveFileLookup", "true").parquet(bronze_path(root, spec.name))
 
 
 def read_bronze_stream(spark: SparkSession, root: str, spec: TableSpec, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream of rows appended to a bronze log since the reading query's last run."""
-    r = spark.readStream.schema(bronze_schema(spec))
+    r = spark.readStream.schema(bronze_schema(spec)).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.parquet(bronze_path(root, spec.name))

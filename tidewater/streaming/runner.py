@@ -11,11 +11,17 @@ starts, so the twin always joins to a header at least as new as its lines.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans import layers, roles
+from ..operators import cdc
+from ..plans import gold, layers, roles
+from ..plans.changes import SEQ_STEP, check_key_range
+from ..sources.control import advance_control, read_control
+from ..sources.tables import write_table
 from ..specs import CLAIMS, TableSpec
 from . import apply as ap
 from . import ingest, twin
@@ -34,10 +40,17 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
 
 
 class Runner:
-    def __init__(self, spark: SparkSession, root: str, registry: dict[str, TableSpec] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        registry: dict[str, TableSpec] | None = None,
+        max_files_per_trigger: int = ingest.MAX_FILES_PER_TRIGGER,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
         self.registry = registry or CLAIMS
+        self.max_files = max_files_per_trigger
 
     # landing ---------------------------------------------------------------
     def land(self, table: str, df: DataFrame, label: str) -> str:
@@ -53,25 +66,27 @@ class Runner:
     def land_next_run(self, sf_dir: str, rm: roles.RoleMap | None = None, tables: Iterable[str] | None = None) -> int:
         """Land the run after the one in the control row, then advance the control row.
 
-        Each table's files go to a label folder written by overwrite, so a rerun
-        after a crash (control not yet advanced) replaces its own partial landing;
-        the control row moves only once every table has landed.
+        The control row drives the run: its new claims get keys above the
+        high-water mark and its changes sequence numbers from the stored base. A
+        label that was landed whole before the control row moved is not landed
+        again, so a rerun after a crash adds nothing twice; a partial label is
+        replaced (the ingest only ever sees files of finished writes).
         """
-        from pyspark.sql import functions as F
-
-        from ..plans.changes import SEQ_STEP
-        from ..sources.control import advance_control, read_control
-
         c = read_control(self.spark, self.root)
         run = 0 if c is None else int(c["run_index"]) + 1
-        label = "seed" if run == roles.SEED else f"incr{run:04d}"
         high = 0 if c is None else int(c["max_claim_n"])
+        rm = rm or roles.RoleMap()
+        if c is not None:
+            rm = replace(rm, new_key_base=high + 1, seq_base=int(c["seq_base"]))
+        label = "seed" if run == roles.SEED else f"incr{run:04d}"
         for t in tables or self.registry:
-            df = roles.changes(self.spark, sf_dir, t, run, rm)
-            df.write.mode("overwrite").parquet(ingest.landing_path(self.root, t, label))
+            path = ingest.landing_path(self.root, t, label)
+            if "_SUCCESS" not in ap._children(self.spark, path):
+                roles.changes(self.spark, sf_dir, t, run, rm).write.mode("overwrite").parquet(path)
         claims = roles.changes(self.spark, sf_dir, "claim", run, rm)
-        n = claims.agg(F.max(F.regexp_extract("claim_id", r"(\d+)$", 1).cast("bigint"))).head()[0]
-        advance_control(self.spark, self.root, max(high, int(n or 0)), (run + 1) * SEQ_STEP, run)
+        n = int(claims.agg(F.max(F.regexp_extract("claim_id", r"(\d+)$", 1).cast("bigint"))).head()[0] or 0)
+        check_key_range(n)
+        advance_control(self.spark, self.root, max(high, n), (run + 1) * SEQ_STEP, run)
         return run
 
     # layers ----------------------------------------------------------------
@@ -79,16 +94,16 @@ class Runner:
         """Tables that have something in ``folder(root, table)`` (others are skipped)."""
         return [t for t in (tables or self.registry) if ap._children(self.spark, folder(self.root, t))]
 
-    def ingest(self, tables: Iterable[str] | None = None, rescue: bool = False) -> None:
+    def ingest(self, tables: Iterable[str] | None = None, fmt: str = "parquet") -> None:
         todo = self._with_files(tables, ingest.landing_path)
-        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], rescue=rescue) for t in todo)
+        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], fmt, self.max_files) for t in todo)
 
     def apply(self, tables: Iterable[str] | None = None) -> None:
         todo = self._with_files(tables, ingest.bronze_path)
-        await_all(ap.start_silver(self.spark, self.root, self.registry[t]) for t in todo)
+        await_all(ap.start_silver(self.spark, self.root, self.registry[t], self.max_files) for t in todo)
 
     def twin(self) -> None:
-        await_all([twin.start_twin(self.spark, self.root)])
+        await_all([twin.start_twin(self.spark, self.root, self.max_files)])
 
     def step(self, tables: Iterable[str] | None = None, with_twin: bool = True) -> None:
         """One availableNow pass over every layer, in dependency order."""
@@ -99,13 +114,15 @@ class Runner:
             self.twin()
 
     def compact(self, tables: Iterable[str] | None = None) -> dict[str, str | None]:
-        """Fold each table's state folders into a new snapshot (tombstones kept)."""
-        from ..operators import cdc
-
-        return {
+        """Fold each table's state folders into a new clustered snapshot (tombstones kept); the twin's with the lines'."""
+        tables = list(tables or self.registry)
+        done = {
             t: ap.compact(self.spark, self.root, t, cdc.ApplySpec.for_table(self.registry[t]), self.registry[t].layout_columns)
-            for t in (tables or self.registry)
+            for t in tables
         }
+        if "claim_detail" in tables and ap.batch_ids(self.spark, self.root, twin.TWIN):
+            done[twin.TWIN] = ap.compact(self.spark, self.root, twin.TWIN, twin.twin_apply(), ("claim_id",))
+        return done
 
     def refresh_strategy(self, table: str, threshold: float | None = None) -> str:
         """``full`` (compact now) or ``incremental`` (keep merging on read), by change ratio.
@@ -143,15 +160,23 @@ class Runner:
     def twin_table(self) -> DataFrame:
         return twin.read_twin(self.spark, self.root)
 
+    def history(self, table: str) -> DataFrame:
+        """Type-2 history of a table, rebuilt from its bronze log; asked for by ``scd_type=2`` in the registry."""
+        return cdc.scd2_history(self.bronze(table), cdc.ApplySpec.for_table(self.registry[table]))
+
+    def table(self, name: str) -> DataFrame:
+        """A table the way its registry entry asks for: current state, or history if ``scd_type`` is 2."""
+        return self.history(name) if self.registry[name].scd_type == 2 else self.current(name)
+
     def gold(self, calendar=None) -> dict[str, DataFrame]:
         """Gold datasets over current state; a table with no state yet is empty."""
-        current = {}
+        tables = {}
         for t in ("claim", "claim_detail", "claim_diagnosis", "provider", "member", "payer"):
             if ap.batch_ids(self.spark, self.root, t):
-                current[t] = self.current(t)
+                tables[t] = self.current(t)
             else:
-                current[t] = self.spark.createDataFrame([], self.registry[t].business_schema())
-        return layers.gold_datasets(self.spark, current, calendar)
+                tables[t] = self.spark.createDataFrame([], self.registry[t].business_schema())
+        return layers.gold_datasets(self.spark, tables, calendar)
 
     # gold sink -------------------------------------------------------------
     GOLD_LAYOUT = {
@@ -167,17 +192,22 @@ class Runner:
     def publish_gold(self, calendar=None, names: Iterable[str] | None = None) -> int:
         """Full refresh: write every gold dataset as a new version ``gold/<name>/v=N``.
 
-        Readers switch to a version once its ``_SUCCESS`` marker exists, so a
-        failed refresh leaves the previous version in place. Returns N.
+        Each silver table is folded into its stored snapshot first, so that every
+        dataset scans just its columns of tables that are resolved already, and
+        the daily KPIs are built from the header fact as it was written. Readers
+        switch to a version once its ``_SUCCESS`` marker exists, so a failed
+        refresh leaves the previous version in place. Returns N.
         """
-        from ..sources.tables import write_table
-
+        self.compact([t for t in self.registry if ap.batch_ids(self.spark, self.root, t)])
         datasets = self.gold(calendar)
         todo = list(names or datasets)
         done = [ap._numbered(self.spark, self.gold_path(n), "v=", committed=True) for n in todo]
         version = max([v[-1] for v in done if v], default=-1) + 1
-        for n in todo:
-            write_table(datasets[n], f"{self.gold_path(n)}/v={version}", cluster_by=self.GOLD_LAYOUT.get(n, ()))
+        for n in sorted(todo, key=lambda n: n == "agg_claims_daily"):
+            df = datasets[n]
+            if n == "agg_claims_daily" and "fact_claim" in todo:
+                df = gold.daily_kpis(self.read_gold("fact_claim"))
+            write_table(df, f"{self.gold_path(n)}/v={version}", cluster_by=self.GOLD_LAYOUT.get(n, ()))
         return version
 
     def read_gold(self, name: str) -> DataFrame:
