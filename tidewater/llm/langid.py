@@ -37,6 +37,7 @@ PER_LANGUAGE = 250
 BUCKETS = 1 << 17
 STRETCH = 40  # words of one document between two others, on average
 EPOCHS = 30
+LEAST = 0.5  # share of a text's letters that its language needs in a filter
 _CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+").findall
@@ -236,9 +237,27 @@ def predict(model: Model, texts: list[str | None], cache: dict[str, np.ndarray])
     return out, score
 
 
+def _labelled(shared, texts: list[str | None], cache: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
+    """Predictions for a batch, some MB of text at a time."""
+    langs, scores, at = [], [], 0
+    while at < len(texts):
+        to, size = at, 0
+        while to < len(texts) and (to == at or size < 3_000_000):
+            size += len(texts[to] or "")
+            to += 1
+        got = predict(shared.value, texts[at:to], cache)
+        langs += got[0]
+        scores += got[1]
+        at = to
+    return langs, scores
+
+
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with held_out, lang_pred and score. Only the text decides."""
-    columns = docs.columns
+    """``docs`` with held_out, lang_pred and score, which it must not have before. Only the text decides."""
     base = docs.withColumn("held_out", crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT)
     if model is None:
         return base.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
@@ -247,20 +266,23 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, np.ndarray] = {}
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            langs, scores = [], []
-            at = 0
-            while at < len(texts):  # some MB of text at a time
-                to, size = at, 0
-                while to < len(texts) and (to == at or size < 3_000_000):
-                    size += len(texts[to] or "")
-                    to += 1
-                got = predict(shared.value, texts[at:to], cache)
-                langs += got[0]
-                scores += got[1]
-                at = to
+            langs, scores = _labelled(shared, batch.column("text").to_pylist(), cache)
             made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields), "lang_pred string", "score double"])
-    return base.mapInArrow(label, schema).select(*columns, "held_out", "lang_pred", "score")
+    return base.mapInArrow(label, _schema(base) + ", lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with a score of at least ``least``; none without a model."""
+    if model is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs, scores = _labelled(shared, batch.column("text").to_pylist(), cache)
+            yield batch.filter(pa.array([c != UNKNOWN and s >= least for c, s in zip(langs, scores)], pa.bool_()))
+
+    return docs.mapInArrow(keep, _schema(docs))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, langid, linededup, nearup, packing, ppm, topk
+from . import chat, decontaminate, extract, langid, linededup, nearup, packing, pii, ppm, topk
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     found = extract.extracted(table(spark, sf_dir, "pages"))
     return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@register
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: base matches and what the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.found(docs, pii.learn(docs))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
