@@ -2,7 +2,8 @@
 
 Besides per-query seconds it records what the baseline publishes (rows touched):
 full rebuild against incremental twin of the line fact at several change
-ratios, max/median rows per shuffle partition for an even and an 80%-hot
+ratios, with the records and bytes that each side read and wrote (from Spark's
+event log), max/median rows per shuffle partition for an even and an 80%-hot
 increment, and bronze-to-current-state rows per second for one change batch.
 Queries run with the ``noop`` sink: the whole plan executes, nothing is
 collected to the driver.
@@ -41,6 +42,7 @@ HEADLINE = [
     "skew_profile",
     "refresh_choice",
     "fact_line_incremental",
+    "gold_published_kpis",
 ]
 RATIOS = [0.001, 0.01, 0.05, 0.2, 0.5]
 
@@ -69,19 +71,52 @@ def time_queries(spark, names):
     return out
 
 
+def measured(spark, label: str, work) -> float:
+    """Seconds of ``work``; its jobs carry ``label`` in the event log."""
+    spark.sparkContext.setJobGroup(label, label)
+    t0 = time.time()
+    work()
+    spark.sparkContext.setJobGroup("", "")
+    return time.time() - t0
+
+
+def records(folder: str) -> dict[str, dict[str, int]]:
+    """Records and bytes read from and written to tables, and shuffled bytes, of each job group, from the event log."""
+    out: dict[str, dict[str, int]] = {}
+    group: dict[int, str] = {}
+    for name in os.listdir(folder):
+        with open(os.path.join(folder, name), errors="replace") as f:
+            for line in f:
+                e = json.loads(line) if line.startswith("{") and line.endswith("}\n") else {}
+                if e.get("Event") == "SparkListenerJobStart":
+                    label = (e.get("Properties") or {}).get("spark.jobGroup.id") or ""
+                    group.update(dict.fromkeys(e["Stage IDs"], label))
+                elif e.get("Event") == "SparkListenerTaskEnd" and group.get(e["Stage ID"]):
+                    m = e.get("Task Metrics") or {}
+                    own = out.setdefault(group[e["Stage ID"]], {})
+                    for key, part, field in (
+                        ("records_read", "Input Metrics", "Records Read"),
+                        ("bytes_read", "Input Metrics", "Bytes Read"),
+                        ("records_written", "Output Metrics", "Records Written"),
+                        ("bytes_written", "Output Metrics", "Bytes Written"),
+                        ("shuffle_bytes", "Shuffle Write Metrics", "Shuffle Bytes Written"),
+                    ):
+                        own[key] = own.get(key, 0) + int((m.get(part) or {}).get(field, 0))
+    return out
+
+
 def ratio_experiment(spark):
-    """Full rebuild vs incremental twin of the line fact, per change ratio.
+    """Full rebuild against incremental twin of the line fact, per change ratio, both by the library's own path.
 
-    One seed state (headers, lines, twin) is built and compacted once. Each
-    ratio's increment is then applied on top of that snapshot the way the
-    flows read it (snapshot + later batch, merged on read):
+    The seed is applied and compacted once. Each ratio's increment lands as files
+    and is applied to the silver tables, for both sides, off the clock. Then
 
-    * incremental: header delta batch, then the twin's delta batch whose header
-      lookup touches only the batch's claims;
-    * full: the whole line fact recomputed from current state and written.
-    """
-    from pyspark.sql import functions as F
+    * incremental: the twin's batch, its headers looked up by ``current_state_for``;
+    * full: the whole line fact from current state.
 
+    Both write parquet, neither reads anything cached. Between ratios all state
+    is compacted, so each starts from a snapshot.
+    """
     from tidewater.operators import cdc
     from tidewater.plans import changes as ch
     from tidewater.plans import gold, roles
@@ -90,79 +125,72 @@ def ratio_experiment(spark):
     from tidewater.streaming import apply as ap
     from tidewater.streaming import twin
 
-    head, det = CLAIMS["claim"], CLAIMS["claim_detail"]
-    ah, ad, at = cdc.ApplySpec.for_table(head), cdc.ApplySpec.for_table(det), twin.twin_apply()
     # No new claims, so every ratio shares the seed: 0.375/0.4375/0.1875 of changes.
     mix = ch.ChangeMix(new=0.0, header_only=0.375, adjustment=0.4375, reversal=0.1875)
     root = work_dir(spark, "bench-ratio")
-    seed_rm = roles.RoleMap(mix=mix, n_buckets=80000, touched=0.0, hashed_buckets=True)
-    seed_h = roles.changes(spark, SF_DIR, "claim", roles.SEED, seed_rm)
-    seed_d = roles.changes(spark, SF_DIR, "claim_detail", roles.SEED, seed_rm)
-    ap.apply_batch(seed_h, 0, root, "claim", ah, head.rules, head.delete_predicate)
-    ap.apply_batch(seed_d, 0, root, "claim_detail", ad, det.rules, det.delete_predicate)
-    header0 = ap.current_state(spark, root, "claim", ah)
-    ap.apply_batch(seed_d, 0, root, twin.TWIN, at, det.drop_rules(), det.delete_predicate,
-                   transform=lambda kept: twin.line_changes_with_header(kept, header0))
-    snaps = {n: ap.compact(spark, root, n, a) for n, a in (("claim", ah), ("claim_detail", ad), (twin.TWIN, at))}
-    snap = {n: spark.read.parquet(p) for n, p in snaps.items()}
-
-    def delta(name):
-        return spark.read.parquet(f"{ap.state_path(root, name)}/batch_id=1")
-
+    rules = {t: cdc.ApplySpec.for_table(CLAIMS[t]) for t in ("claim", "claim_detail")}
+
+    def apply(table, rows, batch):
+        spec = CLAIMS[table]
+        ap.apply_batch(rows, batch, root, table, rules[table], spec.rules, spec.delete_predicate)
+
+    def apply_twin(rows, batch):
+        spec = CLAIMS["claim_detail"]
+        lookup = lambda kept: twin.line_changes_with_header(
+            kept, ap.current_state_for(spark, root, "claim", rules["claim"], kept.select("claim_id"))
+        )
+        ap.apply_batch(rows, batch, root, twin.TWIN, twin.twin_apply(), spec.drop_rules(), spec.delete_predicate, transform=lookup)
+
+    def compact():
+        for t, rule, layout in (("claim", rules["claim"], ("claim_id",)), ("claim_detail", rules["claim_detail"], ("claim_detail_id",)), (twin.TWIN, twin.twin_apply(), ("claim_id",))):
+            ap.compact(spark, root, t, rule, layout)
+
+    def landed(table, run, rm, label):
+        path = f"{root}/landing/{table}/{label}"
+        roles.changes(spark, SF_DIR, table, run, rm).write.parquet(path)
+        return spark.read.parquet(path)
+
+    seed = roles.RoleMap(mix=mix, n_buckets=80000, touched=0.0, hashed_buckets=True)
+    apply("claim", landed("claim", roles.SEED, seed, "seed"), 0)
+    lines = landed("claim_detail", roles.SEED, seed, "seed")
+    apply("claim_detail", lines, 0)
+    apply_twin(lines, 0)
     results = {}
-    for i, r in enumerate(RATIOS):
-        rm = roles.RoleMap(mix=mix, n_buckets=80000, touched=r, hashed_buckets=True)
-        inc_h = roles.changes(spark, SF_DIR, "claim", roles.INCREMENT, rm).cache()
-        inc_d = roles.changes(spark, SF_DIR, "claim_detail", roles.INCREMENT, rm).cache()
-        n_changes = inc_d.count()
-        inc_h.count()
-        hn, dn, tn = f"claim_r{i}", f"claim_detail_r{i}", f"twin_r{i}"
-
-        t0 = time.time()
-        ap.apply_batch(inc_h, 1, root, hn, ah, head.rules, head.delete_predicate)
-
-        def with_header(kept, hn=hn):
-            ids = kept.select("claim_id").distinct()
-            rows = snap["claim"].join(F.broadcast(ids), "claim_id", "left_semi").unionByName(
-                delta(hn).join(F.broadcast(ids), "claim_id", "left_semi"))
-            return twin.line_changes_with_header(kept, cdc.live_rows(cdc.reduce_changes(rows, ah), ah))
-
-        ap.apply_batch(inc_d, 1, root, tn, at, det.drop_rules(), det.delete_predicate, transform=with_header)
-        t_inc = time.time() - t0
-
-        ap.apply_batch(inc_d, 1, root, dn, ad, det.rules, det.delete_predicate)
-        t0 = time.time()
-        detail = cdc.live_rows(ap.merge_on_read(snap["claim_detail"], delta(dn), ad), ad)
-        header = cdc.live_rows(ap.merge_on_read(snap["claim"], delta(hn), ah), ah)
-        full = gold.fact_claim_line(detail, header)
-        _run(full)
-        t_full = time.time() - t0
-        n_full = detail.count()
-        inc_h.unpersist()
-        inc_d.unpersist()
-        results[f"{r:g}"] = {
-            "changed_line_rows": int(n_changes),
-            "full_rows": int(n_full),
-            "row_ratio": round(n_full / max(n_changes, 1), 1),
-            "incremental_sec": round(t_inc, 3),
-            "full_sec": round(t_full, 3),
-        }
+    for i, r in enumerate(RATIOS, 1):
+        compact()
+        rm = roles.RoleMap(mix=mix, n_buckets=80000, touched=r, hashed_buckets=True, seq_base=i * ch.SEQ_STEP)
+        apply("claim", landed("claim", roles.INCREMENT, rm, f"incr{i}"), i)
+        changed = landed("claim_detail", roles.INCREMENT, rm, f"incr{i}")
+        apply("claim_detail", changed, i)
+        incremental = measured(spark, f"incremental {r:g}", lambda: apply_twin(changed, i))
+        full = measured(
+            spark,
+            f"full {r:g}",
+            lambda: gold.fact_claim_line(
+                ap.current_state(spark, root, "claim_detail", rules["claim_detail"]), ap.current_state(spark, root, "claim", rules["claim"])
+            ).write.parquet(f"{root}/full/{i}"),
+        )
+        results[f"{r:g}"] = {"incremental_sec": round(incremental, 3), "full_sec": round(full, 3)}
         print(f"ratio {r}: {results[f'{r:g}']}", file=sys.stderr, flush=True)
     return results
 
 
 def skew_experiment(spark):
-    from tidewater import queries as Q
-
-    rows = Q.REGISTRY["skew_partitions"](spark, SF_DIR).collect()
-    return {
-        f"{r['scenario']}:{r['merge_key']}": {
-            "max_rows": int(r["max_rows"]),
-            "median_rows": float(r["median_rows"]),
-            "max_over_median": None if r["max_over_median"] is None else round(float(r["max_over_median"]), 2),
-        }
-        for r in rows
-    }
+    """Max/median rows per shuffle partition of an even and an 80%-hot increment, by merge key and by the hot attribute."""
+    from tidewater.plans import roles, skew
+
+    n, out = int(spark.conf.get("spark.sql.shuffle.partitions")), {}
+    for scenario, hot in (("even", 0.0), ("hot", 0.8)):
+        inc = roles.changes(spark, SF_DIR, "claim_detail", roles.INCREMENT, roles.RoleMap(hot_share=hot))
+        for k in ("claim_detail_id", "provider_id"):
+            r = skew.partition_profile(inc, [k], n).first()
+            worst = r["max_over_median"]
+            out[f"{scenario}:{k}"] = {
+                "max_rows": int(r["max_rows"]),
+                "median_rows": float(r["median_rows"]),
+                "max_over_median": None if worst is None else round(float(worst), 2),
+            }
+    return out
 
 
 def throughput(spark):
@@ -182,31 +210,34 @@ def throughput(spark):
 
 
 def main():
+    import tempfile
+
     from tidewater.session import local_session
 
     shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(CPUS) * 2))))
-    spark = local_session(CPUS, shuffle, app="tidewater-bench")
+    log = tempfile.mkdtemp(prefix="bench-events-")
+    conf = {"enabled": "true", "dir": f"file://{log}", "rolling.enabled": "false", "compress": "false"}
+    spark = local_session(CPUS, shuffle, "tidewater-bench", {f"spark.eventLog.{k}": v for k, v in conf.items()})
     t_all = time.time()
     q = time_queries(spark, HEADLINE)
     extra = {}
-    try:
-        extra["full_vs_incremental"] = ratio_experiment(spark)
-    except Exception as e:  # noqa: BLE001
-        extra["full_vs_incremental_error"] = str(e)[:300]
-    fvi = extra.get("full_vs_incremental", {})
-    if "0.01" in fvi:
+    for name, experiment in (("full_vs_incremental", ratio_experiment), ("skew_partitions", skew_experiment), ("bronze_to_current", throughput)):
+        try:
+            extra[name] = experiment(spark)
+        except Exception as e:  # noqa: BLE001
+            extra[f"{name}_error"] = str(e)[:300]
+    wall = round(time.time() - t_all, 1)
+    spark.stop()  # closes the event log
+    touched = records(log)
+    for r, row in extra.get("full_vs_incremental", {}).items():
+        row |= {side: touched.get(f"{side} {r}", {}) for side in ("incremental", "full")}
+        read = [row[side].get("records_read", 0) + row[side].get("records_written", 0) for side in ("full", "incremental")]
+        row["row_ratio"] = round(read[0] / max(read[1], 1), 2)
+    if "0.01" in extra.get("full_vs_incremental", {}):
         extra["baseline_check"] = {
             "published": {"full_rows": 111_000_000, "incremental_rows": 1_400_000, "row_ratio": 78, "change_ratio": 0.013},
-            "ours_at_1pct": {k: fvi["0.01"][k] for k in ("full_rows", "changed_line_rows", "row_ratio")},
+            "ours_at_1pct": extra["full_vs_incremental"]["0.01"]["row_ratio"],
         }
-    try:
-        extra["skew_partitions"] = skew_experiment(spark)
-    except Exception as e:  # noqa: BLE001
-        extra["skew_error"] = str(e)[:300]
-    try:
-        extra["bronze_to_current"] = throughput(spark)
-    except Exception as e:  # noqa: BLE001
-        extra["throughput_error"] = str(e)[:300]
     out = {
         "metric": "headline_queries_total",
         "value": round(sum(q.values()), 3),
@@ -215,11 +246,10 @@ def main():
         "sf": _sf_of(SF_DIR),
         "cpus": CPUS,
         "shuffle_partitions": shuffle,
-        "wall_sec": round(time.time() - t_all, 1),
+        "wall_sec": wall,
         **extra,
     }
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":

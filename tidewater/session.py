@@ -27,7 +27,7 @@ DEFAULT_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidewater") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidewater", conf: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a local session with the UI off, as tests and bench use."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -39,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g"))
     )
-    for k, v in DEFAULT_CONF.items():
+    for k, v in (DEFAULT_CONF | (conf or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
