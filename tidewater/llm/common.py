@@ -44,3 +44,28 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+_MAPS, _BITS = 1024, 32768  # 1024 bitmaps of 4 KB: 4 MB to broadcast, whatever the number of members
+
+
+def flag_members(rows: DataFrame, key: Column, members: DataFrame) -> DataFrame:
+    """``rows`` with ``_maybe``: false only where ``key`` is not in the one column of ``members``.
+
+    A filter of fixed size made of the members' hashes, so that rows that can't
+    match need no shuffle. It lets more through the more members there are; what
+    it lets through still has to be joined.
+    """
+    name = members.columns[0]
+
+    def at(c: Column) -> tuple[Column, Column]:
+        h = F.xxhash64(c)
+        return F.pmod(h, F.lit(_MAPS)), F.pmod(F.shiftright(h, 20), F.lit(_BITS))
+
+    number, bit = at(F.col(name))
+    maps = members.select(number.alias("_map"), bit.alias("_bit")).groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    number, bit = at(key)
+    found = rows.withColumns({"_map": number, "_bit": bit}).join(F.broadcast(maps), "_map", "left")
+    byte = F.conv(F.hex(F.col("_bits").substr((F.floor(F.col("_bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (F.col("_bit") % 8 + 1).cast("int"))
+    return found.withColumn("_maybe", F.coalesce(byte.bitwiseAND(mask) != 0, F.lit(False))).drop("_map", "_bit", "_bits")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored, text_key
+from .common import ascii_lower, flag_members, stored, text_key
 
 WINDOW = 10
 # Terms whose keys are broadcast at a time: 16 bytes each, so some tens of MB in memory.
@@ -141,7 +141,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     places, pairs = anchors(items, forms, width)
     found = phrase_candidates(aligned_hits(postings(docs, forms, places), places), pairs)
     found = found.join(items, "item").groupBy("key").agg(F.collect_list(F.struct("item_id", "shift", "words")).alias("_found"))
-    rows = docs.withColumn("_key", text_key(F.col("text"))).join(stored(found, "found"), F.col("_key") == F.col("key"), "left").drop("key", "_key")
+    found = stored(found, "found")
+    # only documents that may hold something are shuffled to meet it
+    flagged = flag_members(docs.withColumn("_key", text_key(F.col("text"))), F.col("_key"), found.select("key"))
+    n_words = (F.size(_raw_words(F.col("text"))) - _blank_ends(F.col("text"))).cast("long").alias("n_words")
+    clean = flagged.where("NOT _maybe").select(*docs.columns, n_words, F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
+    rows = flagged.where("_maybe").join(found, F.col("_key") == F.col("key"), "left")
     # places count from the array that the index was built on, empty strings included
     has = F.col("_found").isNotNull()
     rows = rows.withColumn("_split", F.split(F.when(has, ascii_lower(F.coalesce("text", F.lit("")))), _SPLIT_LOWER))
@@ -157,12 +162,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
 
     rows = rows.withColumn("_runs", F.filter(F.transform(F.coalesce("_found", F.array().cast(found.schema["_found"].dataType)), starts), lambda r: F.size(r["at"]) > 0))
     covered = F.flatten(F.transform("_runs", lambda r: F.flatten(F.transform(r["at"], lambda s: F.sequence(s, s + r["size"] - 1)))))
-    return rows.select(
-        *[c for c in docs.columns],
-        (F.size(_raw_words(F.col("text"))) - _blank_ends(F.col("text"))).cast("long").alias("n_words"),
+    return clean.unionByName(rows.select(
+        *docs.columns,
+        n_words,
         F.size(F.array_distinct(covered)).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.transform("_runs", lambda r: r["item_id"]))).alias("item_ids"),
-    )
+    ))
 
 
 def _blank_ends(text: Column) -> Column:
