@@ -142,22 +142,21 @@ def _record_schema() -> T.StructType:
     return T.StructType(fields)
 
 
+def _has(path: str) -> Column:
+    """Whether the parsed record ``r`` has something at a known path."""
+    field, _, inner = path.partition("[].")
+    return F.exists(F.col("r")[field], lambda x: x[inner].isNotNull()) if inner else F.col("r")[path].isNotNull()
+
+
 def turns_of_json(records: DataFrame, conversation: str, json: str) -> DataFrame:
     """(conv_id, layout, turn, role, text) of JSON records in any mixture of layouts; a row with a null layout for each that fits none."""
     parsed = records.select(F.col(conversation).alias("conv_id"), F.from_json(F.col(json), _record_schema()).alias("r"))
-    there = []
-    for p in KNOWN:
-        if "[]." in p:
-            field, inner = p.split("[].")
-            has = F.exists(F.col("r")[field], lambda x, i=inner: x[i].isNotNull())
-        else:
-            has = F.col("r")[p].isNotNull()
-        there.append(F.when(has, F.lit(p)))
+    there = [F.when(_has(p), F.lit(p)) for p in KNOWN]
     mark = F.md5(F.concat_ws(",", *there).cast("binary"))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     by_layout: dict[Layout, list[str]] = {}
-    for mark, layout in layout_table().items():
-        by_layout.setdefault(layout, []).append(mark)
+    for known, layout in layout_table().items():
+        by_layout.setdefault(layout, []).append(known)
     for layout, marks in by_layout.items():
         hit = F.col("mark").isin(marks)
         if layout.items or layout.parts:

@@ -13,9 +13,9 @@ A host's pages only meet in counts (of skeletons, and of different texts per
 node), so a host may hold any share of the pages.
 
 Defined cases: null html is empty, an empty page has an empty text; a null or odd
-url is a host of its own spelling; pages with equal text count once as evidence, a
-node is template only on ``EVIDENCE`` different pages, and the node that holds most
-of a host's text never is; broken markup is read as far as it goes, and text in
+url is a host of its own spelling; pages that differ in marked parts only count once
+as evidence, and a node is template only on ``EVIDENCE`` different pages, and where
+some other node of the host varies; broken markup is read as far as it goes, and text in
 elements nested deeper than ``DEEPEST`` belongs to the deepest one kept.
 """
 
@@ -202,18 +202,18 @@ def host_of(url: Column) -> Column:
 
 def _skeletons(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        shapes, nodes, hashes, sizes = [], [], [], []
+        shapes, nodes, hashes = [], [], []
         for text in batch.column("html").to_pylist():
             root, blocks = parse(text or "")
             shapes.append(json.dumps(skeleton(root), separators=(",", ":")))
             texts: dict[int, list[str]] = {}
             for node, words in blocks:
-                texts.setdefault(node.number, []).append(words)
+                if not node.boiler:
+                    texts.setdefault(node.number, []).append(words)
             nodes.append(list(texts))
             hashes.append([xxhash.xxh64_intdigest("\n".join(t)) - (1 << 63) for t in texts.values()])
-            sizes.append([sum(map(len, t)) for t in texts.values()])
-        made = [pa.array(shapes, pa.string()), pa.array(nodes, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays([batch.column("host"), *made], ["host", "skeleton", "nodes", "hashes", "sizes"])
+        made = [pa.array(shapes, pa.string()), pa.array(nodes, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column("host"), *made], ["host", "skeleton", "nodes", "hashes"])
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,18 +227,16 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, reference, template): each host's reference skeleton and the numbers of its template nodes."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
-    seen = rows.mapInArrow(_skeletons, "host string, skeleton string, nodes array<int>, hashes array<long>, sizes array<long>")
+    seen = rows.mapInArrow(_skeletons, "host string, skeleton string, nodes array<int>, hashes array<long>")
     seen = stored(seen.distinct(), "skeletons")
     shapes = seen.groupBy("host", "skeleton").agg(F.count(F.lit(1)).alias("pages"))
     references = shapes.groupBy("host").agg(F.max_by("skeleton", F.struct("pages", "skeleton")).alias("reference"))
     matched = shapes.join(references, "host").select("host", "skeleton", "reference").mapInArrow(_aligned, "host string, skeleton string, match map<int,int>")
-    slots = seen.join(matched, ["host", "skeleton"]).select("host", "match", F.explode(F.arrays_zip("nodes", "hashes", "sizes")).alias("s"))
-    slots = slots.select("host", F.col("match")[F.col("s.nodes")].alias("node"), F.col("s.hashes").alias("hash"), F.col("s.sizes").alias("size")).where("node IS NOT NULL")
-    nodes = slots.groupBy("host", "node").agg(
-        F.count(F.lit(1)).alias("pages"), (F.min("hash") == F.max("hash")).alias("constant"), F.sum("size").alias("chars")
-    )
-    largest = nodes.groupBy("host").agg(F.max_by("node", F.struct("chars", "node")).alias("largest"))
-    template = nodes.join(largest, "host").where((F.col("pages") >= EVIDENCE) & F.col("constant") & (F.col("node") != F.col("largest")))
+    slots = seen.join(matched, ["host", "skeleton"]).select("host", "match", F.explode(F.arrays_zip("nodes", "hashes")).alias("s"))
+    slots = slots.select("host", F.col("match")[F.col("s.nodes")].alias("node"), F.col("s.hashes").alias("hash")).where("node IS NOT NULL")
+    nodes = slots.groupBy("host", "node").agg(F.count(F.lit(1)).alias("pages"), (F.min("hash") == F.max("hash")).alias("constant"))
+    varied = nodes.where("NOT constant").select("host").distinct()
+    template = nodes.where((F.col("pages") >= EVIDENCE) & F.col("constant")).join(varied, "host")
     template = template.groupBy("host").agg(F.collect_set("node").alias("template"))
     return references.join(template, "host", "left").withColumn("template", F.coalesce("template", F.array().cast("array<int>")))
 
