@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
+
 HEAD, SEP, TURN_END = "### ", ": ", "</turn>\n"
 LEARNED = "assistant"
 
@@ -246,6 +248,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_back(pieces: DataFrame) -> DataFrame:
     """The digests of every conversation, from its formatted text and loss spans alone."""
+    ship(pieces.sparkSession)
     order = ["conv_id", "turn", "role", "text"]
     dealt = pieces.withColumn("conv_id", F.col("conv_id").cast("long")).repartition("conv_id").sortWithinPartitions(*order)
     return dealt.select("conv_id", "piece", "loss_start", "loss_chars").mapInArrow(_read, _DIGEST)

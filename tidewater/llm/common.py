@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +30,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once for each application.
+
+    Functions that run there are named by module; on a cluster the package need
+    not be installed. ``addPyFile`` hands the archive out from the driver.
+    """
+    sc = spark.sparkContext
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(sc, "_tidewater_shipped", False) or not os.path.isdir(home):
+        return
+    archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="tidewater-")), "tidewater.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(home)))
+    sc.addPyFile(archive)
+    sc._tidewater_shipped = True
+
+
 def text_key(text: Column) -> Column:
     """128-bit identity of a text: copies share it, whatever their ids."""
     return F.unhex(F.md5(text.cast("binary")))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 EVIDENCE = 5
 DEEPEST = 60
@@ -226,6 +226,7 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def wrappers(pages: DataFrame) -> DataFrame:
     """(host, reference, template): each host's reference skeleton and the numbers of its template nodes."""
+    ship(pages.sparkSession)
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
     seen = rows.mapInArrow(_skeletons, "host string, skeleton string, nodes array<int>, hashes array<long>")
     seen = stored(seen.distinct(), "skeletons")

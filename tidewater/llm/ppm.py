@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, stored
+from .common import crc_mod, ship, stored
 
 ORDER = 4  # bytes of context; a string and its next byte fit into 40 bits
 FOLDS, HELD_OUT = 7, 2
@@ -207,6 +207,7 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
     Trains on the documents outside the held-out fold.
     """
+    ship(docs.sparkSession)
     held_out = crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT
     total = docs.agg(F.sum(F.octet_length("text") + 8)).first()[0] or 0
     chunks = int(total) // chunk_bytes + 1

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import ship, stored, text_key
 
 LISTS = 2
 QUERY_BLOCK, BLOCK = 512, 2048
@@ -138,6 +138,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def top_k(vectors: DataFrame, asked, k: int = 5, scale: int = 256) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``asked`` (a condition on it) selects, the ``k`` best other rows."""
+    ship(vectors.sparkSession)
     rows = integer_vectors(vectors, scale)
     rows = rows.withColumn("asked", asked)
     nodes, ids = folded(rows, k)
