@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod
+from .common import crc_mod, ship
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 5, 0
@@ -198,7 +198,8 @@ def sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     # hashes alone are ranked; a row for each language then picks the texts
     lowest = rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("r", rank).where(F.col("r") <= per_language)
     limits = lowest.groupBy("lang").agg(F.max("h").alias("limit"))
-    return rows.join(limits, "lang").where("h <= limit").dropDuplicates(["lang", "h"]).select("text", "lang")
+    # a row for each language, as the model has a column for each
+    return rows.join(F.broadcast(limits), "lang").where("h <= limit").dropDuplicates(["lang", "h"]).select("text", "lang")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
@@ -258,6 +259,7 @@ def _schema(df: DataFrame) -> str:
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with held_out, lang_pred and score, which it must not have before. Only the text decides."""
+    ship(docs.sparkSession)
     base = docs.withColumn("held_out", crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT)
     if model is None:
         return base.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
@@ -275,6 +277,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
     """The rows of ``docs`` whose text has a language with a score of at least ``least``; none without a model."""
+    ship(docs.sparkSession)
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
