@@ -34,10 +34,10 @@ def test_banded_distance():
 def test_sketch_depends_on_order():
     words = [f"w{i}" for i in range(400)]
     a, b = N.shingles(" ".join(words)), N.shingles(" ".join(words[200:] + words[:200]))
-    same = np.mean(N.order_minhash(a, 400) == N.order_minhash(b, 400))
+    same = np.mean(N.order_minhash(a, 400, 5) == N.order_minhash(b, 400, 5))
     near = list(words)
     near[100] = "x"
-    assert same < 0.3 < np.mean(N.order_minhash(a, 400) == N.order_minhash(N.shingles(" ".join(near)), 400))
+    assert same < 0.3 < np.mean(N.order_minhash(a, 400, 5) == N.order_minhash(N.shingles(" ".join(near)), 400, 5))
 
 
 def brute_classes(texts):
@@ -72,7 +72,7 @@ def test_group_of_near_copies(spark):
     texts = []
     for i in range(60):  # each a few words from the first, most unlike one another by some words
         w = list(words)
-        for _ in range(5):
+        for _ in range(3):
             w[r.randrange(300)] = f"x{r.randrange(9999)}"
         texts.append(" ".join(w))
     texts += [" ".join(f"o{r.randrange(9999)}" for _ in range(300)) for _ in range(20)]
@@ -86,3 +86,18 @@ def test_group_of_near_copies(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == ["doc_id", "text", "source"] and len(ids) == 1 + 35 + 6  # the repeated row once
     assert N.with_classes(docs.select("doc_id", "text").limit(0)).count() == 0
+
+
+def test_similar_texts_share_a_tier():
+    for n in range(1, 200):
+        for m in range(n, int(n / N.SIMILARITY) + 1):
+            assert set(N.tiers(n)) & set(N.tiers(m)), (n, m)
+
+
+def test_similarity_counts_paired_shingles():
+    a = np.arange(100, dtype=np.uint64)
+    replaced = a.copy()
+    replaced[:11] += np.uint64(1000)
+    assert N.similar(a, replaced) and N.similar(a, a[:80]) and not N.similar(a, a[:79])
+    replaced[11] += np.uint64(1000)
+    assert not N.similar(a, replaced) and not N.similar(a, a[::-1].copy())
