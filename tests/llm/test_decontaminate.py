@@ -13,17 +13,22 @@ def words(text):
 
 
 def brute(docs, items):
+    """Every window of every document looked up among the items' windows."""
+    windows = {}
+    for item_id, item in items:
+        v = words(item)
+        size = min(10, len(v))
+        for s in range(len(v) - size + 1 if v else 0):
+            windows.setdefault(tuple(v[s : s + size]), set()).add("" if item_id is None else str(item_id))
     out = []
     for doc_id, text in docs:
         w, hit, ids = words(text), set(), set()
-        for item_id, item in items:
-            v = words(item)
-            size = min(10, len(v))
-            for s in range(len(v) - size + 1 if v else 0):
-                for p in range(len(w) - size + 1):
-                    if w[p : p + size] == v[s : s + size]:
-                        hit |= set(range(p, p + size))
-                        ids.add("" if item_id is None else str(item_id))
+        for size in {len(x) for x in windows}:
+            for p in range(len(w) - size + 1):
+                found = windows.get(tuple(w[p : p + size]))
+                if found:
+                    hit |= set(range(p, p + size))
+                    ids |= found
         out.append((doc_id, len(w), len(hit), tuple(sorted(ids))))
     return sorted(out, key=str)
 

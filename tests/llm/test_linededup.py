@@ -1,5 +1,6 @@
+import os
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -17,6 +18,16 @@ def edits(a, b):
     return row[-1]
 
 
+def near(a, b):
+    """At most two edits: what both ends share is cut off first, and unequal letters counted."""
+    if abs(len(a) - len(b)) > 2 or sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values()) > 4:
+        return False
+    n = len(os.path.commonprefix([a, b]))
+    a, b = a[n:], b[n:]
+    n = len(os.path.commonprefix([a[::-1], b[::-1]]))
+    return edits(a[: len(a) - n], b[: len(b) - n]) <= 2
+
+
 def variant(r, text, n):
     t = list(text)
     for _ in range(n):
@@ -62,7 +73,7 @@ def test_links_equal_brute_force(spark):
     text = {r.id: r.line for r in found.collect()}
     got = {tuple(sorted((text[r.a], text[r.b]))) for r in L.line_links(found).collect()}
     able = [x for x in lines if len(x) >= L.MIN_CHARS]
-    want = {tuple(sorted((a, b))) for i, a in enumerate(able) for b in able[:i] if abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2}
+    want = {tuple(sorted((a, b))) for i, a in enumerate(able) for b in able[:i] if near(a, b)}
     assert got == want and len(want) > 30
 
 
@@ -76,10 +87,13 @@ def brute_kept(rows):
             x = up[x]
         return x
 
-    for i, a in enumerate(lines):
-        for b in lines[:i]:
-            if abs(len(a) - len(b)) <= 2 and edits(a, b) <= 2:
-                up[root(a)] = root(b)
+    by_size = defaultdict(list)
+    for a in lines:
+        for size in range(len(a) - 2, len(a) + 3):
+            for b in by_size[size]:
+                if near(a, b):
+                    up[root(a)] = root(b)
+        by_size[len(a)].append(a)
     seen, out = set(), []
     places = defaultdict(list)
     for n, (doc_id, t) in sorted(enumerate(rows), key=lambda x: (x[1][0] is not None, x[1][0] or 0)):
