@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -31,13 +32,13 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 CAPACITY = 2048
 END = 0
 BINS = 256
 MOST = 3  # documents in a pattern
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 800_000
 _ODD_BLANK = re.compile(r" (?:\s|\Z)").search
 
 # ---------------------------------------------------------------------------
@@ -55,11 +56,10 @@ class Encoder(dict):
 
     def __init__(self, path: str):
         import public_tokenizers
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path).model  # without special tokens: their strings are ordinary text
         self.pre_tokens = regex.compile(public_tokenizers.PATTERN).findall
-        self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.ids: dict[str, bytes] = {}  # of pre-tokens
 
     def _pre_token(self, part: str) -> bytes:
@@ -67,8 +67,8 @@ class Encoder(dict):
         if got is None:
             if len(self.ids) > _CACHE_WORDS:
                 self.ids.clear()
-            found = self.model.tokenize(self.bytes_of(part)[0][0])
-            got = self.ids[part] = np.asarray([t.id for t in found], "<u4").tobytes()
+            found = self.model.tokenize(part.encode().decode("latin-1").translate(_BYTE_SIGNS))
+            got = self.ids[part] = array("I", [t.id for t in found]).tobytes()
         return got
 
     def _part(self, part: str) -> bytes:
@@ -77,7 +77,13 @@ class Encoder(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) > _CACHE_WORDS:
             self.clear()
-        got = self[word] = self._part(" " + word)
+        if word.isalpha():  # letters are one pre-token
+            got = self._pre_token(" " + word)
+        elif word[-1:] in ".," and word[:-1].isalpha():
+            got = self._pre_token(" " + word[:-1]) + self._pre_token(word[-1])
+        else:
+            got = self._part(" " + word)
+        self[word] = got
         return got
 
     def encode(self, text: str) -> bytes:
@@ -94,11 +100,20 @@ class Encoder(dict):
         return self._part(first) + b"".join(map(self.__getitem__, words))
 
 
+def _byte_signs() -> dict[int, str]:
+    """The printable sign that byte-level vocabularies write for each byte: itself, or the next free one from 256 on."""
+    own = {b for r in ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)) for b in range(r[0], r[1] + 1)}
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_SIGNS = _byte_signs()
 _ENCODERS: dict[str, Encoder] = {}
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and its end token, cut to ``capacity``."""
+    ship(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer_path)
