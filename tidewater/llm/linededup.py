@@ -21,49 +21,64 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import flag_members, stored, text_key
 from .graph import components
 
 THRESHOLD = 2
 MIN_CHARS = 20
+LETTERS = "aeinorsthdlu"  # counted modulo 32, five bits each, in one number
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """(id, line, chars, doc_id, copies): every distinct non-empty line, its smallest document and its number of places."""
+    """(id, line, chars, letters, doc_id, copies): every distinct non-empty line, its smallest document and its number of places."""
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where("line <> ''")
     folded = lines.groupBy("line").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    return stored(folded.select(F.monotonically_increasing_id().alias("id"), "line", F.char_length("line").alias("chars"), "doc_id", "copies"), "lines")
+    letters = F.lit(0).cast("long")
+    for i, c in enumerate(LETTERS):
+        count = F.char_length("line") - F.char_length(F.replace(F.col("line"), F.lit(c)))
+        letters = letters.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(31)).cast("long"), 5 * i))
+    columns = [F.monotonically_increasing_id().alias("id"), "line", F.char_length("line").alias("chars"), letters.alias("letters"), "doc_id", "copies"]
+    return stored(folded.select(*columns), "lines")
 
 
-def _segment(chars: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and length of segment ``i``; the last ones take one character more where the cut is uneven."""
-    base, longer = F.floor(chars / parts).cast("int"), (chars % parts).cast("int")
-    extra = F.lit(i) - (F.lit(parts) - longer)
-    return base * i + F.greatest(extra, F.lit(0)), base + (extra >= 0).cast("int")
+def letters_apart(a: Column, b: Column) -> Column:
+    """A lower bound of the sum of differences between two lines' letter counts; an edit adds 2 to it at most."""
+    total = F.lit(0)
+    for i in range(len(LETTERS)):
+        x, y = (F.shiftright(c, 5 * i).bitwiseAND(F.lit(31)).cast("int") for c in (a, b))
+        total = total + F.least(F.abs(x - y), F.lit(32) - F.abs(x - y))
+    return total
 
 
-def segment_keys(chars: Column, threshold: int) -> list[Column]:
-    """The keys under which a line is indexed."""
-    keys = []
-    for i in range(threshold + 1):
-        start, size = _segment(chars, i, threshold + 1)
-        keys.append(F.xxhash64(chars, F.lit(i), F.col("line").substr(start + 1, size)))
-    return keys
+def _keys(lines: DataFrame, asked: list[tuple[int, int, int]], threshold: int, shortest: int) -> DataFrame:
+    """(key, id, chars, letters): a key for each (shorter by, segment, shift) asked of each line, where the line has such a substring.
+
+    A line of n characters is cut into threshold + 1 segments of n // (threshold + 1)
+    characters, the last ones a character longer where that leaves a rest.
+    """
+    parts = threshold + 1
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("less"), F.lit(i).alias("segment"), F.lit(x).alias("shift")) for d, i, x in asked]))
+    rows = lines.select("id", "line", "chars", "letters", each.alias("s")).select("id", "line", "chars", "letters", "s.segment", "s.shift", F.expr("chars - s.less").alias("length"))
+    rows = rows.withColumn("extra", F.expr(f"segment - ({parts} - length % {parts})"))
+    rows = rows.withColumn("at", F.expr(f"int(length div {parts}) * segment + greatest(extra, 0) + shift"))
+    rows = rows.withColumn("size", F.expr(f"int(length div {parts}) + int(extra >= 0)"))
+    rows = rows.where((F.col("length") >= shortest) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("chars")))
+    return rows.select(F.xxhash64("length", "segment", F.expr("substring(line, at + 1, size)")).alias("key"), "id", "chars", "letters")
+
+
+def index_keys(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
+    """The keys under which lines are indexed: their own segments."""
+    return _keys(lines, [(0, i, 0) for i in range(threshold + 1)], threshold, shortest)
 
 
-def probe_keys(chars: Column, threshold: int, shortest: int) -> list[Column]:
-    """The keys a line asks for: of equal or shorter lines, substrings shifted as far as the edits left on both sides allow."""
-    keys = []
+def probe_keys(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
+    """The keys that lines ask for: segments of equal or shorter lines, shifted as far as the edits left on both sides allow."""
+    asked = []
     for less in range(threshold + 1):
-        length = chars - less
         for i in range(threshold + 1):
-            start, size = _segment(length, i, threshold + 1)
             low, high = max(-i, less - (threshold - i)), min(i, less + (threshold - i))
-            for shift in range(low, high + 1):
-                at = start + shift
-                fits = (length >= shortest) & (at >= 0) & (at + size <= chars)
-                keys.append(F.when(fits, F.xxhash64(length, F.lit(i), F.col("line").substr(at + 1, size))))
-    return keys
+            asked += [(less, i, shift) for shift in range(low, high + 1)]
+    return _keys(lines, asked, threshold, shortest)
 
 
 def _let(value: Column, use) -> Column:
@@ -122,21 +137,27 @@ def edits_within_band(a: Column, b: Column, threshold: int) -> Column:
         first = F.struct(lit(ones ^ ((1 << (width - 1 - threshold)) - 1)).alias("up"), lit(0).alias("down"), lit(threshold).alias("dist"))
         return F.aggregate(F.sequence(lit(1), F.size(chars_b)), first, column, lambda acc: acc["dist"])
 
-    return walk(F.split(a, ""), F.split(b, ""), F.char_length(a))
+    return _let(F.split(a, ""), lambda ca: _let(F.split(b, ""), lambda cb: _let(F.size(ca), lambda n: walk(ca, cb, n))))
 
 
 def line_links(lines: DataFrame, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
     """(a, b): every pair of distinct lines at most ``threshold`` edits apart, ``a`` the shorter (or, at equal length, smaller id)."""
     shortest = max(shortest, threshold + 1)
     able = lines.where(F.col("chars") >= shortest)
-    index = able.select(F.explode(F.array(*segment_keys(F.col("chars"), threshold))).alias("key"), F.col("id").alias("a"), F.col("chars").alias("n_a"))
-    probes = able.select(F.explode(F.array(*probe_keys(F.col("chars"), threshold, shortest))).alias("key"), F.col("id").alias("b"), F.col("chars").alias("n_b"))
-    met = index.join(probes.where("key IS NOT NULL"), "key").where("n_a < n_b OR (n_a = n_b AND a < b)")
+    index = index_keys(able, threshold, shortest).toDF("key", "a", "n_a", "l_a")
+    probes = probe_keys(able, threshold, shortest).toDF("p_key", "b", "n_b", "l_b")
+    shorter = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
+    # lines of many near copies share segments without being alike: the join itself leaves out what letters tell apart
+    alike = letters_apart(F.col("l_a"), F.col("l_b")) <= 2 * threshold
+    met = index.join(probes, (F.col("key") == F.col("p_key")) & shorter & alike)
     pairs = stored(met.select("a", "b").distinct(), "line-pairs")
-    text = able.select("id", "line")
+    # only lines of some pair are shuffled to meet it
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
+    text = flag_members(able.select("id", "line"), F.col("id"), ends).where("_maybe").drop("_maybe")
     both = pairs.join(text.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(text.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
-    return stored(both.where(edits_within_band(F.col("line_a"), F.col("line_b"), threshold) <= threshold).select("a", "b"), "line-links")
+    both = both.where(edits_within_band(F.col("line_a"), F.col("line_b"), threshold) <= threshold)
+    return stored(both.select("a", "b"), "line-links")
 
 
 def line_classes(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
@@ -155,13 +176,13 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = MI
     return lines.join(linked, "id", "left").withColumns({"n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "comp": F.coalesce("comp", "id")})
 
 
-def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, size_column: str | None = None, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
     """``docs`` with only the first line of each class (by doc_id, then place) left in its place.
 
     Lines shorter than ``shortest`` stay. A document that loses lines and keeps no
     other text goes; one without any text stays as it was. Rows with the same
     doc_id and text are one document here: they keep the same lines. Columns are
-    those of ``docs``.
+    those of ``docs``; ``size_column`` names one that holds the text's characters.
     """
     docs = docs.withColumns({"_key": text_key(F.col("text")), "_id": F.col("doc_id")})
     classes = line_classes(docs, threshold, shortest).where(F.col("chars") >= shortest)
@@ -176,7 +197,8 @@ def drop_repeated_lines(docs: DataFrame, threshold: int = THRESHOLD, shortest: i
     rows = docs.join(gone, F.col("_id").eqNullSafe(F.col("g_id")) & (F.col("_key") == F.col("g_key")), "left")
     kept = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains("gone", at))
     rows = rows.withColumn("text", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast("long")))
+    if size_column:
+        size = F.char_length("text").cast(docs.schema[size_column].dataType)
+        rows = rows.withColumn(size_column, F.when(F.col("gone").isNull(), F.col(size_column)).otherwise(size))
     rows = rows.where("gone IS NULL OR trim(text) <> ''")
     return rows.select([c for c in docs.columns if c not in ("_key", "_id")])
