@@ -5,13 +5,15 @@ occurrence number, so repeats count. A sketch hashes all labelled shingles,
 takes the smallest few and keeps them *in text order*: two documents share it
 only if those shingles are common to both and stand in the same order, which
 follows edit similarity and not just the overlap of sets. Documents that share
-one of several sketches are candidates; a pair is linked when a banded alignment
-of the two shingle sequences needs edits for at most a fifth of the longer one.
+one of several sketches are candidates; a banded alignment of the two shingle
+sequences then tells how many shingles they share in order, and a pair is linked
+when those are at least 0.8 of all shingles of the two (shared ones counted once).
 
 Copies of a text are folded first. In every bucket of a sketch all members are
 compared with one of them, and after the components of those links only pairs
 whose members are still in different components: a group of near copies costs
-its size, not its square, and no link between components is lost.
+its size, not its square, and no link between components is lost. Fingerprints of
+fixed size keep pairs that can't be similar out of the joins.
 
 Defined cases: a null text, or one without a word, is like no other; a text of
 fewer than five words is one shingle; the class id is the smallest doc_id of the
@@ -26,16 +28,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_key
+from .common import flag_members, ship, stored, text_key, union_all
 from .graph import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 32
-PICKED = 5  # shingles kept in a sketch
+# (from so many shingles on, shingles kept in a sketch, sketches): at a similarity of 0.8
+# a pair shares one of them with a probability of 0.995 or more; see ``tiers``
+TIERS = ((40, 10, 48), (12, 4, 14), (1, 1, 8))
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
@@ -89,11 +92,27 @@ def labelled(sh: np.ndarray) -> np.ndarray:
     return _mixed(sh + before * _M)
 
 
-def order_minhash(sh: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED) -> np.ndarray:
+def tiers(n: int) -> list[tuple[int, int]]:
+    """(picked, sketches) of a text with ``n`` shingles: those of every length that a similar text can have."""
+    low, high = int(SIMILARITY * n), int(n / SIMILARITY) + 1
+    out, above = [], 1 << 62
+    for least, picked, sketches in TIERS:
+        if high >= least and low < above:
+            out.append((picked, sketches))
+        above = least
+    return out
+
+
+def all_sketches(sh: np.ndarray) -> np.ndarray:
+    """A text's sketches of all its tiers."""
+    return np.concatenate([order_minhash(sh, sketches, picked) for picked, sketches in tiers(len(sh))])
+
+
+def order_minhash(sh: np.ndarray, sketches: int, picked: int) -> np.ndarray:
     """One hash per sketch: the ``picked`` labelled shingles that come first in its permutation, in text order."""
     x = labelled(sh)
     n, k = len(x), min(picked, len(x))
-    seeds = _mixed(np.arange(1, sketches + 1, dtype=np.uint64) * _M)
+    seeds = _mixed(np.arange(1, sketches + 1, dtype=np.uint64) * _M + np.uint64(picked))
     out = np.empty(sketches, np.uint64)
     step = max(1, 1_000_000 // n)
     for lo in range(0, sketches, step):
@@ -112,6 +131,39 @@ def order_minhash(sh: np.ndarray, sketches: int = SKETCHES, picked: int = PICKED
     return out
 
 
+def fingerprint(sh: np.ndarray) -> np.ndarray:
+    """Sixteen numbers of sixteen 4-bit signs: of each of 256 bins by hash, 0 if empty, else 1 to 15 from its smallest shingle."""
+    h = np.sort(_mixed(labelled(sh) ^ _M))
+    first = np.searchsorted(h, np.arange(256, dtype=np.uint64) << np.uint64(56))
+    least = h[np.minimum(first, len(h) - 1)]
+    filled = (first < len(h)) & (least >> np.uint64(56) == np.arange(256, dtype=np.uint64))
+    signs = np.where(filled, (least >> np.uint64(8)) % np.uint64(15) + np.uint64(1), np.uint64(0)).reshape(16, 16)
+    return np.bitwise_or.reduce(signs << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1)
+
+
+def may_be_similar(a: Column, b: Column) -> Column:
+    """Whether two fingerprints agree in as many bins as those of similar texts do, less three standard deviations.
+
+    Bins that are empty on both sides don't count. Signs that agree by chance only
+    let more through.
+    """
+    ones = F.lit(0x1111111111111111)
+    agree, bins = F.lit(0), F.lit(0)
+
+    def zeros(x: Column) -> Column:
+        """The number of zero signs of ``x``."""
+        y = x.bitwiseOR(F.shiftrightunsigned(x, 1))
+        y = y.bitwiseOR(F.shiftrightunsigned(y, 2))
+        return F.lit(16) - F.bit_count(y.bitwiseAND(ones))
+
+    for i in range(16):
+        x, y = F.get(a, F.lit(i)), F.get(b, F.lit(i))
+        empty = zeros(x.bitwiseOR(y))
+        agree = agree + zeros(x.bitwiseXOR(y)) - empty
+        bins = bins + F.lit(16) - empty
+    return agree >= F.lit(SIMILARITY) * bins - F.lit(1.2) * F.sqrt(bins)
+
+
 def banded_distance(a: list[int], b: list[int], limit: int) -> int:
     """Edits between two sequences if at most ``limit``, else some larger number.
 
@@ -154,27 +206,33 @@ def banded_distance(a: list[int], b: list[int], limit: int) -> int:
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether edits are needed for at most 1 - ``least`` of the longer sequence."""
-    longest = max(len(a), len(b))
-    limit = int((1 - least) * longest + 1e-9)
-    if abs(len(a) - len(b)) > limit:
+    """Whether the shingles that an alignment pairs up are at least ``least`` of all.
+
+    With d edits between sequences of n and m >= n shingles, m - d are paired, of
+    n + d different ones.
+    """
+    n, m = sorted((len(a), len(b)))
+    limit = int((m - least * n) / (1 + least) + 1e-9)
+    if m - n > limit:
         return False
-    # edits leave a common multiset of at least longest - limit shingles
+    # edits leave a common multiset of at least m - limit shingles
     common = np.intersect1d(labelled(a), labelled(b), assume_unique=True)
-    if len(common) < longest - limit:
+    if len(common) < m - limit:
         return False
     return banded_distance(a.tolist(), b.tolist(), limit) <= limit
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "doc_id", "n", "sketch"]
+    names = ["key", "doc_id", "n", "sketch", "print"]
     for batch in batches:
-        sizes, sketches = [], []
+        sizes, sketches, prints = [], [], []
         for text in batch.column("text").to_pylist():
             sh = shingles(text)
             sizes.append(len(sh))
-            sketches.append(order_minhash(sh).view(np.int64) if len(sh) else [])
-        made = [pa.array(sizes, pa.int64()), pa.array(sketches, pa.list_(pa.int64()))]
+            sketches.append(all_sketches(sh).view(np.int64) if len(sh) else [])
+            prints.append(fingerprint(sh).view(np.int64) if len(sh) else [])
+        longs = pa.list_(pa.int64())
+        made = [pa.array(sizes, pa.int64()), pa.array(sketches, longs), pa.array(prints, longs)]
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *made], names)
 
 
@@ -185,10 +243,13 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(node, key, doc_id, n, sketch): every distinct text with a word, numbered, with its smallest document."""
+    """(node, key, doc_id, copies, n, sketch, print): every distinct text with a word, numbered, with its smallest document and its number of rows."""
+    ship(docs.sparkSession)
     rows = docs.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>").where("n > 0")
-    folded = made.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>, print array<long>").where("n > 0")
+    folded = made.groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("sketch", "print")]
+    )
     return stored(folded.withColumn("node", F.monotonically_increasing_id()), "sketches")
 
 
@@ -198,57 +259,72 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.mapInPandas(_verify, "a long, b long"), "links")
 
 
-def _near_in_length(least: float = SIMILARITY):
-    return F.abs(F.col("n_a") - F.col("n_b")) <= F.lit(1 - least) * F.greatest("n_a", "n_b") + F.lit(1e-9)
+def _near_in_length():
+    """Lengths with which a pair can be similar at all."""
+    return F.least("n_a", "n_b") >= F.lit(SIMILARITY) * F.greatest("n_a", "n_b") - F.lit(1e-9)
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
-    """(key, comp, class_id): the class of every distinct text (by ``text_key``) that has a word."""
+    """(key, comp, class_id, size): the class of every distinct text (by ``text_key``) that has a word, and the class's number of rows."""
     nodes = sketched(docs)
     members = nodes.select("node", "n", F.explode("sketch").alias("bucket"))
     roots = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(members.join(roots, "bucket").select("bucket", "node", "n", "a"), "members")
 
     # one text for each candidate; ids with several texts or texts with several ids do no harm
-    wanted = members.select("node").distinct().join(nodes.select("node", "key", "doc_id"), "node")
+    wanted = stored(members.select("node").distinct().join(nodes.select("node", "key", "doc_id"), "node"), "candidates")
     keyed = docs.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = flag_members(keyed, F.col("key"), wanted.select("key")).where("_maybe").drop("_maybe")
     texts = keyed.alias("t").join(wanted.alias("w"), (F.col("t.key") == F.col("w.key")) & F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")))
     texts = stored(texts.select("node", "text"), "candidate-texts").dropDuplicates(["node"])
 
-    sizes = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"))
-    star = members.where("a <> node").select("a", F.col("node").alias("b"), F.col("n").alias("n_b")).distinct()
-    star = stored(star.join(sizes, "a").where(_near_in_length()).select("a", "b"), "star-pairs")
+    first = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("print").alias("print_a"))
+    other = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("print").alias("print_b"))
+    alike = may_be_similar(F.col("print_a"), F.col("print_b")) & _near_in_length()
+    star = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
+    star = stored(star.join(first, "a").join(other, "b").where(alike).select("a", "b"), "star-pairs")
     links = _verified(star, texts)
 
     label = components(links)
     placed = members.join(label, "node", "left").select("bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    placed = stored(placed, "placed")
-    comps = placed.select("bucket", "comp").distinct()
+    placed = stored(placed.join(nodes.select("node", "print"), "node"), "placed")
+    # components that meet in a bucket; single texts only if their fingerprints let them, inside the join
+    single = F.when(F.count(F.lit(1)) == 1, F.first("print"))
+    comps = placed.groupBy("bucket", "comp").agg(single.alias("print"))
     several = comps.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    comps = comps.join(several, "bucket")
-    across = comps.select("bucket", F.col("comp").alias("comp_a")).join(comps.select("bucket", F.col("comp").alias("comp_b")), "bucket").where("comp_a < comp_b")
-    one = placed.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("x"), F.col("n").alias("n_a"))
-    two = placed.select("bucket", F.col("comp").alias("comp_b"), F.col("node").alias("y"), F.col("n").alias("n_b"))
-    rest = across.join(one, ["bucket", "comp_a"]).join(two, ["bucket", "comp_b"]).where(_near_in_length())
+    comps = stored(comps.join(several, "bucket"), "meeting")
+    left, right = comps.toDF("bucket", "comp_a", "print_a"), comps.toDF("bucket_b", "comp_b", "print_b")
+    # a missing print is of a component of several texts, which are compared one by one below
+    open_ = F.coalesce(may_be_similar(F.col("print_a"), F.col("print_b")), F.lit(True))
+    across = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_a") < F.col("comp_b")) & open_).select("bucket", "comp_a", "comp_b")
+    one = placed.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("print").alias("print_a"))
+    two = placed.select("bucket", "comp", "node", "n", "print").toDF("bucket_b", "comp_c", "y", "n_b", "print_b")
+    alike = may_be_similar(F.col("print_a"), F.col("print_b")) & _near_in_length()
+    rest = across.join(one, ["bucket", "comp_a"]).join(two, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_b") == F.col("comp_c")) & alike)
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = stored(rest.join(star, ["a", "b"], "left_anti"), "rest-pairs")
     label = components(links.unionByName(_verified(rest, texts)))
 
-    classed = nodes.select("node", "key", "doc_id").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    names = classed.groupBy("comp").agg(F.min("doc_id").alias("class_id"))
-    return stored(classed.join(names, "comp").select("key", "comp", "class_id"), "classes")
+    classed = nodes.select("node", "key", "doc_id", "copies").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    names = classed.groupBy("comp").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("size"))
+    return stored(classed.join(names, "comp").select("key", "comp", "class_id", "size"), "classes")
 
 
 def with_classes(docs: DataFrame) -> DataFrame:
     """``docs`` with ``class_id`` and ``comp``; a text that is like no other has its own doc_id and a null ``comp``."""
-    classes = near_duplicate_classes(docs).withColumnRenamed("key", "_class_key")
-    rows = docs.join(classes, text_key(F.col("text")) == F.col("_class_key"), "left").drop("_class_key")
+    classes = near_duplicate_classes(docs).withColumnRenamed("key", "_class_key").drop("size")
+    rows = docs.withColumn("_key", text_key(F.col("text"))).join(classes, F.col("_key") == F.col("_class_key"), "left").drop("_key", "_class_key")
     return rows.withColumn("class_id", F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")))
 
 
 def one_of_each_class(docs: DataFrame) -> DataFrame:
     """``docs`` without all but the first document (smallest id, one row) of each class of near copies."""
-    rows = with_classes(docs.withColumnsRenamed({c: f"d_{c}" for c in docs.columns if c not in ("doc_id", "text")}))
-    first = rows.where(F.col("comp").isNotNull() & F.col("doc_id").cast("long").eqNullSafe(F.col("class_id"))).dropDuplicates(["comp"])
-    kept = first.unionByName(rows.where("comp IS NULL"))
-    return kept.select([F.col(c if c in ("doc_id", "text") else f"d_{c}").alias(c) for c in docs.columns])
+    own = {c: c if c in ("doc_id", "text") else f"d_{i}" for i, c in enumerate(docs.columns)}
+    rows = docs.select([F.col(f"`{c}`").alias(n) for c, n in own.items()]).withColumn("_key", text_key(F.col("text")))
+    classes = near_duplicate_classes(rows).where("size > 1").select(F.col("key").alias("_class_key"), "comp", "class_id")
+    # texts that are alone stay where they are; the others are shuffled to meet their class
+    rows = flag_members(rows, F.col("_key"), classes.select("_class_key"))
+    met = rows.where("_maybe").join(classes, F.col("_key") == F.col("_class_key"), "left")
+    first = met.where(F.col("comp").isNotNull() & F.col("doc_id").cast("long").eqNullSafe(F.col("class_id"))).dropDuplicates(["comp"])
+    kept = [rows.where("NOT _maybe"), met.where("comp IS NULL"), first]
+    return union_all([k.select([F.col(n).alias(c) for c, n in own.items()]) for k in kept])
