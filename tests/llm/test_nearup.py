@@ -101,3 +101,37 @@ def test_similarity_counts_paired_shingles():
     assert N.similar(a, replaced) and N.similar(a, a[:80]) and not N.similar(a, a[:79])
     replaced[11] += np.uint64(1000)
     assert not N.similar(a, replaced) and not N.similar(a, a[::-1].copy())
+
+
+def paired_by_table(a, b):
+    """Longest common subsequence, cell by cell."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = 0
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def test_passages_removed_and_added():
+    words = [f"w{i}" for i in range(1, 105)]
+    for lost in (6, 8):  # header dropped, footer added: 92 of 108 for 8 words
+        assert N.similar(N.shingles(" ".join(words)), N.shingles(" ".join(words[lost:] + [f"new{i}" for i in range(lost)])))
+    r, seen = random.Random(12), set()
+    for _ in range(1500):
+        kinds = r.choice((3, 30, 100_000))  # few kinds repeat a lot
+        a = [r.randrange(kinds) for _ in range(r.randint(1, 70))]
+        b = list(a)
+        for _ in range(r.randint(0, 3)):
+            p, size = r.randrange(len(b) + 1), r.randint(0, 7)
+            if r.random() < 0.5 and len(b) > size:
+                del b[p : p + size]
+            else:
+                b[p:p] = [r.randrange(kinds) for _ in range(size)]
+        x, y = np.array(a, np.uint64), np.array(b, np.uint64)
+        common = paired_by_table(a, b)
+        assert N.paired(x, y) == N.paired(y, x) == common
+        want = common >= N.SIMILARITY * (len(a) + len(b) - common) - 1e-9
+        assert N.similar(x, y) == N.similar(y, x) == want
+        seen.add((kinds, want))
+    assert len(seen) == 6

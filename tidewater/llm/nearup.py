@@ -1,12 +1,12 @@
-"""Near-duplicate documents by Order MinHash and banded alignment.
+"""Near-duplicate documents by Order MinHash and alignment.
 
 A document is the sequence of its five-word shingles, each labelled with its
 occurrence number, so repeats count. A sketch hashes all labelled shingles,
 takes the smallest few and keeps them *in text order*: two documents share it
 only if those shingles are common to both and stand in the same order, which
 follows edit similarity and not just the overlap of sets. Documents that share
-one of several sketches are candidates; a banded alignment of the two shingle
-sequences then tells how many shingles they share in order, and a pair is linked
+one of several sketches are candidates; an alignment of the two shingle
+sequences (their longest common subsequence) then tells how many shingles they share in order, and a pair is linked
 when those are at least 0.8 of all shingles of the two (shared ones counted once).
 
 Copies of a text are folded first. In every bucket of a sketch all members are
@@ -22,6 +22,8 @@ class (null only if all are); rows with the same text share a class.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +44,7 @@ TIERS = ((40, 10, 48), (12, 4, 14), (1, 1, 8))
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
+_MOST_BITS = 1_600_000_000
 
 
 class _WordHash(dict):
@@ -89,7 +92,7 @@ def labelled(sh: np.ndarray) -> np.ndarray:
     at = np.arange(len(run))
     before = np.empty(len(run), np.uint64)
     before[order] = at - np.maximum.accumulate(np.where(new, at, 0))
-    return _mixed(sh + before * _M)
+    return np.where(before == 0, sh, _mixed(sh + before * _M))  # a first one looks the same in a text without repeats
 
 
 def tiers(n: int) -> list[tuple[int, int]]:
@@ -205,21 +208,60 @@ def banded_distance(a: list[int], b: list[int], limit: int) -> int:
     return dist
 
 
-def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
-    """Whether the shingles that an alignment pairs up are at least ``least`` of all.
+def _by_matches(matches: list[list[int]]) -> int:
+    """Longest common subsequence from every element's places in the other sequence, last place first."""
+    ends: list[int] = []
+    for places in matches:
+        for j in places:
+            k = bisect_left(ends, j)
+            ends[k : k + 1] = [j]
+    return len(ends)
+
+
+def _by_bits(matches: list[list[int]], width: int) -> int:
+    """The same, bit-parallel over all ``width`` places: a zero bit is a place where the subsequence grows."""
+    grows = ones = (1 << width) - 1
+    masks: dict[int, int] = {}
+    for places in matches:
+        key = id(places)
+        if key not in masks:
+            bits = bytearray(width // 8 + 1)
+            for j in places:
+                bits[j >> 3] |= 1 << (j & 7)
+            masks[key] = int.from_bytes(bits, "little")
+        met = grows & masks[key]
+        grows = ((grows + met) | (grows - met)) & ones
+    return width - grows.bit_count()
+
+
+def paired(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles an alignment of the two sequences pairs up at most: their longest common subsequence."""
+    short = min(len(a), len(b))
+    differ = np.flatnonzero(a[:short] != b[:short])
+    head = int(differ[0]) if len(differ) else short
+    a, b = a[head:], b[head:]
+    short -= head
+    differ = np.flatnonzero(a[len(a) - short :][::-1] != b[len(b) - short :][::-1])
+    tail = int(differ[0]) if len(differ) else short
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    both = np.intersect1d(a, b)
+    a, b = a[np.isin(a, both)].tolist(), b[np.isin(b, both)].tolist()
+    places: dict[int, list[int]] = {}
+    for j in range(len(b) - 1, -1, -1):
+        places.setdefault(b[j], []).append(j)
+    matches = [places[x] for x in a]
+    # shingles that repeat a lot have many places; without them, or where bits would fill the memory, a sorted list is better
+    few = sum(map(len, matches)) <= 8 * len(a) or len(places) * len(b) > _MOST_BITS
+    return head + tail + (_by_matches(matches) if few else _by_bits(matches, len(b)))
 
-    With d edits between sequences of n and m >= n shingles, m - d are paired, of
-    n + d different ones.
-    """
-    n, m = sorted((len(a), len(b)))
-    limit = int((m - least * n) / (1 + least) + 1e-9)
-    if m - n > limit:
+
+def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
+    """Whether the shingles that an alignment pairs up are at least ``least`` of all, paired ones counted once."""
+    need = math.ceil(least * (len(a) + len(b)) / (1 + least) - 1e-9)
+    if min(len(a), len(b)) < need:
         return False
-    # edits leave a common multiset of at least m - limit shingles
     common = np.intersect1d(labelled(a), labelled(b), assume_unique=True)
-    if len(common) < m - limit:
-        return False
-    return banded_distance(a.tolist(), b.tolist(), limit) <= limit
+    return len(common) >= need and paired(a, b) >= need
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
