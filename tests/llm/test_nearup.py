@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -135,3 +136,32 @@ def test_passages_removed_and_added():
         assert N.similar(x, y) == N.similar(y, x) == want
         seen.add((kinds, want))
     assert len(seen) == 6
+
+
+def missed(n, m):
+    """The probability that texts of n and m shingles that are just similar share no sketch."""
+    common = math.ceil(N.SIMILARITY * (n + m) / (1 + N.SIMILARITY) - 1e-9)
+    out = 1.0
+    for picked, sketches in set(N.tiers(n)) & set(N.tiers(m)):
+        out *= (1 - math.comb(common, picked) / math.comb(n + m - common, picked)) ** sketches
+    return out
+
+
+def test_similar_texts_are_candidates():
+    for n in [*range(2, 300), *range(300, 20_000, 1970)]:
+        for m in range(n, int(n / N.SIMILARITY + 1e-9) + 1, 1 + n // 300):
+            assert missed(n, m) < 1e-5, (n, m)
+    # long texts fill all 256 bins; two signs that differ are equal by chance once in 15
+    same, least = N.SIMILARITY + (1 - N.SIMILARITY) / 15, math.ceil(N.SIMILARITY * 256 - N.SLACK * 16)
+    assert sum(math.comb(256, i) * same**i * (1 - same) ** (256 - i) for i in range(least)) < 1e-5
+
+
+def test_just_similar_texts_meet():
+    r = random.Random(3)
+    for n in (13, 30, 40, 50, 60, 100):
+        for _ in range(300):
+            a = np.array([r.getrandbits(63) for _ in range(n)], np.uint64)
+            b = a.copy()
+            out = n - math.ceil(N.SIMILARITY * 2 * n / (1 + N.SIMILARITY) - 1e-9)
+            b[r.sample(range(n), out)] ^= np.uint64(1 << 63)
+            assert N.similar(a, b) and set(N.all_sketches(a).tolist()) & set(N.all_sketches(b).tolist())

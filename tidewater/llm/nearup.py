@@ -38,9 +38,11 @@ from .graph import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
-# (from so many shingles on, shingles kept in a sketch, sketches): at a similarity of 0.8
-# a pair shares one of them with a probability of 0.995 or more; see ``tiers``
-TIERS = ((40, 10, 48), (12, 4, 14), (1, 1, 8))
+# (from so many shingles on, shingles kept in a sketch, sketches): at a similarity of 0.8 a pair
+# of any length misses all of them with a probability below 0.00001; see ``tiers`` and the test
+TIERS = ((40, 8, 80), (12, 4, 28), (1, 1, 8))
+# fingerprints may agree in so many roots of the number of bins less than expected: four standard deviations
+SLACK = 1.6
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
@@ -145,7 +147,7 @@ def fingerprint(sh: np.ndarray) -> np.ndarray:
 
 
 def may_be_similar(a: Column, b: Column) -> Column:
-    """Whether two fingerprints agree in as many bins as those of similar texts do, less three standard deviations.
+    """Whether two fingerprints agree in as many bins as those of similar texts do, less four standard deviations.
 
     Bins that are empty on both sides don't count. Signs that agree by chance only
     let more through.
@@ -164,7 +166,7 @@ def may_be_similar(a: Column, b: Column) -> Column:
         empty = zeros(x.bitwiseOR(y))
         agree = agree + zeros(x.bitwiseXOR(y)) - empty
         bins = bins + F.lit(16) - empty
-    return agree >= F.lit(SIMILARITY) * bins - F.lit(1.2) * F.sqrt(bins)
+    return agree >= F.lit(SIMILARITY) * bins - F.lit(SLACK) * F.sqrt(bins)
 
 
 def banded_distance(a: list[int], b: list[int], limit: int) -> int:
