@@ -59,3 +59,14 @@ def test_odd_rows(spark):
     got = sorted(((r.page_id, r.text) for r in X.extracted(df).collect()), key=str)
     assert got == sorted([(1, ""), (None, "x"), (3, ""), (3, ""), (4, "y")], key=str)
     assert X.extracted(df.limit(0)).count() == 0
+
+
+def test_deep_nests_keep_what_follows_and_their_marks():
+    text = lambda h: X.main_text(h, None, set(), {})
+    for depth in (1, 50, 56, 57, 58, 59, 70, 400):
+        nest = "<div>" * depth
+        assert text(f"<body><div><article><p>one</p>{nest}two{'</div>' * depth}<p>three</p></article></div><p>out</p></body>") == "one two three"
+        marked = '<nav>menu</nav><div class="advert">buy<p>now</p></div><div id="comments">reader</div><p>kept</p>'
+        assert text(f"<div>{nest}{marked}{'</div>' * depth}</div><p>end</p>") == "kept end"
+        assert text(f"<p>before</p>{nest}<article><p>deep</p></article>{'</div>' * depth}<p>after</p>") == "deep"
+        assert text(f"{nest}<p>a<p>b</section></article>{'</div>' * depth}<ul><li>c<li>d</ul>") == "a b c d"

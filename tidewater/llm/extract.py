@@ -16,7 +16,8 @@ Defined cases: null html is empty, an empty page has an empty text; a null or od
 url is a host of its own spelling; pages that differ in marked parts only count once
 as evidence, and a node is template only on ``EVIDENCE`` different pages, and where
 some other node of the host varies; broken markup is read as far as it goes, and text in
-elements nested deeper than ``DEEPEST`` belongs to the deepest one kept.
+elements nested deeper than ``DEEPEST`` belongs to the deepest one kept, with the marks
+of its own elements.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -59,18 +61,26 @@ _NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    """A block element; ``main`` and ``boiler`` say what it and its ancestors are marked as."""
+    """A block element; ``main`` and ``boiler`` say what it and its ancestors are marked as.
 
-    __slots__ = ("label", "children", "boiler", "main", "number", "tag")
+    ``kept`` is the deepest element of the tree around one that is nested too deep for it.
+    """
 
-    def __init__(self, tag: str, label: str, boiler: bool, main: bool):
-        self.tag, self.label, self.children, self.boiler, self.main, self.number = tag, label, [], boiler, main, -1
+    __slots__ = ("label", "children", "boiler", "main", "place", "tag", "kept")
+
+    def __init__(self, tag: str, label: str, boiler: bool, main: bool, kept: Node | None = None):
+        self.tag, self.label, self.children, self.boiler, self.main, self.place, self.kept = tag, label, [], boiler, main, -1, kept
+
+    @property
+    def number(self) -> int:
+        return (self.kept or self).place
 
 
 def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
     """The tree of a page's block elements and its blocks of text, in page order."""
     root = Node("", "", False, False)
     stack, blocks, run = [root], [], []
+    opened: Counter[str] = Counter()
 
     def close_run() -> None:
         if run:
@@ -79,6 +89,11 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
                 blocks.append((stack[-1], words))
             run.clear()
 
+    def leave(i: int) -> None:
+        for node in stack[i:]:
+            opened[node.tag] -= 1
+        del stack[i:]
+
     at, size = 0, len(text)
     while at < size:
         m = _TOKEN.search(text, at)
@@ -94,10 +109,8 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
         if m[1]:
             if tag in BLOCKS:
                 close_run()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
-                        break
+                if opened[tag]:
+                    leave(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
         if tag == "br" or tag == "hr":
             run.append(" ")
@@ -110,20 +123,22 @@ def parse(text: str) -> tuple[Node, list[tuple[Node, str]]]:
             continue
         close_run()
         if tag in CLOSES_P and stack[-1].tag == "p":
-            stack.pop()
+            leave(-1)
         if stack[-1].tag in CLOSED_BY_LIKE.get(tag, ()):
-            stack.pop()
-        if len(stack) >= DEEPEST:
-            continue
+            leave(-1)
         names = {k.lower(): v.strip("\"'").lower() for k, v in _ATTR.findall(m[3])}
         words = set(_NAME.findall(names.get("class", "") + " " + names.get("id", "")))
         role = names.get("role", "")
         inside = stack[-1]
         boiler = inside.boiler or tag in NOT_CONTENT or role in ROLES or bool(words & MARKS)
         main = inside.main or tag in ("article", "main") or role in ("article", "main")
-        node = Node(tag, ".".join([tag, *sorted(words)]), boiler, main)
-        inside.children.append(node)
+        if len(stack) >= DEEPEST:  # only open: its text goes to the deepest element of the tree
+            node = Node(tag, "", boiler, main, inside.kept or inside)
+        else:
+            node = Node(tag, ".".join([tag, *sorted(words)]), boiler, main)
+            inside.children.append(node)
         stack.append(node)
+        opened[tag] += 1
     close_run()
     return root, blocks
 
@@ -135,7 +150,7 @@ def skeleton(root: Node) -> list:
     def fold(label: str, nodes: list[Node]) -> list:
         nonlocal count
         for n in nodes:
-            n.number = count
+            n.place = count
         count += 1
         runs: list[list[Node]] = []
         for child in (c for n in nodes for c in n.children):
