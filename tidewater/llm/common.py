@@ -19,14 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` below the shared checkpoint folder and read it back.
 
     Cuts the lineage at a file that survives lost executors; every later reader
-    sees the same rows, so generated ids and sampled seeds stay fixed.
+    sees the same rows, so generated ids and sampled seeds stay fixed. ``options``
+    go to the writer.
     """
     path = work_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

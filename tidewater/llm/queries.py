@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, extract, langid, linededup, nearup, packing, pii, ppm, topk
+from . import chat, decontaminate, extract, langid, linededup, mixing, nearup, packing, pii, ppm, ranked, topk, variants
 from .common import stored, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,32 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.found(docs, pii.learn(docs))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base_spans").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@register
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with its form, its root and the number of its near words."""
+    words = variants.counted_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return variants.variant_forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@register
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with what a mix of its source's weight takes of it."""
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(
+        "doc_id",
+        "source",
+        mixing.word_count(F.col("text")).alias("size"),
+        mixing.letter_share(F.col("text")).alias("quality"),
+        mixing.row_digest(F.col("doc_id"), F.col("text")).alias("digest"),
+    )
+    found = mixing.mixed(rows, F.col("source"), F.col("size"), F.col("quality"), F.col("digest"))
+    return found.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked.ranked(docs, table(spark, sf_dir, "benchmark").select("item_id", "text")).select("item_id", "rank", "doc_id", "score")
