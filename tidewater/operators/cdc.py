@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import col_of, oper_rank
+from ..sources.buckets import KEY, SLOT, key_text
 from ..specs import CHANGE_COLUMNS, DELETE_PREDICATE, INGEST_COLUMNS, OPER_COL, SEQ_COL, TS_COL, TableSpec
 
 _ORDER = "__order"
@@ -43,6 +44,8 @@ class ApplySpec:
                    after these every remaining column decides, so ties are total
     delete_when    SQL predicate marking a change as a delete (None: no deletes)
     except_columns columns removed from the resolved table (change metadata)
+    slot_by        key columns by which the stored table is laid out in slots (default: all);
+                   rows that share them can be looked up together
     """
 
     keys: tuple[str, ...]
@@ -50,6 +53,11 @@ class ApplySpec:
     tie_break: tuple[str | Column, ...] = ()
     delete_when: str | None = DELETE_PREDICATE
     except_columns: tuple[str, ...] = field(default_factory=tuple)
+    slot_by: tuple[str, ...] = ()
+
+    @property
+    def slot_keys(self) -> tuple[str, ...]:
+        return self.slot_by or self.keys
 
     @staticmethod
     def for_table(spec: TableSpec) -> "ApplySpec":
@@ -99,28 +107,28 @@ def null_safe(left: Sequence[str], right: Sequence[str]) -> Column:
     return cond
 
 
-def merge_reduced(base: DataFrame, delta: DataFrame, spec: "ApplySpec") -> DataFrame:
+def merge_reduced(base: DataFrame, delta: DataFrame, spec: "ApplySpec", small: bool = False) -> DataFrame:
     """``reduce_changes(base union delta)`` where each side already has one row per key.
 
-    One left outer join picks the greater row of each stored key; keys that only
-    the delta has follow by an anti join on the key columns alone. No row is
-    grouped again, and the join's strategy is Spark's to choose at run time.
+    One full outer join on the key text reads each side once and keeps the greater
+    row. A base stored in buckets of that text joins in place, without an Exchange.
+    ``small`` says that the delta's share of a bucket is known to fit in a task's
+    memory: it is then hashed and the base streams past it, unsorted. ``base`` may
+    have the storage columns; they stay.
     """
     keys = list(spec.keys)
-    payload = [c for c in base.columns if c not in keys]
+    payload = [c for c in base.columns if c not in (*keys, KEY, SLOT)]
     missing = [c for c in payload if c not in delta.columns]
     delta = delta.withColumns({c: F.lit(None).cast(base.schema[c].dataType) for c in missing}) if missing else delta
-    if not payload:
-        return base.unionByName(delta.select(*keys)).distinct()
-    other = [f"__d{i}" for i in range(len(keys))]
-    order = _with_order(spec)
-    stored = base.select(*keys, _ranked(payload, order).alias(_WIN))
-    changed = delta.select(*[F.col(k).alias(o) for k, o in zip(keys, other)], _ranked(payload, order).alias("__change"))
-    # a missing change is null and never the greater one
-    won = stored.join(changed, null_safe(keys, other), "left").select(*keys, F.greatest(_WIN, "__change").alias(_WIN))
-    kept = won.select(*keys, *[F.col(f"{_WIN}.{_PAYLOAD}.{c}").alias(c) for c in payload]).select(*base.columns)
-    known = base.select(*[F.col(k).alias(o) for k, o in zip(keys, other)])
-    return kept.unionByName(delta.join(known, null_safe(keys, other), "left_anti").select(*base.columns))
+    ranked = _ranked(payload, _with_order(spec)) if payload else F.lit(0)
+    left = base if KEY in base.columns else base.withColumn(KEY, key_text(base, keys))
+    left = left.select(KEY, F.struct(*keys).alias("__old_key"), ranked.alias(_WIN))
+    right = delta.select(key_text(delta, keys).alias(KEY), F.struct(*keys).alias("__new_key"), ranked.alias("__change"))
+    # a missing side is null and never the greater one
+    joined = left.join(right.hint("shuffle_hash") if small else right, KEY, "full_outer")
+    won = joined.select(KEY, F.coalesce("__old_key", "__new_key").alias("__key"), F.greatest(_WIN, "__change").alias(_WIN))
+    found = {c: F.col(f"__key.{c}") for c in keys} | {c: F.col(f"{_WIN}.{_PAYLOAD}.{c}") for c in payload}
+    return won.select(*[found.get(c, F.col(c)).alias(c) for c in base.columns if c != SLOT])
 
 
 def _with_order(spec: ApplySpec) -> list[str | Column]:
@@ -168,26 +176,37 @@ START_COL = "__start_at"
 END_COL = "__end_at"
 
 
+def scd2_base(changes: DataFrame, spec: ApplySpec, start_value: str | Column | None = None) -> tuple[DataFrame, list]:
+    """A log's rows with the value each opens a version at, and the total order of a key's changes.
+
+    A change delivered twice counts once: when and from which file it was ingested
+    is not part of it.
+    """
+    start = col_of(start_value if start_value is not None else spec.sequence_by[0])
+    base = changes.drop(*[c for c in INGEST_COLUMNS if c in changes.columns]).withColumn(START_COL, start)
+    return base, _with_order(spec) + [F.struct(*[F.col(c) for c in base.columns if c not in spec.keys])]
+
+
+def scd2_versions(closed: DataFrame, spec: ApplySpec) -> DataFrame:
+    """Versions (no deletes, no change metadata) of rows that carry both interval ends."""
+    versions = mark_deletes(closed, spec).where(~F.col(DELETED_COL)).drop(DELETED_COL)
+    return versions.drop(*[c for c in spec.except_columns if c in versions.columns])
+
+
 def scd2_history(changes: DataFrame, spec: ApplySpec, start_value: str | Column | None = None) -> DataFrame:
     """Type-2 history: one version per applied change, closed by the next change.
 
     A version opens at its change's sequence value (``start_value``, default
     the first ``sequence_by`` column) and ends where the next change of the key
     starts (NULL while current). A delete closes the open version and opens
-    none. A change delivered twice counts once: when and from which file it was
-    ingested is not part of it. Late changes simply land in
-    order, since intervals are recomputed from the whole ordered log of the key.
+    none. Late changes simply land in order, since intervals are recomputed from
+    the whole ordered log of the key; ``streaming.history`` keeps a stored history
+    up to date instead.
 
     "Next change of the key" is computed skew-safely by ``ordered.next_in_key``:
     a key holding a third of all changes is spread over many range partitions.
     """
     from .ordered import next_in_key
 
-    start = col_of(start_value if start_value is not None else spec.sequence_by[0])
-    ordered_cols = _with_order(spec)
-    base = changes.drop(*[c for c in INGEST_COLUMNS if c in changes.columns]).withColumn(START_COL, start)
-    total = ordered_cols + [F.struct(*[F.col(c) for c in base.columns if c not in spec.keys])]
-    with_next = next_in_key(base, spec.keys, total, START_COL, "__next_start", distinct=True)
-    versions = mark_deletes(with_next, spec).where(~F.col(DELETED_COL))
-    out = versions.withColumn(END_COL, F.col("__next_start")).drop("__next_start", DELETED_COL)
-    return out.drop(*[c for c in spec.except_columns if c in out.columns])
+    base, total = scd2_base(changes, spec, start_value)
+    return scd2_versions(next_in_key(base, spec.keys, total, START_COL, END_COL, distinct=True), spec)

@@ -65,8 +65,10 @@ def next_in_key(
         _LAST, F.lead(F.lit(1)).over(w).isNull()
     )
 
-    # One row per non-empty range partition: its first (key, order, value).
+    # One row per non-empty range partition: the key and value of its first row. The
+    # order columns (which may hold the whole record) are left behind before the broadcast.
     firsts = ranged.groupBy(_PID).agg(F.min(F.struct(_K, _O, F.col(value_col).alias("v"))).alias("first"))
+    firsts = firsts.select(_PID, F.struct(F.col(f"first.{_K}").alias(_K), F.col("first.v").alias("v")).alias("first"))
     by_pid = Window.orderBy(_PID)  # at most n rows
     boundary = firsts.select(F.col(_PID), F.lead("first").over(by_pid).alias("__next_first"))
 

@@ -417,3 +417,6 @@ SELECT printf('DX%012d-%d', l_orderkey, l_linenumber) AS claim_diagnosis_id, pri
        l_linenumber AS diagnosis_seq, p_brand AS diagnosis_code, CASE WHEN l_linenumber = 1 THEN 'PRINCIPAL' ELSE 'SECONDARY' END AS diagnosis_type,
        l_shipdate AS last_updated, 'I' AS header__change_oper, {SEQ_STEP} + l_orderkey * 100 + l_linenumber AS header__change_seq
 FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE {ctype('l_orderkey')} = 'new'"""
+
+ORACLE["scd2_incremental"] = ORACLE["cdc_scd2_events"]
+ORACLE["change_feed"] = ORACLE["snapshot_diff"]

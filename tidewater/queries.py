@@ -20,6 +20,7 @@ from .session import work_dir
 from .sources.control import CONTROL_SCHEMA, control_path
 from .specs import CLAIMS, OPER_COL, RESCUE_COL, SEQ_COL, SOURCE_FILE_COL, Rule, TableSpec
 from .streaming import apply as ap
+from .streaming import feed, history
 from .streaming.ingest import land, landing_path
 from .streaming.runner import Runner
 
@@ -513,3 +514,36 @@ def change_batch_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def change_batch_diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diagnosis rows of the increment's new claims."""
     return _increment(spark, sf_dir, "claim_diagnosis")
+
+
+# ---------------------------------------------------------------------------
+# stored history, change feed between versions
+# ---------------------------------------------------------------------------
+@register
+def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type-2 history of the events, stored and brought up to date by five batches: late ones, one delivered twice, one after a compaction."""
+
+    root, rule = work_dir(spark, "history"), roles.EVENTS_APPLY
+    events = roles.events_log(spark, sf_dir)
+    slice_of = F.pmod(F.xxhash64(F.col("event_id")), F.lit(4))
+    for batch, s in enumerate((2, 0, 0, 3, 1)):
+        history.update_history(events.where(slice_of == s), batch, root, "events", rule)
+        if batch == 3:
+            history.compact_history(spark, root, "events", rule)
+    return history.read_history(spark, root, "events", rule)
+
+
+@register
+def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line table's changes from its first version to its last, read from the batches between them."""
+
+    runner, rule = Runner(spark, work_dir(spark, "feed")), cdc.ApplySpec.for_table(CLAIMS["claim_detail"])
+    runner.land_roles(sf_dir, roles.SEED, tables=("claim_detail",))
+    runner.step(("claim_detail",), with_twin=False)
+    runner.compact(("claim_detail",))
+    first = feed.current_version(spark, runner.root, "claim_detail")
+    runner.land_roles(sf_dir, roles.INCREMENT, tables=("claim_detail",))
+    runner.step(("claim_detail",), with_twin=False)
+    runner.compact(("claim_detail",))
+    columns = [c for c in CLAIMS["claim_detail"].business_columns if c != "claim_detail_id"]
+    return feed.with_changed_columns(feed.change_feed(spark, runner.root, "claim_detail", rule, first), columns)

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A lookup of listed keys reaches the parquet pages as the list, not as its range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "2000",
     # Streaming file sinks/sources: one transactional log per folder.
     "spark.sql.streaming.schemaInference": "false",
 }

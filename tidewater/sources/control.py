@@ -12,6 +12,8 @@ import datetime as _dt
 
 from pyspark.sql import Row, SparkSession
 
+from . import files
+
 CONTROL_SCHEMA = "max_claim_n BIGINT, seq_base BIGINT, run_index BIGINT, updated_at TIMESTAMP"
 
 
@@ -20,9 +22,8 @@ def control_path(root: str) -> str:
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
-    from ..streaming.apply import _numbered
-
-    return _numbered(spark, control_path(root), "v=", committed=True)
+    path = control_path(root)
+    return [n for n in files.numbered(spark, path, "v=") if files.exists(spark, f"{path}/v={n}/_SUCCESS")]
 
 
 def read_control(spark: SparkSession, root: str) -> Row | None:

@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql.types import StructType
 
+from .sources.buckets import Layout
+
 # --- fixed values: change-metadata columns carried by every landed row -------
 OPER_COL = "header__change_oper"  # 'I' | 'U' | 'D'
 SEQ_COL = "header__change_seq"  # BIGINT, orders changes per key
@@ -59,6 +61,7 @@ class TableSpec:
     sequence_by: tuple[str, ...] = (SEQ_COL,)
     delete_predicate: str | None = DELETE_PREDICATE
     rules: tuple[Rule, ...] = field(default_factory=tuple)
+    layout: Layout = Layout()  # buckets of the stored table; see sources.buckets.layout_for
 
     @property
     def business_columns(self) -> list[str]:

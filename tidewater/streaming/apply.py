@@ -1,49 +1,168 @@
 """Streaming change apply (SCD1) with ``foreachBatch``, on plain parquet folders.
 
 Per micro-batch: drop rules -> rejects and rule counts -> per-key reduction
-(tombstones kept) -> overwrite ``state/<table>/batch_id=N``. A retried batch
-replaces its own folder, so the flow is idempotent per ``batch_id``; no key
-state is held in memory between batches, and write cost follows the batch.
+(tombstones kept) -> ``state/<table>/batch_id=N``, committed by the next version
+of the table's manifest. A batch in the manifest is not applied again, so the flow
+is idempotent per ``batch_id``; no key state is held in memory between batches,
+and write cost follows the batch.
 
 Readers resolve the state with the same reduction (``current_state``), which
 never relies on batch order: late, duplicate and out-of-order changes give the
-same table. ``compact`` folds the folders into one clustered snapshot; reads
-then merge only the batches after it (``merge_on_read``), so a read shuffles the
-changed keys, not the table.
+same table. ``compact`` folds the batches into a snapshot stored in buckets of
+the key: slots that no batch touched are carried over by reference, the others
+are merged bucket by bucket without a shuffle of what is stored. Reads merge the
+batches after the snapshot the same way (``merge_on_read``).
+
+The manifest holds each batch's and each slot's rows and bytes, so what a table
+consists of and how much of it changed is one listing and one small file.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import json
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import cdc, quality
-from ..sources.tables import write_table
+from ..sources import buckets, files
+from ..sources.buckets import KEY, SLOT, Layout
+from ..sources.manifest import Conflict, Manifest
 from ..specs import TableSpec
 from .ingest import checkpoint_path, read_bronze_stream
 
+# Merges hash the later batches when their share of a bucket is at most this; else both sides are sorted, which spills.
+HASHED_BYTES_PER_BUCKET = 32 * 1024**2
+# A lookup of at most this many keys names them to the scan; more are given to it as a range.
+LISTED_KEYS = 2000
+
 
 def state_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/state/{table}"
 
 
-def metrics_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/metrics/{table}"
+def snapshots_path(root: str, table: str) -> str:
+    return f"{root.rstrip('/')}/snapshots/{table}"
 
 
 def rejects_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/rejects/{table}"
 
 
+def manifest_of(spark: SparkSession, root: str, table: str) -> Manifest:
+    return Manifest(spark, f"{root.rstrip('/')}/manifest/{table}")
+
+
 def _batch_dir(base: str, batch_id: int) -> str:
     return f"{base}/batch_id={batch_id}"
 
 
+# ---------------------------------------------------------------------------
+# what a table consists of
+# ---------------------------------------------------------------------------
+def empty_table(layout: Layout) -> dict:
+    """A manifest's content before the first batch."""
+    return {"layout": [layout.buckets, layout.slots], "upto": None, "slots": {}, "schema": None, "batches": [], "rules": {}}
+
+
+def contents(spark: SparkSession, root: str, name: str, version: int | None = None) -> dict | None:
+    """The manifest of a table, the newest or that of a version (None if it has no commit)."""
+    m = manifest_of(spark, root, name)
+    return m.latest() if version is None else m.at(version)
+
+
+def layout_of(table: dict) -> Layout:
+    return Layout(*table["layout"])
+
+
+def is_done(table: dict | None, batch_id: int) -> bool:
+    """Whether the table holds the batch, in its snapshot or as a later batch."""
+    if table is None:
+        return False
+    return (table["upto"] is not None and batch_id <= table["upto"]) or any(b["id"] == batch_id for b in table["batches"])
+
+
+def snapshot_rows(table: dict) -> int:
+    return sum(s["rows"] for s in table["slots"].values())
+
+
+def changed_rows(table: dict) -> int:
+    """Rows of the batches after the snapshot, as counted when they were written."""
+    return sum(b["rows"] for b in table["batches"])
+
+
+def commit(spark: SparkSession, root: str, name: str, change: Callable[[dict | None], dict | None]) -> dict | None:
+    """Make ``change`` of the newest content the next version; asked again if another writer came first. None: nothing to do."""
+    m = manifest_of(spark, root, name)
+    while True:
+        before = m.latest()
+        after = change(before)
+        if after is None:
+            return before
+        try:
+            return m.commit(after, before)
+        except Conflict:
+            continue
+
+
+def batch_ids(spark: SparkSession, root: str, name: str) -> list[int]:
+    """Committed batches that are not folded into the snapshot, and before them the snapshot's last one if there is any."""
+    table = contents(spark, root, name)
+    if table is None:
+        return []
+    folded = [] if table["upto"] is None else [table["upto"]]
+    return folded + [b["id"] for b in table["batches"]]
+
+
+def latest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
+    """Highest batch id folded into the snapshot, if any."""
+    table = contents(spark, root, name)
+    return None if table is None else table["upto"]
+
+
+# ---------------------------------------------------------------------------
+# writing batches
+# ---------------------------------------------------------------------------
+def _slot(rows: DataFrame, apply: cdc.ApplySpec, slots: int) -> Column:
+    return buckets.slot_of(buckets.key_text(rows, apply.slot_keys), slots)
+
+
+def append_reduced(
+    spark: SparkSession, root: str, name: str, batch_id: int, reduced: DataFrame, apply: cdc.ApplySpec, layout: Layout = Layout(), rules: Callable[[], dict] = dict
+) -> dict:
+    """Write a batch of reduced rows and commit it with its rows, bytes and touched slots.
+
+    The counts are observed while the rows are written. ``rules`` gives the batch's
+    rule failures once it is written; the manifest keeps their totals.
+    """
+    table = contents(spark, root, name)
+    slots = layout.slots if table is None else layout_of(table).slots
+    seen = Observation(f"rows_{name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+    slot = _slot(reduced, apply, slots)
+    counted = reduced.withColumn(SLOT, slot).observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set(SLOT).alias("slots"))  # at most ``slots`` values
+    path = _batch_dir(state_path(root, name), batch_id)
+    counted.drop(SLOT).write.mode("overwrite").parquet(path)
+    got = seen.get
+    entry = {"id": int(batch_id), "rows": int(got.get("n") or 0), "slots": sorted(got.get("slots") or []), "bytes": files.total_bytes(spark, path)}
+    failures = rules()
+
+    def add(before: dict | None) -> dict | None:
+        if is_done(before, batch_id):
+            return None
+        now = dict(before or empty_table(layout))
+        now["batches"] = now["batches"] + [entry]
+        totals = dict(now["rules"])
+        for rule, (action, n) in failures.items():
+            totals[rule] = [action, totals.get(rule, [action, 0])[1] + n]
+        return now | {"rules": totals}
+
+    return commit(spark, root, name, add)
+
+
 def apply_batch(
     batch: DataFrame,
     batch_id: int,
@@ -53,18 +172,21 @@ def apply_batch(
     rules=(),
     delete_when: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
+    layout: Layout = Layout(),
 ) -> dict[str, int]:
-    """Process one micro-batch of changes into ``state/<name>/batch_id=N``.
+    """Process one micro-batch of changes into ``state/<name>/batch_id=N``; nothing if it is committed already.
 
     Rule counts are observed while the state is written (``observe``: no extra
     pass over the batch); rejects are written only when a drop rule removed
-    rows. Returns the failure count per rule.
+    rows, before the batch is committed. Returns the failure count per rule.
     """
     spark = batch.sparkSession
     rules = list(rules)
+    if is_done(contents(spark, root, name), batch_id):
+        return {}
     drops = [r for r in rules if r.action == "drop"]
-    obs = None
     source = batch
+    obs = None
     if rules:
         obs = Observation(f"rules_{name}_{batch_id}_{uuid.uuid4().hex[:8]}")
         source = batch.observe(obs, *[F.count_if(quality.failed(r, delete_when)).alias(f"r{i}") for i, r in enumerate(rules)])
@@ -76,19 +198,18 @@ def apply_batch(
         kept = source.where(~any_drop)
     if transform is not None:
         kept = transform(kept)
-    cdc.reduce_changes(kept, apply).write.mode("overwrite").parquet(_batch_dir(state_path(root, name), batch_id))
     counts: dict[str, int] = {}
-    if rules:
+
+    def failures() -> dict:
+        if obs is None:
+            return {}
         got = obs.get
-        counts = {r.name: int(got.get(f"r{i}") or 0) for i, r in enumerate(rules)}
-        rows = [(r.name, r.action, counts[r.name], int(batch_id)) for r in rules]
-        spark.createDataFrame(rows, "rule string, action string, failed_rows bigint, batch_id bigint").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(_batch_dir(metrics_path(root, name), batch_id))
+        counts.update({r.name: int(got.get(f"r{i}") or 0) for i, r in enumerate(rules)})
         if any(counts[r.name] for r in drops):
-            quality.check(batch, rules, delete_when).rejects.write.mode("overwrite").parquet(
-                _batch_dir(rejects_path(root, name), batch_id)
-            )
+            quality.check(batch, rules, delete_when).rejects.write.mode("overwrite").parquet(_batch_dir(rejects_path(root, name), batch_id))
+        return {r.name: (r.action, counts[r.name]) for r in rules}
+
+    append_reduced(spark, root, name, batch_id, cdc.reduce_changes(kept, apply), apply, layout, failures)
     return counts
 
 
@@ -103,7 +224,7 @@ def start_silver(
     source = read_bronze_stream(spark, root, spec, max_files_per_trigger)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, root, spec.name, apply, spec.rules, spec.delete_predicate)
+        apply_batch(batch, batch_id, root, spec.name, apply, spec.rules, spec.delete_predicate, layout=spec.layout)
 
     return (
         source.writeStream.foreachBatch(run)
@@ -136,118 +257,129 @@ def start_apply(
     )
 
 
-def snapshots_path(root: str, table: str) -> str:
-    return f"{root.rstrip('/')}/snapshots/{table}"
+# ---------------------------------------------------------------------------
+# reading
+# ---------------------------------------------------------------------------
+def _batches(spark: SparkSession, root: str, name: str, ids) -> DataFrame:
+    return spark.read.parquet(*[_batch_dir(state_path(root, name), b) for b in ids])
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    """Names below ``path`` on the cluster's file system (empty if it does not exist)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p)]
+def read_state(spark: SparkSession, root: str, name: str, after: int | None = None) -> DataFrame:
+    """Per-batch reduced rows of committed batches that no snapshot holds; with ``after``, only those newer than it."""
+    table = contents(spark, root, name)
+    ids = [b["id"] for b in (table or {"batches": []})["batches"] if after is None or b["id"] > after]
+    if not ids:
+        raise FileNotFoundError(f"no committed batch of {name!r} after {after}")
+    return _batches(spark, root, name, ids)
 
 
-def _numbered(spark: SparkSession, path: str, prefix: str, committed: bool = False) -> list[int]:
-    out = []
-    for name in _children(spark, path):
-        if name.startswith(prefix):
-            try:
-                n = int(name[len(prefix):])
-            except ValueError:
-                continue
-            if not committed or "_SUCCESS" in _children(spark, f"{path}/{name}"):
-                out.append(n)
-    return sorted(out)
+def stored_rows(spark: SparkSession, table: dict) -> DataFrame:
+    """The snapshot's rows with ``__k`` and ``__slot``, known to Spark as bucketed by ``__k``."""
+    folders = {s: e["folder"] for s, e in table["slots"].items()}
+    return buckets.read(spark, folders, StructType.fromJson(json.loads(table["schema"])), layout_of(table))
 
 
-def batch_ids(spark: SparkSession, root: str, name: str) -> list[int]:
-    """Batches that readers see: the committed ones, up to the first that is not.
+def touched_slots(table: dict) -> list[int]:
+    return sorted({s for b in table["batches"] for s in b["slots"]})
 
-    Batches run in order, so a folder without its ``_SUCCESS`` marker is a batch
-    that failed and will be retried; nothing after it exists yet.
-    """
-    found = _numbered(spark, state_path(root, name), "batch_id=")
-    done = set(_numbered(spark, state_path(root, name), "batch_id=", committed=True))
-    out = []
-    for n in found:
-        if n not in done or (out and n != out[-1] + 1):
-            break
-        out.append(n)
-    return out
 
-
-def latest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
-    """Highest batch id folded into a committed snapshot, if any."""
-    done = _numbered(spark, snapshots_path(root, name), "upto=", committed=True)
-    return done[-1] if done else None
+def merge_on_read(base: DataFrame, delta: DataFrame, apply: cdc.ApplySpec, small: bool = False) -> DataFrame:
+    """``reduce(base union delta)`` where ``base`` already holds one row per key: reduce the delta, then join once."""
+    return cdc.merge_reduced(base, cdc.reduce_changes(delta, apply), apply, small)
 
 
-def read_state(spark: SparkSession, root: str, name: str, after: int | None = None) -> DataFrame:
-    """Per-batch reduced rows of committed batches; with ``after``, only those newer than a snapshot."""
-    base = state_path(root, name)
-    ids = [b for b in batch_ids(spark, root, name) if after is None or b > after]
-    if not ids:
-        raise FileNotFoundError(f"no committed batch of {name!r} after {after}")
-    return spark.read.parquet(*[_batch_dir(base, b) for b in ids])
+def _merged(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, table: dict) -> DataFrame:
+    """The touched slots' rows (with ``__k``) after the batches; each task holds whole buckets."""
+    hit = buckets.only(stored_rows(spark, table), touched_slots(table))
+    small = sum(b["bytes"] for b in table["batches"]) <= HASHED_BYTES_PER_BUCKET * table["layout"][0]
+    return merge_on_read(hit, _batches(spark, root, name, [b["id"] for b in table["batches"]]), apply, small)
 
 
-def merge_on_read(base: DataFrame, delta: DataFrame, apply: cdc.ApplySpec) -> DataFrame:
-    """``reduce(base union delta)`` where ``base`` already holds one row per key: reduce the delta, then join once."""
-    return cdc.merge_reduced(base, cdc.reduce_changes(delta, apply), apply)
+def _plain(df: DataFrame) -> DataFrame:
+    return df.drop(KEY, SLOT)
 
 
-def reduced_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec) -> DataFrame:
-    """Per-key winners (tombstones included): latest snapshot merged with later batches."""
-    snap = latest_snapshot(spark, root, name)
-    if snap is None:
-        return cdc.reduce_changes(read_state(spark, root, name), apply)
-    base = spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}")
-    if not any(b > snap for b in batch_ids(spark, root, name)):
-        return base
-    return merge_on_read(base, read_state(spark, root, name, after=snap), apply)
+def reduced_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, version: int | None = None) -> DataFrame:
+    """Per-key winners (tombstones included): the snapshot, with later batches merged into the slots they touch."""
+    table = contents(spark, root, name, version)
+    if table is None:
+        raise FileNotFoundError(f"{name!r} has no committed batch")
+    if table["upto"] is None:
+        return cdc.reduce_changes(_batches(spark, root, name, [b["id"] for b in table["batches"]]), apply)
+    base = stored_rows(spark, table)
+    if not table["batches"]:
+        return _plain(base)
+    rest = buckets.without(base, touched_slots(table))
+    return _plain(_merged(spark, root, name, apply, table)).unionByName(_plain(rest))
 
 
-def current_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec) -> DataFrame:
+def current_state(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, version: int | None = None) -> DataFrame:
     """The live SCD1 table: snapshot + newer batches, reduced per key, tombstones dropped."""
-    return cdc.live_rows(reduced_state(spark, root, name, apply), apply)
+    return cdc.live_rows(reduced_state(spark, root, name, apply, version), apply)
 
 
 def current_state_of(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     return current_state(spark, root, spec.name, cdc.ApplySpec.for_table(spec))
 
 
-def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame) -> DataFrame | None:
-    """Current rows of the given keys only: the key filter runs *before* the reduction.
+def reduced_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame, version: int | None = None) -> DataFrame | None:
+    """Per-key winners of the given keys only: the key filter runs *before* the reduction.
 
-    Because the reduction is per key, filtering the snapshot and the batch
-    folders to ``keys`` first gives the same rows as filtering the full table
-    afterwards, while shuffling only the requested keys' changes. The range of
-    the first key column goes to the scans as a filter, so a snapshot clustered
-    on it is read only where the keys lie.
+    Because the reduction is per key, filtering the snapshot and the batches to
+    ``keys`` first gives the same rows as filtering the full table afterwards.
+    ``keys`` has the columns that slots go by (by default the key). One small job
+    tells their slots and range, and the keys themselves if they are few: the scan
+    then reads just those slots' pages with such a key.
     """
-    kcols = list(apply.keys)
-    asked = [f"__k{i}" for i in range(len(kcols))]
-    k = keys.select(*[F.col(c).alias(a) for c, a in zip(kcols, asked)]).distinct()
-    low, high, empty = k.agg(F.min(asked[0]), F.max(asked[0]), F.count_if(F.col(asked[0]).isNull())).first()
-    lead = F.col(kcols[0])
-    near = lead.between(low, high) if low is not None else F.lit(False)
-    near = near | lead.isNull() if empty else near
-    snap = latest_snapshot(spark, root, name)
-    parts = []
-    if snap is not None:
-        parts.append(spark.read.parquet(f"{snapshots_path(root, name)}/upto={snap}"))
-    if any(snap is None or b > snap for b in batch_ids(spark, root, name)):
-        parts.append(read_state(spark, root, name, after=snap))
-    if not parts:
+    table = contents(spark, root, name, version)
+    if table is None:
         return None
-    rows = None
-    for p in parts:
-        p = p.where(near).join(k, cdc.null_safe(kcols, asked), "left_semi")
-        rows = p if rows is None else rows.unionByName(p, allowMissingColumns=True)
-    return cdc.live_rows(cdc.reduce_changes(rows, apply), apply)
+    kcols, slots, ask = list(apply.slot_keys), layout_of(table).slots, "__asked"
+    whole = tuple(kcols) == tuple(apply.keys)  # the asked keys are stored as they are, in ``__k``
+    asked = keys.select(*kcols)
+    asked = asked.select(buckets.key_text(asked, kcols).alias(ask)).distinct().withColumn(SLOT, buckets.slot_of(F.col(ask), slots))
+    few = asked.limit(LISTED_KEYS + 1).collect()  # bounded
+    if len(few) <= LISTED_KEYS:
+        at = {r[SLOT] for r in few}
+        asked = spark.createDataFrame([(r[ask],) for r in few], f"{ask} string")
+        near = F.col(ask).isin([r[ask] for r in few])
+    else:
+        low, high, at = asked.agg(F.min(ask), F.max(ask), F.collect_set(SLOT)).first()
+        asked, near = asked.drop(SLOT), F.col(ask).between(low, high)
+
+    def of_keys(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn(ask, F.col(KEY) if whole and KEY in rows.columns else buckets.key_text(rows, kcols))
+        return rows.where(near).join(asked, ask, "left_semi").drop(ask)
+
+    parts = []
+    if table["upto"] is not None:
+        parts.append(_plain(of_keys(buckets.only(stored_rows(spark, table), at))))
+    if table["batches"]:
+        parts.append(of_keys(_batches(spark, root, name, [b["id"] for b in table["batches"]])))
+    if len(parts) == 1 and table["upto"] is not None:
+        return parts[0]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p, allowMissingColumns=True)
+    return cdc.reduce_changes(rows, apply)
+
+
+def current_state_for(spark: SparkSession, root: str, name: str, apply: cdc.ApplySpec, keys: DataFrame, version: int | None = None) -> DataFrame | None:
+    """Current rows of the given keys only (None if the table has no commit)."""
+    rows = reduced_state_for(spark, root, name, apply, keys, version)
+    return None if rows is None else cdc.live_rows(rows, apply)
+
+
+# ---------------------------------------------------------------------------
+# compaction and retention
+# ---------------------------------------------------------------------------
+def write_slots(spark: SparkSession, rows: DataFrame, folder: str, apply: cdc.ApplySpec, layout: Layout, aligned: bool) -> dict:
+    """Write keyed rows as slots below ``folder``; the manifest entries of those that got rows."""
+    buckets.write(rows.withColumn(SLOT, _slot(rows, apply, layout.slots)), folder, layout, aligned)
+    if not any(n.startswith(f"{SLOT}=") for n in files.children(spark, folder)):
+        return {}
+    counts = {int(r[SLOT]): r["count"] for r in spark.read.parquet(folder).groupBy(SLOT).count().collect()}  # from the files' footers; a row a slot
+    return {str(s): {"folder": f"{folder}/{SLOT}={s}", "rows": n, "bytes": files.total_bytes(spark, f"{folder}/{SLOT}={s}")} for s, n in counts.items()}
 
 
 def compact(
@@ -257,42 +389,95 @@ def compact(
     apply: cdc.ApplySpec,
     cluster_by=(),
     expire_tombstones_below: int | None = None,
+    layout: Layout | None = None,
 ) -> str | None:
-    """Fold the state into a new snapshot ``snapshots/<t>/upto=N`` (tombstones kept).
+    """Fold the batches into a new snapshot (tombstones kept); returns the folder of the slots it wrote.
 
-    Written to a new folder and committed by its ``_SUCCESS`` marker; readers
-    switch to it only then, and ignore the batch folders it covers. Clustering
-    on the key keeps keyed reads and later merges to few row groups.
+    Slots without a changed key keep their folders; the others are merged in place
+    and written to ``snapshots/<t>/upto=N``. The manifest's next version names
+    them all, so readers switch at once. ``layout`` rewrites the whole table in
+    other buckets. ``cluster_by`` is accepted for callers that name it; rows lie in
+    the buckets of their key, which is what merges and lookups go by.
 
     ``expire_tombstones_below`` (off by default) drops delete markers whose
-    first sequence column is below the given value. This is an explicit trade:
-    it bounds state growth from deletes, but a change that arrives later with a
-    lower sequence than the expired delete would bring the key back.
+    first sequence column is below the given value, from all slots. This is an
+    explicit trade: it bounds state growth from deletes, but a change that arrives
+    later with a lower sequence than the expired delete would bring the key back.
     """
-    ids = batch_ids(spark, root, name)
-    if not ids:
+    table = contents(spark, root, name)
+    if table is None:
         return None
-    upto = ids[-1]  # the last of the committed prefix: a batch still to be retried comes after it
-    snap = latest_snapshot(spark, root, name)
-    if snap is not None and snap >= upto:
-        return f"{snapshots_path(root, name)}/upto={snap}"
-    reduced = reduced_state(spark, root, name, apply)
-    if expire_tombstones_below is not None:
-        seq = cdc.col_of(apply.sequence_by[0])
-        expired = cdc.mark_deletes(reduced, apply)
-        reduced = expired.where(~(F.col(cdc.DELETED_COL) & (seq < F.lit(expire_tombstones_below)))).drop(cdc.DELETED_COL)
+    if not table["batches"] and layout is None and expire_tombstones_below is None:
+        return f"{snapshots_path(root, name)}/upto={table['upto']}"
+    upto = table["batches"][-1]["id"] if table["batches"] else table["upto"]
+    to = layout or layout_of(table)
+    whole = table["upto"] is None or layout is not None or expire_tombstones_below is not None
+    if whole:
+        reduced = reduced_state(spark, root, name, apply, table["version"])
+        if expire_tombstones_below is not None:
+            seq = cdc.col_of(apply.sequence_by[0])
+            expired = cdc.mark_deletes(reduced, apply)
+            reduced = expired.where(~(F.col(cdc.DELETED_COL) & (seq < F.lit(expire_tombstones_below)))).drop(cdc.DELETED_COL)
+        rows = reduced.withColumn(KEY, buckets.key_text(reduced, apply.keys))
+    else:
+        rows = _merged(spark, root, name, apply, table)
     out = f"{snapshots_path(root, name)}/upto={upto}"
-    return write_table(reduced, out, cluster_by=list(cluster_by or apply.keys))
+    if files.exists(spark, out):  # a compaction that was not committed, or the same batches in another layout
+        out = f"{out}-{uuid.uuid4().hex[:8]}"
+    entries = write_slots(spark, rows, out, apply, to, aligned=not whole)
+    schema = json.dumps(json.loads(rows.schema.json()))
+    folded = {b["id"] for b in table["batches"]}
+
+    def fold(before: dict | None) -> dict | None:
+        if before["upto"] != table["upto"] or before["slots"] != table["slots"]:
+            return None  # another compaction came first
+        kept = {} if whole else {s: e for s, e in before["slots"].items() if int(s) not in touched_slots(table)}
+        left = [b for b in before["batches"] if b["id"] not in folded]
+        return before | {"upto": upto, "slots": kept | entries, "schema": schema, "layout": [to.buckets, to.slots], "batches": left}
+
+    commit(spark, root, name, fold)
+    return out
+
+
+def expire(spark: SparkSession, root: str, name: str, older_than_seconds: float) -> dict[str, int]:
+    """Remove what only manifest versions older than the given age refer to; the newest version always stays.
+
+    A reader that started within that age finds every file it planned to read.
+    Old versions are forgotten first, so no reader can find one whose files are
+    going. Returns how many versions, batch folders and snapshot folders went.
+    """
+    import time
+
+    m = manifest_of(spark, root, name)
+    versions = m.versions()
+    if not versions:
+        return {"versions": 0, "batches": 0, "folders": 0}
+    held = {v: m.at(v) for v in versions}
+    # a version is in use until the one after it is older than the limit
+    limit = time.time() - older_than_seconds
+    gone = [v for v, after in zip(versions, versions[1:]) if held[after]["time"] < limit]
+    kept = [held[v] for v in versions if v not in gone]
+    needed_batches = {b["id"] for t in kept for b in t["batches"]}
+    needed_folders = {e["folder"] for t in kept for e in t["slots"].values()}
+    old_batches = {b["id"] for v in gone for b in held[v]["batches"]} - needed_batches
+    old_folders = {e["folder"] for v in gone for e in held[v]["slots"].values()} - needed_folders
+    m.forget(gone)
+    for b in old_batches:
+        files.remove(spark, _batch_dir(state_path(root, name), b))
+    for f in old_folders:
+        files.remove(spark, f)
+    return {"versions": len(gone), "batches": len(old_batches), "folders": len(old_folders)}
 
 
 def rule_counts(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Rule failures summed over all batches: ``(rule, action, failed_rows)``."""
-    m = spark.read.parquet(metrics_path(root, name))
-    return m.groupBy("rule", "action").agg(F.sum("failed_rows").cast("bigint").alias("failed_rows"))
+    table = contents(spark, root, name)
+    rows = [(rule, action, n) for rule, (action, n) in (table or {"rules": {}})["rules"].items()]
+    return spark.createDataFrame(rows, "rule string, action string, failed_rows bigint")
 
 
 def read_rejects(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """Rows removed by drop rules, with the failed rule names (None if no batch dropped any)."""
-    if not _children(spark, rejects_path(root, name)):
+    if not files.children(spark, rejects_path(root, name)):
         return None
     return spark.read.parquet(rejects_path(root, name)).drop("batch_id")

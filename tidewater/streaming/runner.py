@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import cdc
 from ..plans import gold, layers, roles
 from ..plans.changes import SEQ_STEP, check_key_range
+from ..sources import files
 from ..sources.control import advance_control, read_control
 from ..sources.tables import write_table
 from ..specs import CLAIMS, TableSpec
@@ -39,6 +40,10 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         raise errors[0]
 
 
+def _committed(spark: SparkSession, path: str) -> list[int]:
+    return [n for n in files.numbered(spark, path, "v=") if files.exists(spark, f"{path}/v={n}/_SUCCESS")]
+
+
 class Runner:
     def __init__(
         self,
@@ -81,7 +86,7 @@ class Runner:
         label = "seed" if run == roles.SEED else f"incr{run:04d}"
         for t in tables or self.registry:
             path = ingest.landing_path(self.root, t, label)
-            if "_SUCCESS" not in ap._children(self.spark, path):
+            if "_SUCCESS" not in files.children(self.spark, path):
                 roles.changes(self.spark, sf_dir, t, run, rm).write.mode("overwrite").parquet(path)
         claims = roles.changes(self.spark, sf_dir, "claim", run, rm)
         n = int(claims.agg(F.max(F.regexp_extract("claim_id", r"(\d+)$", 1).cast("bigint"))).head()[0] or 0)
@@ -92,7 +97,7 @@ class Runner:
     # layers ----------------------------------------------------------------
     def _with_files(self, tables: Iterable[str] | None, folder) -> list[str]:
         """Tables that have something in ``folder(root, table)`` (others are skipped)."""
-        return [t for t in (tables or self.registry) if ap._children(self.spark, folder(self.root, t))]
+        return [t for t in (tables or self.registry) if files.children(self.spark, folder(self.root, t))]
 
     def ingest(self, tables: Iterable[str] | None = None, fmt: str = "parquet") -> None:
         todo = self._with_files(tables, ingest.landing_path)
@@ -127,18 +132,15 @@ class Runner:
     def refresh_strategy(self, table: str, threshold: float | None = None) -> str:
         """``full`` (compact now) or ``incremental`` (keep merging on read), by change ratio.
 
-        Changes are the reduced rows written since the last snapshot; the base
-        is the snapshot (or, before the first one, the whole state).
+        Both counts come from the manifest, as observed when the rows were written:
+        no table is scanned. Before the first snapshot it is always ``full``.
         """
         from ..plans.refresh import DEFAULT_FULL_REFRESH_RATIO, decide
 
-        snap = ap.latest_snapshot(self.spark, self.root, table)
-        if snap is None:
+        held = ap.contents(self.spark, self.root, table)
+        if held is None or held["upto"] is None:
             return "full"
-        base = self.spark.read.parquet(f"{ap.snapshots_path(self.root, table)}/upto={snap}").count()
-        newer = [b for b in ap.batch_ids(self.spark, self.root, table) if b > snap]
-        changed = ap.read_state(self.spark, self.root, table, after=snap).count() if newer else 0
-        return decide(changed, base, DEFAULT_FULL_REFRESH_RATIO if threshold is None else threshold)
+        return decide(ap.changed_rows(held), ap.snapshot_rows(held), DEFAULT_FULL_REFRESH_RATIO if threshold is None else threshold)
 
     def maybe_compact(self, tables: Iterable[str] | None = None, threshold: float | None = None) -> dict[str, str]:
         """Compact the tables whose change ratio since the last snapshot calls for it."""
@@ -201,7 +203,7 @@ class Runner:
         self.compact([t for t in self.registry if ap.batch_ids(self.spark, self.root, t)])
         datasets = self.gold(calendar)
         todo = list(names or datasets)
-        done = [ap._numbered(self.spark, self.gold_path(n), "v=", committed=True) for n in todo]
+        done = [_committed(self.spark, self.gold_path(n)) for n in todo]
         version = max([v[-1] for v in done if v], default=-1) + 1
         for n in sorted(todo, key=lambda n: n == "agg_claims_daily"):
             df = datasets[n]
@@ -211,7 +213,7 @@ class Runner:
         return version
 
     def read_gold(self, name: str) -> DataFrame:
-        versions = ap._numbered(self.spark, self.gold_path(name), "v=", committed=True)
+        versions = _committed(self.spark, self.gold_path(name))
         if not versions:
             raise FileNotFoundError(f"no committed version of gold dataset {name!r}")
         return self.spark.read.parquet(f"{self.gold_path(name)}/v={versions[-1]}")
