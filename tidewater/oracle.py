@@ -420,3 +420,10 @@ FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE {ctype('l_orderkey')
 
 ORACLE["scd2_incremental"] = ORACLE["cdc_scd2_events"]
 ORACLE["change_feed"] = ORACLE["snapshot_diff"]
+ORACLE["agg_daily_rollup"] = ORACLE["agg_daily_touched"]
+# a batch is counted after its reduction: keys that changed, not changes
+ORACLE["refresh_choice_log"] = (
+    ORACLE["refresh_choice"]
+    .replace("count(*) FILTER (WHERE run = 1) AS changed_rows", "count(DISTINCT claim_id) FILTER (WHERE run = 1) AS changed_rows")
+    .replace("'claim_detail', count(*) FILTER (WHERE run = 1)", "'claim_detail', count(DISTINCT claim_detail_id) FILTER (WHERE run = 1)")
+)

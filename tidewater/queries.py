@@ -547,3 +547,33 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.compact(("claim_detail",))
     columns = [c for c in CLAIMS["claim_detail"].business_columns if c != "claim_detail_id"]
     return feed.with_changed_columns(feed.change_feed(spark, runner.root, "claim_detail", rule, first), columns)
+
+
+@register
+def agg_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily KPIs published in full after the seed, then moved by the increment's changes (signed deltas on stored totals)."""
+
+    runner, tables = Runner(spark, work_dir(spark, "rollup")), ("claim", "claim_detail")
+    for run in (roles.SEED, roles.INCREMENT):
+        runner.land_roles(sf_dir, run, PARTIAL, tables)
+        runner.step(tables, with_twin=False)
+        runner.publish_gold(names=("fact_claim", "agg_claims_daily"), threshold=1.0)
+    return runner.read_gold("agg_claims_daily")
+
+
+@register
+def refresh_choice_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change ratio per table and the strategy it selects, from the rows counted when batches and snapshots were written: no scan."""
+
+    runner, tables = Runner(spark, work_dir(spark, "choice")), ("claim", "claim_detail")
+    runner.land_roles(sf_dir, roles.SEED, PARTIAL, tables)
+    runner.step(tables, with_twin=False)
+    runner.compact(tables)
+    runner.land_roles(sf_dir, roles.INCREMENT, PARTIAL, tables)
+    runner.step(tables, with_twin=False)
+    rows = []
+    for t in tables:
+        held = ap.contents(spark, runner.root, t)
+        changed, base = ap.changed_rows(held), ap.snapshot_rows(held)
+        rows.append((t, changed, base, changed * 10000 // base if base else None, refresh.decide(changed, base)))
+    return spark.createDataFrame(rows, "table_name string, changed_rows bigint, base_rows bigint, change_ratio_bp bigint, strategy string")

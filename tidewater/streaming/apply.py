@@ -439,6 +439,20 @@ def compact(
     return out
 
 
+def replace(spark: SparkSession, root: str, name: str, rows: DataFrame, apply: cdc.ApplySpec, batch_id: int, layout: Layout | None = None) -> str:
+    """Make ``rows`` (one a key) the whole table, as the snapshot up to ``batch_id``; what was there stays readable by version."""
+    table = contents(spark, root, name)
+    to = layout or (layout_of(table) if table else Layout())
+    out = f"{snapshots_path(root, name)}/upto={batch_id}"
+    if files.exists(spark, out):
+        out = f"{out}-{uuid.uuid4().hex[:8]}"
+    keyed = rows.withColumn(KEY, buckets.key_text(rows, apply.keys))
+    entries = write_slots(spark, keyed, out, apply, to, aligned=False)
+    fresh = empty_table(to) | {"upto": int(batch_id), "slots": entries, "schema": json.dumps(json.loads(keyed.schema.json()))}
+    commit(spark, root, name, lambda before: fresh | {"rules": (before or fresh)["rules"]})
+    return out
+
+
 def expire(spark: SparkSession, root: str, name: str, older_than_seconds: float) -> dict[str, int]:
     """Remove what only manifest versions older than the given age refer to; the newest version always stays.
 

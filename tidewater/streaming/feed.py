@@ -25,7 +25,8 @@ def current_version(spark: SparkSession, root: str, name: str) -> int | None:
     return None if table is None else table["version"]
 
 
-def _last_batch(table: dict | None) -> int:
+def last_batch(table: dict | None) -> int:
+    """The newest batch that a table's content holds (-1: none)."""
     if table is None:
         return -1
     ids = [b["id"] for b in table["batches"]] + ([table["upto"]] if table["upto"] is not None else [])
@@ -34,8 +35,8 @@ def _last_batch(table: dict | None) -> int:
 
 def batches_between(spark: SparkSession, root: str, name: str, since: int | None, until: int) -> list[int]:
     """Ids of the batches that version ``until`` has and ``since`` (None: before the first) has not; from one listing."""
-    first = _last_batch(None if since is None else ap.contents(spark, root, name, since))
-    last = _last_batch(ap.contents(spark, root, name, until))
+    first = last_batch(None if since is None else ap.contents(spark, root, name, since))
+    last = last_batch(ap.contents(spark, root, name, until))
     return [b for b in files.numbered(spark, ap.state_path(root, name), "batch_id=") if first < b <= last]
 
 

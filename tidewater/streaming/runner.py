@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cdc
-from ..plans import gold, layers, roles
+from ..plans import layers, roles
 from ..plans.changes import SEQ_STEP, check_key_range
+from ..plans.refresh import DEFAULT_FULL_REFRESH_RATIO
 from ..sources import files
 from ..sources.control import advance_control, read_control
-from ..sources.tables import write_table
 from ..specs import CLAIMS, TableSpec
 from . import apply as ap
-from . import ingest, twin
+from . import history, ingest, publish, twin
 
 
 def await_all(queries: Iterable[StreamingQuery]) -> None:
@@ -40,10 +40,6 @@ def await_all(queries: Iterable[StreamingQuery]) -> None:
         raise errors[0]
 
 
-def _committed(spark: SparkSession, path: str) -> list[int]:
-    return [n for n in files.numbered(spark, path, "v=") if files.exists(spark, f"{path}/v={n}/_SUCCESS")]
-
-
 class Runner:
     def __init__(
         self,
@@ -105,7 +101,9 @@ class Runner:
 
     def apply(self, tables: Iterable[str] | None = None) -> None:
         todo = self._with_files(tables, ingest.bronze_path)
-        await_all(ap.start_silver(self.spark, self.root, self.registry[t], self.max_files) for t in todo)
+        flows = [ap.start_silver(self.spark, self.root, self.registry[t], self.max_files) for t in todo]
+        flows += [history.start_history(self.spark, self.root, self.registry[t], self.max_files) for t in todo if self.registry[t].scd_type == 2]
+        await_all(flows)
 
     def twin(self) -> None:
         await_all([twin.start_twin(self.spark, self.root, self.max_files)])
@@ -125,6 +123,9 @@ class Runner:
             t: ap.compact(self.spark, self.root, t, cdc.ApplySpec.for_table(self.registry[t]), self.registry[t].layout_columns)
             for t in tables
         }
+        for t in tables:
+            if history.has_history(self.spark, self.root, t):
+                done[history.history_name(t)] = history.compact_history(self.spark, self.root, t, cdc.ApplySpec.for_table(self.registry[t]))
         if "claim_detail" in tables and ap.batch_ids(self.spark, self.root, twin.TWIN):
             done[twin.TWIN] = ap.compact(self.spark, self.root, twin.TWIN, twin.twin_apply(), ("claim_id",))
         return done
@@ -135,7 +136,7 @@ class Runner:
         Both counts come from the manifest, as observed when the rows were written:
         no table is scanned. Before the first snapshot it is always ``full``.
         """
-        from ..plans.refresh import DEFAULT_FULL_REFRESH_RATIO, decide
+        from ..plans.refresh import decide
 
         held = ap.contents(self.spark, self.root, table)
         if held is None or held["upto"] is None:
@@ -163,57 +164,50 @@ class Runner:
         return twin.read_twin(self.spark, self.root)
 
     def history(self, table: str) -> DataFrame:
-        """Type-2 history of a table, rebuilt from its bronze log; asked for by ``scd_type=2`` in the registry."""
-        return cdc.scd2_history(self.bronze(table), cdc.ApplySpec.for_table(self.registry[table]))
+        """Type-2 history of a table, asked for by ``scd_type=2`` in the registry: as stored by its flow, or rebuilt from the bronze log before that has run."""
+        rule = cdc.ApplySpec.for_table(self.registry[table])
+        if history.has_history(self.spark, self.root, table):
+            return history.read_history(self.spark, self.root, table, rule)
+        return cdc.scd2_history(self.bronze(table), rule)
 
     def table(self, name: str) -> DataFrame:
         """A table the way its registry entry asks for: current state, or history if ``scd_type`` is 2."""
         return self.history(name) if self.registry[name].scd_type == 2 else self.current(name)
 
-    def gold(self, calendar=None) -> dict[str, DataFrame]:
-        """Gold datasets over current state; a table with no state yet is empty."""
+    def silver(self) -> dict[str, DataFrame]:
+        """Current state of the tables that gold is made from; a table with no state yet is empty."""
         tables = {}
         for t in ("claim", "claim_detail", "claim_diagnosis", "provider", "member", "payer"):
-            if ap.batch_ids(self.spark, self.root, t):
+            if ap.contents(self.spark, self.root, t) is not None:
                 tables[t] = self.current(t)
             else:
                 tables[t] = self.spark.createDataFrame([], self.registry[t].business_schema())
-        return layers.gold_datasets(self.spark, tables, calendar)
+        return tables
+
+    def gold(self, calendar=None) -> dict[str, DataFrame]:
+        """Gold datasets over current state."""
+        return layers.gold_datasets(self.spark, self.silver(), calendar)
 
     # gold sink -------------------------------------------------------------
-    GOLD_LAYOUT = {
-        "dim_provider": ("provider_id",),
-        "dim_member": ("member_id",),
-        "fact_claim_line": ("claim_id",),
-        "fact_claim": ("claim_id",),
-    }
-
-    def gold_path(self, name: str) -> str:
-        return f"{self.root}/gold/{name}"
-
-    def publish_gold(self, calendar=None, names: Iterable[str] | None = None) -> int:
-        """Full refresh: write every gold dataset as a new version ``gold/<name>/v=N``.
-
-        Each silver table is folded into its stored snapshot first, so that every
-        dataset scans just its columns of tables that are resolved already, and
-        the daily KPIs are built from the header fact as it was written. Readers
-        switch to a version once its ``_SUCCESS`` marker exists, so a failed
-        refresh leaves the previous version in place. Returns N.
+    def publish_gold(self, calendar=None, names: Iterable[str] | None = None, threshold: float = DEFAULT_FULL_REFRESH_RATIO) -> int:
+        """Publish gold datasets from stored silver (``streaming.publish``); returns the publication's number.
+
+        A silver table is folded into its snapshot only if it has none yet or if so
+        much of it changed that reads are better off for it. Datasets whose inputs
+        did not change are carried over; the header fact and the daily KPIs are moved
+        by the changes since the last publication if less than ``threshold`` of their
+        inputs changed, else rebuilt.
         """
-        self.compact([t for t in self.registry if ap.batch_ids(self.spark, self.root, t)])
+        held = [t for t in self.registry if ap.contents(self.spark, self.root, t) is not None]
+        self.maybe_compact(held)
         datasets = self.gold(calendar)
-        todo = list(names or datasets)
-        done = [_committed(self.spark, self.gold_path(n)) for n in todo]
-        version = max([v[-1] for v in done if v], default=-1) + 1
-        for n in sorted(todo, key=lambda n: n == "agg_claims_daily"):
-            df = datasets[n]
-            if n == "agg_claims_daily" and "fact_claim" in todo:
-                df = gold.daily_kpis(self.read_gold("fact_claim"))
-            write_table(df, f"{self.gold_path(n)}/v={version}", cluster_by=self.GOLD_LAYOUT.get(n, ()))
-        return version
-
-    def read_gold(self, name: str) -> DataFrame:
-        versions = _committed(self.spark, self.gold_path(name))
-        if not versions:
-            raise FileNotFoundError(f"no committed version of gold dataset {name!r}")
-        return self.spark.read.parquet(f"{self.gold_path(name)}/v={versions[-1]}")
+        return publish.publish(self.spark, self.root, datasets, list(names or datasets), threshold)
+
+    def read_gold(self, name: str, version: int | None = None) -> DataFrame:
+        return publish.read(self.spark, self.root, name, version)
+
+    # retention -------------------------------------------------------------
+    def expire(self, older_than_seconds: float, tables: Iterable[str] | None = None) -> dict[str, dict[str, int]]:
+        """Remove batches, slots and versions that only manifest versions of that age refer to (``apply.expire``)."""
+        names = list(tables or [*self.registry, twin.TWIN, *[history.history_name(t) for t in self.registry]])
+        return {t: ap.expire(self.spark, self.root, t, older_than_seconds) for t in names if ap.contents(self.spark, self.root, t) is not None}
