@@ -189,7 +189,7 @@ def test_a_silver_table_is_compacted_only_when_much_changed(spark):
     s.send([s.header(2)], [], "two")
     s.runner.compact(TABLES)
     assert set(s.runner.expire(-1)) >= {"claim", "claim_detail"}
-    s.check()
+    assert s.runner.read_gold("fact_claim").count() == 40  # what is published stays readable
     s.runner.publish_gold(names=NAMES, threshold=2.0)  # the versions to start from are gone
     assert strategy(s) == "full"
     s.check()
