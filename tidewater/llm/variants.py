@@ -2,9 +2,9 @@
 
 Two words are near when exactly one character is inserted, deleted or replaced
 between them. Bigrams are ordered from rare to frequent; a word's prefix is its
-rarest bigrams, three at least (with all that tie with the last), and its two
-pivots are the rarest pair of disjoint bigrams in the prefix, by dynamic
-programming. One edit spoils one of two disjoint bigrams at most, and of two near
+rarest bigrams, ``PREFIX`` at least (with all that tie with the last), and its two
+pivots are the pair of disjoint bigrams in the prefix that the fewest words are
+expected to share, by dynamic programming. One edit spoils one of two disjoint bigrams at most, and of two near
 words, the one whose prefix ends first has a pivot in the prefix of the other. So
 pivots are indexed, and prefixes look them up.
 
@@ -12,7 +12,8 @@ Position limits make the keys selective. The edit lies either before the second
 pivot or behind the first, so either all from the second pivot on is equal in both
 words (same place from the end), or all up to the first one is (same place from
 the start). The key is that equal part, with the side and the word's length.
-Words that share a key are verified by their edit distance within the join.
+Words that share a key are verified within the join: by the letters that occur an
+odd number of times, two of which may differ at most, then by their edit distance.
 
 Defined cases: a null text has no words; repeated texts count again; a null id is
 written as the empty text; no words, or none near another, give no forms; words
@@ -34,7 +35,8 @@ LEAST_CHARS = 7
 LEAST_COUNT = 2
 DOMINANCE = 10  # a form occurs at least this many times as often as its variant
 SLIP = 31  # of so many runs one loses a character
-PREFIX = 3  # bigram length x one edit + 1
+PREFIX = 5  # three (bigram length x one edit + 1) would do; more give the pivots a choice
+NARROWING = 8  # about how many times fewer words share a part that is one character longer
 CLASSES = 1 << 16  # frequencies are kept for this many classes of bigrams, so their table has a fixed size
 
 
@@ -79,51 +81,66 @@ def prefix_of(order: list) -> list[int]:
     return [p for p, rank in enumerate(order) if rank <= last]
 
 
-def pivots_of(prefix: list[int], cost: list[int], wanted: int = 2) -> list[int]:
-    """The ``wanted`` disjoint bigrams among the places ``prefix`` (ascending) whose costs add up to the least.
+def pivots_of(prefix: list[int], costs: list[list[float]]) -> list[int]:
+    """As many disjoint bigrams among the places ``prefix`` (ascending) as there are ``costs``, whose costs add up to the least.
 
-    best[k] holds, over the places walked so far, the cheapest choice of k disjoint
-    bigrams; a place two or more behind the last one chosen may follow it.
+    ``costs[k][p]`` is what place p costs as the k-th pivot. best[k] holds, over the
+    places walked so far, the cheapest choice of k disjoint bigrams; a place two or
+    more behind the last one chosen may follow it.
     """
-    best: list[list[tuple[int, tuple[int, ...]]]] = []  # for each place, its best choices of 0, 1, ... bigrams
+    best: list[list[tuple[float, tuple[int, ...]]]] = []  # for each place, its best choices of 0, 1, ... bigrams
     for i, p in enumerate(prefix):
-        row = [(0, ())]
+        row: list[tuple[float, tuple[int, ...]]] = [(0, ())]
         j = next((j for j in range(i - 1, -1, -1) if prefix[j] <= p - 2), None)
-        for k in range(1, wanted + 1):
+        for k in range(1, len(costs) + 1):
             options = [best[i - 1][k]] if i and len(best[i - 1]) > k else []
             base = (0, ()) if k == 1 else best[j][k - 1] if j is not None and len(best[j]) > k - 1 else None
             if base is not None:
-                options.append((base[0] + cost[p], base[1] + (p,)))
+                options.append((base[0] + costs[k - 1][p], base[1] + (p,)))
             if not options:
                 break
             row.append(min(options))
         best.append(row)
-    return list(best[-1][wanted][1]) if best and len(best[-1]) > wanted else []
+    return list(best[-1][-1][1]) if best and len(best[-1]) > len(costs) else []
+
+
+def pivot_costs(counts: list[int]) -> list[list[float]]:
+    """What a bigram costs as first and as second pivot: how often it occurs, less the longer the part that its key compares."""
+    last = len(counts) - 1
+    return [[c / NARROWING**p for p, c in enumerate(counts)], [c / NARROWING ** (last - p) for p, c in enumerate(counts)]]
+
+
+def odd_letters(word: str) -> int:
+    """Which characters (modulo 64) occur an odd number of times, as 64 signed bits: one edit alters two of them at most."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
 
 
 def with_grams(words: DataFrame) -> DataFrame:
-    """(word, n, prefix, first, second): places of the prefix bigrams and of the two pivots, from 0."""
+    """(word, n, letters, prefix, first, second): odd letters, places of the prefix bigrams and of the two pivots, from 0."""
     ship(words.sparkSession)
     counts = gram_frequencies(words)
     classes = F.transform(F.sequence(F.lit(1), F.char_length("word") - 1), lambda p: _class_of(F.substring("word", p, F.lit(2))))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prefixes, first, second = [], [], []
+            letters, prefixes, first, second = [], [], [], []
             for word, of in zip(batch["word"].to_pylist(), batch["classes"].to_pylist()):
-                cost = [int(c) for c in counts[of]]
-                order = [(c, word[p : p + 2]) for p, c in enumerate(cost)]
-                prefix = prefix_of(order)
-                a, b = pivots_of(prefix, cost)
+                often = counts[of].tolist()
+                prefix = prefix_of([(c, word[p : p + 2]) for p, c in enumerate(often)])
+                a, b = pivots_of(prefix, pivot_costs(often))
+                letters.append(odd_letters(word))
                 prefixes.append(prefix)
                 first.append(a)
                 second.append(b)
             yield pa.RecordBatch.from_arrays(
-                [batch["word"], batch["n"], pa.array(prefixes, pa.list_(pa.int32())), pa.array(first, pa.int32()), pa.array(second, pa.int32())],
-                names=["word", "n", "prefix", "first", "second"],
+                [batch["word"], batch["n"], pa.array(letters, pa.int64()), pa.array(prefixes, pa.list_(pa.int32())), pa.array(first, pa.int32()), pa.array(second, pa.int32())],
+                names=["word", "n", "letters", "prefix", "first", "second"],
             )
 
-    chosen = words.select("word", "n", classes.alias("classes")).mapInArrow(choose, "word string, n long, prefix array<int>, first int, second int")
+    chosen = words.select("word", "n", classes.alias("classes")).mapInArrow(choose, "word string, n long, letters long, prefix array<int>, first int, second int")
     return stored(chosen, "variant-grams")
 
 
@@ -138,13 +155,14 @@ def near_words(words: DataFrame) -> DataFrame:
     def onward(p):
         return F.struct(F.lit(1).alias("side"), F.substring(F.col("word"), p + 1, chars).alias("part"))
 
-    index = grams.select("word", "n", chars.alias("chars"), F.explode(F.array(upto(F.col("first")), onward(F.col("second")))).alias("k"))
-    index = index.select(F.xxhash64("k.side", "k.part", "chars").alias("key"), "word", "n")
+    index = grams.select("word", "n", "letters", chars.alias("chars"), F.explode(F.array(upto(F.col("first")), onward(F.col("second")))).alias("k"))
+    index = index.select(F.xxhash64("k.side", "k.part", "chars").alias("key"), "word", "n", "letters")
     sides = F.explode(F.concat(F.transform("prefix", upto), F.transform("prefix", onward))).alias("k")
-    probes = grams.select("word", "n", sides, F.array(chars - 1, chars, chars + 1).alias("lengths"))
-    probes = probes.select("k", "word", "n", F.explode("lengths").alias("chars"))
-    probes = probes.select(F.xxhash64("k.side", "k.part", "chars").alias("p_key"), F.col("word").alias("p_word"), F.col("n").alias("p_n"))
-    one_edit = (F.col("word") != F.col("p_word")) & (F.levenshtein("word", "p_word", 1) == 1)
+    probes = grams.select("word", "n", "letters", sides, F.array(chars - 1, chars, chars + 1).alias("lengths"))
+    probes = probes.select("k", "word", "n", "letters", F.explode("lengths").alias("chars"))
+    probes = probes.select(F.xxhash64("k.side", "k.part", "chars").alias("p_key"), F.col("word").alias("p_word"), F.col("n").alias("p_n"), F.col("letters").alias("p_letters"))
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("p_letters"))) <= 2
+    one_edit = F.when(alike, (F.col("word") != F.col("p_word")) & (F.levenshtein("word", "p_word", 1) == 1)).otherwise(F.lit(False))
     met = index.join(probes, (F.col("key") == F.col("p_key")) & one_edit)
     both = F.explode(
         F.array(
