@@ -137,7 +137,7 @@ def ratio_experiment(spark):
     def apply_twin(rows, batch):
         spec = CLAIMS["claim_detail"]
         lookup = lambda kept: twin.line_changes_with_header(
-            kept, ap.current_state_for(spark, root, "claim", rules["claim"], kept.select("claim_id"))
+            kept, twin.headers_for(spark, root, kept)
         )
         ap.apply_batch(rows, batch, root, twin.TWIN, twin.twin_apply(), spec.drop_rules(), spec.delete_predicate, transform=lookup)
 

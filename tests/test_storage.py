@@ -4,6 +4,7 @@ import random
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 
 from tidewater.operators import cdc
@@ -225,3 +226,54 @@ def test_rows_that_share_a_key_are_spread_over_buckets_of_one_slot(spark):
     assert len(table["slots"]) == 1
     names = [n for n in files.children(spark, next(iter(table["slots"].values()))["folder"]) if n.endswith(".parquet")]
     assert len(names) > 8
+
+
+def test_schema_log_keeps_each_schema_once_with_what_brought_it(spark):
+    from tidewater.sources import schemas
+    from tidewater.specs import CLAIMS
+
+    root, spec = work_dir(spark, "test-schemas"), CLAIMS["payer"]
+    plain = spark.createDataFrame([], spec.change_schema())
+    plain.coalesce(1).write.parquet(f"{root}/a")
+    plain.withColumn("extra", F.lit("x")).drop("state").coalesce(1).write.parquet(f"{root}/b")
+    plain.withColumn("payer_name", F.lit(1)).coalesce(1).write.parquet(f"{root}/c")
+
+    def files_of(*folders):
+        return [f"{root}/{f}/{n}" for f in folders for n in files.children(spark, f"{root}/{f}") if n.endswith(".parquet")]
+
+    groups = schemas.group_files(spark, root, "payer", files_of("a", "b"), 0)
+    assert sorted(len(g) for _, g in groups) == [1, 1]
+    assert len(schemas.group_files(spark, root, "payer", files_of("a", "c", "b"), 1)) == 3
+    schemas.group_files(spark, root, "payer", files_of("c"), 2)
+    seen = [(r.version, r.batch_id, r.added, r.missing, r.retyped) for r in schemas.history(spark, root, spec).orderBy("version").collect()]
+    assert seen == [(0, 0, "", "", ""), (1, 0, "extra", "state", ""), (2, 1, "", "", "payer_name: int")]
+    assert schemas.schema_log(spark, root, "payer").versions() == [0, 1]  # a batch of known schemas commits nothing
+
+
+def test_json_lines_are_parsed_once_and_nothing_is_lost(spark):
+    from tidewater.sources.rescue import read_rescued
+    from tidewater.specs import RESCUE_COL, TableSpec
+
+    path = work_dir(spark, "test-json")
+    lines = [
+        '{"id": 1, "amount": "2.50", "at": "2024-01-01T00:00:00.123456", "note": "plain"}',
+        '{"id": "two", "amount": 3, "tags": ["a", {"b": 1}]}',
+        '{"id": 3, "amount": "lots", "note": null}',
+        "not json at all",
+        '{"id": 4, "amount": 1.25',
+        "",
+        '["an", "array"]',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    spec = TableSpec("t", ("id",), (("id", "INT"), ("amount", "DECIMAL(9,2)"), ("at", "TIMESTAMP"), ("note", "STRING")))
+    df = read_rescued(spark, [(None, [path])], spec, "json")
+    assert plan(df).count("FileScan") == 1
+    got = {(r.id, str(r.amount), r.note, r[RESCUE_COL]) for r in df.collect()}
+    assert got == {
+        (1, "2.50", "plain", None),
+        (None, "3.00", None, '{"id":"two","tags":"[\\"a\\",{\\"b\\":1}]"}'),
+        (3, "None", None, '{"amount":"lots"}'),
+        (None, "None", None, '{"_corrupt_record":"not json at all"}'),
+        (None, "None", None, '{"_corrupt_record":"{\\"id\\": 4, \\"amount\\": 1.25"}'),
+        (None, "None", None, '{"_corrupt_record":"[\\"an\\", \\"array\\"]"}'),
+    }

@@ -145,3 +145,33 @@ def test_twin_is_compacted_with_its_lines(spark):
     before = r.twin_table().collect()
     assert any("fact_claim_line_streaming" in (p or "") for p in r.compact(("claim", "claim_detail")).values())
     assert r.twin_table().collect() == before
+
+
+def test_refreshed_headers_leave_no_drift(spark):
+    from tidewater.streaming import twin
+
+    r = Runner(spark, work_dir(spark, "test-two-sided"))
+    d = date(2024, 1, 5)
+    r.land("claim", header_rows(spark, [(f"C{i}", "PAID", Decimal("10.00"), d, "I", 1, TS) for i in range(6)]), "seed")
+    r.land("claim_detail", line_rows(spark, [(f"C{i}-{j}", f"C{i}", Decimal("5.00"), "I", 1, TS) for i in range(8) for j in range(2)]), "seed")
+    r.step(("claim", "claim_detail"), refresh_headers=True)
+    # headers alone: changed, deleted, new for lines that were there before
+    r.land("claim", header_rows(spark, [("C1", "DENIED", Decimal("10.00"), d, "U", 2, TS), ("C2", None, None, None, "D", 2, TS), ("C7", "PAID", Decimal("1.00"), d, "I", 2, TS)]), "incr0001")
+    r.step(("claim", "claim_detail"))
+
+    def drift():
+        full = gold.fact_claim_line(r.current("claim_detail"), r.current("claim"))
+        return reconcile.twin_reconcile(full, r.twin_table(), "claim_detail_id", gold.HEADER_ORIGIN).count()
+
+    assert drift() == 6
+    assert twin.refresh_headers(spark, r.root) == 6 and drift() == 0
+    assert twin.refresh_headers(spark, r.root) == 0
+    # lines and headers together, a line that goes, then a compaction and a late header
+    r.land("claim", header_rows(spark, [("C2", "PAID", Decimal("9.00"), d, "I", 3, TS), ("C3", "DENIED", Decimal("9.00"), d, "U", 3, TS)]), "incr0002")
+    r.land("claim_detail", line_rows(spark, [("C3-0", "C3", Decimal("6.00"), "U", 3, TS), ("C1-1", None, None, "D", 3, TS), ("C4-0", "C5", Decimal("1.00"), "U", 3, TS)]), "incr0002")
+    r.step(("claim", "claim_detail"), refresh_headers=True)
+    assert drift() == 0
+    r.compact(("claim", "claim_detail"))
+    r.land("claim", header_rows(spark, [("C3", "PAID", Decimal("9.00"), d, "U", 2, TS), ("C5", "DENIED", Decimal("9.00"), d, "U", 4, TS)]), "incr0003")
+    r.step(("claim", "claim_detail"), refresh_headers=True)
+    assert drift() == 0 and r.twin_table().count() == 15

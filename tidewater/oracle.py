@@ -427,3 +427,21 @@ ORACLE["refresh_choice_log"] = (
     .replace("count(*) FILTER (WHERE run = 1) AS changed_rows", "count(DISTINCT claim_id) FILTER (WHERE run = 1) AS changed_rows")
     .replace("'claim_detail', count(*) FILTER (WHERE run = 1)", "'claim_detail', count(DISTINCT claim_detail_id) FILTER (WHERE run = 1)")
 )
+
+ORACLE["schema_history"] = _with(DETAIL_LOG) + """
+SELECT run AS version, run AS batch_id, CASE run WHEN 0 THEN 'seed' ELSE 'incr0001' END AS label,
+       CASE run WHEN 0 THEN '' ELSE 'source_system' END AS added, '' AS missing,
+       CASE run WHEN 0 THEN '' ELSE 'units: string' END AS retyped, count(*) AS n_rows
+FROM detail_log GROUP BY run
+"""
+ORACLE["bronze_json_rescue"] = """
+SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS event_id,
+       CASE WHEN event_id % 10 <> 3 THEN user_id END AS user_id,
+       CASE WHEN event_id % 10 <> 3 THEN event_type END AS event_type,
+       CASE WHEN event_id % 10 NOT IN (1, 3) THEN value END AS value,
+       CASE WHEN event_id % 10 = 1 THEN '{"value":"about ' || CAST(floor(value) AS BIGINT) || '","origin":"feed ' || user_id || '"}'
+            WHEN event_id % 10 = 2 THEN '{"origin":"feed ' || user_id || '"}'
+            WHEN event_id % 10 = 3 THEN '{"_corrupt_record":"broken ' || event_id || '"}' END AS _rescued_data
+FROM events
+"""
+ORACLE["fact_line_two_sided"] = ORACLE["fact_line"]

@@ -19,6 +19,7 @@ from .plans import gold, layers, reconcile, refresh, roles, skew
 from .session import work_dir
 from .sources.control import CONTROL_SCHEMA, control_path
 from .specs import CLAIMS, OPER_COL, RESCUE_COL, SEQ_COL, SOURCE_FILE_COL, Rule, TableSpec
+from .sources import schemas
 from .streaming import apply as ap
 from .streaming import feed, history
 from .streaming.ingest import land, landing_path
@@ -344,8 +345,7 @@ def refresh_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # drift rescue, JSON landing, all flows, compaction
 # ---------------------------------------------------------------------------
-@register
-def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _drifted(spark: SparkSession, sf_dir: str) -> Runner:
     """Plain files, then an increment with a text ``units`` column and an unknown column, then plain files again, through the same flow."""
 
     table, runner = "claim_detail", Runner(spark, work_dir(spark, "rescue"))
@@ -364,7 +364,24 @@ def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.step((table,), with_twin=False)
     runner.land(table, seed.where(~first), "late")
     runner.step((table,), with_twin=False)
-    return runner.bronze(table).select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, RESCUE_COL)
+    return runner
+
+
+@register
+def bronze_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log of plain, drifted and again plain files: what does not fit is in the rescue column."""
+    return _drifted(spark, sf_dir).bronze("claim_detail").select(*_COMPARED_DETAIL, OPER_COL, SEQ_COL, RESCUE_COL)
+
+
+@register
+def schema_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schemas that the line table's files had, in order, with the run that brought each and how it departs from the registry."""
+    runner = _drifted(spark, sf_dir)
+    log = schemas.history(spark, runner.root, CLAIMS["claim_detail"])
+    drifted = F.col(SOURCE_FILE_COL).contains("/claim_detail/incr0001/")
+    counts = runner.bronze("claim_detail").groupBy(drifted.cast("int").alias("version")).agg(F.count(F.lit(1)).alias("n_rows"))
+    label = F.regexp_extract("file", r"/landing/claim_detail/([^/]+)/", 1).alias("label")
+    return log.select("version", "batch_id", label, "added", "missing", "retyped").join(counts, "version")
 
 
 MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"  # JSON text keeps microseconds (default is millis)
@@ -386,6 +403,28 @@ def bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.bronze("events").select(*events.columns)
 
 
+@register
+def bronze_json_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with a value that is no number, a field that is not declared, and lines that are no JSON: one parse, nothing lost."""
+
+    events = roles.events_log(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
+    spec = TableSpec("events", ("user_id",), tuple((f.name, f.dataType.simpleString()) for f in events.schema.fields))
+    runner = Runner(spark, work_dir(spark, "json-rescue"), {"events": spec})
+    kind = F.pmod("event_id", F.lit(10))
+    texts = {
+        "event_id": F.col("event_id").cast("string"),
+        "user_id": F.col("user_id").cast("string"),
+        "event_type": F.col("event_type"),
+        "value": F.when(kind == 1, F.concat(F.lit("about "), F.floor("value").cast("string"))).otherwise(F.col("value").cast("string")),
+        "origin": F.when(kind.isin(1, 2), F.concat(F.lit("feed "), F.col("user_id").cast("string"))),
+    }
+    line = F.to_json(F.struct(*[c.alias(n) for n, c in texts.items()]))
+    lines = events.select(F.when(kind == 3, F.concat(F.lit("broken "), F.col("event_id").cast("string"))).otherwise(line).alias("value"))
+    lines.write.text(landing_path(runner.root, "events", "part0"))
+    runner.ingest(fmt="json", suffix="txt")
+    return runner.bronze("events").select(*events.columns, RESCUE_COL)
+
+
 @register
 def flows_live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nine tables: bronze flows run together, then silver flows together; live rows per table."""
@@ -577,3 +616,14 @@ def refresh_choice_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         changed, base = ap.changed_rows(held), ap.snapshot_rows(held)
         rows.append((t, changed, base, changed * 10000 // base if base else None, refresh.decide(changed, base)))
     return spark.createDataFrame(rows, "table_name string, changed_rows bigint, base_rows bigint, change_ratio_bp bigint, strategy string")
+
+
+@register
+def fact_line_two_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental line fact with lines of changed headers written again: equal to the full build, no drift."""
+
+    runner, tables = Runner(spark, work_dir(spark, "two-sided")), ("claim", "claim_detail")
+    for run in (roles.SEED, roles.INCREMENT):
+        runner.land_roles(sf_dir, run, tables=tables)
+        runner.step(tables, refresh_headers=True)
+    return runner.twin_table()

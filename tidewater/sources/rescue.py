@@ -11,46 +11,22 @@ a batch are read with the schema they have and conformed to the registry:
 * a declared column missing from the file is NULL.
 
 The rescue column is ``to_json`` of the misfits, NULL when nothing was rescued.
+Parquet files come in groups of one schema (``sources.schemas``). JSON lines are
+parsed once, each as a map of texts whatever fields it has; a line that is no JSON
+object is kept whole, under ``_corrupt_record``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
 
-
-def _folder(path: str) -> str:
-    return path.rsplit("/", 1)[0]
-
-
-def group_by_schema(spark: SparkSession, paths: Sequence[str]) -> list[tuple[StructType, list[str]]]:
-    """Files in groups that one schema can read, each with that schema.
-
-    Spark merges the footers of a group in a job of its own, on whatever file
-    system the files are. Files that disagree on a type make the merge fail; the
-    group is then split, by landing folder first (a run's files share a writer),
-    else in halves. Without drift it is one job.
-    """
-    paths = sorted(paths)
-    try:
-        return [(spark.read.option("mergeSchema", "true").parquet(*paths).schema, paths)]
-    except (PySparkException, Py4JJavaError) as e:  # the job's own failure comes as the latter
-        if len(paths) == 1 or "merge" not in str(e).lower():
-            raise
-    folders = sorted({_folder(p) for p in paths})
-    if len(folders) > 1:
-        half = set(folders[: len(folders) // 2])
-        parts = [p for p in paths if _folder(p) in half], [p for p in paths if _folder(p) not in half]
-    else:
-        parts = paths[: len(paths) // 2], paths[len(paths) // 2 :]
-    return [g for part in parts for g in group_by_schema(spark, part)]
+CORRUPT = "_corrupt_record"
 
 
 def conform(df: DataFrame, declared: StructType) -> DataFrame:
@@ -64,9 +40,7 @@ def conform(df: DataFrame, declared: StructType) -> DataFrame:
         elif have[f.name] == f.dataType:
             cols.append(F.col(f.name))
         else:
-            casted = F.try_cast(F.col(f.name), f.dataType) if hasattr(F, "try_cast") else F.expr(
-                f"try_cast(`{f.name}` AS {f.dataType.simpleString()})"
-            )
+            casted = F.col(f.name).try_cast(f.dataType)
             cols.append(casted.alias(f.name))
             misfits.append(F.when(F.col(f.name).isNotNull() & casted.isNull(), F.col(f.name).cast("string")).alias(f.name))
     declared_names = {f.name for f in declared.fields}
@@ -81,21 +55,33 @@ def conform(df: DataFrame, declared: StructType) -> DataFrame:
     return df.select(*cols, rescue.alias(RESCUE_COL), F.col("_metadata.file_path").alias(SOURCE_FILE_COL))
 
 
-def read_rescued(spark: SparkSession, paths: Sequence[str], spec: TableSpec, fmt: str = "parquet") -> DataFrame | None:
-    """Bronze rows (declared columns + provenance + rescue) from a list of files.
-
-    JSON has no footers: its values are read as text and cast to the declared types.
-    """
+def conform_json(lines: DataFrame, declared: StructType) -> DataFrame:
+    """Lines of JSON text (``value``) cast to ``declared``, from one parse; the rest into the rescue column."""
+    rows = lines.where(F.trim("value") != "").withColumn("__m", F.from_json("value", "map<string,string>"))
+    names = [f.name for f in declared.fields]
+    columns, misfits = [], []
+    for f in declared.fields:
+        text = F.try_element_at("__m", F.lit(f.name))
+        value = text.try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        misfits.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    wrong = F.array_compact(F.array(*misfits))
+    rest = F.map_filter("__m", lambda k, _: ~k.isin(names) | F.array_contains(wrong, k))
+    rescue = F.when(F.col("__m").isNull(), F.to_json(F.create_map(F.lit(CORRUPT), F.col("value")))).when(F.size(rest) > 0, F.to_json(rest))
+    return rows.select(*columns, rescue.alias(RESCUE_COL), F.col(SOURCE_FILE_COL))
+
+
+def read_rescued(spark: SparkSession, groups: Sequence[tuple[StructType | None, list[str]]], spec: TableSpec, fmt: str = "parquet") -> DataFrame | None:
+    """Bronze rows (declared columns + provenance + rescue) of files in groups of one schema (JSON: of any)."""
     declared = spec.change_schema()
-    if fmt == "parquet":
-        parts = [spark.read.schema(schema).parquet(*files) for schema, files in group_by_schema(spark, paths)]
-    elif fmt == "json":
-        parts = [spark.read.option("primitivesAsString", "true").json(list(paths))] if paths else []
-    else:
-        raise ValueError(f"no rescue reader for {fmt!r}")
     out = None
-    for part in parts:
-        part = conform(part, declared)
+    for schema, paths in groups:
+        if fmt == "parquet":
+            part = conform(spark.read.schema(schema).parquet(*paths), declared)
+        elif fmt == "json":
+            part = conform_json(spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias(SOURCE_FILE_COL)), declared)
+        else:
+            raise ValueError(f"no rescue reader for {fmt!r}")
         out = part if out is None else out.unionByName(part)
     if out is None:
         return None

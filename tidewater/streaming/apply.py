@@ -66,7 +66,7 @@ def _batch_dir(base: str, batch_id: int) -> str:
 # ---------------------------------------------------------------------------
 def empty_table(layout: Layout) -> dict:
     """A manifest's content before the first batch."""
-    return {"layout": [layout.buckets, layout.slots], "upto": None, "slots": {}, "schema": None, "batches": [], "rules": {}}
+    return {"layout": [layout.buckets, layout.slots], "upto": None, "slots": {}, "schema": None, "batches": [], "rules": {}, "marks": {}}
 
 
 def contents(spark: SparkSession, root: str, name: str, version: int | None = None) -> dict | None:
@@ -132,12 +132,21 @@ def _slot(rows: DataFrame, apply: cdc.ApplySpec, slots: int) -> Column:
 
 
 def append_reduced(
-    spark: SparkSession, root: str, name: str, batch_id: int, reduced: DataFrame, apply: cdc.ApplySpec, layout: Layout = Layout(), rules: Callable[[], dict] = dict
+    spark: SparkSession,
+    root: str,
+    name: str,
+    batch_id: int,
+    reduced: DataFrame,
+    apply: cdc.ApplySpec,
+    layout: Layout = Layout(),
+    rules: Callable[[], dict] = dict,
+    marks: dict | None = None,
 ) -> dict:
     """Write a batch of reduced rows and commit it with its rows, bytes and touched slots.
 
     The counts are observed while the rows are written. ``rules`` gives the batch's
-    rule failures once it is written; the manifest keeps their totals.
+    rule failures once it is written; the manifest keeps their totals. ``marks`` are
+    what the batch makes known of other tables, committed with it.
     """
     table = contents(spark, root, name)
     slots = layout.slots if table is None else layout_of(table).slots
@@ -158,7 +167,7 @@ def append_reduced(
         totals = dict(now["rules"])
         for rule, (action, n) in failures.items():
             totals[rule] = [action, totals.get(rule, [action, 0])[1] + n]
-        return now | {"rules": totals}
+        return now | {"rules": totals, "marks": {**now["marks"], **(marks or {})}}
 
     return commit(spark, root, name, add)
 
@@ -173,6 +182,7 @@ def apply_batch(
     delete_when: str | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     layout: Layout = Layout(),
+    marks: dict | None = None,
 ) -> dict[str, int]:
     """Process one micro-batch of changes into ``state/<name>/batch_id=N``; nothing if it is committed already.
 
@@ -209,7 +219,7 @@ def apply_batch(
             quality.check(batch, rules, delete_when).rejects.write.mode("overwrite").parquet(_batch_dir(rejects_path(root, name), batch_id))
         return {r.name: (r.action, counts[r.name]) for r in rules}
 
-    append_reduced(spark, root, name, batch_id, cdc.reduce_changes(kept, apply), apply, layout, failures)
+    append_reduced(spark, root, name, batch_id, cdc.reduce_changes(kept, apply), apply, layout, failures, marks)
     return counts
 
 

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources import schemas
+from ..sources.files import exists, move
 from ..sources.rescue import read_rescued
 from ..sources.tables import append_table
 from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
@@ -47,11 +49,6 @@ def land(df: DataFrame, root: str, table: str, label: str, num_files: int | None
     return append_table(df, landing_path(root, table, label))
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def landed_files(spark: SparkSession, root: str, table: str, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Paths of one table's new landed files as a stream (contents are not read).
 
@@ -72,28 +69,33 @@ def landed_files(spark: SparkSession, root: str, table: str, fmt: str = "parquet
 def append_batch(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
     """Add a batch to the log: written aside, then moved into place in one step; nothing if it is there already."""
     spark = rows.sparkSession
-    fs, final = _hadoop(spark, f"{bronze_path(root, table)}/batch_id={batch_id}")
-    if fs.exists(final):
+    final = f"{bronze_path(root, table)}/batch_id={batch_id}"
+    if exists(spark, final):
         return
     aside = f"{bronze_path(root, table)}/_aside/batch_id={batch_id}"
     rows.write.mode("overwrite").parquet(aside)
-    if not fs.rename(_hadoop(spark, aside)[1], final):
-        raise OSError(f"could not move {aside} into place")
+    move(spark, aside, final)
 
 
 def start_bronze(
-    spark: SparkSession, root: str, spec: TableSpec, fmt: str = "parquet", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    fmt: str = "parquet",
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    suffix: str | None = None,
 ) -> StreamingQuery:
-    """Append new landed files of ``spec`` to its bronze log; runs what is there, then stops."""
+    """Append new landed files of ``spec`` to its bronze log; runs what is there, then stops. ``suffix``: of the files' names, if not the format's."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         paths = [r.path for r in batch.collect()]  # at most max_files_per_trigger
-        rows = read_rescued(batch.sparkSession, paths, spec, fmt) if paths else None
-        if rows is not None:
-            append_batch(rows, root, spec.name, batch_id)
+        if not paths or exists(spark, f"{bronze_path(root, spec.name)}/batch_id={batch_id}"):
+            return
+        groups = schemas.group_files(spark, root, spec.name, paths, batch_id) if fmt == "parquet" else [(None, paths)]
+        append_batch(read_rescued(batch.sparkSession, groups, spec, fmt), root, spec.name, batch_id)
 
     return (
-        landed_files(spark, root, spec.name, fmt, max_files_per_trigger)
+        landed_files(spark, root, spec.name, suffix or fmt, max_files_per_trigger)
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint_path(root, f"bronze_{spec.name}"))
         .queryName(f"bronze_{spec.name}_{abs(hash(root)) % 10**8}")

@@ -95,9 +95,9 @@ class Runner:
         """Tables that have something in ``folder(root, table)`` (others are skipped)."""
         return [t for t in (tables or self.registry) if files.children(self.spark, folder(self.root, t))]
 
-    def ingest(self, tables: Iterable[str] | None = None, fmt: str = "parquet") -> None:
+    def ingest(self, tables: Iterable[str] | None = None, fmt: str = "parquet", suffix: str | None = None) -> None:
         todo = self._with_files(tables, ingest.landing_path)
-        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], fmt, self.max_files) for t in todo)
+        await_all(ingest.start_bronze(self.spark, self.root, self.registry[t], fmt, self.max_files, suffix) for t in todo)
 
     def apply(self, tables: Iterable[str] | None = None) -> None:
         todo = self._with_files(tables, ingest.bronze_path)
@@ -105,16 +105,19 @@ class Runner:
         flows += [history.start_history(self.spark, self.root, self.registry[t], self.max_files) for t in todo if self.registry[t].scd_type == 2]
         await_all(flows)
 
-    def twin(self) -> None:
+    def twin(self, refresh_headers: bool = False) -> None:
+        """Run the line fact's twin; ``refresh_headers``: lines of changed headers are written again as well."""
         await_all([twin.start_twin(self.spark, self.root, self.max_files)])
+        if refresh_headers:
+            twin.refresh_headers(self.spark, self.root)
 
-    def step(self, tables: Iterable[str] | None = None, with_twin: bool = True) -> None:
+    def step(self, tables: Iterable[str] | None = None, with_twin: bool = True, refresh_headers: bool = False) -> None:
         """One availableNow pass over every layer, in dependency order."""
         tables = list(tables or self.registry)
         self.ingest(tables)
         self.apply(tables)
         if with_twin and "claim_detail" in tables:
-            self.twin()
+            self.twin(refresh_headers)
 
     def compact(self, tables: Iterable[str] | None = None) -> dict[str, str | None]:
         """Fold each table's state folders into a new clustered snapshot (tombstones kept); the twin's with the lines'."""

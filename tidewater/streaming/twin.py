@@ -6,9 +6,11 @@ batch (a stream-static join against a path would freeze the header at query
 start), applies the line table's drop rules, and resolves the result by
 ``claim_detail_id`` with the same reduction as every other flow.
 
-By design the header columns are captured when the *line* changes: a header-only
-change does not rewrite lines already in the twin. ``plans.reconcile`` reports
-exactly that drift against the full rebuild.
+By default the header columns are captured when the *line* changes: a header-only
+change does not rewrite lines already in the twin, and ``plans.reconcile`` reports
+exactly that drift against the full rebuild. ``refresh_headers`` takes in the
+other side as well: the lines of all headers that changed since the last refresh
+are written again with the header as of now, and the twin equals the full build.
 """
 
 from __future__ import annotations
@@ -21,61 +23,78 @@ from ..functions.columns import oper_rank
 from ..operators import cdc
 from ..plans import gold
 from ..specs import CLAIMS, OPER_COL, SEQ_COL, TS_COL
-from .apply import apply_batch, current_state, current_state_for
+from . import apply as ap
 from .ingest import checkpoint_path, read_bronze_stream
 
 TWIN = "fact_claim_line_streaming"
 LINE_ORDER = "__line_order"
+HEADER_SEQ = "__header_seq"  # of the header that the row was joined to, deleted ones included
+# State batches of the twin: one for each stream batch, with room after it for refreshes.
+BATCH_STEP = 1_000_000
 
 
 def twin_apply() -> cdc.ApplySpec:
-    """Keyed on the line id; same ordering and tie-break as the registry tables."""
+    """Keyed on the line id; same ordering and tie-break as the registry tables, then the newer header."""
     return cdc.ApplySpec(
         keys=("claim_detail_id",),
         sequence_by=(SEQ_COL,),
         # The line's own columns break ties before the header's, so the twin
         # keeps the same winner as the line table's silver flow.
-        tie_break=(TS_COL, oper_rank(OPER_COL).alias("__oper_rank"), LINE_ORDER),
+        tie_break=(TS_COL, oper_rank(OPER_COL).alias("__oper_rank"), LINE_ORDER, HEADER_SEQ),
         delete_when=f"{OPER_COL} = 'D'",
-        except_columns=(OPER_COL, SEQ_COL, TS_COL, LINE_ORDER),
+        except_columns=(OPER_COL, SEQ_COL, TS_COL, LINE_ORDER, HEADER_SEQ),
     )
 
 
 def line_changes_with_header(batch: DataFrame, header: DataFrame) -> DataFrame:
-    """Line changes joined to the header as of now, projected to the fact's columns."""
+    """Line changes joined to the header as of now, projected to the fact's columns.
+
+    ``header`` has the header's columns and, if known, its sequence number.
+    """
     line_cols = [c for c in CLAIMS["claim_detail"].business_columns if c != "claim_detail_id"]
     staged = batch.withColumn(LINE_ORDER, F.struct(*[F.col(c) for c in line_cols]))
-    h = header.select(*gold.HEADER_COLUMNS)
+    seq = F.col(HEADER_SEQ) if HEADER_SEQ in header.columns else F.lit(None).cast("bigint")
+    h = header.select(*gold.HEADER_COLUMNS, seq.alias(HEADER_SEQ))
     joined = staged.join(h, "claim_id", "left")
-    return joined.select(*gold.line_fact_projection(joined), OPER_COL, SEQ_COL, TS_COL, LINE_ORDER)
+    return joined.select(*gold.line_fact_projection(joined), OPER_COL, SEQ_COL, TS_COL, LINE_ORDER, HEADER_SEQ)
+
+
+def headers_for(spark: SparkSession, root: str, claims: DataFrame, version: int | None = None) -> DataFrame:
+    """The headers of some claims as of now (or of a version): a deleted one keeps its sequence number and nothing else.
+
+    The key filter runs before the header's reduction, so the lookup shuffles the
+    claims asked for, not the header table.
+    """
+    spec = CLAIMS["claim"]
+    rule = cdc.ApplySpec.for_table(spec)
+    rows = ap.reduced_state_for(spark, root, spec.name, rule, claims.select("claim_id"), version)
+    if rows is None:
+        return spark.createDataFrame([], spec.business_schema())
+    rows = cdc.mark_deletes(rows, rule)
+    columns = [F.when(~F.col(cdc.DELETED_COL), F.col(c)).alias(c) for c in gold.HEADER_COLUMNS if c != "claim_id"]
+    return rows.select("claim_id", *columns, F.col(SEQ_COL).alias(HEADER_SEQ))
 
 
 def start_twin(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> StreamingQuery:
     spec = CLAIMS["claim_detail"]
-    header_spec = CLAIMS["claim"]
     source = read_bronze_stream(spark, root, spec, max_files_per_trigger)
 
-    def with_header(kept: DataFrame) -> DataFrame:
-        # The header as of this batch, for this batch's claims only: the key
-        # filter runs before the header's reduction, so the lookup shuffles the
-        # batch's claims, not the header table.
-        header = current_state_for(
-            spark, root, header_spec.name, cdc.ApplySpec.for_table(header_spec), kept.select("claim_id")
-        )
-        if header is None:
-            header = spark.createDataFrame([], header_spec.business_schema())
-        return line_changes_with_header(kept, header)
-
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(
+        held = ap.contents(spark, root, "claim")
+        now = None if held is None else held["version"]
+        # all that the twin holds after its first batch is as of this version of the headers
+        first = {} if ap.contents(spark, root, TWIN) is not None else {"claim": now}
+        ap.apply_batch(
             batch,
-            batch_id,
+            batch_id * BATCH_STEP,
             root,
             TWIN,
             twin_apply(),
             rules=spec.drop_rules(),  # the twin honours the line table's drop rules
             delete_when=spec.delete_predicate,
-            transform=with_header,
+            transform=lambda kept: line_changes_with_header(kept, headers_for(spark, root, kept, now)),
+            layout=spec.layout,
+            marks=first,
         )
 
     return (
@@ -87,6 +106,28 @@ def start_twin(spark: SparkSession, root: str, max_files_per_trigger: int | None
     )
 
 
-def read_twin(spark: SparkSession, root: str) -> DataFrame:
-    return current_state(spark, root, TWIN, twin_apply()).select(*gold.LINE_FACT_COLUMNS)
+def refresh_headers(spark: SparkSession, root: str) -> int:
+    """Write the lines of headers that changed since the last refresh again, with the header as of now; returns their number.
+
+    The headers come from the batches between two versions, their lines from the
+    line table's current state. Run it after the silver and twin flows.
+    """
+    from . import feed
+
+    twin, headers = ap.contents(spark, root, TWIN), ap.contents(spark, root, "claim")
+    if twin is None or headers is None:
+        return 0
+    since, now = twin["marks"].get("claim"), headers["version"]
+    claims = feed.touched_keys(spark, root, "claim", cdc.ApplySpec.for_table(CLAIMS["claim"]), since, now)
+    if claims is None:
+        return 0
+    lines = ap.reduced_state(spark, root, "claim_detail", cdc.ApplySpec.for_table(CLAIMS["claim_detail"]))
+    lines = lines.join(claims, "claim_id", "left_semi")
+    rows = line_changes_with_header(lines, headers_for(spark, root, claims, now))
+    batch_id = feed.last_batch(twin) + 1
+    held = ap.append_reduced(spark, root, TWIN, batch_id, rows, twin_apply(), marks={"claim": now})
+    return next((b["rows"] for b in held["batches"] if b["id"] == batch_id), 0)
 
+
+def read_twin(spark: SparkSession, root: str) -> DataFrame:
+    return ap.current_state(spark, root, TWIN, twin_apply()).select(*gold.LINE_FACT_COLUMNS)
