@@ -277,3 +277,30 @@ def test_json_lines_are_parsed_once_and_nothing_is_lost(spark):
         (None, "None", None, '{"_corrupt_record":"{\\"id\\": 4, \\"amount\\": 1.25"}'),
         (None, "None", None, '{"_corrupt_record":"[\\"an\\", \\"array\\"]"}'),
     }
+
+
+def test_heavy_hitters_stay_within_their_error_when_batches_are_merged(spark):
+    from collections import Counter
+
+    from tidewater.plans import skew
+
+    r, root, true = random.Random(6), work_dir(spark, "test-hot"), Counter()
+    rule = cdc.ApplySpec(keys=("k",), sequence_by=("s",), delete_when=None)
+    for batch in range(4):
+        data = [(f"b{batch}-{i}", batch, "hot" if r.random() < 0.33 else f"v{r.randrange(3000)}") for i in range(2000)]
+        true.update(v for _, _, v in data)
+        ap.apply_batch(rows(spark, data), batch, root, "t", rule, watch=("v",))
+    held = ap.contents(spark, root, "t")
+    found = {x.item: x for x in skew.heavy_hitters(spark, held, "v").collect()}
+    assert len(found) <= ap.HOT_KEPT and found["hot"].rows == 8000
+    for item, x in found.items():
+        assert abs(true[item] - x.n_rows) <= held["hot"]["v"]["error"]
+    assert all(n <= held["hot"]["v"]["unlisted"] for item, n in true.items() if item not in found)
+    ap.compact(spark, root, "t", rule)
+    assert ap.contents(spark, root, "t")["hot"] == held["hot"]
+
+
+def test_merging_heavy_hitters_of_short_lists_is_exact():
+    a, b = ap.batch_hot([("x", 5), ("y", 2)], 7), ap.batch_hot([("y", 4), (None, 1)], 5)
+    assert ap.merge_hot(a, b) == {"rows": 12, "items": {"x": 5, "y": 6, "": 1}, "error": 0, "unlisted": 0}
+    assert ap.merge_hot(None, a) == a

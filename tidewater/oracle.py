@@ -445,3 +445,8 @@ SELECT CASE WHEN event_id % 10 <> 3 THEN event_id END AS event_id,
 FROM events
 """
 ORACLE["fact_line_two_sided"] = ORACLE["fact_line"]
+ORACLE["skew_heavy_hitters"] = f"""
+WITH inc AS ({_skew_rows('hot', 80)}),
+per_key AS (SELECT provider_id AS item, count(*) AS n_rows, CAST(sum(count(*)) OVER () AS BIGINT) AS rows FROM inc GROUP BY 1)
+SELECT item, n_rows, rows, n_rows * 10000 // rows AS share_bp FROM per_key WHERE item IS NOT NULL AND n_rows >= 0.1 * rows
+"""

@@ -627,3 +627,14 @@ def fact_line_two_sided(spark: SparkSession, sf_dir: str) -> DataFrame:
         runner.land_roles(sf_dir, run, tables=tables)
         runner.step(tables, refresh_headers=True)
     return runner.twin_table()
+
+
+@register
+def skew_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The providers of an 80%-hot increment from the sketch kept with its batch: no pass over the rows."""
+
+    runner = Runner(spark, work_dir(spark, "hitters"))
+    runner.land("claim_detail", roles.changes(spark, sf_dir, "claim_detail", roles.INCREMENT, roles.RoleMap(hot_share=0.8)), "incr0001")
+    runner.step(("claim_detail",), with_twin=False)
+    found = skew.heavy_hitters(spark, ap.contents(spark, runner.root, "claim_detail"), "provider_id", least_share=0.1)
+    return found.where("item <> ''").select("item", "n_rows", "rows", "share_bp")

@@ -62,6 +62,7 @@ class TableSpec:
     delete_predicate: str | None = DELETE_PREDICATE
     rules: tuple[Rule, ...] = field(default_factory=tuple)
     layout: Layout = Layout()  # buckets of the stored table; see sources.buckets.layout_for
+    watch: tuple[str, ...] = ()  # columns whose heavy hitters are kept with each batch
 
     @property
     def business_columns(self) -> list[str]:
@@ -127,6 +128,7 @@ CLAIMS = {
     "claim_detail": TableSpec(
         name="claim_detail",
         keys=("claim_detail_id",),
+        watch=("provider_id",),
         cluster_by=("claim_id",),
         columns=(
             ("claim_detail_id", "STRING"),

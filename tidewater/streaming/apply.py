@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,8 @@ from .ingest import checkpoint_path, read_bronze_stream
 
 # Merges hash the later batches when their share of a bucket is at most this; else both sides are sorted, which spills.
 HASHED_BYTES_PER_BUCKET = 32 * 1024**2
+# Heavy hitters of watched columns: items a batch's sketch tracks, and items of it (and of a table) that are kept.
+HOT_TRACKED, HOT_KEPT = 1000, 64
 # A lookup of at most this many keys names them to the scan; more are given to it as a range.
 LISTED_KEYS = 2000
 
@@ -66,7 +68,7 @@ def _batch_dir(base: str, batch_id: int) -> str:
 # ---------------------------------------------------------------------------
 def empty_table(layout: Layout) -> dict:
     """A manifest's content before the first batch."""
-    return {"layout": [layout.buckets, layout.slots], "upto": None, "slots": {}, "schema": None, "batches": [], "rules": {}, "marks": {}}
+    return {"layout": [layout.buckets, layout.slots], "upto": None, "slots": {}, "schema": None, "batches": [], "rules": {}, "marks": {}, "hot": {}}
 
 
 def contents(spark: SparkSession, root: str, name: str, version: int | None = None) -> dict | None:
@@ -131,6 +133,31 @@ def _slot(rows: DataFrame, apply: cdc.ApplySpec, slots: int) -> Column:
     return buckets.slot_of(buckets.key_text(rows, apply.slot_keys), slots)
 
 
+def batch_hot(items: list, rows: int) -> dict:
+    """A batch's heavy hitters as the manifest keeps them: counts by item, and how much any item may be off or missing.
+
+    A count of the sketch is off by 3.5 / HOT_TRACKED of the rows at most; an item
+    that is not listed has no more rows than the last one listed.
+    """
+    counts = {("" if i is None else str(i)): int(n) for i, n in items}
+    full = len(counts) >= HOT_KEPT
+    error = int(3.5 * rows / HOT_TRACKED) if full else 0  # a list that is not full holds every value, exactly
+    return {"rows": rows, "items": counts, "error": error, "unlisted": min(counts.values()) + error if full else 0}
+
+
+def merge_hot(old: dict | None, new: dict) -> dict:
+    """The heavy hitters of two sets of rows together, with the same meaning of ``error`` and ``unlisted``."""
+    if old is None:
+        return new
+    counts = {i: old["items"].get(i, 0) + new["items"].get(i, 0) for i in old["items"].keys() | new["items"].keys()}
+    # an item that one side does not list may have as many rows there as that side's unlisted ones
+    missing = max([0] + [(0 if i in old["items"] else old["unlisted"]) + (0 if i in new["items"] else new["unlisted"]) for i in counts])
+    kept = sorted(counts, key=lambda i: (-counts[i], i))[:HOT_KEPT]
+    cut = max([0] + [n for i, n in counts.items() if i not in kept])
+    error = old["error"] + new["error"] + missing
+    return {"rows": old["rows"] + new["rows"], "items": {i: counts[i] for i in kept}, "error": error, "unlisted": max(old["unlisted"] + new["unlisted"], cut + error if cut else 0)}
+
+
 def append_reduced(
     spark: SparkSession,
     root: str,
@@ -139,14 +166,14 @@ def append_reduced(
     reduced: DataFrame,
     apply: cdc.ApplySpec,
     layout: Layout = Layout(),
-    rules: Callable[[], dict] = dict,
+    observed: Callable[[], tuple[dict, dict]] = lambda: ({}, {}),
     marks: dict | None = None,
 ) -> dict:
     """Write a batch of reduced rows and commit it with its rows, bytes and touched slots.
 
-    The counts are observed while the rows are written. ``rules`` gives the batch's
-    rule failures once it is written; the manifest keeps their totals. ``marks`` are
-    what the batch makes known of other tables, committed with it.
+    The counts are observed while the rows are written. ``observed`` gives the batch's
+    rule failures and heavy hitters once it is written; the manifest keeps both
+    merged. ``marks`` are what the batch makes known of other tables, committed with it.
     """
     table = contents(spark, root, name)
     slots = layout.slots if table is None else layout_of(table).slots
@@ -157,7 +184,7 @@ def append_reduced(
     counted.drop(SLOT).write.mode("overwrite").parquet(path)
     got = seen.get
     entry = {"id": int(batch_id), "rows": int(got.get("n") or 0), "slots": sorted(got.get("slots") or []), "bytes": files.total_bytes(spark, path)}
-    failures = rules()
+    failures, hot = observed()
 
     def add(before: dict | None) -> dict | None:
         if is_done(before, batch_id):
@@ -167,7 +194,8 @@ def append_reduced(
         totals = dict(now["rules"])
         for rule, (action, n) in failures.items():
             totals[rule] = [action, totals.get(rule, [action, 0])[1] + n]
-        return now | {"rules": totals, "marks": {**now["marks"], **(marks or {})}}
+        merged = now["hot"] | {c: merge_hot(now["hot"].get(c), h) for c, h in hot.items()}
+        return now | {"rules": totals, "marks": {**now["marks"], **(marks or {})}, "hot": merged}
 
     return commit(spark, root, name, add)
 
@@ -183,10 +211,11 @@ def apply_batch(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     layout: Layout = Layout(),
     marks: dict | None = None,
+    watch: Sequence[str] = (),
 ) -> dict[str, int]:
     """Process one micro-batch of changes into ``state/<name>/batch_id=N``; nothing if it is committed already.
 
-    Rule counts are observed while the state is written (``observe``: no extra
+    Rule counts, and the heavy hitters of the columns to ``watch``, are observed while the state is written (``observe``: no extra
     pass over the batch); rejects are written only when a drop rule removed
     rows, before the batch is committed. Returns the failure count per rule.
     """
@@ -197,9 +226,11 @@ def apply_batch(
     drops = [r for r in rules if r.action == "drop"]
     source = batch
     obs = None
-    if rules:
-        obs = Observation(f"rules_{name}_{batch_id}_{uuid.uuid4().hex[:8]}")
-        source = batch.observe(obs, *[F.count_if(quality.failed(r, delete_when)).alias(f"r{i}") for i, r in enumerate(rules)])
+    measures = [F.count_if(quality.failed(r, delete_when)).alias(f"r{i}") for i, r in enumerate(rules)]
+    measures += [F.expr(f"approx_top_k(`{c}`, {HOT_KEPT}, {HOT_TRACKED})").alias(f"h{i}") for i, c in enumerate(watch)]
+    if measures:
+        obs = Observation(f"batch_{name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+        source = batch.observe(obs, *measures, F.count(F.lit(1)).alias("n"))
     kept = source
     if drops:
         any_drop = F.lit(False)
@@ -210,16 +241,17 @@ def apply_batch(
         kept = transform(kept)
     counts: dict[str, int] = {}
 
-    def failures() -> dict:
+    def observed() -> tuple[dict, dict]:
         if obs is None:
-            return {}
+            return {}, {}
         got = obs.get
         counts.update({r.name: int(got.get(f"r{i}") or 0) for i, r in enumerate(rules)})
         if any(counts[r.name] for r in drops):
             quality.check(batch, rules, delete_when).rejects.write.mode("overwrite").parquet(_batch_dir(rejects_path(root, name), batch_id))
-        return {r.name: (r.action, counts[r.name]) for r in rules}
+        hot = {c: batch_hot([(x["item"], x["count"]) for x in got.get(f"h{i}") or []], int(got.get("n") or 0)) for i, c in enumerate(watch)}
+        return {r.name: (r.action, counts[r.name]) for r in rules}, hot
 
-    append_reduced(spark, root, name, batch_id, cdc.reduce_changes(kept, apply), apply, layout, failures, marks)
+    append_reduced(spark, root, name, batch_id, cdc.reduce_changes(kept, apply), apply, layout, observed, marks)
     return counts
 
 
@@ -234,7 +266,7 @@ def start_silver(
     source = read_bronze_stream(spark, root, spec, max_files_per_trigger)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, root, spec.name, apply, spec.rules, spec.delete_predicate, layout=spec.layout)
+        apply_batch(batch, batch_id, root, spec.name, apply, spec.rules, spec.delete_predicate, layout=spec.layout, watch=spec.watch)
 
     return (
         source.writeStream.foreachBatch(run)
@@ -459,7 +491,7 @@ def replace(spark: SparkSession, root: str, name: str, rows: DataFrame, apply: c
     keyed = rows.withColumn(KEY, buckets.key_text(rows, apply.keys))
     entries = write_slots(spark, keyed, out, apply, to, aligned=False)
     fresh = empty_table(to) | {"upto": int(batch_id), "slots": entries, "schema": json.dumps(json.loads(keyed.schema.json()))}
-    commit(spark, root, name, lambda before: fresh | {"rules": (before or fresh)["rules"]})
+    commit(spark, root, name, lambda before: fresh | {k: (before or fresh)[k] for k in ("rules", "marks", "hot")})
     return out
 
 
