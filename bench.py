@@ -37,6 +37,8 @@ HEADLINE = [
     "fact_header",
     "agg_daily",
     "agg_daily_touched",
+    "agg_daily_rollup",
+    "scd2_incremental",
     "snapshot_diff",
     "change_batch_mix",
     "skew_profile",
@@ -175,6 +177,37 @@ def ratio_experiment(spark):
     return results
 
 
+def rollup_experiment(spark, ratio: float = 0.01):
+    """Daily KPIs after a change of ``ratio`` of the claims: moved by signed deltas against rebuilt, both from stored silver to stored gold."""
+    from tidewater.operators import cdc
+    from tidewater.plans import changes as ch
+    from tidewater.plans import roles
+    from tidewater.session import work_dir
+    from tidewater.specs import CLAIMS
+    from tidewater.streaming import apply as ap
+    from tidewater.streaming import publish
+
+    mix = ch.ChangeMix(new=0.0, header_only=0.375, adjustment=0.4375, reversal=0.1875)
+    root, tables = work_dir(spark, "bench-rollup"), ("claim", "claim_detail")
+
+    def apply(run, touched, batch):
+        rm = roles.RoleMap(mix=mix, n_buckets=80000, touched=touched, hashed_buckets=True)
+        for t in tables:
+            ap.apply_batch(roles.changes(spark, SF_DIR, t, run, rm), batch, root, t, cdc.ApplySpec.for_table(CLAIMS[t]), CLAIMS[t].rules, CLAIMS[t].delete_predicate)
+
+    apply(roles.SEED, 0.0, 0)
+    for t in tables:
+        ap.compact(spark, root, t, cdc.ApplySpec.for_table(CLAIMS[t]))
+    before = publish.silver_versions(spark, root, tables)
+    publish.rebuild_header_facts(spark, root, 0, before)
+    known = {"sources": before, "version": ap.contents(spark, root, publish.FACT)["version"]}
+    apply(roles.INCREMENT, ratio, 1)
+    now = publish.silver_versions(spark, root, tables)
+    incremental = measured(spark, "rollup incremental", lambda: publish.move_header_facts(spark, root, 1, known, now))
+    full = measured(spark, "rollup full", lambda: publish.rebuild_header_facts(spark, root, 2, now))
+    return {"change_ratio": ratio, "incremental_sec": round(incremental, 3), "full_sec": round(full, 3)}
+
+
 def skew_experiment(spark):
     """Max/median rows per shuffle partition of an even and an 80%-hot increment, by merge key and by the hot attribute."""
     from tidewater.plans import roles, skew
@@ -221,7 +254,7 @@ def main():
     t_all = time.time()
     q = time_queries(spark, HEADLINE)
     extra = {}
-    for name, experiment in (("full_vs_incremental", ratio_experiment), ("skew_partitions", skew_experiment), ("bronze_to_current", throughput)):
+    for name, experiment in (("full_vs_incremental", ratio_experiment), ("rollup", rollup_experiment), ("skew_partitions", skew_experiment), ("bronze_to_current", throughput)):
         try:
             extra[name] = experiment(spark)
         except Exception as e:  # noqa: BLE001
@@ -233,6 +266,8 @@ def main():
         row |= {side: touched.get(f"{side} {r}", {}) for side in ("incremental", "full")}
         read = [row[side].get("records_read", 0) + row[side].get("records_written", 0) for side in ("full", "incremental")]
         row["row_ratio"] = round(read[0] / max(read[1], 1), 2)
+    if "rollup" in extra:
+        extra["rollup"] |= {side: touched.get(f"rollup {side}", {}) for side in ("incremental", "full")}
     if "0.01" in extra.get("full_vs_incremental", {}):
         extra["baseline_check"] = {
             "published": {"full_rows": 111_000_000, "incremental_rows": 1_400_000, "row_ratio": 78, "change_ratio": 0.013},

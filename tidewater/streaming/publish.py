@@ -62,7 +62,7 @@ def gold_manifest(spark: SparkSession, root: str) -> Manifest:
     return Manifest(spark, f"{root.rstrip('/')}/gold/_published")
 
 
-def _sources(spark: SparkSession, root: str, tables: Iterable[str]) -> dict[str, dict]:
+def silver_versions(spark: SparkSession, root: str, tables: Iterable[str]) -> dict[str, dict]:
     """Version and last batch of each silver table that has a commit."""
     out = {}
     for t in tables:
@@ -190,7 +190,7 @@ def publish(spark: SparkSession, root: str, datasets: dict[str, DataFrame], name
     m = gold_manifest(spark, root)
     previous = m.latest()
     number = 0 if previous is None else previous["version"] + 1
-    sources = _sources(spark, root, {t for n in INPUTS for t in INPUTS[n]})
+    sources = silver_versions(spark, root, {t for n in INPUTS for t in INPUTS[n]})
     entries = dict(previous["datasets"]) if previous else {}
     todo = [n for n in names if not _unchanged(previous, n, sources)]
     if any(n in STORED for n in todo):
