@@ -38,13 +38,14 @@ from .common import flag_members, ship, stored, text_key
 TOP = 20
 FIRST_LOOK = 4 * TOP  # texts per item that are scored to find the floor
 ITEMS_PER_PASS = 1000
-TERMS_PER_PASS = 50_000
+TERMS_PER_PASS = 10_000
 
 # The signature: bits by entries, hash functions, documents and cells of a block.
 BITS_PER_ENTRY = 10  # rounded up to a power of two, so 10 to 20
 HASHES = 6
 BLOCK_DOCS = 1024
 BLOCK_CELLS = 1 << 23
+TERMS_AT_ONCE = 512  # terms that are looked up in a block together
 PIECE = 1 << 20  # bytes of a text that are cut into terms at a time
 COUNTS = sorted({1} | {c << s for s in range(38) for c in (2, 3)})  # 1, 2, 3, 4, 6, 8, 12, 16, 24, ...
 ROW_GROUP = 16 << 20  # bytes of index rows that a reader holds at a time
@@ -185,6 +186,12 @@ class Items:
         weight = {t: _weight(df.get(t, 0), docs) for t in {t for c in terms.values() for t in c}}
         self.docs, self.total = docs, total
         self.wanted = {i: [(t, weight[t] * r) for t, r in c.items() if t in df] for i, c in terms.items()}
+        held = sorted({t for c in self.wanted.values() for t, _ in c})
+        place = {t: k for k, t in enumerate(held)}
+        self.hashes = np.array([term_hash(t) for t in held], dtype=np.uint64)
+        self.places = {
+            i: (np.array([place[t] for t, _ in c], dtype=np.int64), np.array([w for _, w in c], dtype=np.int64)) for i, c in self.wanted.items() if c
+        }
 
     def score(self, item: int, counts: Counter, length: int) -> int:
         m = length_factor(length, self.docs, self.total)
@@ -195,40 +202,41 @@ def _weight(df: int, docs: int) -> int:
     return int(np.floor(1000 * np.log((2 * docs + 2) / (2 * df + 1))))
 
 
+def _reached_counts(rows: np.ndarray, hashes: np.ndarray, bits: int, n: int) -> np.ndarray:
+    """For each term (by hash) and document of a block, how many of ``COUNTS`` the term may reach there, from 0."""
+    reached = np.zeros((len(hashes), n), dtype=np.int64)
+    alive = np.arange(len(hashes))
+    for level in range(len(COUNTS)):
+        slices = _rows_of(_entry_hashes(hashes[alive], np.full(len(alive), level)), bits)
+        held = np.bitwise_and.reduce(rows[slices], axis=1)
+        some = held.any(axis=1)
+        alive, held = alive[some], held[some]
+        # a document that lacks a lower count can't have a higher one
+        here = np.unpackbits(held, axis=1)[:, :n].astype(bool) & (reached[alive] == level)
+        reached[alive] += here
+        alive = alive[here.any(axis=1)]
+        if not len(alive):
+            break
+    return reached
+
+
 def bounds_in_block(items: Items, row: dict) -> Iterator[tuple[int, np.ndarray]]:
     """(item, upper bounds of all documents of an index row), for the items with a bound above 0."""
     bits, n = row["bits"], row["docs"]
     rows = np.frombuffer(row["rows"], dtype=np.uint8).reshape(bits, -1)
     m = length_factor(np.asarray(row["lengths"], dtype=np.int64), items.docs, items.total)
-    shares: dict[bytes, np.ndarray | None] = {}
-
-    def shares_of(term: bytes) -> np.ndarray | None:
-        hashed = np.full(len(COUNTS), term_hash(term), dtype=np.uint64)
-        slices = _rows_of(_entry_hashes(hashed, np.arange(len(COUNTS))), bits)
-        tf = np.zeros(n, dtype=np.int64)
-        for level in range(len(COUNTS) - 1):
-            held = np.bitwise_and.reduce(rows[slices[level]], axis=0)
-            if not held.any():
-                break
-            here = np.unpackbits(held)[:n].astype(bool)
-            # a document that lacks a lower count can't have a higher one
-            here &= tf >= (COUNTS[level] - 1)
-            if not here.any():
-                break
-            tf[here] = COUNTS[level + 1] - 1
-        if not tf.any():
-            return None
-        return share(tf, m)
-
-    for item, terms in items.wanted.items():
-        total = None
-        for term, weight in terms:
-            if term not in shares:
-                shares[term] = shares_of(term)
-            if shares[term] is not None:
-                total = weight * shares[term] if total is None else total + weight * shares[term]
-        if total is not None and total.any():
-            yield item, total
+    shares = np.zeros((len(items.hashes), n), dtype=np.int64)
+    for i in range(0, len(items.hashes), TERMS_AT_ONCE):
+        reached = _reached_counts(rows, items.hashes[i : i + TERMS_AT_ONCE], bits, n)
+        # a term that reaches a count occurs less often than the next one says
+        for level in range(1, int(reached.max(initial=0)) + 1):
+            t, d = np.nonzero(reached == level)
+            shares[i + t, d] = share(COUNTS[min(level, len(COUNTS) - 1)] - 1, m)[d]
+    found = shares.any(axis=1)
+    for item, (places, weights) in items.places.items():
+        here = found[places]
+        if here.any():
+            yield item, weights[here] @ shares[places[here]]
 
 
 def _index_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -256,9 +264,10 @@ def most_promising(index: DataFrame, items, texts: int = FIRST_LOOK) -> DataFram
             keys = row["keys"]
             for item, bounds in bounds_in_block(items.value, row):
                 heap, seen = heaps.setdefault(item, []), held.setdefault(item, set())
-                for d in np.argsort(-bounds, kind="stable")[: 2 * texts]:
+                better = np.flatnonzero(bounds > (heap[0][0] if len(heap) >= texts else 0))
+                for d in better[np.argsort(-bounds[better], kind="stable")]:
                     key, bound = keys[16 * d : 16 * d + 16], int(bounds[d])
-                    if bound <= 0 or (len(heap) >= texts and bound <= heap[0][0]):
+                    if len(heap) >= texts and bound <= heap[0][0]:
                         break
                     if key in seen:
                         continue
