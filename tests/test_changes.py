@@ -47,3 +47,16 @@ def test_audit_keys_do_not_collide_across_runs(spark, sf):
     a0 = roles.changes(spark, sf, "claim_audit", roles.SEED).select("claim_audit_id")
     a1 = roles.changes(spark, sf, "claim_audit", roles.INCREMENT).select("claim_audit_id")
     assert a0.join(a1, "claim_audit_id").count() == 0
+
+
+def test_draws_are_even_repeatable_and_independent(spark):
+    from collections import Counter
+
+    from tidewater.functions.columns import draw
+
+    df = spark.range(6000).select(draw("abc", "id").alias("x"), draw("abcd", "id", salt=5).alias("y"))
+    rows = [(r.x, r.y) for r in df.collect()]
+    assert rows == [(r.x, r.y) for r in df.collect()]
+    assert all(abs(n - 500) < 100 for n in Counter(rows).values()) and len(set(rows)) == 12
+    huge = spark.createDataFrame([(2**62,), (-(2**62),)], "id bigint")
+    assert {r[0] for r in huge.select(draw("ab", "id")).collect()} <= {"a", "b"}

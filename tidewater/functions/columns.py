@@ -58,6 +58,17 @@ def key_bucket(key: str | Column, n: int, salt: int = 0) -> Column:
     return F.pmod(F.xxhash64(F.lit(salt), col_of(key)), F.lit(n))
 
 
+def draw(domain: Sequence[str], key: str | Column, salt: int = 0) -> Column:
+    """A value of ``domain`` for each integer key: spread evenly, the same on every run, independent draws by ``salt``.
+
+    Multiplicative hashing in plain integer arithmetic, within 64 bits for any key,
+    so that another engine can repeat it.
+    """
+    spread = F.pmod(col_of(key).cast("bigint") + F.lit(salt), F.lit(1_000_003)) * F.lit(2_654_435_761)
+    place = F.pmod(F.floor(F.shiftright(spread, 16)), F.lit(len(domain))).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in domain]), place + 1)
+
+
 def hot_assign(bucket: Column, hot_buckets: int, hot_value: Column, other: Column) -> Column:
     """Send rows whose deterministic ``bucket`` is below ``hot_buckets`` to one value.
 

@@ -450,3 +450,16 @@ WITH inc AS ({_skew_rows('hot', 80)}),
 per_key AS (SELECT provider_id AS item, count(*) AS n_rows, CAST(sum(count(*)) OVER () AS BIGINT) AS rows FROM inc GROUP BY 1)
 SELECT item, n_rows, rows, n_rows * 10000 // rows AS share_bp FROM per_key WHERE item IS NOT NULL AND n_rows >= 0.1 * rows
 """
+
+
+def _drawn(domain: tuple[str, ...], salt: int) -> str:
+    values = ", ".join(f"'{v}'" for v in domain)
+    return f"[{values}][CAST((((o_orderkey + {salt}) % 1000003) * 2654435761 // 65536) % {len(domain)} AS INTEGER) + 1]"
+
+
+ORACLE["change_batch_draws"] = f"""
+SELECT {_drawn(("portal", "clearinghouse", "fax", "mail"), 0)} AS channel,
+       {_drawn(("duplicate", "not covered", "out of network", "late", "missing data"), 17)} AS reason,
+       count(*) AS claims, 'CLM' || lpad(CAST(min(o_orderkey) AS VARCHAR), 12, '0') AS first_claim
+FROM orders GROUP BY 1, 2
+"""

@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import hot_assign, key_bucket, padded_id
+from ..functions.columns import draw, hot_assign, key_bucket, padded_id
 from ..operators.cdc import ApplySpec
 from ..sources.tables import read_table
 from ..specs import CLAIMS
@@ -41,6 +41,12 @@ LINE_APPLY = ApplySpec(
 # -----------------------------------------------------------------------------
 
 
+# --- fixed values: domains of drawn attributes --------------------------------
+CHANNELS = ("portal", "clearinghouse", "fax", "mail")
+REASONS = ("duplicate", "not covered", "out of network", "late", "missing data")
+# -----------------------------------------------------------------------------
+
+
 @dataclass(frozen=True)
 class RoleMap:
     mix: ch.ChangeMix = field(default_factory=ch.ChangeMix)
@@ -118,6 +124,13 @@ def _existing(ctype: Column) -> Column:
     return ~ctype.eqNullSafe(F.lit("new"))
 
 
+def drawn_attributes(spark: SparkSession, sf_dir: str, rm: RoleMap | None = None) -> DataFrame:
+    """(claim_id, channel, reason): attributes that no source column has, drawn from their domains by the claim's key."""
+    o = _orders(spark, sf_dir, rm or RoleMap())
+    n = F.col("o_orderkey")
+    return o.select(claim_key(n).alias("claim_id"), draw(CHANNELS, n).alias("channel"), draw(REASONS, n, salt=17).alias("reason"))
+
+
 def _claim_rows(o: DataFrame, status: Column, rm: RoleMap, run: int) -> DataFrame:
     n = F.col("o_orderkey")
     charge = F.col("o_totalprice").cast("decimal(12,2)")

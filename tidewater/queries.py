@@ -638,3 +638,10 @@ def skew_heavy_hitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     runner.step(("claim_detail",), with_twin=False)
     found = skew.heavy_hitters(spark, ap.contents(spark, runner.root, "claim_detail"), "provider_id", least_share=0.1)
     return found.where("item <> ''").select("item", "n_rows", "rows", "share_bp")
+
+
+@register
+def change_batch_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each pair of drawn attributes comes up over all claims."""
+    drawn = roles.drawn_attributes(spark, sf_dir)
+    return drawn.groupBy("channel", "reason").agg(F.count(F.lit(1)).alias("claims"), F.min("claim_id").alias("first_claim"))
