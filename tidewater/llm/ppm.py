@@ -36,7 +36,7 @@ from .common import crc_mod, ship, stored
 
 ORDER = 4  # bytes of context; a string and its next byte fit into 40 bits
 FOLDS, HELD_OUT = 7, 2
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 _PIECE = 4 << 20
 _START, _END = 0xFE, 0xFF  # bytes that UTF-8 never has
 _SYMBOLS = 255  # all bytes but the start mark
