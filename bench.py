@@ -37,8 +37,6 @@ HEADLINE = [
     "fact_header",
     "agg_daily",
     "agg_daily_touched",
-    "agg_daily_rollup",
-    "scd2_incremental",
     "snapshot_diff",
     "change_batch_mix",
     "skew_profile",
