@@ -60,3 +60,17 @@ def test_odd_rows(spark):
     kept = L.accepted(docs, model)
     assert kept.columns == docs.columns and {6, 7, 8, 9, 10}.isdisjoint({r.doc_id for r in kept.collect()})
     assert L.fit(docs.where("lang IS NULL")) is None and L.identify(docs.limit(0), model).count() == 0
+
+
+def test_long_texts_in_stretches_equal_one_walk(spark, monkeypatch):
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("lang", "text").collect() if r.text]
+    model = L.train([(r.text, r.lang) for r in docs[:200]])
+    by_lang = {c: " ".join(r.text for r in docs[200:400] if r.lang == c) for c in ("en", "de")}
+    texts = [by_lang["en"], by_lang["de"], by_lang["en"] + " " + by_lang["de"], None, "the end", ""]
+    assert len(L.words_of(texts[2])) > 3 * L.LONG
+    parts = L.predict(model, texts, {})
+    monkeypatch.setattr(L, "LONG", 10**9)
+    whole = L.predict(model, texts, {})
+    assert parts[0] == whole[0] and np.allclose(parts[1], whole[1], atol=1e-3)
+    monkeypatch.setattr(L, "WORDS_AT_ONCE", 1)  # one text at a time gives the same
+    assert np.allclose(L.predict(model, texts, {})[1], whole[1])

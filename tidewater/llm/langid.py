@@ -38,6 +38,8 @@ BUCKETS = 1 << 17
 STRETCH = 40  # words of one document between two others, on average
 EPOCHS = 30
 LEAST = 0.5  # share of a text's letters that its language needs in a filter
+LONG, OVERLAP = 2_000, 50  # words of a stretch, and of its neighbours on either side
+WORDS_AT_ONCE = 50_000
 _CACHE_WORDS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+").findall
@@ -207,52 +209,57 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     return train([(r["text"], r["lang"]) for r in sample(docs, per_language).collect()])
 
 
+def _stretches(texts: list[str | None]) -> Iterator[list[tuple[int, list[str], int, int]]]:
+    """Groups of (text's place, words, first and end of those to count): long texts in overlapping stretches, so that no group is large."""
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        words = words_of(text) if text else []
+        for at in range(0, len(words), LONG):
+            low, end = max(0, at - OVERLAP), min(len(words), at + LONG)
+            part = words[low : end + OVERLAP]
+            group.append((i, part, at - low, end - low))
+            held += len(part)
+            if held >= WORDS_AT_ONCE:
+                yield group
+                group, held = [], 0
+    if group:
+        yield group
+
+
 def predict(model: Model, texts: list[str | None], cache: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
-    """Language and score of each text."""
-    words = [words_of(t) if t else [] for t in texts]
-    sizes = np.asarray([len(w) for w in words])
-    order = np.argsort(-sizes, kind="stable")
-    order = order[sizes[order] > 0]
+    """Language and score of each text.
+
+    Long texts are walked in stretches with ``OVERLAP`` words of their neighbours on
+    either side, beyond which a label hardly depends on the words: memory and steps
+    have a bound whatever the text's length.
+    """
+    share = np.zeros((len(texts), len(model.labels)))
+    for group in _stretches(texts):
+        group.sort(key=lambda g: -len(g[1]))
+        ids: dict[str, int] = {}
+        token = np.fromiter((ids.setdefault(w, len(ids)) for _, words, _, _ in group for w in words), np.int64)
+        if len(cache) > _CACHE_WORDS:
+            cache.clear()
+        new = [w for w in ids if w not in cache]
+        if new:
+            cache.update(zip(new, model.word_scores(new)))
+        table = np.stack([cache[w] for w in ids])
+        length = np.fromiter((sum(map(str.isalpha, w)) for w in ids), np.float64, len(ids))[token]
+        sizes = np.asarray([len(words) for _, words, _, _ in group])
+        begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        place = np.arange(len(token)) - np.repeat(begin, sizes)
+        first, end = (np.repeat([g[k] for g in group], sizes) for k in (2, 3))
+        length[(place < first) | (place >= end)] = 0
+        post = forward_backward(table[token], sizes, model.moves, model.start)
+        np.add.at(share, [g[0] for g in group], np.add.reduceat(post * length[:, None], begin, axis=0))
     out, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    if not len(order):
-        return out, score
-    ids: dict[str, int] = {}
-    token = np.concatenate([np.fromiter((ids.setdefault(w, len(ids)) for w in words[i]), np.int64, len(words[i])) for i in order])
-    if len(cache) > _CACHE_WORDS:
-        cache.clear()
-    new = [w for w in ids if w not in cache]
-    if new:
-        cache.update(zip(new, model.word_scores(new)))
-    table = np.stack([cache[w] for w in ids])
-    length = np.fromiter((sum(map(str.isalpha, w)) for w in ids), np.float64, len(ids))
-    sizes = sizes[order]
-    post = forward_backward(table[token], sizes, model.moves, model.start)
-    begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    share = np.add.reduceat(post * length[token][:, None], begin, axis=0)
-    for i, s in zip(order, share):
-        if not s.sum():  # signs that count as letters in words but are none
-            continue
-        s = s / s.sum()
+    for i in np.flatnonzero(share.sum(axis=1)):  # signs that count as letters in words but are none give nothing
+        s = share[i] / share[i].sum()
         best = int(np.argmax(s))
         out[i], score[i] = model.labels[best], float(min(1.0, s[best]))
     return out, score
 
 
-def _labelled(shared, texts: list[str | None], cache: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
-    """Predictions for a batch, some MB of text at a time."""
-    langs, scores, at = [], [], 0
-    while at < len(texts):
-        to, size = at, 0
-        while to < len(texts) and (to == at or size < 3_000_000):
-            size += len(texts[to] or "")
-            to += 1
-        got = predict(shared.value, texts[at:to], cache)
-        langs += got[0]
-        scores += got[1]
-        at = to
-    return langs, scores
-
-
 def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
@@ -268,7 +275,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs, scores = _labelled(shared, batch.column("text").to_pylist(), cache)
+            langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
 
@@ -285,7 +292,7 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs, scores = _labelled(shared, batch.column("text").to_pylist(), cache)
+            langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             yield batch.filter(pa.array([c != UNKNOWN and s >= least for c, s in zip(langs, scores)], pa.bool_()))
 
     return docs.mapInArrow(keep, _schema(docs))
