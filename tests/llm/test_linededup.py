@@ -19,13 +19,14 @@ def edits(a, b):
 
 
 def near(a, b):
-    """At most two edits: what both ends share is cut off first, and unequal letters counted."""
-    if abs(len(a) - len(b)) > 2 or sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values()) > 4:
+    """As many edits as the shorter line allows: what both ends share is cut off first, and unequal letters counted."""
+    allowed = min(2, min(len(a), len(b)) // 10)
+    if abs(len(a) - len(b)) > allowed or sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values()) > 2 * allowed:
         return False
     n = len(os.path.commonprefix([a, b]))
     a, b = a[n:], b[n:]
     n = len(os.path.commonprefix([a[::-1], b[::-1]]))
-    return edits(a[: len(a) - n], b[: len(b) - n]) <= 2
+    return edits(a[: len(a) - n], b[: len(b) - n]) <= allowed
 
 
 def variant(r, text, n):
@@ -47,7 +48,10 @@ def made_lines():
     for _ in range(40):
         base = "".join(r.choice("abcd é") for _ in range(r.randint(20, 60))).strip() + "endofline"
         lines += [base] + [variant(r, base, r.randint(0, 4)) for _ in range(4)]
-    return lines + ["short", "shorx", "", "twenty characters ab", "twenty characters a"]
+    for _ in range(30):  # lines that allow one edit, and just two
+        base = "".join(r.choice("abcd") for _ in range(r.randint(8, 21)))
+        lines += [base] + [variant(r, base, r.randint(0, 3)) for _ in range(3)]
+    return lines + ["short", "shorx", "", "twenty characters ab", "twenty characters a", "Read more", "Read more!", "Subscribe now", "Subscribe now!", "Subscribe nou!"]
 
 
 def test_oracle(spark, sf):
@@ -72,14 +76,14 @@ def test_links_equal_brute_force(spark):
     found = L.distinct_lines(docs)
     text = {r.id: r.line for r in found.collect()}
     got = {tuple(sorted((text[r.a], text[r.b]))) for r in L.line_links(found).collect()}
-    able = [x for x in lines if len(x) >= L.MIN_CHARS]
-    want = {tuple(sorted((a, b))) for i, a in enumerate(able) for b in able[:i] if near(a, b)}
+    want = {tuple(sorted((a, b))) for i, a in enumerate(lines) for b in lines[:i] if near(a, b)}
+    assert ("Subscribe now", "Subscribe now!") in want and ("Subscribe nou!", "Subscribe now") not in want and ("Read more", "Read more!") not in want
     assert got == want and len(want) > 30
 
 
 def brute_kept(rows):
     """The rule by hand: the first line of each class stays."""
-    lines = sorted({x for _, t in rows if t for x in t.split("\n") if len(x) >= L.MIN_CHARS})
+    lines = sorted({x for _, t in rows if t for x in t.split("\n") if x.strip(" ")})
     up = {x: x for x in lines}
 
     def root(x):
@@ -98,10 +102,10 @@ def brute_kept(rows):
     places = defaultdict(list)
     for n, (doc_id, t) in sorted(enumerate(rows), key=lambda x: (x[1][0] is not None, x[1][0] or 0)):
         for x in (t or "").split("\n"):
-            again = len(x) >= L.MIN_CHARS and root(x) in seen
+            again = bool(x.strip(" ")) and root(x) in seen
             if not again:
                 places[n].append(x)
-            if len(x) >= L.MIN_CHARS:
+            if x.strip(" "):
                 seen.add(root(x))
     for n, (doc_id, t) in enumerate(rows):
         kept = "\n".join(places[n])
@@ -120,6 +124,19 @@ def test_drop_repeated_lines(spark):
     assert got == brute_kept(rows)
 
 
+def test_exact_copies_of_short_lines_are_folded(spark):
+    rows = [(i, f"{'abcde'[i] * 15} is its own\nRead more\n \n" + "xyzuv"[i]) for i in range(5)]
+    got = {r.doc_id: r.text for r in L.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].count("Read more") == 1 and all("Read more" not in got[i] and "\n \n" in got[i] for i in range(1, 5))
+
+
+def test_filter_keeps_all_known_keys(spark):
+    keys = spark.range(20000).select(F.xxhash64("id").alias("k"))
+    rows = spark.range(60000).select(F.xxhash64("id").alias("key"), "id")
+    kept = L.only_known(rows, "key", keys)
+    assert kept.columns == ["key", "id"] and kept.where("id < 20000").count() == 20000 and kept.count() < 22000
+
+
 def test_odd_rows(spark):
     docs = odd_documents(spark).select("doc_id", "text")
     classes = L.line_classes(docs)

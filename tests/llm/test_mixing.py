@@ -105,7 +105,7 @@ def test_targets(spark):
 def test_better_rows_come_more_often(spark):
     rows = spark.range(20000).select("id", F.lit("s").alias("source"), F.lit(1).alias("size"), F.when(F.col("id") % 2 == 0, 4.0).otherwise(1.0).alias("quality"))
     found = M.mixed(rows, F.col("source"), F.col("size"), F.col("quality"), M.row_digest(F.col("id")), share=0.2)
-    even, odd = found.where("taken = 1").agg(F.count_if("row.id % 2 = 0"), F.count_if("row.id % 2 = 1")).first()
+    even, odd = found.where("taken = 1").agg(F.count_if(F.expr("row.id % 2 = 0")), F.count_if(F.expr("row.id % 2 = 1"))).first()
     assert even + odd == 4000 and even > 2.5 * odd
 
 

@@ -40,4 +40,4 @@ def test_line_stage_updates_sizes(spark, sf):
     docs = spark.createDataFrame([(1, text + "own words of the first", "en", "s", 64), (2, text + "words of the second", "en", "s", 61)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r.doc_id: r for r in P.without_repeated_lines(spark, docs, sf).collect()}
     assert got[1].n_chars == 64 and got[2].text == "words of the second" and got[2].n_chars == 19
-    assert linededup.MIN_CHARS < 30 and decontaminate.WINDOW == 10
+    assert linededup.THRESHOLD == 2 and decontaminate.WINDOW == 10

@@ -1,19 +1,20 @@
 """Near-duplicate lines by a segment-partition edit join.
 
-Two lines are linked when at most ``THRESHOLD`` single-character edits lie
-between them. A line is cut into threshold + 1 even segments; with that few
-edits at least one segment of the shorter line occurs unchanged in the longer
-one, near its own place. So every line indexes its segments under (length,
+Two lines are linked when so few single-character edits lie between them as the
+shorter one allows: one for every ``PER_EDIT`` characters, ``THRESHOLD`` at most. A
+line is cut into one segment more than the edits it allows; then at least one
+segment of the shorter line occurs unchanged in the longer one, near its own place. So every line indexes its segments under (length,
 segment number, content), and probes, for each length it could match, the few
 substrings whose place still allows the remaining edits on both sides. Lines
 that meet are verified by a banded bit-parallel edit distance: one column of the
 band is one integer, one character of the line one step on it.
 
-All of it is DataFrame operations. Copies of a line are folded before the join.
+All of it is DataFrame operations. Copies of a line are folded before the join,
+and substrings that no line has as a segment are filtered before the shuffle.
 
-Defined cases: a null text has no lines; empty lines are left out; lines shorter
-than ``MIN_CHARS`` are linked to none (two edits would change what they say)
-and stay where they are; null ids sort first.
+Defined cases: a null text has no lines; empty lines are left out; lines too short
+for an edit have exact copies only; when lines are dropped, blank ones stay; null
+ids sort first.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import flag_members, stored, text_key
+from .common import flag_members, stored, text_key, union_all
 from .graph import components
 
 THRESHOLD = 2
-MIN_CHARS = 20
+PER_EDIT = 10
 LETTERS = "aeinorsthdlu"  # counted modulo 32, five bits each, in one number
 
 
@@ -50,35 +51,73 @@ def letters_apart(a: Column, b: Column) -> Column:
     return total
 
 
-def _keys(lines: DataFrame, asked: list[tuple[int, int, int]], threshold: int, shortest: int) -> DataFrame:
-    """(key, id, chars, letters): a key for each (shorter by, segment, shift) asked of each line, where the line has such a substring.
+def allowed_edits(chars: Column) -> Column:
+    """How many edits a line of so many characters allows."""
+    edits = F.lit(0)
+    for t in range(1, THRESHOLD + 1):
+        edits = F.when(chars >= t * PER_EDIT, F.lit(t)).otherwise(edits)
+    return edits
 
-    A line of n characters is cut into threshold + 1 segments of n // (threshold + 1)
+
+def _keys(lines: DataFrame, asked: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """(key, id, chars, letters): a key for each (shorter by, segment, shift) asked of each line, where the line has such a
+    substring and a line that much shorter allows just ``edits``.
+
+    A line of n characters is cut into edits + 1 segments of n // (edits + 1)
     characters, the last ones a character longer where that leaves a rest.
     """
-    parts = threshold + 1
+    parts = edits + 1
     each = F.explode(F.array(*[F.struct(F.lit(d).alias("less"), F.lit(i).alias("segment"), F.lit(x).alias("shift")) for d, i, x in asked]))
-    rows = lines.select("id", "line", "chars", "letters", each.alias("s")).select("id", "line", "chars", "letters", "s.segment", "s.shift", F.expr("chars - s.less").alias("length"))
+    rows = lines.where(F.col("chars") >= edits * PER_EDIT)
+    if edits < THRESHOLD:
+        rows = rows.where(F.col("chars") < (edits + 1) * PER_EDIT + edits)
+    rows = rows.select("id", "line", "chars", "letters", each.alias("s")).select("id", "line", "chars", "letters", "s.segment", "s.shift", F.expr("chars - s.less").alias("length"))
     rows = rows.withColumn("extra", F.expr(f"segment - ({parts} - length % {parts})"))
     rows = rows.withColumn("at", F.expr(f"int(length div {parts}) * segment + greatest(extra, 0) + shift"))
     rows = rows.withColumn("size", F.expr(f"int(length div {parts}) + int(extra >= 0)"))
-    rows = rows.where((F.col("length") >= shortest) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("chars")))
+    rows = rows.where((allowed_edits(F.col("length")) == edits) & (F.col("at") >= 0) & (F.col("at") + F.col("size") <= F.col("chars")))
     return rows.select(F.xxhash64("length", "segment", F.expr("substring(line, at + 1, size)")).alias("key"), "id", "chars", "letters")
 
 
-def index_keys(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
+def index_keys(lines: DataFrame) -> DataFrame:
     """The keys under which lines are indexed: their own segments."""
-    return _keys(lines, [(0, i, 0) for i in range(threshold + 1)], threshold, shortest)
+    return union_all([_keys(lines, [(0, i, 0) for i in range(t + 1)], t) for t in range(1, THRESHOLD + 1)])
 
 
-def probe_keys(lines: DataFrame, threshold: int, shortest: int) -> DataFrame:
+def probe_keys(lines: DataFrame) -> DataFrame:
     """The keys that lines ask for: segments of equal or shorter lines, shifted as far as the edits left on both sides allow."""
-    asked = []
-    for less in range(threshold + 1):
-        for i in range(threshold + 1):
-            low, high = max(-i, less - (threshold - i)), min(i, less + (threshold - i))
-            asked += [(less, i, shift) for shift in range(low, high + 1)]
-    return _keys(lines, asked, threshold, shortest)
+    parts = []
+    for t in range(1, THRESHOLD + 1):
+        asked = []
+        for less in range(t + 1):
+            for i in range(t + 1):
+                low, high = max(-i, less - (t - i)), min(i, less + (t - i))
+                asked += [(less, i, shift) for shift in range(low, high + 1)]
+        parts.append(_keys(lines, asked, t))
+    return union_all(parts)
+
+
+_MAPS, _WORDS = 2048, 512  # bitmaps of 512 words of 64 bits: 8 MB to broadcast, whatever the number of keys
+
+
+def only_known(rows: DataFrame, key: str, known: DataFrame) -> DataFrame:
+    """``rows`` without those whose ``key`` is certainly not in the one column of ``known``, by a filter of fixed size.
+
+    It lets more through the more keys there are; what it lets through still has to be joined.
+    """
+
+    def at(c: str) -> list[Column]:
+        return [F.pmod(F.col(c), F.lit(_MAPS)).alias("_map"), F.shiftright(c, 20).bitwiseAND(F.lit(64 * _WORDS - 1)).alias("_bit")]
+
+    # keys travel to their map's task, not a bitmap from every task
+    maps = known.select(*at(known.columns[0])).repartition("_map").groupBy("_map").agg(F.hex(F.bitmap_construct_agg("_bit")).alias("_hex"))
+    words = F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda i: F.conv(F.substring("_hex", i * 16 + 1, F.lit(16)), 16, -10).cast("long"))
+    found = rows.select("*", *at(key)).join(F.broadcast(maps.select("_map", words.alias("_words"))), "_map")
+    # eight bytes make a word, the first one its highest; in a byte the first bit is the lowest
+    bit = F.col("_bit")
+    place = F.lit(56) - bit.bitwiseAND(F.lit(56)) + bit.bitwiseAND(F.lit(7))
+    word = F.get("_words", F.shiftright(bit, 6).cast("int"))
+    return found.where(F.getbit(word, place.cast("int")) == 1).drop("_map", "_bit", "_words")
 
 
 def _let(value: Column, use) -> Column:
@@ -140,33 +179,32 @@ def edits_within_band(a: Column, b: Column, threshold: int) -> Column:
     return _let(F.split(a, ""), lambda ca: _let(F.split(b, ""), lambda cb: _let(F.size(ca), lambda n: walk(ca, cb, n))))
 
 
-def line_links(lines: DataFrame, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
-    """(a, b): every pair of distinct lines at most ``threshold`` edits apart, ``a`` the shorter (or, at equal length, smaller id)."""
-    shortest = max(shortest, threshold + 1)
-    able = lines.where(F.col("chars") >= shortest)
-    index = index_keys(able, threshold, shortest).toDF("key", "a", "n_a", "l_a")
-    probes = probe_keys(able, threshold, shortest).toDF("p_key", "b", "n_b", "l_b")
+def line_links(lines: DataFrame) -> DataFrame:
+    """(a, b): every pair of distinct lines that are near, ``a`` the shorter (or, at equal length, smaller id)."""
+    able = lines.where(F.col("chars") >= PER_EDIT)
+    index = index_keys(able).toDF("key", "a", "n_a", "l_a")
+    probes = only_known(probe_keys(able).toDF("p_key", "b", "n_b", "l_b"), "p_key", index.select("key"))
     shorter = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
     # lines of many near copies share segments without being alike: the join itself leaves out what letters tell apart
-    alike = letters_apart(F.col("l_a"), F.col("l_b")) <= 2 * threshold
+    alike = letters_apart(F.col("l_a"), F.col("l_b")) <= 2 * allowed_edits(F.col("n_a"))
     met = index.join(probes, (F.col("key") == F.col("p_key")) & shorter & alike)
-    pairs = stored(met.select("a", "b").distinct(), "line-pairs")
+    pairs = stored(met.select("a", "b", allowed_edits(F.col("n_a")).alias("edits")).distinct(), "line-pairs")
     # only lines of some pair are shuffled to meet it
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     text = flag_members(able.select("id", "line"), F.col("id"), ends).where("_maybe").drop("_maybe")
     both = pairs.join(text.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(text.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
-    both = both.where(edits_within_band(F.col("line_a"), F.col("line_b"), threshold) <= threshold)
+    both = both.where(edits_within_band(F.col("line_a"), F.col("line_b"), THRESHOLD) <= F.col("edits"))
     return stored(both.select("a", "b"), "line-links")
 
 
-def line_classes(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame) -> DataFrame:
     """Every distinct line: id, line_key, chars, doc_id (smallest), copies, n_links, comp (class, by line id).
 
     A class is what links connect; a line without links is its own class.
     """
     lines = distinct_lines(docs)
-    links = line_links(lines, threshold, shortest)
+    links = line_links(lines)
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     comps = components(links).select(F.col("node").alias("id"), "comp")
@@ -176,18 +214,18 @@ def line_classes(docs: DataFrame, threshold: int = THRESHOLD, shortest: int = MI
     return lines.join(linked, "id", "left").withColumns({"n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "comp": F.coalesce("comp", "id")})
 
 
-def drop_repeated_lines(docs: DataFrame, size_column: str | None = None, threshold: int = THRESHOLD, shortest: int = MIN_CHARS) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, size_column: str | None = None) -> DataFrame:
     """``docs`` with only the first line of each class (by doc_id, then place) left in its place.
 
-    Lines shorter than ``shortest`` stay. A document that loses lines and keeps no
+    Blank lines stay. A document that loses lines and keeps no
     other text goes; one without any text stays as it was. Rows with the same
     doc_id and text are one document here: they keep the same lines. Columns are
     those of ``docs``; ``size_column`` names one that holds the text's characters.
     """
     docs = docs.withColumns({"_key": text_key(F.col("text")), "_id": F.col("doc_id")})
-    classes = line_classes(docs, threshold, shortest).where(F.col("chars") >= shortest)
+    classes = line_classes(docs)
     shared = classes.where("copies > 1 OR n_links > 0").select("line_key", "comp")
-    places = docs.select("_id", "_key", F.posexplode(F.split("text", "\n")).alias("at", "line")).where("line <> ''")
+    places = docs.select("_id", "_key", F.posexplode(F.split("text", "\n")).alias("at", "line")).where("trim(line) <> ''")
     places = places.select("_id", "_key", "at", text_key(F.col("line")).alias("line_key")).join(shared, "line_key").drop("line_key")
     places = stored(places, "line-places")
     first = places.groupBy("comp").agg(F.min(F.struct("_id", "_key", "at")).alias("first"))

@@ -30,8 +30,8 @@ WITH RECURSIVE places AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS
 d AS (SELECT line, md5(line) AS h, length(line) AS n, min(doc_id) AS doc_id, count(*) AS n_copies FROM places WHERE line <> '' GROUP BY line),
 pairs AS MATERIALIZED (
   SELECT a.h AS a, b.h AS b
-  FROM (SELECT *, unnest([n, n + 1, n + 2]) AS other FROM d WHERE n >= 20) AS a JOIN d AS b ON b.n = a.other
-  WHERE (a.n < b.n OR a.h < b.h) AND levenshtein(a.line, b.line) <= 2),
+  FROM (SELECT *, unnest([n, n + 1, n + 2]) AS other FROM d) AS a JOIN d AS b ON b.n = a.other
+  WHERE (a.n < b.n OR a.h < b.h) AND levenshtein(a.line, b.line) <= least(a.n // 10, 2)),
 links AS MATERIALIZED (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
 reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 classes AS (SELECT a AS h, min(least(a, b)) AS class_md5 FROM reach GROUP BY a),
