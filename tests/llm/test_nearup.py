@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tidewater.llm import nearup as N
 from tidewater.llm.queries import REGISTRY
@@ -138,6 +139,71 @@ def test_passages_removed_and_added():
     assert len(seen) == 6
 
 
+def test_band_keeps_what_is_similar():
+    r, near = random.Random(21), 0
+    for _ in range(1500):
+        kinds = r.choice((2, 5, 40, 100_000))
+        a = [r.randrange(kinds) for _ in range(r.randint(1, 90))]
+        b = [x for x in a if r.random() > r.choice((0.02, 0.3))]
+        for _ in range(r.randint(0, 9)):
+            b.insert(r.randrange(len(b) + 1), r.randrange(kinds))
+        if not b:
+            continue
+        x, y, common = np.array(a, np.uint64), np.array(b, np.uint64), paired_by_table(a, b)
+        for need in (0, common // 2, common, common + 1, common + 5):
+            got = N.paired(x, y, need)
+            assert got == common if need <= common else got <= common
+        near += common > 0.8 * len(a)
+    assert near > 300
+
+
+def test_bits_and_lists_agree():
+    r = random.Random(8)
+    for _ in range(300):
+        a, b = [[r.randrange(4) for _ in range(r.randint(1, 60))] for _ in "ab"]
+        below, above = r.randint(0, 30), r.randint(0, 30)
+        places = {x: [j for j, y in enumerate(b) if x == y] for x in set(b)}
+        matches = [(i, places[x]) for i, x in enumerate(a) if x in places]
+        near = [[j for j in reversed(p) if -below <= j - i <= above] for i, p in matches]
+        assert N._by_bits(matches, below, above) == N._by_matches(near)
+
+
+def test_parities_lose_no_similar_pair():
+    r = random.Random(5)
+    for _ in range(600):
+        n = r.choice((1, 4, 20, 150, 900, 1250))
+        a = np.array([r.randrange(r.choice((3, 10**9))) for _ in range(n)], np.uint64)
+        b = np.array([x if r.random() > 0.15 else r.randrange(10**9) for x in a.tolist()], np.uint64)
+        turned = int(np.bitwise_count(N.parities(a) ^ N.parities(b)).sum())
+        common = len(np.intersect1d(N.labelled(a), N.labelled(b)))
+        assert turned <= 2 * n - 2 * common
+    # texts that are near in length have one kind of print in common
+    assert math.ceil(N.SIMILARITY * (N.PARITY_MOST + 1)) >= N.BINS_LEAST
+
+
+def test_prints_inside_spark(spark):
+    r = random.Random(6)
+    words = [f"w{i}" for i in range(2000)]
+    rows = []
+    for n in (8, 100, 900, 1200, 1300, 1900):
+        for lost in (0, 0.05, 0.12, 0.3, 0.7):
+            w = words[:n]
+            w[: int(lost * n)] = [f"x{r.random()}" for _ in range(int(lost * n))]
+            rows.append((" ".join(words[:n]), " ".join(w)))
+            rows.append((" ".join(words[: int(n * 0.9)]), " ".join(w)))
+    made = []
+    for a, b in rows:
+        pair = []
+        for t in (a, b):
+            sh = N.shingles(t)
+            signs = lambda x: [int(v) for v in x.view(np.int64)]
+            pair.append((len(sh), signs(N.parities(sh)) if len(sh) <= N.PARITY_MOST else None, signs(N.fingerprint(sh)) if len(sh) >= N.BINS_LEAST else None))
+        made.append((*pair, N.similar(N.shingles(a), N.shingles(b))))
+    one = "struct<n:long,parities:array<long>,bins:array<long>>"
+    got = spark.createDataFrame(made, f"a {one}, b {one}, similar boolean").withColumn("may", N.may_be_similar(F.col("a"), F.col("b"))).collect()
+    assert all(x.may for x in got if x.similar) and sum(x.similar for x in got) > 15 and sum(not x.may for x in got) > 15
+
+
 def missed(n, m):
     """The probability that texts of n and m shingles that are just similar share no sketch."""
     common = math.ceil(N.SIMILARITY * (n + m) / (1 + N.SIMILARITY) - 1e-9)

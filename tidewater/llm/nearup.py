@@ -5,25 +5,30 @@ occurrence number, so repeats count. A sketch hashes all labelled shingles,
 takes the smallest few and keeps them *in text order*: two documents share it
 only if those shingles are common to both and stand in the same order, which
 follows edit similarity and not just the overlap of sets. Documents that share
-one of several sketches are candidates; an alignment of the two shingle
-sequences (their longest common subsequence) then tells how many shingles they share in order, and a pair is linked
+one of several sketches are candidates; a banded alignment of the two shingle
+sequences then tells how many shingles they share in order, and a pair is linked
 when those are at least 0.8 of all shingles of the two (shared ones counted once).
+The band is exact: a linked pair lacks so few shingles on either side that its best
+alignment never leaves it.
 
 Copies of a text are folded first. In every bucket of a sketch all members are
 compared with one of them, and after the components of those links only pairs
 whose members are still in different components: a group of near copies costs
 its size, not its square, and no link between components is lost. Fingerprints of
-fixed size keep pairs that can't be similar out of the joins.
+fixed size keep pairs that can't be similar out of the joins: up to ``PARITY_MOST``
+shingles a bitmap of parities, whose differing bits are at most the shingles that
+differ, which loses no pair; for longer texts signs of the smallest shingles of bins.
 
 Defined cases: a null text, or one without a word, is like no other; a text of
 fewer than five words is one shingle; the class id is the smallest doc_id of the
-class (null only if all are); rows with the same text share a class.
+class (null only if all are); rows with the same text share a class; an empty table
+has no classes; columns other than ``doc_id`` and ``text`` are never read.
 """
 
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,10 +48,12 @@ SIMILARITY = 0.8
 TIERS = ((40, 8, 80), (12, 4, 28), (1, 1, 8))
 # fingerprints may agree in so many roots of the number of bins less than expected: four standard deviations
 SLACK = 1.6
+# texts of so many shingles have bins, and of so many a parity bitmap; similar texts have one of them in common
+BINS_LEAST, PARITY_MOST = 1000, 1250
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
-_MOST_BITS = 1_600_000_000
+_MOST_BITS = 400_000_000
 
 
 class _WordHash(dict):
@@ -146,7 +153,27 @@ def fingerprint(sh: np.ndarray) -> np.ndarray:
     return np.bitwise_or.reduce(signs << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1)
 
 
+def parities(sh: np.ndarray) -> np.ndarray:
+    """1024 bits in sixteen numbers: of each bin by hash, whether its number of labelled shingles is odd."""
+    odd = np.bincount((labelled(sh) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
 def may_be_similar(a: Column, b: Column) -> Column:
+    """Whether two texts' prints (n, parities, bins) allow that they are similar.
+
+    A shingle that only one text has turns one bit of its parities, so the bits that
+    differ never outnumber the shingles that differ. Prints with bins must agree in as
+    many as those of similar texts do, less four standard deviations.
+    """
+    both = a["n"] + b["n"]
+    need = F.ceil(F.lit(SIMILARITY) * both / F.lit(1 + SIMILARITY) - F.lit(1e-9))
+    turned = sum((F.bit_count(F.get(a["parities"], F.lit(i)).bitwiseXOR(F.get(b["parities"], F.lit(i)))) for i in range(16)), F.lit(0))
+    alike = F.coalesce(turned <= both - 2 * need, bins_agree(a["bins"], b["bins"]), F.lit(True))
+    return (F.least(a["n"], b["n"]) >= F.lit(SIMILARITY) * F.greatest(a["n"], b["n"]) - F.lit(1e-9)) & alike
+
+
+def bins_agree(a: Column, b: Column) -> Column:
     """Whether two fingerprints agree in as many bins as those of similar texts do, less four standard deviations.
 
     Bins that are empty on both sides don't count. Signs that agree by chance only
@@ -220,24 +247,47 @@ def _by_matches(matches: list[list[int]]) -> int:
     return len(ends)
 
 
-def _by_bits(matches: list[list[int]], width: int) -> int:
-    """The same, bit-parallel over all ``width`` places: a zero bit is a place where the subsequence grows."""
+def _by_bits(matches: list[tuple[int, list[int]]], below: int, above: int) -> int:
+    """The same, bit-parallel in the band: a zero bit is a place where the subsequence grows.
+
+    ``matches`` has the places (first place first) of the elements at ascending positions.
+    The window of places that an element can pair with moves along with its position;
+    what leaves it below is final, what enters above has not been met.
+    """
+    width = below + above + 1
     grows = ones = (1 << width) - 1
+    low, grown = -below, 0
     masks: dict[int, int] = {}
-    for places in matches:
+    for i, places in matches:
+        step = i - below - low
+        if step >= width:
+            grown += width - grows.bit_count()
+            grows = ones
+        elif step:
+            grown += step - (grows & ((1 << step) - 1)).bit_count()
+            grows = (grows >> step) | (ones ^ (ones >> step))
+        low += step
         key = id(places)
-        if key not in masks:
-            bits = bytearray(width // 8 + 1)
+        if key not in masks:  # counted from its first place
+            bits = bytearray((places[-1] - places[0]) // 8 + 1)
             for j in places:
-                bits[j >> 3] |= 1 << (j & 7)
+                bits[(j - places[0]) >> 3] |= 1 << ((j - places[0]) & 7)
             masks[key] = int.from_bytes(bits, "little")
-        met = grows & masks[key]
+        shift = places[0] - low
+        own = masks[key] << shift if 0 <= shift < width else masks[key] >> -shift if shift < 0 else 0
+        met = grows & own
         grows = ((grows + met) | (grows - met)) & ones
-    return width - grows.bit_count()
+    return grown + width - grows.bit_count()
 
 
-def paired(a: np.ndarray, b: np.ndarray) -> int:
-    """How many shingles an alignment of the two sequences pairs up at most: their longest common subsequence."""
+def paired(a: np.ndarray, b: np.ndarray, need: int = 0) -> int:
+    """How many shingles a banded alignment of the two sequences pairs up.
+
+    That is their longest common subsequence if it has ``need`` elements or more, else
+    perhaps less: with so many pairs at most len(a) - need elements of ``a`` and
+    len(b) - need of ``b`` are left out, so no pair is further from the diagonal.
+    """
+    below, above = len(a) - need, len(b) - need
     short = min(len(a), len(b))
     differ = np.flatnonzero(a[:short] != b[:short])
     head = int(differ[0]) if len(differ) else short
@@ -246,15 +296,18 @@ def paired(a: np.ndarray, b: np.ndarray) -> int:
     differ = np.flatnonzero(a[len(a) - short :][::-1] != b[len(b) - short :][::-1])
     tail = int(differ[0]) if len(differ) else short
     a, b = a[: len(a) - tail], b[: len(b) - tail]
-    both = np.intersect1d(a, b)
-    a, b = a[np.isin(a, both)].tolist(), b[np.isin(b, both)].tolist()
+    if min(below, above) < 0 or not len(a) or not len(b):
+        return head + tail
+    at_a, at_b = np.flatnonzero(np.isin(a, b)).tolist(), np.flatnonzero(np.isin(b, a)).tolist()
     places: dict[int, list[int]] = {}
-    for j in range(len(b) - 1, -1, -1):
-        places.setdefault(b[j], []).append(j)
-    matches = [places[x] for x in a]
+    for j, x in zip(at_b, b[at_b].tolist()):
+        places.setdefault(x, []).append(j)
+    matches = [(i, places[x]) for i, x in zip(at_a, a[at_a].tolist())]
     # shingles that repeat a lot have many places; without them, or where bits would fill the memory, a sorted list is better
-    few = sum(map(len, matches)) <= 8 * len(a) or len(places) * len(b) > _MOST_BITS
-    return head + tail + (_by_matches(matches) if few else _by_bits(matches, len(b)))
+    if sum(len(p) for _, p in matches) > 8 * len(a) and sum(p[-1] - p[0] for p in places.values()) <= _MOST_BITS:
+        return head + tail + _by_bits(matches, below, above)
+    near = [p[bisect_left(p, i - below) : bisect_right(p, i + above)][::-1] for i, p in matches]
+    return head + tail + _by_matches(near)
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
@@ -263,20 +316,20 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     if min(len(a), len(b)) < need:
         return False
     common = np.intersect1d(labelled(a), labelled(b), assume_unique=True)
-    return len(common) >= need and paired(a, b) >= need
+    return len(common) >= need and paired(a, b, need) >= need
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "doc_id", "n", "sketch", "print"]
+    names = ["key", "doc_id", "n", "sketch", "parities", "bins"]
     for batch in batches:
-        sizes, sketches, prints = [], [], []
+        sizes, sketches, odd, bins = [], [], [], []
         for text in batch.column("text").to_pylist():
             sh = shingles(text)
             sizes.append(len(sh))
             sketches.append(all_sketches(sh).view(np.int64) if len(sh) else [])
-            prints.append(fingerprint(sh).view(np.int64) if len(sh) else [])
-        longs = pa.list_(pa.int64())
-        made = [pa.array(sizes, pa.int64()), pa.array(sketches, longs), pa.array(prints, longs)]
+            odd.append(parities(sh).view(np.int64) if 0 < len(sh) <= PARITY_MOST else None)
+            bins.append(fingerprint(sh).view(np.int64) if len(sh) >= BINS_LEAST else None)
+        made = [pa.array(sizes, pa.int64()), *[pa.array(c, pa.list_(pa.int64())) for c in (sketches, odd, bins)]]
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *made], names)
 
 
@@ -287,12 +340,12 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(node, key, doc_id, copies, n, sketch, print): every distinct text with a word, numbered, with its smallest document and its number of rows."""
+    """(node, key, doc_id, copies, n, sketch, parities, bins): every distinct text with a word, numbered, with its smallest document and its number of rows."""
     ship(docs.sparkSession)
     rows = docs.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>, print array<long>").where("n > 0")
+    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>, parities array<long>, bins array<long>").where("n > 0")
     folded = made.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("sketch", "print")]
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "sketch", "parities", "bins")]
     )
     return stored(folded.withColumn("node", F.monotonically_increasing_id()), "sketches")
 
@@ -303,17 +356,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.mapInPandas(_verify, "a long, b long"), "links")
 
 
-def _near_in_length():
-    """Lengths with which a pair can be similar at all."""
-    return F.least("n_a", "n_b") >= F.lit(SIMILARITY) * F.greatest("n_a", "n_b") - F.lit(1e-9)
-
-
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """(key, comp, class_id, size): the class of every distinct text (by ``text_key``) that has a word, and the class's number of rows."""
     nodes = sketched(docs)
-    members = nodes.select("node", "n", F.explode("sketch").alias("bucket"))
+    prints = nodes.select("node", F.struct("n", "parities", "bins").alias("print"))
+    members = nodes.select("node", F.explode("sketch").alias("bucket"))
     roots = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(members.join(roots, "bucket").select("bucket", "node", "n", "a"), "members")
+    members = stored(members.join(roots, "bucket").select("bucket", "node", "a"), "members")
 
     # one text for each candidate; ids with several texts or texts with several ids do no harm
     wanted = stored(members.select("node").distinct().join(nodes.select("node", "key", "doc_id"), "node"), "candidates")
@@ -322,31 +371,31 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     texts = keyed.alias("t").join(wanted.alias("w"), (F.col("t.key") == F.col("w.key")) & F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")))
     texts = stored(texts.select("node", "text"), "candidate-texts").dropDuplicates(["node"])
 
-    first = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("print").alias("print_a"))
-    other = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("print").alias("print_b"))
-    alike = may_be_similar(F.col("print_a"), F.col("print_b")) & _near_in_length()
+    alike = may_be_similar(F.col("print_a"), F.col("print_b"))
     star = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    star = stored(star.join(first, "a").join(other, "b").where(alike).select("a", "b"), "star-pairs")
+    star = star.join(prints.toDF("a", "print_a"), "a").join(prints.toDF("b", "print_b"), "b").where(alike)
+    star = stored(star.select("a", "b"), "star-pairs")
     links = _verified(star, texts)
 
     label = components(links)
-    placed = members.join(label, "node", "left").select("bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
-    placed = stored(placed.join(nodes.select("node", "print"), "node"), "placed")
-    # components that meet in a bucket; single texts only if their fingerprints let them, inside the join
-    single = F.when(F.count(F.lit(1)) == 1, F.first("print"))
-    comps = placed.groupBy("bucket", "comp").agg(single.alias("print"))
-    several = comps.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    comps = stored(comps.join(several, "bucket"), "meeting")
-    left, right = comps.toDF("bucket", "comp_a", "print_a"), comps.toDF("bucket_b", "comp_b", "print_b")
+    # a bucket's pairs with its smallest text are decided; ``root`` tells them without looking them up
+    placed = members.join(label, "node", "left").select("bucket", "node", (F.col("a") == F.col("node")).alias("root"), F.coalesce("comp", "node").alias("comp"))
+    several = placed.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("open")).where("open").select("bucket")
+    placed = stored(placed.join(several, "bucket").join(prints, "node"), "placed")
+    # components that meet in a bucket; those of one text only if the prints let them, inside the join
+    comps = placed.groupBy("bucket", "comp").agg(
+        F.when(F.count(F.lit(1)) == 1, F.first("print")).alias("print"), F.bool_and("root").alias("root")
+    )
+    comps = stored(comps, "meeting")
+    left, right = comps.toDF("bucket", "comp_a", "print_a", "root_a"), comps.toDF("bucket_b", "comp_b", "print_b", "root_b")
     # a missing print is of a component of several texts, which are compared one by one below
-    open_ = F.coalesce(may_be_similar(F.col("print_a"), F.col("print_b")), F.lit(True))
+    open_ = ~F.col("root_a") & ~F.col("root_b") & F.coalesce(alike, F.lit(True))
     across = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_a") < F.col("comp_b")) & open_).select("bucket", "comp_a", "comp_b")
-    one = placed.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("x"), F.col("n").alias("n_a"), F.col("print").alias("print_a"))
-    two = placed.select("bucket", "comp", "node", "n", "print").toDF("bucket_b", "comp_c", "y", "n_b", "print_b")
-    alike = may_be_similar(F.col("print_a"), F.col("print_b")) & _near_in_length()
+    others = placed.where("NOT root")
+    one = others.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("x"), F.col("print").alias("print_a"))
+    two = others.select("bucket", "comp", "node", "print").toDF("bucket_b", "comp_c", "y", "print_b")
     rest = across.join(one, ["bucket", "comp_a"]).join(two, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_b") == F.col("comp_c")) & alike)
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = stored(rest.join(star, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest-pairs")
     label = components(links.unionByName(_verified(rest, texts)))
 
     classed = nodes.select("node", "key", "doc_id", "copies").join(label, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
