@@ -178,7 +178,7 @@ def test_parities_lose_no_similar_pair():
         common = len(np.intersect1d(N.labelled(a), N.labelled(b)))
         assert turned <= 2 * n - 2 * common
     # texts that are near in length have one kind of print in common
-    assert math.ceil(N.SIMILARITY * (N.PARITY_MOST + 1)) >= N.BINS_LEAST
+    assert math.ceil(N.SIMILARITY * (N.PARITY_MOST + 1)) >= N.SIGNS_LEAST
 
 
 def test_prints_inside_spark(spark):
@@ -196,10 +196,10 @@ def test_prints_inside_spark(spark):
         pair = []
         for t in (a, b):
             sh = N.shingles(t)
-            signs = lambda x: [int(v) for v in x.view(np.int64)]
-            pair.append((len(sh), signs(N.parities(sh)) if len(sh) <= N.PARITY_MOST else None, signs(N.fingerprint(sh)) if len(sh) >= N.BINS_LEAST else None))
+            longs = lambda x: [int(v) for v in x.view(np.int64)]
+            pair.append((len(sh), longs(N.parities(sh)) if len(sh) <= N.PARITY_MOST else None, longs(N.signs(sh)) if len(sh) >= N.SIGNS_LEAST else None))
         made.append((*pair, N.similar(N.shingles(a), N.shingles(b))))
-    one = "struct<n:long,parities:array<long>,bins:array<long>>"
+    one = "struct<n:long,parities:array<long>,signs:array<long>>"
     got = spark.createDataFrame(made, f"a {one}, b {one}, similar boolean").withColumn("may", N.may_be_similar(F.col("a"), F.col("b"))).collect()
     assert all(x.may for x in got if x.similar) and sum(x.similar for x in got) > 15 and sum(not x.may for x in got) > 15
 
@@ -217,9 +217,9 @@ def test_similar_texts_are_candidates():
     for n in [*range(2, 300), *range(300, 20_000, 1970)]:
         for m in range(n, int(n / N.SIMILARITY + 1e-9) + 1, 1 + n // 300):
             assert missed(n, m) < 1e-5, (n, m)
-    # long texts fill all 256 bins; two signs that differ are equal by chance once in 15
-    same, least = N.SIMILARITY + (1 - N.SIMILARITY) / 15, math.ceil(N.SIMILARITY * 256 - N.SLACK * 16)
-    assert sum(math.comb(256, i) * same**i * (1 - same) ** (256 - i) for i in range(least)) < 1e-5
+    # of long texts that fill all bins a sign differs where the smallest shingle does, every other time
+    differ = (1 - N.SIMILARITY) / 2
+    assert sum(math.comb(N.BINS, i) * differ**i * (1 - differ) ** (N.BINS - i) for i in range(N.MOST_SIGNS + 1, N.BINS + 1)) < 1e-5
 
 
 def test_just_similar_texts_meet():

@@ -17,7 +17,7 @@ whose members are still in different components: a group of near copies costs
 its size, not its square, and no link between components is lost. Fingerprints of
 fixed size keep pairs that can't be similar out of the joins: up to ``PARITY_MOST``
 shingles a bitmap of parities, whose differing bits are at most the shingles that
-differ, which loses no pair; for longer texts signs of the smallest shingles of bins.
+differ, which loses no pair; for longer texts bits of the smallest shingles of bins.
 
 Defined cases: a null text, or one without a word, is like no other; a text of
 fewer than five words is one shingle; the class id is the smallest doc_id of the
@@ -46,10 +46,12 @@ SIMILARITY = 0.8
 # (from so many shingles on, shingles kept in a sketch, sketches): at a similarity of 0.8 a pair
 # of any length misses all of them with a probability below 0.00001; see ``tiers`` and the test
 TIERS = ((40, 8, 80), (12, 4, 28), (1, 1, 8))
-# fingerprints may agree in so many roots of the number of bins less than expected: four standard deviations
-SLACK = 1.6
-# texts of so many shingles have bins, and of so many a parity bitmap; similar texts have one of them in common
-BINS_LEAST, PARITY_MOST = 1000, 1250
+BINS = 1024  # bits of a print
+# texts of so many shingles have signs of bins, and of so many parities; similar texts have one of them in common
+SIGNS_LEAST, PARITY_MOST = 1000, 1250
+# just similar texts differ in a tenth of their signs (every fifth bin, every other time by chance); more than
+# so many is four and a half standard deviations away, a probability below 0.00001
+MOST_SIGNS = 146
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _CACHE_WORDS = 300_000
@@ -143,59 +145,41 @@ def order_minhash(sh: np.ndarray, sketches: int, picked: int) -> np.ndarray:
     return out
 
 
-def fingerprint(sh: np.ndarray) -> np.ndarray:
-    """Sixteen numbers of sixteen 4-bit signs: of each of 256 bins by hash, 0 if empty, else 1 to 15 from its smallest shingle."""
+def _bits(odd: np.ndarray) -> np.ndarray:
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+
+
+def signs(sh: np.ndarray) -> np.ndarray:
+    """1024 bits in sixteen numbers: of each bin by hash, a bit of its smallest shingle, 0 if it is empty."""
     h = np.sort(_mixed(labelled(sh) ^ _M))
-    first = np.searchsorted(h, np.arange(256, dtype=np.uint64) << np.uint64(56))
-    least = h[np.minimum(first, len(h) - 1)]
-    filled = (first < len(h)) & (least >> np.uint64(56) == np.arange(256, dtype=np.uint64))
-    signs = np.where(filled, (least >> np.uint64(8)) % np.uint64(15) + np.uint64(1), np.uint64(0)).reshape(16, 16)
-    return np.bitwise_or.reduce(signs << (np.arange(16, dtype=np.uint64) * np.uint64(4)), axis=1)
+    numbers = np.arange(BINS, dtype=np.uint64)
+    least = h[np.minimum(np.searchsorted(h, numbers << np.uint64(54)), len(h) - 1)]
+    return _bits((least >> np.uint64(54) == numbers) & (least >> np.uint64(8) & np.uint64(1) == 1))
 
 
 def parities(sh: np.ndarray) -> np.ndarray:
     """1024 bits in sixteen numbers: of each bin by hash, whether its number of labelled shingles is odd."""
-    odd = np.bincount((labelled(sh) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
-    return np.packbits(odd.astype(bool), bitorder="little").view(np.uint64)
+    return _bits(np.bincount((labelled(sh) >> np.uint64(54)).astype(np.int64), minlength=BINS) & 1)
 
 
 def may_be_similar(a: Column, b: Column) -> Column:
-    """Whether two texts' prints (n, parities, bins) allow that they are similar.
+    """Whether two texts' prints (n, parities, signs) allow that they are similar.
 
     A shingle that only one text has turns one bit of its parities, so the bits that
-    differ never outnumber the shingles that differ. Prints with bins must agree in as
-    many as those of similar texts do, less four standard deviations.
+    differ never outnumber the shingles that differ. A bin has another sign only if its
+    smallest shingle is not in both texts. The expression is short on purpose: inside
+    a join it has to fit into one compiled method.
     """
+
+    def differing(name: str) -> Column:
+        return sum((F.bit_count(F.get(a[name], F.lit(i)).bitwiseXOR(F.get(b[name], F.lit(i)))) for i in range(BINS // 64)), F.lit(0))
+
     both = a["n"] + b["n"]
     need = F.ceil(F.lit(SIMILARITY) * both / F.lit(1 + SIMILARITY) - F.lit(1e-9))
-    turned = sum((F.bit_count(F.get(a["parities"], F.lit(i)).bitwiseXOR(F.get(b["parities"], F.lit(i)))) for i in range(16)), F.lit(0))
-    alike = F.coalesce(turned <= both - 2 * need, bins_agree(a["bins"], b["bins"]), F.lit(True))
+    alike = F.coalesce(differing("parities") <= both - 2 * need, differing("signs") <= F.lit(MOST_SIGNS), F.lit(True))
     return (F.least(a["n"], b["n"]) >= F.lit(SIMILARITY) * F.greatest(a["n"], b["n"]) - F.lit(1e-9)) & alike
 
 
-def bins_agree(a: Column, b: Column) -> Column:
-    """Whether two fingerprints agree in as many bins as those of similar texts do, less four standard deviations.
-
-    Bins that are empty on both sides don't count. Signs that agree by chance only
-    let more through.
-    """
-    ones = F.lit(0x1111111111111111)
-    agree, bins = F.lit(0), F.lit(0)
-
-    def zeros(x: Column) -> Column:
-        """The number of zero signs of ``x``."""
-        y = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        y = y.bitwiseOR(F.shiftrightunsigned(y, 2))
-        return F.lit(16) - F.bit_count(y.bitwiseAND(ones))
-
-    for i in range(16):
-        x, y = F.get(a, F.lit(i)), F.get(b, F.lit(i))
-        empty = zeros(x.bitwiseOR(y))
-        agree = agree + zeros(x.bitwiseXOR(y)) - empty
-        bins = bins + F.lit(16) - empty
-    return agree >= F.lit(SIMILARITY) * bins - F.lit(SLACK) * F.sqrt(bins)
-
-
 def banded_distance(a: list[int], b: list[int], limit: int) -> int:
     """Edits between two sequences if at most ``limit``, else some larger number.
 
@@ -320,16 +304,16 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["key", "doc_id", "n", "sketch", "parities", "bins"]
+    names = ["key", "doc_id", "n", "sketch", "parities", "signs"]
     for batch in batches:
-        sizes, sketches, odd, bins = [], [], [], []
+        sizes, sketches, odd, least = [], [], [], []
         for text in batch.column("text").to_pylist():
             sh = shingles(text)
             sizes.append(len(sh))
             sketches.append(all_sketches(sh).view(np.int64) if len(sh) else [])
             odd.append(parities(sh).view(np.int64) if 0 < len(sh) <= PARITY_MOST else None)
-            bins.append(fingerprint(sh).view(np.int64) if len(sh) >= BINS_LEAST else None)
-        made = [pa.array(sizes, pa.int64()), *[pa.array(c, pa.list_(pa.int64())) for c in (sketches, odd, bins)]]
+            least.append(signs(sh).view(np.int64) if len(sh) >= SIGNS_LEAST else None)
+        made = [pa.array(sizes, pa.int64()), *[pa.array(c, pa.list_(pa.int64())) for c in (sketches, odd, least)]]
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), *made], names)
 
 
@@ -340,12 +324,12 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """(node, key, doc_id, copies, n, sketch, parities, bins): every distinct text with a word, numbered, with its smallest document and its number of rows."""
+    """(node, key, doc_id, copies, n, sketch, parities, signs): every distinct text with a word, numbered, with its smallest document and its number of rows."""
     ship(docs.sparkSession)
     rows = docs.where("text IS NOT NULL").select(text_key(F.col("text")).alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>, parities array<long>, bins array<long>").where("n > 0")
+    made = rows.mapInArrow(_sketch, "key binary, doc_id long, n long, sketch array<long>, parities array<long>, signs array<long>").where("n > 0")
     folded = made.groupBy("key").agg(
-        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "sketch", "parities", "bins")]
+        F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in ("n", "sketch", "parities", "signs")]
     )
     return stored(folded.withColumn("node", F.monotonically_increasing_id()), "sketches")
 
@@ -359,7 +343,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """(key, comp, class_id, size): the class of every distinct text (by ``text_key``) that has a word, and the class's number of rows."""
     nodes = sketched(docs)
-    prints = nodes.select("node", F.struct("n", "parities", "bins").alias("print"))
+    prints = nodes.select("node", F.struct("n", "parities", "signs").alias("print"))
     members = nodes.select("node", F.explode("sketch").alias("bucket"))
     roots = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = stored(members.join(roots, "bucket").select("bucket", "node", "a"), "members")
