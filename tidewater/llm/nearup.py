@@ -374,11 +374,15 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     left, right = comps.toDF("bucket", "comp_a", "print_a", "root_a"), comps.toDF("bucket_b", "comp_b", "print_b", "root_b")
     # a missing print is of a component of several texts, which are compared one by one below
     open_ = ~F.col("root_a") & ~F.col("root_b") & F.coalesce(alike, F.lit(True))
-    across = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_a") < F.col("comp_b")) & open_).select("bucket", "comp_a", "comp_b")
+    across = left.join(right, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_a") < F.col("comp_b")) & open_).select("bucket", "comp_a", "comp_b", F.col("print_b").alias("only_b"))
     others = placed.where("NOT root")
-    one = others.select("bucket", F.col("comp").alias("comp_a"), F.col("node").alias("x"), F.col("print").alias("print_a"))
-    two = others.select("bucket", "comp", "node", "print").toDF("bucket_b", "comp_c", "y", "print_b")
-    rest = across.join(one, ["bucket", "comp_a"]).join(two, (F.col("bucket") == F.col("bucket_b")) & (F.col("comp_b") == F.col("comp_c")) & alike)
+    # members of the one component meet the other's only text at once, or all its members one by one
+    one = others.select("bucket", "comp", "node", "print").toDF("bucket_x", "comp_x", "x", "print_x")
+    two = others.select("bucket", "comp", "node", "print").toDF("bucket_y", "comp_y", "y", "print_y")
+    alone = F.coalesce(may_be_similar(F.col("print_x"), F.col("only_b")), F.lit(True))
+    rest = across.join(one, (F.col("bucket") == F.col("bucket_x")) & (F.col("comp_a") == F.col("comp_x")) & alone)
+    alike = may_be_similar(F.col("print_x"), F.col("print_y"))
+    rest = rest.join(two, (F.col("bucket") == F.col("bucket_y")) & (F.col("comp_b") == F.col("comp_y")) & alike)
     rest = stored(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "rest-pairs")
     label = components(links.unionByName(_verified(rest, texts)))
 
