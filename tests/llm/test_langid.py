@@ -74,3 +74,25 @@ def test_long_texts_in_stretches_equal_one_walk(spark, monkeypatch):
     assert parts[0] == whole[0] and np.allclose(parts[1], whole[1], atol=1e-3)
     monkeypatch.setattr(L, "WORDS_AT_ONCE", 1)  # one text at a time gives the same
     assert np.allclose(L.predict(model, texts, {})[1], whole[1])
+
+
+def test_word_scores_are_rows_of_one_bounded_table(monkeypatch):
+    """Scores of many words: one table no larger than the bound and one call's words, and the same rows after it was emptied."""
+    model = L.train([("the quick brown fox", "en"), ("der schnelle braune fuchs", "de")], epochs=2)
+    monkeypatch.setattr(L, "_CACHE_WORDS", 20)
+    known = L.WordScores(model)
+    letters = "abcdefgh"
+    for i in range(8):
+        words = [f"{letters[i]}{x}{y}" for x in letters for y in letters[:2]]
+        assert np.allclose(known.of(words), model.word_scores(words))
+        assert known.of(words[::-1]).shape == (16, 2)
+        assert len(known.place) <= len(known.table) <= 20 + 16
+
+
+def test_long_arrow_batches_are_worked_off_in_slices():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"n": list(range(2 * L.ROWS_AT_ONCE + 1))})
+    parts = list(L._parts([batch]))
+    assert [p.num_rows for p in parts] == [L.ROWS_AT_ONCE, L.ROWS_AT_ONCE, 1]
+    assert [n for p in parts for n in p.column("n").to_pylist()] == batch.column("n").to_pylist()

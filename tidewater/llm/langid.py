@@ -41,6 +41,7 @@ LEAST = 0.5  # share of a text's letters that its language needs in a filter
 LONG, OVERLAP = 2_000, 50  # words of a stretch, and of its neighbours on either side
 WORDS_AT_ONCE = 50_000
 _CACHE_WORDS = 200_000
+ROWS_AT_ONCE = 1_000  # of an Arrow batch: texts as Python strings, and rows given back
 
 _WORD = re.compile(r"[^\W\d_]+").findall
 
@@ -226,24 +227,45 @@ def _stretches(texts: list[str | None]) -> Iterator[list[tuple[int, list[str], i
         yield group
 
 
-def predict(model: Model, texts: list[str | None], cache: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
+class WordScores:
+    """A model's word scores kept by word, as rows of one table of bounded size."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.place: dict[str, int] = {}
+        self.table = np.empty((0, len(model.labels)))
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """The scores of different words, row for row."""
+        if len(self.place) > _CACHE_WORDS:
+            self.place.clear()
+        new = [w for w in words if w not in self.place]
+        if new:
+            first = len(self.place)
+            if first + len(new) > len(self.table):
+                more = np.empty((max(first + len(new), min(2 * len(self.table), _CACHE_WORDS)), self.table.shape[1]))
+                more[:first] = self.table[:first]
+                self.table = more
+            self.table[first : first + len(new)] = self.model.word_scores(new)
+            self.place.update(zip(new, range(first, first + len(new))))
+        return self.table[np.fromiter((self.place[w] for w in words), np.int64, len(words))]
+
+
+def predict(model: Model, texts: list[str | None], cache: dict[str, WordScores]) -> tuple[list[str], list[float]]:
     """Language and score of each text.
 
     Long texts are walked in stretches with ``OVERLAP`` words of their neighbours on
     either side, beyond which a label hardly depends on the words: memory and steps
-    have a bound whatever the text's length.
+    have a bound whatever the text's length. ``cache`` keeps the words' scores from
+    call to call.
     """
+    known = cache.setdefault("words", WordScores(model))
     share = np.zeros((len(texts), len(model.labels)))
     for group in _stretches(texts):
         group.sort(key=lambda g: -len(g[1]))
         ids: dict[str, int] = {}
         token = np.fromiter((ids.setdefault(w, len(ids)) for _, words, _, _ in group for w in words), np.int64)
-        if len(cache) > _CACHE_WORDS:
-            cache.clear()
-        new = [w for w in ids if w not in cache]
-        if new:
-            cache.update(zip(new, model.word_scores(new)))
-        table = np.stack([cache[w] for w in ids])
+        table = known.of(list(ids))
         length = np.fromiter((sum(map(str.isalpha, w)) for w in ids), np.float64, len(ids))[token]
         sizes = np.asarray([len(words) for _, words, _, _ in group])
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
@@ -264,6 +286,13 @@ def _schema(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``ROWS_AT_ONCE`` rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with held_out, lang_pred and score, which it must not have before. Only the text decides."""
     ship(docs.sparkSession)
@@ -273,8 +302,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages numbers, whatever the corpus
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, np.ndarray] = {}
-        for batch in batches:
+        cache: dict[str, WordScores] = {}
+        for batch in _parts(batches):
             langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
@@ -290,8 +319,8 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, np.ndarray] = {}
-        for batch in batches:
+        cache: dict[str, WordScores] = {}
+        for batch in _parts(batches):
             langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             yield batch.filter(pa.array([c != UNKNOWN and s >= least for c, s in zip(langs, scores)], pa.bool_()))
 
