@@ -151,3 +151,94 @@ def test_tombstone_expiry_is_explicit(spark):
     ap.apply_batch(headers(spark, [("C3", "PAID", Decimal("1.00"), "I", 6, TS)]), 2, root, "claim", spec)
     snap = spark.read.parquet(ap.compact(spark, root, "claim", spec, expire_tombstones_below=10))
     assert sorted(r["claim_id"] for r in snap.collect()) == ["C2", "C3"]
+
+
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") + df._jdf.queryExecution().executedPlan().toString().count("Exchange rangepartitioning")
+
+
+def test_a_winner_carries_each_column_once_and_no_provenance(spark):
+    """What a reduction shuffles: order columns are not repeated, and the ingest columns stay in the bronze log."""
+    import re
+
+    from tidewater.specs import INGEST_COLUMNS
+    from tidewater.streaming import ingest, twin
+
+    spec = CLAIMS["claim_detail"]
+    rows = spark.createDataFrame([], ingest.bronze_schema(spec))
+    reduced = cdc.reduce_changes(rows, cdc.ApplySpec.for_table(spec))
+    assert not set(INGEST_COLUMNS) & set(reduced.columns)
+    assert reduced.columns == spec.all_columns
+    fields = re.search(r"max\(struct\((.*)\)\) AS __win", reduced._jdf.queryExecution().analyzed().toString()).group(1)
+    assert fields.count(f"{SEQ_COL}#") == fields.count(f"{TS_COL}#") == 1
+    head = spark.createDataFrame([], CLAIMS["claim"].business_schema())
+    joined = twin.line_changes_with_header(rows, head)
+    assert not any(t.startswith("struct") for _, t in joined.dtypes)
+    assert len(joined.columns) == len(set(joined.columns)) and not set(INGEST_COLUMNS) & set(joined.columns)
+
+
+def test_reduction_keeps_the_order_of_changes(spark):
+    """Order columns first, then the rest as they stand, whether an order column is named twice, is a key or comes last."""
+    df = spark.createDataFrame([("k", 9, "a", 1), ("k", 0, "b", 2), ("k", 5, "b", 2), (None, 1, "z", 0)], "k string, v int, t string, s int")
+    got = cdc.latest_by_key(df, ["k"], ["s", "t", "s", "k", F.col("v") * 0])
+    assert got.columns == ["k", "v", "t", "s"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([("k", 5, "b", 2), (None, 1, "z", 0)], key=str)
+
+
+def test_merge_and_first_snapshot_shuffle_the_batches_once(spark):
+    """Batches are reduced where their buckets are: one Exchange on the key text, none on the stored side."""
+    from tidewater.sources import buckets
+
+    spec, root = cdc.ApplySpec.for_table(CLAIMS["claim"]), work_dir(spark, "test-once")
+    ap.apply_batch(headers(spark, [(f"C{i}", "PAID", Decimal("1.00"), "I", 1, TS) for i in range(50)]), 0, root, "claim", spec)
+    table = ap.contents(spark, root, "claim")
+    rows = ap._reduced_in_buckets(ap.read_state(spark, root, "claim"), spec, ap.layout_of(table))
+    assert _exchanges(rows) == 1 and buckets.KEY in rows.columns
+    assert rows.rdd.getNumPartitions() == table["layout"][0]
+    ap.compact(spark, root, "claim", spec)
+    ap.apply_batch(headers(spark, [(f"C{i}", "DENIED", Decimal("2.00"), "U", 2, TS) for i in range(25, 75)]), 1, root, "claim", spec)
+    assert _exchanges(ap._merged(spark, root, "claim", spec, ap.contents(spark, root, "claim"))) == 1
+    ap.compact(spark, root, "claim", spec)
+    got = {r["claim_id"]: r["claim_status"] for r in ap.current_state(spark, root, "claim", spec).collect()}
+    assert got == {f"C{i}": "DENIED" if i >= 25 else "PAID" for i in range(75)}
+
+
+def test_a_runner_frees_shuffle_files_unless_told_otherwise(spark):
+    from tidewater.session import RUNNER_CONF
+    from tidewater.streaming.runner import Runner
+
+    (name, wanted), = RUNNER_CONF.items()
+    spark.conf.unset(name)
+    Runner(spark, work_dir(spark, "test-conf"))
+    assert spark.conf.get(name) == wanted
+    spark.conf.set(name, "false")
+    Runner(spark, work_dir(spark, "test-conf"))
+    assert spark.conf.get(name) == "false"
+    spark.conf.unset(name)
+
+
+def test_layers_write_a_dense_codec(spark):
+    import glob
+
+    root = work_dir(spark, "test-codec")
+    ap.apply_batch(headers(spark, [("C1", "PAID", Decimal("1.00"), "I", 1, TS)]), 0, root, "claim", cdc.ApplySpec.for_table(CLAIMS["claim"]))
+    files = glob.glob(ap.state_path(root, "claim").removeprefix("file:") + "/batch_id=0/*.parquet")
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_first_snapshot_gets_the_buckets_its_size_needs(spark, monkeypatch):
+    from tidewater.sources import buckets
+
+    spec, root = cdc.ApplySpec.for_table(CLAIMS["claim"]), work_dir(spark, "test-grown")
+    ap.apply_batch(headers(spark, [(f"C{i}", "PAID", Decimal("1.00"), "I", 1, TS) for i in range(300)]), 0, root, "claim", spec)
+    size = ap.contents(spark, root, "claim")["batches"][0]["bytes"]
+    monkeypatch.setattr(buckets, "SORTED_BYTES", size // 40)
+    ap.compact(spark, root, "claim", spec)
+    n, slots = ap.contents(spark, root, "claim")["layout"]
+    assert n >= 40 and slots == 8 and n % slots == 0
+    ap.apply_batch(headers(spark, [(f"C{i}", "DENIED", Decimal("2.00"), "U", 2, TS) for i in range(290, 310)]), 1, root, "claim", spec)
+    assert _exchanges(ap._merged(spark, root, "claim", spec, ap.contents(spark, root, "claim"))) == 1
+    ap.compact(spark, root, "claim", spec)
+    got = {r["claim_id"]: r["claim_status"] for r in ap.current_state(spark, root, "claim", spec).collect()}
+    assert got == {f"C{i}": "DENIED" if i >= 290 else "PAID" for i in range(310)}
+    assert ap.current_state_for(spark, root, "claim", spec, spark.createDataFrame([("C5",), ("C305",)], "claim_id string")).count() == 2
