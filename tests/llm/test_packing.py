@@ -98,3 +98,23 @@ def test_odd_rows_and_a_common_length(spark):
     check_packing(rows, {r.doc_id: r.text for r in docs.collect()})
     assert K.packed(K.tokenised_pieces(docs.limit(0), PATH)).count() == 0
     assert K.packed(K.tokenised_pieces(odd_documents(spark), PATH)).where("doc_id IS NULL").count() == 1
+
+
+def test_a_worker_holds_few_words_and_a_slice_of_a_batch(monkeypatch):
+    """The encoder's memory stays bounded however many words it meets, and forgetting them changes no ids."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert K._CACHE_WORDS <= 100_000 and K._ROWS_AT_ONCE <= 1_000
+    texts = [" ".join(f"word{i}x, odd{i % 7} and" for i in range(k, k + 60)) for k in range(0, 600, 40)]
+    whole = K.Encoder(path)
+    want = [whole.encode(t) for t in texts]
+    monkeypatch.setattr(K, "_CACHE_WORDS", 20)
+    small = K.Encoder(path)
+    assert [small.encode(t) for t in texts] == want
+    assert len(small) <= 22 and len(small.ids) <= 26
+
+
+def test_slices_of_a_batch_give_all_pieces(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, " ".join(["some words"] * (i % 50))) for i in range(2_500)], "doc_id long, text string").coalesce(1)
+    got = K.tokenised_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=32)
+    pieces = got.groupBy("doc_id").sum("length").collect()
+    assert len(pieces) == 2_500 and got.agg({"length": "max"}).first()[0] <= 32

@@ -38,7 +38,8 @@ CAPACITY = 2048
 END = 0
 BINS = 256
 MOST = 3  # documents in a pattern
-_CACHE_WORDS = 800_000
+_CACHE_WORDS = 100_000
+_ROWS_AT_ONCE = 1_000  # of an Arrow batch: texts as Python strings, and pieces given back
 _ODD_BLANK = re.compile(r" (?:\s|\Z)").search
 
 # ---------------------------------------------------------------------------
@@ -121,18 +122,20 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
             encoder = _ENCODERS[tokenizer_path] = Encoder(tokenizer_path)
         end = np.asarray([END], "<u4").tobytes()
         for batch in batches:
-            rows: list[list] = [[] for _ in fields]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = encoder.encode(text or "") + end
-                n = len(ids) // 4
-                start, piece = 0, 0
-                while start < n:
-                    size = (n - start - 1) % capacity + 1
-                    own = ids[4 * start : 4 * (start + size)]
-                    for column, value in zip(rows, (doc_id, piece, start, size, zlib.crc32(own), own)):
-                        column.append(value)
-                    start, piece = start + size, piece + 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, fields)], schema=fields)
+            for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+                some = batch.slice(at, _ROWS_AT_ONCE)
+                rows: list[list] = [[] for _ in fields]
+                for doc_id, text in zip(some.column("doc_id").to_pylist(), some.column("text").to_pylist()):
+                    ids = encoder.encode(text or "") + end
+                    n = len(ids) // 4
+                    start, piece = 0, 0
+                    while start < n:
+                        size = (n - start - 1) % capacity + 1
+                        own = ids[4 * start : 4 * (start + size)]
+                        for column, value in zip(rows, (doc_id, piece, start, size, zlib.crc32(own), own)):
+                            column.append(value)
+                        start, piece = start + size, piece + 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, fields)], schema=fields)
 
     fields = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     if with_ids:
