@@ -46,3 +46,11 @@ def test_skew_profiles(spark):
     hot = skew.partition_profile(df, ["p"], 8).first()
     assert even["max_over_median"] < 2.0
     assert hot["max_rows"] >= 800
+
+
+def test_ordered_rows_are_stored_as_their_own_columns(spark):
+    """What passes from the range partitions to the window is parquet without the key and order structs, not serialised rows."""
+    df = spark.range(300).select((F.col("id") % 7).alias("k"), F.col("id").alias("s"))
+    got = ordered.next_in_key(df, ["k"], ["s"], "s", "nxt", num_partitions=4)
+    scans = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation" in line or "RDD" in line]
+    assert scans and all("parquet" in line and "__ord_order" not in line and "__ord_key" not in line for line in scans)

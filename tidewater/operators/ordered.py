@@ -7,8 +7,9 @@ over as many partitions as its size needs. The ``lead`` is then taken inside
 each (range partition, key) slice, and the last row of a slice looks up the
 first row of the next non-empty range partition. That lookup table has one row
 per range partition, so its size is bounded by the partition count, not the data.
-The range-partitioned rows are checkpointed once so both uses agree on the
-layout (and a lost executor re-reads them instead of re-sampling bounds).
+The range-partitioned rows are stored once, as parquet with nothing but their own
+columns and the partition's number, so both uses agree on the layout (and a lost
+executor re-reads them instead of re-sampling bounds).
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.columns import col_of
-from ..session import checkpoint_dir
+from ..session import work_dir
+from ..sources.tables import CODEC
 
 _K = "__ord_key"
 _O = "__ord_order"
@@ -46,15 +49,15 @@ def next_in_key(
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = df.withColumn(_K, F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])).withColumn(
-        _O, F.struct(*[col_of(c).alias(f"o{i}") for i, c in enumerate(order)])
-    )
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    rank = F.struct(*[col_of(c).alias(f"o{i}") for i, c in enumerate(order)])
     # Range bounds come from a sample of the input, whose order after a shuffle
     # is not fixed: two evaluations could disagree on which partition holds a
-    # row. Materialise the partitioned rows once (reliable checkpoint in the
-    # shared folder) so the window and the boundary table see one layout.
-    checkpoint_dir(spark)
-    ranged = staged.repartitionByRange(n, _K, _O).withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True)
+    # row. Write the partitioned rows once (in the shared folder) so the window and
+    # the boundary table see one layout; key and order are made of them again.
+    path = work_dir(spark, "ordered")
+    df.repartitionByRange(n, key, rank).withColumn(_PID, F.spark_partition_id()).write.option("compression", CODEC).parquet(path)
+    ranged = spark.read.schema(StructType([*df.schema.fields, StructField(_PID, IntegerType())])).parquet(path).withColumn(_K, key).withColumn(_O, rank)
 
     w = Window.partitionBy(_PID, _K).orderBy(_O)
     rows = ranged
