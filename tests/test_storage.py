@@ -304,3 +304,48 @@ def test_merging_heavy_hitters_of_short_lists_is_exact():
     a, b = ap.batch_hot([("x", 5), ("y", 2)], 7), ap.batch_hot([("y", 4), (None, 1)], 5)
     assert ap.merge_hot(a, b) == {"rows": 12, "items": {"x": 5, "y": 6, "": 1}, "error": 0, "unlisted": 0}
     assert ap.merge_hot(None, a) == a
+
+
+def test_change_feed_joins_versions_in_their_buckets(spark, monkeypatch):
+    """Between two snapshots only the touched keys are shuffled; the rows of both versions are joined where they lie."""
+    monkeypatch.setattr(ap, "LISTED_KEYS", 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        root = filled(spark)
+        ap.compact(spark, root, "t", RULE)
+        first = feed.current_version(spark, root, "t")
+        ap.apply_batch(rows(spark, [(f"K{i}", 2, "gone" if i % 2 else "second") for i in range(0, 60)] + [("new", 2, "x")]), 1, root, "t", RULE)
+        ap.compact(spark, root, "t", RULE)
+        found = feed.change_feed(spark, root, "t", RULE, first)
+        assert found.columns == ["k", "oper", "before", "after"]
+        got = sorted((r["k"], r["oper"]) for r in found.collect())
+        assert got == sorted([(f"K{i}", "D" if i % 2 else "U") for i in range(60)] + [("new", "I")])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        plan = plan[plan.index("== Initial Plan ==") :] if "== Initial Plan ==" in plan else plan
+        shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert shuffled and all("__asked" in line for line in shuffled)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lookup_of_many_repeated_keys_is_still_a_list(spark, monkeypatch):
+    root = filled(spark)
+    ap.compact(spark, root, "t", RULE)
+    keys = spark.createDataFrame([(f"K{i % 4}",) for i in range(40)] + [(None,)], "k string")
+    monkeypatch.setattr(ap, "LISTED_KEYS", 6)
+    found = ap.current_state_for(spark, root, "t", RULE, keys)
+    assert sorted(r["k"] for r in found.collect()) == ["K0", "K1", "K2", "K3"]
+
+
+def test_splits_are_sized_unless_the_caller_said_so(spark, sf):
+    from tidewater.session import SPLIT_CONF
+    from tidewater.sources.tables import read_table
+
+    (name, wanted), = SPLIT_CONF.items()
+    spark.conf.unset(name)
+    read_table(spark, sf, "orders")
+    assert spark.conf.get(name) == wanted
+    spark.conf.set(name, "64m")
+    read_table(spark, sf, "orders")
+    assert spark.conf.get(name) == "64m"
+    spark.conf.unset(name)
