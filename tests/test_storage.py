@@ -1,5 +1,6 @@
 """Bucketed storage, manifests, retention, stored history and the change feed."""
 
+import os
 import random
 from datetime import datetime
 
@@ -12,6 +13,7 @@ from tidewater.session import work_dir
 from tidewater.sources import buckets, files
 from tidewater.sources.buckets import Layout
 from tidewater.sources.manifest import Conflict, Manifest
+from tidewater.sources.tables import write_table
 from tidewater.streaming import apply as ap
 from tidewater.streaming import feed, history
 
@@ -349,3 +351,15 @@ def test_splits_are_sized_unless_the_caller_said_so(spark, sf):
     read_table(spark, sf, "orders")
     assert spark.conf.get(name) == "64m"
     spark.conf.unset(name)
+
+
+def test_layers_write_row_groups_that_splits_can_tell_apart(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    # 24 MB that do not compress: one row group of Spark's default size, which no split divides
+    rows = spark.range(0, 3_000_000, 1, 1).select(F.rand(7).alias("x"))
+    path = write_table(rows, f"{tmp_path}/landing")
+    (name,) = [n for n in os.listdir(path) if n.endswith(".parquet")]
+    held = pq.ParquetFile(os.path.join(path, name)).metadata
+    sizes = [held.row_group(i).total_byte_size for i in range(held.num_row_groups)]
+    assert held.num_rows == 3_000_000 and len(sizes) >= 2 and max(sizes) <= 20 * 1024**2

@@ -35,6 +35,8 @@ def path_bytes(spark: SparkSession, path: str) -> int:
 
 # Codec of what the layers write: change logs hold long keys and few different values, which it halves.
 CODEC = "zstd"
+# Row groups of what the layers write: a split takes whole row groups, so one of 128 MB, the default, would give a task some seven million rows to sort, however small the splits.
+ROW_GROUP = {"parquet.block.size": str(16 * 1024**2)}
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 
 
@@ -66,7 +68,7 @@ def write_table(
     if cluster_by:
         out = out.repartitionByRange(num_files, *cluster_by) if num_files else out.repartitionByRange(*cluster_by)
         out = out.sortWithinPartitions(*cluster_by)
-    writer = out.write.mode(mode).option("compression", CODEC)
+    writer = out.write.mode(mode).option("compression", CODEC).options(**ROW_GROUP)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

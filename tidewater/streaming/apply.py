@@ -33,7 +33,7 @@ from ..operators import cdc, quality
 from ..sources import buckets, files
 from ..sources.buckets import KEY, SLOT, Layout
 from ..sources.manifest import Conflict, Manifest
-from ..sources.tables import CODEC
+from ..sources.tables import CODEC, ROW_GROUP
 from ..specs import TableSpec
 from .ingest import checkpoint_path, read_bronze_stream
 
@@ -183,7 +183,7 @@ def append_reduced(
     slot = _slot(reduced, apply, slots)
     counted = reduced.withColumn(SLOT, slot).observe(seen, F.count(F.lit(1)).alias("n"), F.collect_set(SLOT).alias("slots"))  # at most ``slots`` values
     path = _batch_dir(state_path(root, name), batch_id)
-    counted.drop(SLOT).write.mode("overwrite").option("compression", CODEC).parquet(path)
+    counted.drop(SLOT).write.mode("overwrite").option("compression", CODEC).options(**ROW_GROUP).parquet(path)
     got = seen.get
     entry = {"id": int(batch_id), "rows": int(got.get("n") or 0), "slots": sorted(got.get("slots") or []), "bytes": files.total_bytes(spark, path)}
     failures, hot = observed()

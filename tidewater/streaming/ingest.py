@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..sources import schemas
 from ..sources.files import exists, move
 from ..sources.rescue import read_rescued
-from ..sources.tables import CODEC, append_table
+from ..sources.tables import CODEC, ROW_GROUP, append_table
 from ..specs import INGESTED_AT_COL, RESCUE_COL, SOURCE_FILE_COL, TableSpec
 
 # Files of one micro-batch: bounds the paths the driver holds and what a retry repeats.
@@ -73,7 +73,7 @@ def append_batch(rows: DataFrame, root: str, table: str, batch_id: int) -> None:
     if exists(spark, final):
         return
     aside = f"{bronze_path(root, table)}/_aside/batch_id={batch_id}"
-    rows.write.mode("overwrite").option("compression", CODEC).parquet(aside)
+    rows.write.mode("overwrite").option("compression", CODEC).options(**ROW_GROUP).parquet(aside)
     move(spark, aside, final)
 
 
