@@ -118,3 +118,25 @@ def test_slices_of_a_batch_give_all_pieces(spark, monkeypatch):
     got = K.tokenised_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=32)
     pieces = got.groupBy("doc_id").sum("length").collect()
     assert len(pieces) == 2_500 and got.agg({"length": "max"}).first()[0] <= 32
+
+
+def test_words_in_use_are_remembered_when_the_dictionary_is_full(monkeypatch):
+    import public_tokenizers
+
+    monkeypatch.setattr(K, "_CACHE_WORDS", 20)
+    mine = K.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    asked, tokenize = [], mine.tokenize
+    mine.tokenize = lambda signs: asked.append(signs) or tokenize(signs)
+    # a word met again and again between others that fill the dictionary many times over
+    rare = ["".join(chr(97 + int(d)) for d in f"{i:04}") for i in range(300)]
+    text = "x " + " often ".join(rare) + " often, often."
+    assert mine.encode(text) == b"".join(K.np.asarray([t], "<u4").tobytes() for t in _ids(text))
+    assert asked.count(K._BLANK_SIGN + "often") == 1
+    assert len(mine) <= 20 and len(mine.older) <= 20 and "often," not in mine
+
+
+def _ids(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
