@@ -144,3 +144,25 @@ def test_odd_rows(spark):
     kept = L.drop_repeated_lines(docs)
     assert kept.columns == docs.columns and kept.count() == docs.count()  # equal rows are one document
     assert L.line_classes(docs.limit(0)).count() == 0 and L.drop_repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_own_keys_pass_the_filter_only_if_another_line_has_them(spark):
+    keys = spark.createDataFrame([(k * 7919,) for k in range(500)] + [(3 * 7919,)], "key long")
+    rows = spark.createDataFrame([(k * 7919, own) for k in range(500) for own in (True, False)], "key long, own boolean")
+    kept = {(r.key // 7919, r.own) for r in L.only_known(rows, "key", keys, "own").collect()}
+    assert {(k, False) for k in range(500)} | {(3, True)} <= kept
+    assert sum(own for _, own in kept) < 50
+
+
+def test_classes_of_many_near_copies_come_from_few_pairs(spark, monkeypatch):
+    # near copies that all lie two edits apart at most, and a chain whose ends only its middle connects
+    crowd = [f"the same long line of a template, number {i:02d}, said again" for i in range(60)]
+    chain = ["a chain of lines in which only neighbours are near " + "x" * i + "y" * (12 - i) for i in range(0, 13, 2)]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(crowd + chain + ["a line that is like no other one at all"])], "doc_id long, text string")
+    lines = L.distinct_lines(docs)
+    want = {frozenset(r.ids) for r in L.line_classes(docs).where("n_links > 0").groupBy("comp").agg({"line_key": "collect_set"}).toDF("comp", "ids").collect()}
+    met, near = [], L._near
+    monkeypatch.setattr(L, "_near", lambda pairs, able: met.append(pairs.select("a", "b").distinct().count()) or near(pairs, able))
+    keyed = lines.select("id", L.text_key(lines.line).alias("line_key")).join(L.line_comps(lines), "id")
+    assert {frozenset(r.ids) for r in keyed.groupBy("comp").agg({"line_key": "collect_set"}).toDF("comp", "ids").collect()} == want
+    assert len(want) == 2 and sum(met) < 60 * 59 // 2 / 3
