@@ -96,3 +96,22 @@ def test_long_arrow_batches_are_worked_off_in_slices():
     parts = list(L._parts([batch]))
     assert [p.num_rows for p in parts] == [L.ROWS_AT_ONCE, L.ROWS_AT_ONCE, 1]
     assert [n for p in parts for n in p.column("n").to_pylist()] == batch.column("n").to_pylist()
+
+
+def test_whole_texts_go_to_python_in_small_batches_unless_the_caller_says_otherwise(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    docs = spark.range(3000).selectExpr("id AS doc_id", "'ein Text' AS text", "'de' AS lang").coalesce(1)
+    model = L.train([("ein Text", "de"), ("a text", "en")])
+    try:
+        for mine, want in ((None, "1000"), ("70", "70")):
+            spark.conf.unset(key)
+            if mine:
+                spark.conf.set(key, mine)
+            found = L.accepted(docs, model)
+            assert spark.conf.get(key) == want and found.count() == 3000
+    finally:
+        spark.conf.unset(key)
+        if before:
+            spark.conf.set(key, before)
+    assert L._CACHE_WORDS <= 100_000

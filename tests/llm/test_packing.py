@@ -140,3 +140,21 @@ def _ids(text):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+
+
+def test_stops_and_line_ends_are_parted_from_words_only_where_they_are_pre_tokens():
+    texts = ["One, two. Three.\nFour, five\nsix. ", "a.\nb,\nc. d", "x!, y", "x_, y", "x!.\nA", "é, 漢. ²,\n9. z", "a\r\nb", "a\u3000\nb", "a\n\nb", "a\n b", "\na", "a\n", ". a", ", ", "a., b", "a\n. b"]
+    texts += ["\0, a", "a \0, b", "a\0. b\nc", "e\u0301, x", "the, the. the,\nThe.\nthe", "\x1c\na, b"]
+    r = random.Random(4)
+    texts += ["".join(r.choice(["a", "Bc", "é", "9", "_", "!", ", ", ". ", ",", ".", " ", "\n", "\r", "\0"]) for _ in range(30)) for _ in range(2000)]
+    mine = K.Encoder(PATH)
+    for text, ids in zip(texts, plain_ids(texts)):
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == ids[:-1], text
+
+
+def test_words_before_a_stop_are_found_without_a_call(monkeypatch):
+    mine = K.Encoder(PATH)
+    calls, missing = [], K.Encoder.__missing__
+    monkeypatch.setattr(K.Encoder, "__missing__", lambda self, word: calls.append(word) or missing(self, word))
+    mine.encode("a word, a word.\na word, a word, a word. A word " * 50 + "x")
+    assert len(calls) < 12

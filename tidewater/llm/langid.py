@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ship
+from .common import crc_mod, release, whole_texts
 
 UNKNOWN = "und"
 FOLDS, HELD_OUT = 5, 0
@@ -40,7 +40,7 @@ EPOCHS = 30
 LEAST = 0.5  # share of a text's letters that its language needs in a filter
 LONG, OVERLAP = 2_000, 50  # words of a stretch, and of its neighbours on either side
 WORDS_AT_ONCE = 50_000
-_CACHE_WORDS = 200_000
+_CACHE_WORDS = 100_000
 ROWS_AT_ONCE = 1_000  # of an Arrow batch: texts as Python strings, and rows given back
 
 _WORD = re.compile(r"[^\W\d_]+").findall
@@ -295,7 +295,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with held_out, lang_pred and score, which it must not have before. Only the text decides."""
-    ship(docs.sparkSession)
+    whole_texts(docs.sparkSession)
     base = docs.withColumn("held_out", crc_mod(F.col("doc_id"), FOLDS) == HELD_OUT)
     if model is None:
         return base.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
@@ -307,13 +307,15 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             made = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "lang_pred", "score"])
+        cache.clear()
+        release()
 
     return base.mapInArrow(label, _schema(base) + ", lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> DataFrame:
     """The rows of ``docs`` whose text has a language with a score of at least ``least``; none without a model."""
-    ship(docs.sparkSession)
+    whole_texts(docs.sparkSession)
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -323,5 +325,7 @@ def accepted(docs: DataFrame, model: Model | None, least: float = LEAST) -> Data
         for batch in _parts(batches):
             langs, scores = predict(shared.value, batch.column("text").to_pylist(), cache)
             yield batch.filter(pa.array([c != UNKNOWN and s >= least for c, s in zip(langs, scores)], pa.bool_()))
+        cache.clear()
+        release()
 
     return docs.mapInArrow(keep, _schema(docs))

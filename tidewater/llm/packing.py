@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import release, stored, whole_texts
 
 CAPACITY = 2048
 END = 0
@@ -42,6 +42,10 @@ MOST = 3  # documents in a pattern
 _CACHE_WORDS = 100_000  # of each of two generations
 _ROWS_AT_ONCE = 1_000  # of an Arrow batch: texts as Python strings, and pieces given back
 _ODD_BLANK = re.compile(r" (?:\s|\Z)").search
+# where a line end isn't between two characters that are no white space, and a full stop or comma before a blank or line end not after a letter or digit
+_ODD_LINE = re.compile(r"\n(?:\s|\Z|(?<!\S\n))").search
+_ODD_STOP = re.compile(r"[.,](?<![^\W_].)[ \n]").search
+_BARE = "\0"  # before a part that follows no blank
 
 # ---------------------------------------------------------------------------
 # tokens
@@ -55,6 +59,9 @@ class Encoder(dict):
     pre-token, so a text may be cut at such blanks and its parts encoded on their
     own. Words that follow a blank are kept without it. When the dictionary is full it
     becomes the older generation, from which words come back as they are met again.
+    Line ends between lines, and full stops and commas at the end of a word or line, are
+    pre-tokens of their own: they are parted from the words, and marked like all else that
+    follows no blank.
     """
 
     def __init__(self, path: str):
@@ -81,19 +88,17 @@ class Encoder(dict):
     def _part(self, part: str) -> bytes:
         return b"".join(map(self._pre_token, self.pre_tokens(part)))
 
-    def _word(self, word: str) -> bytes:
-        if word.isalpha():  # letters are one pre-token
-            if word.isascii():
-                return array("I", [t.id for t in self.tokenize(_BLANK_SIGN + word)]).tobytes()
-            return self._ids(" " + word)
-        return self._part(" " + word)
-
     def __missing__(self, word: str) -> bytes:
-        if word[-1:] in ".," and word[:-1].isalpha():  # not remembered beside the word without it
-            return self[word[:-1]] + self._pre_token(word[-1])
         got = self.older.get(word)
         if got is None:
-            got = self._word(word)
+            if word.isalpha():  # letters are one pre-token
+                got = array("I", [t.id for t in self.tokenize(_BLANK_SIGN + word)]).tobytes() if word.isascii() else self._ids(" " + word)
+            elif word[:1] == _BARE:
+                got = self._part(word[1:])
+            elif word[-1:] in ".," and word[:-1].isalpha():  # not remembered beside the word without it
+                return self[word[:-1]] + self._pre_token(word[-1])
+            else:
+                got = self._part(" " + word)
         if len(self) >= _CACHE_WORDS:
             self.older = dict(self)
             self.clear()
@@ -102,8 +107,12 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids as unsigned little-endian 32-bit numbers."""
+        odd = _ODD_BLANK(text)
+        if not (odd or _BARE in text or _ODD_LINE(text) or _ODD_STOP(text)):
+            parted = text.replace("\n", " \0\n \0").replace(", ", " \0, ").replace(". ", " \0. ")
+            return b"".join(map(self.__getitem__, (_BARE + parted).split(" ")))
         first, *words = text.split(" ")
-        if _ODD_BLANK(text):  # a blank that doesn't lead a word belongs with what is before it
+        if odd:  # a blank that doesn't lead a word belongs with what is before it
             parts = [first]
             for w in words:
                 if w and not w[0].isspace():
@@ -111,6 +120,8 @@ class Encoder(dict):
                 else:
                     parts[-1] += " " + w
             return b"".join(map(self._part, parts))
+        if _BARE in text:  # here it is a character of the text
+            return self._part(first) + b"".join([self._part(" " + w) for w in words])
         return self._part(first) + b"".join(map(self.__getitem__, words))
 
 
@@ -128,7 +139,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and its end token, cut to ``capacity``."""
-    ship(docs.sparkSession)
+    whole_texts(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _ENCODERS.get(tokenizer_path)
@@ -155,6 +166,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
                 if collecting:
                     gc.enable()
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, fields)], schema=fields)
+        release()
 
     fields = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
     if with_ids:
