@@ -112,6 +112,31 @@ def test_a_hot_key_is_folded_before_the_shuffle(spark, tmp_path, all_large):
     assert plan.count("Exchange hashpartitioning(__k") == 1 and "partial_max" in plan[plan.index("Exchange hashpartitioning") :]
 
 
+def test_a_batch_in_passes_is_the_same_batch(spark, tmp_path, all_large, monkeypatch):
+    """A large batch shuffles a share of its keys at a time; rows, counts, rejects and reads are those of one pass."""
+    from tidewater.specs import Rule
+
+    schema, data = "k string, s int, v string", batches(4)
+    rules = (Rule("has_v", "v IS NOT NULL", "drop", applies_to_deletes=True), Rule("late", "s > 1", "warn"))
+    held = []
+    for share in (2**40, 1):
+        monkeypatch.setattr(ap, "PASS_BYTES", share)
+        root = work_dir(spark, "test-passes")
+        shuffles = []
+        plain = buckets.write_batch
+        monkeypatch.setattr(buckets, "write_batch", lambda df, path, to: shuffles.append(path) or plain(df, path, to))
+        failed = [ap.apply_batch(from_file(spark, tmp_path, data[i], schema, f"{share}-{i}"), i, root, "t", RULE, rules, RULE.delete_when, watch=("v",)) for i in (0, 1)]
+        monkeypatch.setattr(buckets, "write_batch", plain)
+        table = ap.contents(spark, root, "t")
+        assert len(shuffles) == (2 if share > 1 else 2 * table["layout"][0])
+        assert exchanges(ap.reduced_state(spark, root, "t", RULE)) == 0
+        rejects = ap.read_rejects(spark, root, "t").count()
+        state, keys = rows(ap.reduced_state(spark, root, "t", RULE)), rows(feed.touched_keys(spark, root, "t", RULE, None, 1))
+        ap.compact(spark, root, "t", RULE)
+        held.append((failed, rejects, state, keys, table["rules"], table["hot"], [(b["rows"], b["slots"]) for b in table["batches"]], rows(ap.reduced_state(spark, root, "t", RULE))))
+    assert held[0] == held[1] and held[0][2] == held[0][7]
+
+
 def test_a_failed_write_is_replaced(spark, tmp_path, all_large):
     root, schema = work_dir(spark, "test-replaced"), "k string, s int, v string"
     batch = from_file(spark, tmp_path, [("a", 1, "x")], schema, "b")
